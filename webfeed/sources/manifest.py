@@ -141,19 +141,25 @@ class Delivery:
         return self.lookup_files[0]["name"]
 
 
-def collect_deliveries(spark: SparkSession, directory: str, feedname: str, sel: DateSelection,
-                       need_archive: bool = True) -> list[Delivery]:
-    """Run the manifest job and enforce the always-on checks.
+def load_deliveries(spark: SparkSession, directory: str, feedname: str,
+                    sel: DateSelection | None = None) -> list[Delivery]:
+    """Run the manifest job; one :class:`Delivery` per manifest found, oldest first (no checks)."""
+    rows = manifests(spark, directory, feedname, sel).drop("manifest_path").collect()
+    found = [Delivery(r.feedname, r.delivery_date, r.manifest_name, r.total_records,
+                      tuple(e.asDict() for e in r.lookup_files), tuple(e.asDict() for e in r.data_files),
+                      tuple(r.problems)) for r in rows]
+    return sorted(found, key=lambda d: d.delivery_date)
+
+
+def check_deliveries(found: list[Delivery], directory: str, feedname: str, sel: DateSelection,
+                     need_archive: bool = True) -> None:
+    """The always-on checks.
 
     Raises :class:`DeliveryError` when no manifest exists or selected dates
     have none (all missing dates at once), and :class:`ManifestError` when a
     manifest is unreadable, its counts disagree, or it does not list exactly one
     lookup archive (when the archive is needed).
     """
-    rows = manifests(spark, directory, feedname, sel).drop("manifest_path").collect()
-    found = [Delivery(r.feedname, r.delivery_date, r.manifest_name, r.total_records,
-                      tuple(e.asDict() for e in r.lookup_files), tuple(e.asDict() for e in r.data_files),
-                      tuple(r.problems)) for r in rows]
     expected = sel.expected_dates()
     if expected is None:
         if not found:
@@ -171,4 +177,11 @@ def collect_deliveries(spark: SparkSession, directory: str, feedname: str, sel:
                 for d in found if not d.problems and len(d.lookup_files) != 1]
     if bad:
         raise ManifestError("bad manifest(s):\n  " + "\n  ".join(sorted(bad)))
-    return sorted(found, key=lambda d: d.delivery_date)
+
+
+def collect_deliveries(spark: SparkSession, directory: str, feedname: str, sel: DateSelection,
+                       need_archive: bool = True) -> list[Delivery]:
+    """:func:`load_deliveries` followed by :func:`check_deliveries`."""
+    found = load_deliveries(spark, directory, feedname, sel)
+    check_deliveries(found, directory, feedname, sel, need_archive)
+    return found
