@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from .. import paths
 from ..errors import ValidationError
+from ..functions.files import input_file_name
 from ..plans.scan import CSV_OPTIONS
 from ..session import ship_package
 from ..sources.manifest import Delivery
@@ -109,7 +110,7 @@ def _stream_md5(batches):
         for p in pdf["path"]:
             filesystem, rel = _local_or_remote(p)
             h = hashlib.md5()
-            with filesystem.open_input_stream(rel) as f:
+            with filesystem.open_input_stream(rel, compression=None) as f:
                 while chunk := f.read(_CHUNK):
                     h.update(chunk)
             digests.append(h.hexdigest())
@@ -145,7 +146,7 @@ def file_row_counts(spark: SparkSession, directory: str, names: list[str]) -> Da
         return spark.createDataFrame([], "file_base string, actual_records bigint")
     return (spark.read.schema("_c0 string").options(**CSV_OPTIONS)
             .csv(paths.literal_paths(directory, names))
-            .select(F.col("_metadata.file_name").alias("file_base"))
+            .select(input_file_name().alias("file_base"))
             .groupBy("file_base").agg(F.count(F.lit(1)).alias("actual_records")))
 
 

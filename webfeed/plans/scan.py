@@ -62,19 +62,6 @@ class FeedScanPlan:
         scans = [self._scan(spark, g).select(*self.columns) for g in self.groups if g.files]
         return reduce(lambda a, b: a.unionByName(b), scans)
 
-    def file_row_counts(self, spark: SparkSession) -> DataFrame:
-        """``file_name, actual_records``: rows per data file, read with the same settings.
-
-        No column is parsed (``ReadSchema: struct<>``); the count is combined
-        map-side, so only one row per file is shuffled.
-        """
-        scans = [self._scan(spark, g).select(F.col("_metadata.file_name").alias("file_name"))
-                 for g in self.groups if g.files]
-        if not scans:
-            return spark.createDataFrame([], "file_name string, actual_records bigint")
-        return (reduce(lambda a, b: a.unionByName(b), scans)
-                .groupBy("file_name").agg(F.count(F.lit(1)).alias("actual_records")))
-
 
 def _describe_difference(canonical: list[str], other: list[str]) -> str:
     missing = [c for c in canonical if c not in other]

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from .. import paths
 from ..errors import DeliveryError, ManifestError
 from ..functions import manifest as mf
+from ..functions.files import input_file_name, input_file_path
 from ..options import DateSelection
 
 LOOKUP_ENTRY = T.StructType([
@@ -84,8 +85,8 @@ def manifests(spark: SparkSession, directory: str, feedname: str,
 
     name_re = "^" + paths.java_regex_literal(feedname) + r"_\d{4}-\d{2}-\d{2}\.txt$"
     base = raw.select(
-        F.col("_metadata.file_name").alias("manifest_name"),
-        F.col("_metadata.file_path").alias("manifest_path"),
+        input_file_name().alias("manifest_name"),
+        input_file_path().alias("manifest_path"),
         mf.normalized_text(F.col("value")).alias("text"),
     ).where(F.col("manifest_name").rlike(name_re))
     if sel.kind == "range":
