@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from .. import paths
 from ..errors import DeliveryError, SchemaMismatchError
+from ..functions.files import input_file_name
 from ..functions.types import feed_schema
 from ..options import HEADER_MEMBER
 from ..sources.header import delivery_headers
@@ -32,11 +33,16 @@ from ..sources.manifest import Delivery
 CSV_OPTIONS = {"sep": "\t", "header": "false"}
 
 
+# Files per read up to which the file -> delivery-date table is broadcast.
+BROADCAST_FILES = 1_000_000
+
+
 @dataclass(frozen=True)
 class ScanGroup:
     columns: tuple[str, ...]
     dates: tuple[date, ...]
     files: tuple[str, ...]
+    files_by_date: tuple[tuple[date, tuple[str, ...]], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -55,12 +61,28 @@ class FeedScanPlan:
                 .options(**CSV_OPTIONS)
                 .csv(paths.literal_paths(self.directory, group.files)))
 
-    def to_dataframe(self, spark: SparkSession) -> DataFrame:
-        """The hit table: one native CSV scan per distinct column order."""
+    def to_dataframe(self, spark: SparkSession, with_delivery_date: bool = False) -> DataFrame:
+        """The hit table: one native CSV scan per distinct column order.
+
+        ``with_delivery_date`` appends ``delivery_date`` (the manifest's day) by
+        joining each row's input file name to the plan's file list. That list
+        has one row per data file, a size known here, so it is broadcast when it
+        is below ``BROADCAST_FILES`` rows and shuffled otherwise.
+        """
         if not any(g.files for g in self.groups):
-            return spark.createDataFrame([], self.schema)
-        scans = [self._scan(spark, g).select(*self.columns) for g in self.groups if g.files]
-        return reduce(lambda a, b: a.unionByName(b), scans)
+            empty = spark.createDataFrame([], self.schema)
+            return empty.withColumn("delivery_date", F.lit(None).cast("date")) if with_delivery_date else empty
+        if not with_delivery_date:
+            scans = [self._scan(spark, g).select(*self.columns) for g in self.groups if g.files]
+            return reduce(lambda a, b: a.unionByName(b), scans)
+        scans = [self._scan(spark, g).select(*self.columns, input_file_name().alias("_file"))
+                 for g in self.groups if g.files]
+        hits = reduce(lambda a, b: a.unionByName(b), scans)
+        pairs = [(f.rsplit("/", 1)[-1], d) for g in self.groups for d, fs in g.files_by_date for f in fs]
+        owners = spark.createDataFrame(pairs, "_file string, delivery_date date")
+        if len(pairs) <= BROADCAST_FILES:
+            owners = F.broadcast(owners)
+        return hits.join(owners, "_file", "left").drop("_file")
 
 
 def _describe_difference(canonical: list[str], other: list[str]) -> str:
@@ -82,16 +104,29 @@ def _describe_difference(canonical: list[str], other: list[str]) -> str:
 def plan_scan(spark: SparkSession, directory: str, deliveries: list[Delivery],
               column_types: dict | None = None) -> FeedScanPlan:
     """Read the headers of all deliveries (one job) and group deliveries by header."""
-    headers = delivery_headers(spark, directory, deliveries)
-    grouped = (headers.groupBy("header", "header_found")
-               .agg(F.collect_list("delivery_date").alias("dates"))
-               .collect())
-    absent = sorted(d for r in grouped if not r.header_found for d in r.dates)
+    headers = (delivery_headers(spark, directory, deliveries)
+               .withColumn("header_id", F.xxhash64("header")).cache())
+    try:
+        # one small row per delivery, and each distinct header once (no per-group lists)
+        owners = headers.select("delivery_date", "header_found", "header_id").collect()
+        firsts = (headers.where("header_found").groupBy("header_id")
+                  .agg(F.min_by("header", "delivery_date").alias("header"),
+                       F.count_distinct("header").alias("variants")).collect())
+    finally:
+        headers.unpersist()
+    if any(r.variants > 1 for r in firsts):  # 64-bit hash collision: never silently merge headers
+        raise SchemaMismatchError("two different headers share one hash; cannot group deliveries")
+    distinct = {r.header_id: list(r.header) for r in firsts}
+    absent = sorted(r.delivery_date for r in owners if not r.header_found)
     if absent:
         raise DeliveryError(f"lookup archive has no {HEADER_MEMBER} for "
                             f"{', '.join(d.isoformat() for d in absent)}")
+    dates_of: dict[int, list] = {}
+    for r in owners:
+        dates_of.setdefault(r.header_id, []).append(r.delivery_date)
+    grouped = [(distinct[h], sorted(ds)) for h, ds in dates_of.items()]
     by_date = {d.delivery_date: d for d in deliveries}
-    groups = sorted(((list(r.header), sorted(r.dates)) for r in grouped), key=lambda g: g[1][0])
+    groups = sorted(grouped, key=lambda g: g[1][0])
     canonical = groups[0][0]
     problems = []
     for header, dates in groups:
@@ -104,6 +139,7 @@ def plan_scan(spark: SparkSession, directory: str, deliveries: list[Delivery],
                                   f"{groups[0][1][0].isoformat()}:\n  " + "\n  ".join(problems))
     scan_groups = tuple(
         ScanGroup(tuple(header), tuple(dates),
-                  tuple(f["name"] for d in dates for f in by_date[d].data_files))
+                  tuple(f["name"] for d in dates for f in by_date[d].data_files),
+                  tuple((d, tuple(f["name"] for f in by_date[d].data_files)) for d in dates))
         for header, dates in groups)
     return FeedScanPlan(directory, tuple(canonical), scan_groups, dict(column_types or {}))

@@ -37,7 +37,8 @@ def read_feed(spark: SparkSession, directory: str, feedname: str, *,
               start: str | Date | None = None,
               end: str | Date | None = None,
               validate: bool = False,
-              column_types: dict[str, T.DataType] | None = None) -> DataFrame:
+              column_types: dict[str, T.DataType] | None = None,
+              with_delivery_date: bool = False) -> DataFrame:
     """Hit rows of the chosen deliveries of ``feedname`` in ``directory``.
 
     Choose at most one of ``date``, ``dates`` (list or comma separated) or the
@@ -45,8 +46,9 @@ def read_feed(spark: SparkSession, directory: str, feedname: str, *,
     directory is read. ``validate=True`` checks every file's size and MD5 and
     every file's and delivery's record count before returning. ``column_types``
     overrides the type of named columns (e.g. ``{"mcvisid": StringType()}`` to
-    keep ids that do not fit the default type).
+    keep ids that do not fit the default type). ``with_delivery_date=True`` adds
+    a ``delivery_date`` column (the day of the delivery each row came from).
     """
     sel = selection(date=date, dates=dates, start=start, end=end)
     plan = feed_plan(spark, directory, feedname, sel, column_types, validate)
-    return plan.to_dataframe(spark)
+    return plan.to_dataframe(spark, with_delivery_date)
