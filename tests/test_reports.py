@@ -54,3 +54,19 @@ def test_delivery_records(spark, workdir):
     write_delivery(workdir, "f", "2024-01-02", [row(i) for i in range(3)], manifest_edit=lambda m: m.update(total=4))
     rows = {r.delivery_date.day: r for r in reports.delivery_records(spark, workdir, "f").collect()}
     assert rows[1].ok and (rows[2].total_records, rows[2].actual_records, rows[2].ok) == (4, 3, False)
+
+
+def test_header_collection_paths_agree(spark, workdir):
+    from webfeed.sources.header import collect_headers
+    from webfeed.sources.manifest import load_deliveries
+
+    write_delivery(workdir, "f", "2024-01-01", [row(1)])
+    write_delivery(workdir, "f", "2024-01-02", [row(2)], header=HEADER + ["x y"])
+    write_delivery(workdir, "f", "2024-01-03", [row(3)])
+    write_delivery(workdir, "f", "2024-01-04", [row(4)], archive_members={"event.tsv": b""})
+    archives = [d.archive for d in load_deliveries(spark, workdir, "f")]
+    direct = collect_headers(spark, workdir, archives)
+    distinct_only = collect_headers(spark, workdir, archives, direct_limit=0)
+    assert direct == distinct_only
+    assert direct["f_2024-01-02-lookup_data.tar.gz"][-1] == "x_y"
+    assert direct["f_2024-01-04-lookup_data.tar.gz"] is None

@@ -10,7 +10,7 @@ manifests::
 
 All work is Spark jobs:
 
-* presence and size come from a ``binaryFile`` listing that reads no content;
+* presence and size come from the ``binaryFile`` file index (no content read);
 * digests of files up to ``md5_inline_max_bytes`` are ``md5(content)`` in the
   JVM, many files per task; larger files are streamed through ``hashlib`` in
   Python tasks in 8 MiB chunks, one file per task, so memory stays flat however
@@ -19,8 +19,8 @@ All work is Spark jobs:
   (``_metadata.file_name``) with map-side partial counts; no column is parsed.
 
 The digest scan and the count scan are independent stages of one job, so they
-run side by side. Only the listing (one row per file) and, in :func:`enforce`,
-one summary row per delivery reach the driver.
+run side by side. Only one summary row per delivery reaches the driver
+(:func:`enforce`).
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ from ..session import ship_package
 from ..sources.manifest import Delivery
 
 MD5_INLINE_MAX_BYTES = 128 * 1024 * 1024
+# Files per report up to which per-file tables are broadcast to the join.
+BROADCAST_FILES = 1_000_000
 _CHUNK = 8 * 1024 * 1024
 
 EXPECTED_SCHEMA = T.StructType([
@@ -78,17 +80,33 @@ def list_files(spark: SparkSession, directory: str, names: list[str]) -> list[tu
     """(qualified path, length) of the named files that exist; reads no content."""
     if not names:
         return []
+    try:
+        files = spark.read.format("binaryFile").load(paths.any_of(directory, names))
+    except AnalysisException:
+        return []
+    return [(r.path, r.length) for r in files.select("path", "length").collect()]
+
+
+def _file_scan(spark: SparkSession, directory: str, names: list[str]) -> tuple[DataFrame | None, set[str]]:
+    """``binaryFile`` relation over the named files that exist, and their base names.
+
+    Normally every file exists and the scan is built without a listing job
+    (the reader checks existence itself); only when some are missing is the
+    folder globbed once to find the ones that are there.
+    """
+    if not names:
+        return None, set()
     reader = spark.read.format("binaryFile")
     try:
-        files = reader.load(paths.literal_paths(directory, names))
+        return reader.load(paths.literal_paths(directory, names)), {_base(n) for n in names}
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        try:  # some files are missing: a glob keeps the ones that exist
-            files = reader.load(paths.any_of(directory, names))
-        except AnalysisException:
-            return []
-    return [(r.path, r.length) for r in files.select("path", "length").collect()]
+    present = {_base(p) for p, _ in list_files(spark, directory, names)}
+    existing = [n for n in names if _base(n) in present]
+    if not existing:
+        return None, set()
+    return reader.load(paths.literal_paths(directory, existing)), present
 
 
 def _local_or_remote(path: str):
@@ -117,23 +135,20 @@ def _stream_md5(batches):
         yield pd.DataFrame({"path": pdf["path"], "actual_md5": digests})
 
 
-def file_digests(spark: SparkSession, listing: list[tuple[str, int]],
-                 inline_max: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
-    """``path, actual_md5`` for listed (path, length) files (lazy)."""
-    small = [p for p, n in listing if n <= inline_max]
-    big = [p for p, n in listing if n > inline_max]
-    parts = []
-    if small:
-        parts.append(spark.read.format("binaryFile").load([paths.glob_escape(p) for p in small])
-                     .select("path", F.md5("content").alias("actual_md5")))
-    if big:
-        ship_package(spark)
-        parts.append(spark.createDataFrame([(p,) for p in big], "path string")
-                     .repartition(len(big), "path")
-                     .mapInPandas(_stream_md5, "path string, actual_md5 string"))
-    if not parts:
-        return spark.createDataFrame([], "path string, actual_md5 string")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+def file_digests(spark: SparkSession, files: DataFrame, inline_max: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
+    """``path, actual_md5`` of every file of a ``binaryFile`` relation (lazy).
+
+    The ``length`` filters are pushed into the ``binaryFile`` scan, which skips
+    the content of files it filters out: small files are hashed in the JVM,
+    big ones are never loaded whole but streamed in Python tasks, spread over
+    ``defaultParallelism`` partitions (a fixed count, so AQE keeps them apart).
+    """
+    small = files.where(F.col("length") <= inline_max).select("path", F.md5("content").alias("actual_md5"))
+    ship_package(spark)
+    big = (files.where(F.col("length") > inline_max).select("path")
+           .repartition(spark.sparkContext.defaultParallelism, "path")
+           .mapInPandas(_stream_md5, "path string, actual_md5 string"))
+    return small.unionByName(big)
 
 
 def file_row_counts(spark: SparkSession, directory: str, names: list[str]) -> DataFrame:
@@ -150,28 +165,39 @@ def file_row_counts(spark: SparkSession, directory: str, names: list[str]) -> Da
             .groupBy("file_base").agg(F.count(F.lit(1)).alias("actual_records")))
 
 
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast hint for a side whose row count is known to be at most ``rows``."""
+    return F.broadcast(df) if rows <= BROADCAST_FILES else df
+
+
 def validation_report(spark: SparkSession, directory: str, deliveries: list[Delivery], *,
                       check_md5: bool = True, check_records: bool = True,
                       kinds: tuple[str, ...] = ("data", "lookup"),
                       md5_inline_max_bytes: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
-    """Per-file report of the given deliveries (see module docstring); lazy after one listing job."""
+    """Per-file report of the given deliveries (see module docstring); lazy.
+
+    Every side joined to the expected files has at most one row per listed
+    file, a count known on the driver, so it is broadcast below
+    ``BROADCAST_FILES`` and shuffled above.
+    """
     expected = expected_files(spark, deliveries, kinds)
     names = sorted({f["name"] for d in deliveries
                     for kind, files in (("data", d.data_files), ("lookup", d.lookup_files))
                     if kind in kinds for f in files})
-    listing = list_files(spark, directory, names)
-    present = {_base(p) for p, _ in listing}
-
-    actual = spark.createDataFrame([(_base(p), p, n) for p, n in listing],
-                                   "file_base string, path string, actual_size bigint")
-    report = expected.join(actual, "file_base", "left")
+    n = len(names)
+    files, present = _file_scan(spark, directory, names)
+    if files is None:
+        files = spark.createDataFrame([], "path string, length bigint, content binary")
+    base = F.regexp_extract("path", r"[^/]*$", 0)
+    actual = files.select(base.alias("file_base"), "path", F.col("length").alias("actual_size"))
+    report = expected.join(_bounded(actual, n), "file_base", "left")
     if check_md5:
-        report = report.join(file_digests(spark, listing, md5_inline_max_bytes), "path", "left")
+        report = report.join(_bounded(file_digests(spark, files, md5_inline_max_bytes), n), "path", "left")
     else:
         report = report.withColumn("actual_md5", F.lit(None).cast("string"))
     data_names = sorted({f["name"] for d in deliveries for f in d.data_files if _base(f["name"]) in present})
     if check_records and "data" in kinds:
-        report = report.join(file_row_counts(spark, directory, data_names), "file_base", "left")
+        report = report.join(_bounded(file_row_counts(spark, directory, data_names), n), "file_base", "left")
     else:
         report = report.withColumn("actual_records", F.lit(None).cast("bigint"))
 

@@ -25,7 +25,7 @@ from ..errors import DeliveryError, SchemaMismatchError
 from ..functions.files import input_file_name
 from ..functions.types import feed_schema
 from ..options import HEADER_MEMBER
-from ..sources.header import delivery_headers
+from ..sources.header import collect_headers
 from ..sources.manifest import Delivery
 
 # CSV settings of a data file: tab separated, no header row; everything else is
@@ -103,28 +103,16 @@ def _describe_difference(canonical: list[str], other: list[str]) -> str:
 
 def plan_scan(spark: SparkSession, directory: str, deliveries: list[Delivery],
               column_types: dict | None = None) -> FeedScanPlan:
-    """Read the headers of all deliveries (one job) and group deliveries by header."""
-    headers = (delivery_headers(spark, directory, deliveries)
-               .withColumn("header_id", F.xxhash64("header")).cache())
-    try:
-        # one small row per delivery, and each distinct header once (no per-group lists)
-        owners = headers.select("delivery_date", "header_found", "header_id").collect()
-        firsts = (headers.where("header_found").groupBy("header_id")
-                  .agg(F.min_by("header", "delivery_date").alias("header"),
-                       F.count_distinct("header").alias("variants")).collect())
-    finally:
-        headers.unpersist()
-    if any(r.variants > 1 for r in firsts):  # 64-bit hash collision: never silently merge headers
-        raise SchemaMismatchError("two different headers share one hash; cannot group deliveries")
-    distinct = {r.header_id: list(r.header) for r in firsts}
-    absent = sorted(r.delivery_date for r in owners if not r.header_found)
+    """Read the headers of all deliveries (one parallel job) and group deliveries by header."""
+    headers = collect_headers(spark, directory, [d.archive for d in deliveries])
+    absent = [d.delivery_date for d in deliveries if headers.get(d.archive.rsplit("/", 1)[-1]) is None]
     if absent:
         raise DeliveryError(f"lookup archive has no {HEADER_MEMBER} for "
-                            f"{', '.join(d.isoformat() for d in absent)}")
-    dates_of: dict[int, list] = {}
-    for r in owners:
-        dates_of.setdefault(r.header_id, []).append(r.delivery_date)
-    grouped = [(distinct[h], sorted(ds)) for h, ds in dates_of.items()]
+                            f"{', '.join(d.isoformat() for d in sorted(absent))}")
+    dates_of: dict[tuple[str, ...], list] = {}
+    for d in deliveries:
+        dates_of.setdefault(tuple(headers[d.archive.rsplit("/", 1)[-1]]), []).append(d.delivery_date)
+    grouped = [(list(h), sorted(ds)) for h, ds in dates_of.items()]
     by_date = {d.delivery_date: d for d in deliveries}
     groups = sorted(grouped, key=lambda g: g[1][0])
     canonical = groups[0][0]

@@ -1,20 +1,24 @@
 """Hit-table headers: ``column_headers.tsv`` of each delivery's lookup archive.
 
-One Spark job unpacks the header member of every selected archive in parallel
-and returns one row per delivery::
+The header member of every selected archive is unpacked in one parallel Spark
+job. Names are sanitised (blank, ``, ; { } ( ) = \\t \\n`` become ``_``) after
+the line end is stripped.
 
-    delivery_date date, archive_name string, header array<string>, header_found boolean
-
-Names are sanitised (blank, ``, ; { } ( ) = \\t \\n`` become ``_``) after the
-line end is stripped.
+* :func:`archive_headers`  ``archive_base, header_found, header`` per archive;
+* :func:`delivery_headers` the same per delivery (adds ``delivery_date``);
+* :func:`collect_headers`  archive name -> header on the driver, without ever
+  holding more than one copy of each distinct header there.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..errors import SchemaMismatchError
 from ..functions.types import sanitized_header
 from ..options import HEADER_MEMBER
 from .archive import archive_lines
@@ -23,18 +27,33 @@ from .manifest import Delivery
 # Deliveries are metadata: one row each. Above this many the mapping table is
 # joined with a shuffle instead of being broadcast.
 _BROADCAST_DELIVERIES = 200_000
+# Up to this many archives, every archive's header is collected in one job;
+# above it, only the distinct headers are (plus one small row per archive).
+DIRECT_HEADER_ARCHIVES = 100
+
+
+def _base(name: str) -> str:
+    return name.rsplit("/", 1)[-1]
+
+
+@functools.lru_cache(maxsize=4)
+def _header_columns(_app_id: str) -> list:
+    return [F.regexp_extract("archive_path", r"[^/]*$", 0).alias("archive_base"),
+            (F.col("line_no") == 0).alias("header_found"),
+            F.when(F.col("line_no") == 0, sanitized_header(F.col("line"))).alias("header")]
+
+
+def archive_headers(spark: SparkSession, directory: str, archives: list[str]) -> DataFrame:
+    """Sanitised header of each archive (lazy)."""
+    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER])
+    return lines.where(F.col("line_no") <= 0).select(*_header_columns(spark.sparkContext.applicationId))
 
 
 def delivery_headers(spark: SparkSession, directory: str, deliveries: list[Delivery]) -> DataFrame:
-    """Sanitised header of each delivery (lazy)."""
-    archives = sorted({d.archive for d in deliveries})
-    lines = archive_lines(spark, directory, archives, [HEADER_MEMBER])
-    first = (lines.where(F.col("line_no") <= 0)
-             .select(F.regexp_extract("archive_path", r"[^/]*$", 0).alias("archive_base"),
-                     (F.col("line_no") == 0).alias("header_found"),
-                     F.when(F.col("line_no") == 0, sanitized_header(F.col("line"))).alias("header")))
+    """``delivery_date, archive_name, header, header_found`` per delivery (lazy)."""
+    first = archive_headers(spark, directory, [d.archive for d in deliveries])
     owners = spark.createDataFrame(
-        [(d.delivery_date, d.archive, d.archive.rsplit("/", 1)[-1]) for d in deliveries],
+        [(d.delivery_date, d.archive, _base(d.archive)) for d in deliveries],
         T.StructType([T.StructField("delivery_date", T.DateType()),
                       T.StructField("archive_name", T.StringType()),
                       T.StructField("archive_base", T.StringType())]))
@@ -42,3 +61,24 @@ def delivery_headers(spark: SparkSession, directory: str, deliveries: list[Deliv
         owners = F.broadcast(owners)
     return (first.join(owners, "archive_base")
             .select("delivery_date", "archive_name", "header", "header_found"))
+
+
+def collect_headers(spark: SparkSession, directory: str, archives: list[str],
+                    direct_limit: int = DIRECT_HEADER_ARCHIVES) -> dict[str, list[str] | None]:
+    """Archive base name -> header (``None`` when it has no header member)."""
+    archives = sorted(set(archives))
+    h = archive_headers(spark, directory, archives)
+    if len(archives) <= direct_limit:
+        return {r.archive_base: (list(r.header) if r.header_found else None) for r in h.collect()}
+    h = h.withColumn("header_id", F.xxhash64("header")).cache()
+    try:
+        per_archive = h.select("archive_base", "header_found", "header_id").collect()
+        firsts = (h.where("header_found").groupBy("header_id")
+                  .agg(F.first("header").alias("header"), F.count_distinct("header").alias("variants"))
+                  .collect())
+    finally:
+        h.unpersist()
+    if any(r.variants > 1 for r in firsts):  # 64-bit hash collision: never merge two headers
+        raise SchemaMismatchError("two different headers share one hash; cannot group deliveries")
+    distinct = {r.header_id: list(r.header) for r in firsts}
+    return {r.archive_base: (distinct[r.header_id] if r.header_found else None) for r in per_archive}

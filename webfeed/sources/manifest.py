@@ -15,6 +15,7 @@ good manifest.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 from datetime import date
 
@@ -84,45 +85,43 @@ def manifests(spark: SparkSession, directory: str, feedname: str,
         raise
 
     name_re = "^" + paths.java_regex_literal(feedname) + r"_\d{4}-\d{2}-\d{2}\.txt$"
-    base = raw.select(
-        input_file_name().alias("manifest_name"),
-        input_file_path().alias("manifest_path"),
-        mf.normalized_text(F.col("value")).alias("text"),
-    ).where(F.col("manifest_name").rlike(name_re))
+    cols = _parse_columns(spark.sparkContext.applicationId)
+    base = raw.select(*cols["base"]).where(F.col("manifest_name").rlike(name_re))
     if sel.kind == "range":
-        day = mf.manifest_date(F.col("manifest_name"))
-        base = base.where(day.between(F.lit(sel.start), F.lit(sel.end)))
-
-    meta = mf.metadata(F.col("text"))
-    parsed = base.select(
-        F.lit(feedname).alias("feedname"),
-        mf.manifest_date(F.col("manifest_name")).alias("delivery_date"),
-        "manifest_name", "manifest_path",
-        meta["has_metadata"].alias("has_metadata"),
-        meta["version"].alias("version"),
-        meta["n_lookup_files"].alias("n_lookup_files"),
-        meta["n_data_files"].alias("n_data_files"),
-        meta["total_records"].alias("total_records"),
-        mf.lookup_entries(F.col("text")).alias("lookup_files"),
-        mf.data_entries(F.col("text")).alias("data_files"),
-    )
+        base = base.where(F.col("delivery_date").between(F.lit(sel.start), F.lit(sel.end)))
+    return base.select(F.lit(feedname).alias("feedname"), *cols["parsed"]) \
+        .select(*cols["final"])
+
+
+@functools.lru_cache(maxsize=4)
+def _parse_columns(_app_id: str) -> dict[str, list]:
+    """Parsing expressions, built once per application (they do not depend on the feed)."""
+    text = F.col("text")
+    meta = mf.metadata(text)
+    base = [input_file_name().alias("manifest_name"), input_file_path().alias("manifest_path"),
+            mf.manifest_date(input_file_name()).alias("delivery_date"),
+            mf.normalized_text(F.col("value")).alias("text")]
+    parsed = ["delivery_date", "manifest_name", "manifest_path",
+              *[v.alias(k) for k, v in meta.items()],
+              mf.lookup_entries(text).alias("lookup_files"), mf.data_entries(text).alias("data_files")]
     n_lk, n_dt = F.size("lookup_files"), F.size("data_files")
+    has = F.col("has_metadata")
     checks = [
-        F.when(~F.col("has_metadata"), F.lit("no metadata block")),
-        F.when(F.col("has_metadata") & (F.col("n_lookup_files").isNull() | F.col("n_data_files").isNull()
-                                        | F.col("total_records").isNull()),
+        F.when(~has, F.lit("no metadata block")),
+        F.when(has & (F.col("n_lookup_files").isNull() | F.col("n_data_files").isNull()
+                      | F.col("total_records").isNull()),
                F.lit("metadata block has an unreadable number")),
-        F.when(F.col("has_metadata") & (n_lk != F.col("n_lookup_files")),
+        F.when(has & (n_lk != F.col("n_lookup_files")),
                F.format_string("declares %d lookup files but lists %d", F.col("n_lookup_files"), n_lk)),
-        F.when(F.col("has_metadata") & (n_dt != F.col("n_data_files")),
+        F.when(has & (n_dt != F.col("n_data_files")),
                F.format_string("declares %d data files but lists %d", F.col("n_data_files"), n_dt)),
         F.when(F.exists("data_files", lambda e: e["size"].isNull() | e["record_count"].isNull())
                | F.exists("lookup_files", lambda e: e["size"].isNull()),
                F.lit("a file entry has an unreadable size or record count")),
     ]
     problems = F.filter(F.array(*checks), lambda p: p.isNotNull())
-    return parsed.select(*[c for c in MANIFEST_SCHEMA.fieldNames() if c != "problems"],
-                         problems.alias("problems"))
+    final = [*[c for c in MANIFEST_SCHEMA.fieldNames() if c != "problems"], problems.alias("problems")]
+    return {"base": base, "parsed": parsed, "final": final}
 
 
 @dataclass(frozen=True)
