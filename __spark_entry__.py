@@ -151,6 +151,10 @@ def schema_reordered(spark, sf_dir):
                                        selection()))
 
 
+def type_losses(spark, sf_dir):
+    return reports.type_losses(spark, _fixtures(spark, sf_dir).locale, fx.LOCALE_FEED)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_single_date": feed_single_date,
     "feed_date_set": feed_date_set,
@@ -172,6 +176,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_gaps": delivery_gaps,
     "schema_drift": schema_drift,
     "schema_reordered": schema_reordered,
+    "type_losses": type_losses,
 }
 
 
@@ -204,6 +209,14 @@ _HEADER = [("hitid_high", "bigint", "count(*)"), ("hitid_low", "bigint", "count(
            ("curr_rate", "double", "count(value)")]
 
 
+def _type_losses_sql() -> str:
+    typed = [(n, t, agg) for n, t, agg in _HEADER if t != "string"]
+    parts = [f"SELECT '{n}' AS column_name, '{t}' AS data_type, {agg} AS \"values\", "
+             + (f"count(*) FILTER (WHERE day({_D}) >= 21)" if n == "curr_rate" else "CAST(0 AS BIGINT)")
+             + " AS lost FROM events" for n, t, agg in typed]
+    return "\nUNION ALL\n".join(parts)
+
+
 def _header_sql() -> str:
     parts = [f"SELECT {i + 1} AS position, '{n}' AS column_name, '{t}' AS data_type, {agg} AS non_null "
              f"FROM events" for i, (n, t, agg) in enumerate(_HEADER)]
@@ -226,6 +239,7 @@ _ORACLES = {
     "pages_one_day": f"SELECT event_type AS pagename, count(*) AS hits FROM events "
                      f"WHERE {_D} = DATE '2024-01-05' GROUP BY 1",
     "header_schema": _header_sql(),
+    "type_losses": _type_losses_sql(),
     "lookup_event": "SELECT DISTINCT substr(md5(event_type), 1, 8) AS lookup_key, event_type AS lookup_value "
                     "FROM events",
     "lookup_most_recent": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS lookup_key, "

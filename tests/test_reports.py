@@ -70,3 +70,13 @@ def test_header_collection_paths_agree(spark, workdir):
     assert direct == distinct_only
     assert direct["f_2024-01-02-lookup_data.tar.gz"][-1] == "x_y"
     assert direct["f_2024-01-04-lookup_data.tar.gz"] is None
+
+
+def test_type_losses(spark, workdir):  # X13 / E3
+    lines = ["0\t1\t2024-01-05 10:00:00\tp\tv\t1.5",
+             "0\t18446744073709551615\t2024-01-05 10:00:00\tp\tv\t1,5",
+             "0\t3\tnot a time\tp\tv\t"]
+    write_delivery(workdir, "f", "2024-01-05", lines)
+    got = {r.column_name: (r.data_type, r["values"], r.lost) for r in reports.type_losses(spark, workdir, "f").collect()}
+    assert got == {"hitid_high": ("bigint", 3, 0), "hitid_low": ("bigint", 3, 1),
+                   "date_time": ("timestamp", 3, 1), "curr_rate": ("double", 2, 1)}

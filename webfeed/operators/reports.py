@@ -4,11 +4,13 @@
 * :func:`schema_drift`       deliveries whose columns differ from the earliest one (C4);
 * :func:`feed_validation`    per-file validation of every delivery found (V2, V3);
 * :func:`delivery_records`   per delivery: declared totals against rows read (V3);
-* :func:`manifest_catalog`   the parsed manifests with their problems (S8, M1-M6, V1).
+* :func:`manifest_catalog`   the parsed manifests with their problems (S8, M1-M6, V1);
+* :func:`type_losses`        per typed column: values present vs. values the type turns into NULL.
 """
 
 from __future__ import annotations
 
+import dataclasses
 from datetime import date as Date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..options import DateSelection, selection
-from ..sources.header import delivery_headers
+from ..sources.feed import feed_plan
+from ..sources.header import collect_headers, delivery_headers
 from ..sources.manifest import load_deliveries, manifests
 from .validate import validation_report
 
@@ -49,34 +52,45 @@ def schema_drift(spark: SparkSession, directory: str, feedname: str,
 
     Columns: ``delivery_date, header_found, n_columns, missing_columns,
     extra_columns, duplicated_columns (array<string>), reordered boolean``.
-    Two jobs: the header job, then the report (the canonical header is a literal).
+    The canonical header is read first (normally from one archive) and enters
+    the report as a literal; the report itself is one lazy header job.
     """
     deliveries = [d for d in load_deliveries(spark, directory, feedname, sel) if d.lookup_files]
     schema = ("delivery_date date, header_found boolean, n_columns int, missing_columns array<string>, "
               "extra_columns array<string>, duplicated_columns array<string>, reordered boolean")
     if not deliveries:
         return spark.createDataFrame([], schema)
-    headers = delivery_headers(spark, directory, deliveries).cache()
-    first = headers.where("header_found").agg(F.min_by("header", "delivery_date").alias("h")).first()
-    canonical = list(first.h) if first and first.h is not None else []
+    canonical = _canonical_header(spark, directory, deliveries)
     canon = F.array(*[F.lit(c) for c in canonical]).cast(T.ArrayType(T.StringType()))
+    headers = delivery_headers(spark, directory, deliveries)
     h = F.col("header")
     dups = F.array_distinct(F.filter(h, lambda x: F.size(F.filter(h, lambda y: y == x)) > 1))
     out = headers.select(
         "delivery_date", "header_found",
-        F.size(h).alias("n_columns"),
+        F.when(F.col("header_found"), F.size(h)).alias("n_columns"),
         F.array_except(canon, h).alias("missing_columns"),
         F.array_except(h, canon).alias("extra_columns"),
         dups.alias("duplicated_columns"),
-        (F.col("header_found") & (h != canon)).alias("reordered"),
-    ).select("delivery_date", "header_found",
-             F.when(F.col("header_found"), F.col("n_columns")).alias("n_columns"),
-             "missing_columns", "extra_columns", "duplicated_columns",
-             (F.col("reordered") & (F.size("missing_columns") == 0) & (F.size("extra_columns") == 0)
-              & (F.size("duplicated_columns") == 0)).alias("reordered"))
-    deviating = (~F.col("header_found") | (F.size("missing_columns") > 0) | (F.size("extra_columns") > 0)
-                 | (F.size("duplicated_columns") > 0) | F.col("reordered"))
-    return out.where(deviating)
+        (F.col("header_found") & (h != canon)).alias("differs"),
+    )
+    same_set = ((F.size("missing_columns") == 0) & (F.size("extra_columns") == 0)
+                & (F.size("duplicated_columns") == 0))
+    return (out.where(~F.col("header_found") | ~same_set | F.col("differs"))
+            .select("delivery_date", "header_found", "n_columns", "missing_columns", "extra_columns",
+                    "duplicated_columns", (F.col("differs") & same_set).alias("reordered")))
+
+
+def _canonical_header(spark: SparkSession, directory: str, deliveries: list) -> list[str]:
+    """Header of the earliest delivery that has one (usually one archive is read)."""
+    first = min(deliveries, key=lambda d: d.delivery_date)
+    found = collect_headers(spark, directory, [first.archive]).get(first.archive.rsplit("/", 1)[-1])
+    if found is not None:
+        return found
+    by_archive = collect_headers(spark, directory, [d.archive for d in deliveries])
+    for d in sorted(deliveries, key=lambda d: d.delivery_date):
+        if by_archive.get(d.archive.rsplit("/", 1)[-1]) is not None:
+            return by_archive[d.archive.rsplit("/", 1)[-1]]
+    return []
 
 
 def feed_validation(spark: SparkSession, directory: str, feedname: str,
@@ -102,3 +116,33 @@ def delivery_records(spark: SparkSession, directory: str, feedname: str,
                     F.coalesce("actual_records", F.lit(0)).cast("bigint").alias("actual_records"))
             .withColumn("ok", (F.col("total_records") == F.col("actual_records"))
                         & (F.col("listed_records") == F.col("actual_records"))))
+
+
+def type_losses(spark: SparkSession, directory: str, feedname: str, sel: DateSelection | None = None,
+                column_types: dict | None = None) -> DataFrame:
+    """Per typed column: ``column_name, data_type, values, lost``.
+
+    ``values`` counts the non-empty cells in the files, ``lost`` the ones the
+    typed read turns into NULL (out-of-range ids, a decimal comma, a bad
+    timestamp). The feed is scanned once with every column as STRING; each
+    value is re-parsed by ``from_csv`` — the CSV reader's own converter, same
+    options — and the counts are one aggregation (map-side partial counts).
+    """
+    plan = feed_plan(spark, directory, feedname, sel, column_types)
+    typed = [(c, f.dataType) for c, f in zip(plan.columns, plan.schema.fields)
+             if not isinstance(f.dataType, T.StringType)]
+    out_schema = "column_name string, data_type string, values bigint, lost bigint"
+    if not typed:
+        return spark.createDataFrame([], out_schema)
+    raw = dataclasses.replace(plan, column_types={**plan.column_types,
+                                                  **{c: T.StringType() for c, _ in typed}})
+    hits = raw.to_dataframe(spark)
+    aggs = []
+    for i, (c, t) in enumerate(typed):
+        v = F.col(f"`{c}`")
+        parsed = F.from_csv(v, f"v {t.simpleString()}", {"sep": "\t"}).getField("v")
+        aggs += [F.count(v).alias(f"n{i}"), F.count_if(v.isNotNull() & parsed.isNull()).alias(f"l{i}")]
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t.simpleString()).alias("data_type"),
+                              F.col(f"n{i}").alias("values"), F.col(f"l{i}").alias("lost"))
+                     for i, (c, t) in enumerate(typed)])
+    return hits.agg(*aggs).select(F.inline(rows))

@@ -87,6 +87,8 @@ class FeedSpec:
     crlf: bool = False
     padded_numbers: bool = False
     defects: Defects = field(default_factory=Defects)
+    # From this day of month on, curr_rate is written with a decimal comma.
+    comma_decimal_from: int | None = None
 
 
 def _tar_gz(members: dict[str, bytes]) -> bytes:
@@ -128,12 +130,16 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
     days = [d for d in all_days if spec.days(d) and d.day not in spec.defects.skip_days]
 
     # 1. data files: one CSV write per distinct header, one task per (day, file)
-    by_header: dict[tuple[str, ...], list[date]] = {}
+    def comma(d: date) -> bool:
+        return spec.comma_decimal_from is not None and d.day >= spec.comma_decimal_from
+
+    by_header: dict[tuple, list[date]] = {}
     for d in days:
-        by_header.setdefault(tuple(spec.header_for_day(d)), []).append(d)
+        by_header.setdefault((tuple(spec.header_for_day(d)), comma(d)), []).append(d)
     stage = f"{staging.rstrip('/')}/{spec.feedname}"
-    for i, (header, hdays) in enumerate(sorted(by_header.items(), key=lambda kv: kv[1][0])):
-        cols = [F.col(alias[n]).alias(f"c{j}") for j, n in enumerate(header)]
+    for i, ((header, commas), hdays) in enumerate(sorted(by_header.items(), key=lambda kv: kv[1][0])):
+        cols = [(F.regexp_replace(F.col(alias[n]).cast("string"), r"\.", ",") if commas and n == "curr_rate"
+                 else F.col(alias[n])).alias(f"c{j}") for j, n in enumerate(header)]
         (hits.where(F.col("day").isin(hdays))
          .select("day", (F.col("event_id") % spec.files_per_day + 1).cast("int").alias("file_no"), *cols)
          .repartition("day", "file_no")

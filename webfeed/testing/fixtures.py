@@ -1,6 +1,6 @@
 """The test feeds derived from a test-data folder's ``events`` table.
 
-Four delivery folders are written once per process and data folder, under the
+Five delivery folders are written once per process and data folder, under the
 application's shared scratch folder:
 
 * ``main``    feed ``shop.web``: one data file per day, plus a decoy feed
@@ -8,7 +8,8 @@ application's shared scratch folder:
 * ``multi``   feed ``multi``: three data files per day, CRLF manifests with
   blank-padded numbers;
 * ``reorder`` feed ``reorder``: even days list the columns in reverse order;
-* ``broken``  feed ``broken``: planted defects, by day of month (below).
+* ``broken``  feed ``broken``: planted defects, by day of month (below);
+* ``locale``  feed ``locale``: from day 21 on, ``curr_rate`` has a decimal comma.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ DECOY_FEED = "shopxweb"
 MULTI_FEED = "multi"
 REORDER_FEED = "reorder"
 BROKEN_FEED = "broken"
+LOCALE_FEED = "locale"
+COMMA_DECIMAL_FROM = 21
 
 MULTI_FILES_PER_DAY = 3
 
@@ -65,6 +68,7 @@ class Fixtures:
     multi: str
     reorder: str
     broken: str
+    locale: str
 
 
 _CACHE: dict[tuple[int, str], Fixtures] = {}
@@ -80,7 +84,8 @@ def build(spark: SparkSession, sf_dir: str) -> Fixtures:
         root = new_scratch_path(spark, "webfeed-fixtures")
         staging = f"{root}/_staging"
         events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-        fx = Fixtures(root, f"{root}/main", f"{root}/multi", f"{root}/reorder", f"{root}/broken")
+        fx = Fixtures(root, f"{root}/main", f"{root}/multi", f"{root}/reorder", f"{root}/broken",
+                      f"{root}/locale")
         write_feed(spark, events, fx.main, staging, FeedSpec(MAIN_FEED))
         write_feed(spark, events, fx.main, staging, FeedSpec(DECOY_FEED, days=lambda d: d.day <= 3))
         write_feed(spark, events, fx.multi, staging,
@@ -88,5 +93,7 @@ def build(spark: SparkSession, sf_dir: str) -> Fixtures:
         write_feed(spark, events, fx.reorder, staging, FeedSpec(REORDER_FEED, header_for_day=_reordered))
         write_feed(spark, events, fx.broken, staging,
                    FeedSpec(BROKEN_FEED, header_for_day=_broken_header, defects=BROKEN))
+        write_feed(spark, events, fx.locale, staging,
+                   FeedSpec(LOCALE_FEED, comma_decimal_from=COMMA_DECIMAL_FROM))
         _CACHE[key] = fx
         return fx
