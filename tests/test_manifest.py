@@ -101,3 +101,30 @@ def test_not_recursive(spark, workdir):  # S5
     write_delivery(workdir, "f", "2024-01-01", [row(1)])
     write_delivery(workdir + "/old", "f", "2024-01-02", [row(1)])
     assert [d.delivery_date.day for d in load_deliveries(spark, workdir, "f")] == [1]
+
+
+def _scan_metrics(df):
+    """numFiles of the file scans in an executed plan."""
+    found = []
+
+    def walk(p):
+        ms = p.metrics()
+        if ms.contains("numFiles"):
+            found.append(ms.apply("numFiles").value())
+        ch = p.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_range_reads_only_selected_manifests(spark, workdir):  # partition pruning by file name
+    import datetime as dt
+    for i in range(60):
+        day = dt.date(2023, 1, 1) + dt.timedelta(days=i)
+        with open(f"{workdir}/f_{day}.txt", "w") as fh:
+            fh.write("x\n")
+    df = manifests(spark, workdir, "f", selection(start="2023-02-01", end="2023-02-03")).select("manifest_name")
+    assert df.count() == 3
+    df.collect()
+    assert _scan_metrics(df) == [3]

@@ -64,7 +64,10 @@ def _manifest_glob(directory: str, feedname: str, sel: DateSelection) -> str:
     """Non-recursive glob for the selected manifests.
 
     Explicit dates become exact names (direct lookups, no directory listing);
-    a range or "all" lists the directory once with a date-shaped wildcard.
+    a range or "all" lists the directory once with a date-shaped wildcard. For
+    a range, the date filter on the file name prunes the scan to the selected
+    manifests (Spark applies ``_metadata`` filters per file), so only those are
+    read.
     """
     if sel.kind in ("date", "dates"):
         return paths.any_of(directory, [manifest_name(feedname, d) for d in sel.expected_dates()])
