@@ -65,7 +65,7 @@ def feed_reordered_columns(spark, sf_dir):
 def feed_validated_daily_pages(spark, sf_dir):
     hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, validate=True)
     return (hits.groupBy(F.to_date("date_time").alias("day"), "pagename")
-            .agg(F.count(F.lit(1)).alias("hits"), F.sum("curr_rate").alias("revenue")))
+            .agg(F.count(F.lit(1)).alias("hits"), F.round(F.sum("curr_rate"), 2).alias("revenue")))
 
 
 def feed_option_reader(spark, sf_dir):
@@ -233,7 +233,7 @@ _ORACLES = {
     "feed_multi_file": f"SELECT {_HIT_COLUMNS} FROM events",
     "feed_reordered_columns": f"SELECT {_HIT_COLUMNS} FROM events",
     "feed_validated_daily_pages": f"SELECT {_D} AS day, event_type AS pagename, count(*) AS hits, "
-                                  f"sum(value) AS revenue FROM events GROUP BY 1, 2",
+                                  f"round(sum(value), 2) AS revenue FROM events GROUP BY 1, 2",
     "feed_option_reader": f"SELECT {_D} AS day, count(*) AS hits, count(DISTINCT user_id) AS visitors "
                           f"FROM events WHERE {_D} BETWEEN DATE '2024-01-25' AND DATE '2024-01-30' GROUP BY 1",
     "pages_one_day": f"SELECT event_type AS pagename, count(*) AS hits FROM events "
