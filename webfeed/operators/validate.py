@@ -35,7 +35,7 @@ from .. import paths
 from ..errors import ValidationError
 from ..functions.files import input_file_name
 from ..plans.scan import CSV_OPTIONS
-from ..session import ship_package
+from ..session import ship_package, task_file_system
 from ..sources.manifest import Delivery
 
 MD5_INLINE_MAX_BYTES = 128 * 1024 * 1024
@@ -109,16 +109,6 @@ def _file_scan(spark: SparkSession, directory: str, names: list[str]) -> tuple[D
     return reader.load(paths.literal_paths(directory, existing)), present
 
 
-def _local_or_remote(path: str):
-    from urllib.parse import unquote
-
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + unquote(path[len("file:"):]).lstrip("/")
-    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-
-
 def _stream_md5(batches):
     """Python task: MD5 of big files read in chunks (memory independent of size)."""
     import hashlib
@@ -126,7 +116,7 @@ def _stream_md5(batches):
     for pdf in batches:
         digests = []
         for p in pdf["path"]:
-            filesystem, rel = _local_or_remote(p)
+            filesystem, rel = task_file_system(p)
             h = hashlib.md5()
             with filesystem.open_input_stream(rel, compression=None) as f:
                 while chunk := f.read(_CHUNK):

@@ -94,3 +94,16 @@ def ship_package(spark: SparkSession) -> None:
     HadoopFS(spark).write_bytes(target, buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
+
+
+def task_file_system(path: str):
+    """(pyarrow FileSystem, path) for reading or writing a file inside a Python task."""
+    from urllib.parse import unquote
+
+    from pyarrow import fs as pafs
+
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + unquote(path[len("file:"):]).lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))

@@ -3,7 +3,7 @@
 Test tooling, not part of the read path. Hit rows are written by Spark's CSV
 writer (gzip, tab separated, one task per data file); sizes, digests and record
 counts come back from Spark jobs; only per-file metadata and the small lookup
-archives are handled on the driver.
+archives are built and written by one task per delivery.
 
 Hit columns (header name -> source):
 
@@ -20,7 +20,6 @@ empty, and ``column_headers.tsv``.
 
 from __future__ import annotations
 
-import hashlib
 import io
 import tarfile
 from collections.abc import Callable
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..options import HEADER_MEMBER, KNOWN_LOOKUPS
-from ..session import HadoopFS
+from ..session import HadoopFS, ship_package
 
 DEFAULT_HEADER = ("hitid_high", "hitid_low", "date_time", "hit_time_gmt", "visid_low", "browser",
                   "event_list", "pagename", "post_evar1", "daily_visitor", "custom_unknown",
@@ -117,6 +116,44 @@ def _manifest(meta: dict, lookups: list[dict], data: list[dict], crlf: bool, pad
     return sep.join(lines).encode("utf-8")
 
 
+def _copy_name(name: str) -> str:
+    return name.replace("-lookup_data.tar.gz", "-lookup_data-2.tar.gz")
+
+
+def _archive_writer(out_dir: str, feedname: str, headers: dict, event_tsv: bytes, copies: set):
+    """applyInPandas function: one delivery's browsers -> its archive, written by the task."""
+
+    def write(pdf):
+        import hashlib
+
+        import pandas as pd
+
+        from webfeed.session import task_file_system
+
+        day = pdf["day"].iloc[0]
+        ids = sorted(int(x) for x in pdf["user_id"])
+        members = {} if headers[day] is None else {HEADER_MEMBER: headers[day]}
+        for lk in KNOWN_LOOKUPS:
+            if lk == "event.tsv":
+                members[lk] = event_tsv
+            elif lk == "browser.tsv":
+                members[lk] = "".join(f"{b}\tbrowser-{b}\n" for b in ids).encode()
+            else:
+                members[lk] = b""
+        archive = _tar_gz(members)
+        name = f"{feedname}_{day}-lookup_data.tar.gz"
+        targets = [name, _copy_name(name)] if day in copies else [name]
+        for t in targets:  # a retried task rewrites the same bytes
+            filesystem, path = task_file_system(f"{out_dir}/{t}")
+            filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with filesystem.open_output_stream(path, compression=None) as out:
+                out.write(archive)
+        return pd.DataFrame({"day": [day], "name": [name], "md5": [hashlib.md5(archive).hexdigest()],
+                             "size": [len(archive)]})
+
+    return write
+
+
 def _flip(digest: str) -> str:
     return ("0" if digest[0] != "0" else "1") + digest[1:]
 
@@ -124,6 +161,7 @@ def _flip(digest: str) -> str:
 def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: str, spec: FeedSpec) -> list[date]:
     """Write the deliveries of ``spec`` into ``out_dir``; returns the delivered days."""
     fs = HadoopFS(spark)
+    ship_package(spark)
     hits, names = hit_frame(events)
     alias = {n: f"h{i}" for i, n in enumerate(names)}
     all_days = sorted(r.day for r in hits.select("day").distinct().collect())
@@ -159,16 +197,21 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
                        (F.col("event_id") % spec.files_per_day + 1).cast("int").alias("file_no"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    # 3. lookups: event codes over all events, browsers per delivery
+    # 3. lookup archives: one task per delivery builds and writes its archive
     event_rows = sorted((r.code, r.event_type) for r in
                         events.select(F.substring(F.md5("event_type"), 1, 8).alias("code"), "event_type")
-                        .distinct().collect())
-    browsers: dict[str, list[int]] = {}
-    for r in events.select(F.to_date("ts").cast("string").alias("day"), "user_id").distinct().collect():
-        browsers.setdefault(r.day, []).append(r.user_id)
-    for ids in browsers.values():
-        ids.sort()
+                        .distinct().collect())  # one row per event type
     event_tsv = "".join(f"{c}\t{t}\n" for c, t in event_rows).encode()
+    headers = {d.isoformat(): (None if d.day in spec.defects.no_header_member
+                               else ("\t".join(spec.header_for_day(d)) + "\n").encode()) for d in days}
+    copies = {d.isoformat() for d in days if d.day in spec.defects.two_archives}
+    archives = {r.day: r for r in
+                events.select(F.to_date("ts").cast("string").alias("day"), "user_id")
+                .where(F.col("day").isin(list(headers))).distinct()
+                .groupBy("day")
+                .applyInPandas(_archive_writer(out_dir, spec.feedname, headers, event_tsv, copies),
+                               "day string, name string, md5 string, size bigint")
+                .collect()}
 
     files_by_day: dict[str, list] = {}
     for r in written:
@@ -176,31 +219,16 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
     df = spec.defects
     for d in days:
         iso = d.isoformat()
-        header = spec.header_for_day(d)
         data = []
         for r in sorted(files_by_day.get(iso, []), key=lambda r: r.file_no):
             name = f"{r.file_no:02d}-{spec.feedname}_{iso}.tsv.gz"
             if d.day not in df.missing_data_file:
                 fs.rename(r.path, f"{out_dir}/{name}")
             data.append({"name": name, "md5": r.md5, "size": r.length, "records": counts[(iso, r.file_no)]})
-        members = {HEADER_MEMBER: ("\t".join(header) + "\n").encode()}
-        if d.day in df.no_header_member:
-            members = {}
-        for lk in KNOWN_LOOKUPS:
-            if lk == "event.tsv":
-                members[lk] = event_tsv
-            elif lk == "browser.tsv":
-                members[lk] = "".join(f"{b}\tbrowser-{b}\n" for b in browsers.get(iso, [])).encode()
-            else:
-                members[lk] = b""
-        archive = _tar_gz(members)
-        arch_name = f"{spec.feedname}_{iso}-lookup_data.tar.gz"
-        fs.write_bytes(f"{out_dir}/{arch_name}", archive)
-        lookups = [{"name": arch_name, "md5": hashlib.md5(archive).hexdigest(), "size": len(archive)}]
-        if d.day in df.two_archives:
-            second = f"{spec.feedname}_{iso}-lookup_data-2.tar.gz"
-            fs.write_bytes(f"{out_dir}/{second}", archive)
-            lookups.append({**lookups[0], "name": second})
+        a = archives[iso]
+        lookups = [{"name": a.name, "md5": a.md5, "size": a.size}]
+        if iso in copies:
+            lookups.append({**lookups[0], "name": _copy_name(a.name)})
         if d.day in df.bad_md5_archive:
             lookups[0]["md5"] = _flip(lookups[0]["md5"])
         if d.day in df.bad_md5_data:
