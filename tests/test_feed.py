@@ -1,6 +1,4 @@
-import gzip
-import os
-from datetime import date, datetime
+from datetime import datetime
 
 import pytest
 from pyspark.sql import types as T

@@ -6,7 +6,7 @@ new or unknown column never loses data. Matching is exact and case-sensitive.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -79,7 +79,3 @@ def sanitized_header(text: Column) -> Column:
     names = F.split(first_line, "\t")
     return F.transform(names, lambda n: F.regexp_replace(n, HEADER_SANITIZE_PATTERN, "_"))
 
-
-def type_names(names: Iterable[str], overrides: dict[str, T.DataType] | None = None) -> list[tuple[int, str, str]]:
-    """(position, name, simple type) rows describing a header."""
-    return [(i + 1, n, column_type(n, overrides).simpleString()) for i, n in enumerate(names)]

@@ -53,11 +53,6 @@ EXPECTED_SCHEMA = T.StructType([
     T.StructField("expected_records", T.LongType()),
 ])
 
-REPORT_COLUMNS = ("delivery_date", "kind", "file_name", "file_exists", "expected_size", "actual_size",
-                  "size_ok", "expected_md5", "actual_md5", "md5_ok", "expected_records",
-                  "actual_records", "records_ok", "ok")
-
-
 def _base(name: str) -> str:
     return name.rsplit("/", 1)[-1]
 
