@@ -155,3 +155,18 @@ def test_read_is_lazy_and_prunes(spark, workdir):  # §4
     assert "ReadSchema: struct<hitid_low:bigint,pagename:string>" in plan
     assert "Python" not in plan and "ArrowEval" not in plan
     assert q.count() == 10
+
+
+def test_crlf_data_lines(spark, workdir):
+    write_delivery(workdir, "f", "2024-01-05", ["\t".join(row(1, rate="2.5")) + "\r", "\t".join(row(2)) + "\r"])
+    got = sorted((r.hitid_low, r.curr_rate) for r in read_feed(spark, workdir, "f").collect())
+    assert got == [(1, 2.5), (2, 1.5)]
+
+
+def test_delivery_without_data_files(spark, workdir):
+    write_delivery(workdir, "f", "2024-01-05", [], files=1, skip_files=(0,),
+                   manifest_edit=lambda m: m.update(data=[], n_data=0, total=0))
+    df = read_feed(spark, workdir, "f", validate=True)
+    assert df.count() == 0 and df.columns[-1] == "curr_rate"
+    write_delivery(workdir, "f", "2024-01-06", [row(1)])
+    assert read_feed(spark, workdir, "f", start="2024-01-05", end="2024-01-06").count() == 1
