@@ -158,9 +158,13 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 def validation_report(spark: SparkSession, directory: str, deliveries: list[Delivery], *,
                       check_md5: bool = True, check_records: bool = True,
                       kinds: tuple[str, ...] = ("data", "lookup"),
-                      md5_inline_max_bytes: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
+                      md5_inline_max_bytes: int = MD5_INLINE_MAX_BYTES,
+                      plan=None) -> DataFrame:
     """Per-file report of the given deliveries (see module docstring); lazy.
 
+    ``plan`` (a :class:`~webfeed.plans.scan.FeedScanPlan` whose files all
+    exist) lets the record counts reuse the read's own CSV relations.
+
     Every side joined to the expected files has at most one row per listed
     file, a count known on the driver, so it is broadcast below
     ``BROADCAST_FILES`` and shuffled above.
@@ -182,7 +186,9 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
         report = report.withColumn("actual_md5", F.lit(None).cast("string"))
     data_names = sorted({f["name"] for d in deliveries for f in d.data_files if _base(f["name"]) in present})
     if check_records and "data" in kinds:
-        report = report.join(_bounded(file_row_counts(spark, directory, data_names), n), "file_base", "left")
+        counts = plan.file_row_counts(spark) if plan is not None else \
+            file_row_counts(spark, directory, data_names)
+        report = report.join(_bounded(counts, n), "file_base", "left")
     else:
         report = report.withColumn("actual_records", F.lit(None).cast("bigint"))
 

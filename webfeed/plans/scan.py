@@ -45,21 +45,39 @@ class ScanGroup:
     files_by_date: tuple[tuple[date, tuple[str, ...]], ...] = ()
 
 
-@dataclass(frozen=True)
+@dataclass
 class FeedScanPlan:
     directory: str
     columns: tuple[str, ...]
     groups: tuple[ScanGroup, ...]
     column_types: dict = field(default_factory=dict)
+    _scans: list | None = field(default=None, repr=False, compare=False)
 
     @property
     def schema(self) -> T.StructType:
         return feed_schema(self.columns, self.column_types)
 
-    def _scan(self, spark: SparkSession, group: ScanGroup) -> DataFrame:
-        return (spark.read.schema(feed_schema(group.columns, self.column_types))
-                .options(**CSV_OPTIONS)
-                .csv(paths.literal_paths(self.directory, group.files)))
+    def scans(self, spark: SparkSession) -> list[DataFrame]:
+        """One native CSV relation per column order, built once per plan.
+
+        Building a relation checks and lists every file (in parallel above a
+        few dozen paths); the hit table, the delivery-date column and the
+        validation counts all reuse these relations instead of listing again.
+        """
+        if self._scans is None:
+            self._scans = [spark.read.schema(feed_schema(g.columns, self.column_types))
+                           .options(**CSV_OPTIONS)
+                           .csv(paths.literal_paths(self.directory, g.files))
+                           for g in self.groups if g.files]
+        return self._scans
+
+    def file_row_counts(self, spark: SparkSession) -> DataFrame:
+        """``file_base, actual_records`` from the plan's own relations (no column parsed)."""
+        counted = [s.select(input_file_name().alias("file_base")) for s in self.scans(spark)]
+        if not counted:
+            return spark.createDataFrame([], "file_base string, actual_records bigint")
+        return (reduce(lambda a, b: a.unionByName(b), counted)
+                .groupBy("file_base").agg(F.count(F.lit(1)).alias("actual_records")))
 
     def to_dataframe(self, spark: SparkSession, with_delivery_date: bool = False) -> DataFrame:
         """The hit table: one native CSV scan per distinct column order.
@@ -73,10 +91,9 @@ class FeedScanPlan:
             empty = spark.createDataFrame([], self.schema)
             return empty.withColumn("delivery_date", F.lit(None).cast("date")) if with_delivery_date else empty
         if not with_delivery_date:
-            scans = [self._scan(spark, g).select(*self.columns) for g in self.groups if g.files]
+            scans = [s.select(*self.columns) for s in self.scans(spark)]
             return reduce(lambda a, b: a.unionByName(b), scans)
-        scans = [self._scan(spark, g).select(*self.columns, input_file_name().alias("_file"))
-                 for g in self.groups if g.files]
+        scans = [s.select(*self.columns, input_file_name().alias("_file")) for s in self.scans(spark)]
         hits = reduce(lambda a, b: a.unionByName(b), scans)
         pairs = [(f.rsplit("/", 1)[-1], d) for g in self.groups for d, fs in g.files_by_date for f in fs]
         owners = spark.createDataFrame(pairs, "_file string, delivery_date date")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date as Date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,7 +28,14 @@ def feed_plan(spark: SparkSession, directory: str, feedname: str, sel: DateSelec
     deliveries = collect_deliveries(spark, directory, feedname, sel)
     plan = plan_scan(spark, directory, deliveries, column_types)
     if validate:
-        enforce(validation_report(spark, directory, deliveries), deliveries)
+        try:
+            plan.scans(spark)  # also checks that every data file exists
+            shared = plan
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            shared = None  # the report names the missing files
+        enforce(validation_report(spark, directory, deliveries, plan=shared), deliveries)
     return plan
 
 
