@@ -1,7 +1,7 @@
 """The test feeds derived from a test-data folder's ``events`` table.
 
-Five delivery folders are written once per process and data folder, under the
-application's shared scratch folder:
+Five delivery folders, each written on first use (once per process and data
+folder) under the application's shared scratch folder:
 
 * ``main``    feed ``shop.web``: one data file per day, plus a decoy feed
   ``shopxweb`` in the same folder (its name differs by the regex dot);
@@ -15,7 +15,6 @@ application's shared scratch folder:
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -61,14 +60,44 @@ def _broken_header(d):
     return DEFAULT_HEADER
 
 
-@dataclass(frozen=True)
+_FOLDERS = {
+    "main": [FeedSpec(MAIN_FEED), FeedSpec(DECOY_FEED, days=lambda d: d.day <= 3)],
+    "multi": [FeedSpec(MULTI_FEED, files_per_day=MULTI_FILES_PER_DAY, crlf=True, padded_numbers=True)],
+    "reorder": [FeedSpec(REORDER_FEED, header_for_day=_reordered)],
+    "broken": [FeedSpec(BROKEN_FEED, header_for_day=_broken_header, defects=BROKEN)],
+    "locale": [FeedSpec(LOCALE_FEED, comma_decimal_from=COMMA_DECIMAL_FROM)],
+}
+
+
 class Fixtures:
-    root: str
-    main: str
-    multi: str
-    reorder: str
-    broken: str
-    locale: str
+    """Folder paths by name (``main``, ``multi``, ...); each is written on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir.rstrip("/")
+        self.root = new_scratch_path(spark, "webfeed-fixtures")
+        self._written: set[str] = set()
+        self._lock = threading.Lock()
+
+    def _folder(self, name: str) -> str:
+        path = f"{self.root}/{name}"
+        with self._lock:
+            if name not in self._written:
+                events = self._spark.read.parquet(f"{self._sf_dir}/events.parquet")
+                for spec in _FOLDERS[name]:
+                    write_feed(self._spark, events, path, f"{self.root}/_staging", spec)
+                self._written.add(name)
+        return path
+
+    main = property(lambda self: self._folder("main"))
+    multi = property(lambda self: self._folder("multi"))
+    reorder = property(lambda self: self._folder("reorder"))
+    broken = property(lambda self: self._folder("broken"))
+    locale = property(lambda self: self._folder("locale"))
+
+    def build_all(self) -> Fixtures:
+        for name in _FOLDERS:
+            self._folder(name)
+        return self
 
 
 _CACHE: dict[tuple[int, str], Fixtures] = {}
@@ -76,24 +105,9 @@ _LOCK = threading.Lock()
 
 
 def build(spark: SparkSession, sf_dir: str) -> Fixtures:
-    """Write (once per process, session and data folder) and return the fixture folders."""
+    """The fixture folders of this process, session and data folder (written lazily)."""
     key = (id(spark.sparkContext), sf_dir.rstrip("/"))
     with _LOCK:
-        if key in _CACHE:
-            return _CACHE[key]
-        root = new_scratch_path(spark, "webfeed-fixtures")
-        staging = f"{root}/_staging"
-        events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-        fx = Fixtures(root, f"{root}/main", f"{root}/multi", f"{root}/reorder", f"{root}/broken",
-                      f"{root}/locale")
-        write_feed(spark, events, fx.main, staging, FeedSpec(MAIN_FEED))
-        write_feed(spark, events, fx.main, staging, FeedSpec(DECOY_FEED, days=lambda d: d.day <= 3))
-        write_feed(spark, events, fx.multi, staging,
-                   FeedSpec(MULTI_FEED, files_per_day=MULTI_FILES_PER_DAY, crlf=True, padded_numbers=True))
-        write_feed(spark, events, fx.reorder, staging, FeedSpec(REORDER_FEED, header_for_day=_reordered))
-        write_feed(spark, events, fx.broken, staging,
-                   FeedSpec(BROKEN_FEED, header_for_day=_broken_header, defects=BROKEN))
-        write_feed(spark, events, fx.locale, staging,
-                   FeedSpec(LOCALE_FEED, comma_decimal_from=COMMA_DECIMAL_FROM))
-        _CACHE[key] = fx
-        return fx
+        if key not in _CACHE:
+            _CACHE[key] = Fixtures(spark, sf_dir)
+        return _CACHE[key]
