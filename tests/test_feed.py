@@ -170,3 +170,11 @@ def test_delivery_without_data_files(spark, workdir):
     assert df.count() == 0 and df.columns[-1] == "curr_rate"
     write_delivery(workdir, "f", "2024-01-06", [row(1)])
     assert read_feed(spark, workdir, "f", start="2024-01-05", end="2024-01-06").count() == 1
+
+
+def test_validation_is_eager_and_result_is_a_plain_scan(spark, workdir):  # X11
+    write_delivery(workdir, "f", "2024-01-01", [row(i) for i in range(3)])
+    df = read_feed(spark, workdir, "f", validate=True)   # validation ran here, once
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" in plan and "binaryFile" not in plan and "Python" not in plan
+    assert df.count() == 3 and df.count() == 3          # later actions do not re-validate
