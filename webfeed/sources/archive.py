@@ -32,7 +32,6 @@ _BATCH_LINES = 8192
 def _member_lines(data: bytes, wanted: frozenset[str]) -> Iterator[tuple[str, int, str | None]]:
     """(member, line_no, line) for wanted members of one archive; -1 if absent."""
     import io
-    import re
     import tarfile
 
     seen: set[str] = set()
@@ -42,12 +41,10 @@ def _member_lines(data: bytes, wanted: frozenset[str]) -> Iterator[tuple[str, in
             if name not in wanted or name in seen or not info.isfile():
                 continue
             seen.add(name)
-            text = tar.extractfile(info).read().decode("utf-8", errors="replace")
-            lines = re.split(r"\r\n|\r|\n", text)
-            if lines and lines[-1] == "":
-                lines.pop()
-            for i, line in enumerate(lines):
-                yield name, i, line
+            # streamed line by line; LF, CR LF and a lone CR all end a line
+            member = io.TextIOWrapper(tar.extractfile(info), encoding="utf-8", errors="replace", newline=None)
+            for i, line in enumerate(member):
+                yield name, i, line[:-1] if line.endswith("\n") else line
             if seen == wanted:
                 break
     for name in sorted(wanted - seen):
