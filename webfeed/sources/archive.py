@@ -35,7 +35,9 @@ def _member_lines(data: bytes, wanted: frozenset[str]) -> Iterator[tuple[str, in
     import tarfile
 
     seen: set[str] = set()
-    with tarfile.open(fileobj=io.BytesIO(data), mode="r|*") as tar:
+    # random-access mode: the bytes are in memory anyway, and its member readers are
+    # seekable, which the line decoder needs (stream-mode readers are not)
+    with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as tar:
         for info in tar:
             name = info.name[2:] if info.name.startswith("./") else info.name
             if name not in wanted or name in seen or not info.isfile():
