@@ -21,6 +21,7 @@ from webfeed import read_feed, read_lookup, selection  # noqa: E402
 from webfeed.operators import reports  # noqa: E402
 from webfeed.sources.reader import FeedReader  # noqa: E402
 from webfeed.testing import fixtures as fx  # noqa: E402
+from webfeed.testing.feedwriter import BROWSER_IDS, ROWS_PER_FILE  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -194,12 +195,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _D = "CAST(ts AS DATE)"
 _HIT_COLUMNS = f"""
     CAST(0 AS BIGINT) AS hitid_high, event_id AS hitid_low, ts AS date_time,
-    CAST(floor(epoch(ts)) AS BIGINT) AS hit_time_gmt, user_id AS visid_low, user_id AS browser,
+    CAST(floor(epoch(ts)) AS BIGINT) AS hit_time_gmt, user_id AS visid_low, user_id % {BROWSER_IDS} AS browser,
     substr(md5(event_type), 1, 8) AS event_list, event_type AS pagename, props AS post_evar1,
     CAST(event_id % 2 AS INTEGER) AS daily_visitor, 'x' AS custom_unknown, 'y' AS my_col__a_b_,
     value AS curr_rate"""
 # Days of the broken feed that have a delivery (days 10, 20, 30 are planted gaps).
 _BROKEN_DAYS = f"SELECT DISTINCT {_D} AS d FROM events WHERE day({_D}) NOT IN (10, 20, 30)"
+
+
+def _n_files(rows: str, min_files: int, per_file: int) -> str:
+    """Data files of a day with ``rows`` rows (the writer splits big days)."""
+    return f"CAST(GREATEST({min_files}, CEIL({rows} / {per_file})) AS BIGINT)"
+
+
+def _broken_day_files(per_file: int) -> str:
+    """Days of the broken feed with a delivery, their rows and data files."""
+    return (f"SELECT {_D} AS d, count(*) AS n, {_n_files('count(*)', 1, per_file)} AS n_files "
+            f"FROM events WHERE day({_D}) NOT IN (10, 20, 30) GROUP BY 1")
 _HEADER = [("hitid_high", "bigint", "count(*)"), ("hitid_low", "bigint", "count(event_id)"),
            ("date_time", "timestamp", "count(ts)"), ("hit_time_gmt", "bigint", "count(ts)"),
            ("visid_low", "bigint", "count(user_id)"), ("browser", "bigint", "count(user_id)"),
@@ -223,79 +235,87 @@ def _header_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-_ORACLES = {
-    "feed_single_date": f"SELECT {_HIT_COLUMNS} FROM events WHERE {_D} = DATE '2024-01-05'",
-    "feed_date_set": f"SELECT {_HIT_COLUMNS} FROM events "
-                     f"WHERE {_D} IN (DATE '2024-01-02', DATE '2024-01-09', DATE '2024-01-23')",
-    "feed_date_range": f"SELECT {_HIT_COLUMNS} FROM events "
-                       f"WHERE {_D} BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'",
-    "feed_all_available": f"SELECT {_HIT_COLUMNS} FROM events",
-    "feed_multi_file": f"SELECT {_HIT_COLUMNS} FROM events",
-    "feed_reordered_columns": f"SELECT {_HIT_COLUMNS} FROM events",
-    "feed_validated_daily_pages": f"SELECT {_D} AS day, event_type AS pagename, count(*) AS hits, "
-                                  f"round(sum(value), 2) AS revenue FROM events GROUP BY 1, 2",
-    "feed_option_reader": f"SELECT {_D} AS day, count(*) AS hits, count(DISTINCT user_id) AS visitors "
-                          f"FROM events WHERE {_D} BETWEEN DATE '2024-01-25' AND DATE '2024-01-30' GROUP BY 1",
-    "pages_one_day": f"SELECT event_type AS pagename, count(*) AS hits FROM events "
-                     f"WHERE {_D} = DATE '2024-01-05' GROUP BY 1",
-    "header_schema": _header_sql(),
-    "type_losses": _type_losses_sql(),
-    "lookup_event": "SELECT DISTINCT substr(md5(event_type), 1, 8) AS lookup_key, event_type AS lookup_value "
-                    "FROM events",
-    "lookup_most_recent": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS lookup_key, "
-                          "'browser-' || CAST(user_id AS VARCHAR) AS lookup_value "
-                          f"FROM events WHERE {_D} = DATE '2024-01-17'",
-    "manifest_catalog": f"SELECT {_D} AS delivery_date, '1.0' AS version, 1 AS n_lookup_files, "
-                        f"1 AS n_data_files, count(*) AS total_records, 0 AS n_problems "
-                        f"FROM events GROUP BY 1",
-    "manifest_files": f"SELECT {_D} AS delivery_date, "
-                      f"printf('%02d-multi_%s.tsv.gz', event_id % 3 + 1, strftime({_D}, '%Y-%m-%d')) "
-                      f"AS file_name, count(*) AS record_count FROM events GROUP BY 1, 2",
-    "validate_md5": f"""
-        SELECT d AS delivery_date, 'data' AS kind,
-               '01-broken_' || strftime(d, '%Y-%m-%d') || '.tsv.gz' AS file_name,
-               day(d) <> 14 AS file_exists, day(d) NOT IN (8, 14) AS size_ok, day(d) NOT IN (7, 14) AS md5_ok
-        FROM ({_BROKEN_DAYS})
-        UNION ALL
-        SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data.tar.gz',
-               true, true, day(d) <> 18
-        FROM ({_BROKEN_DAYS})
-        UNION ALL
-        SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data-2.tar.gz', true, true, true
-        FROM ({_BROKEN_DAYS}) WHERE day(d) = 15""",
-    "validate_row_counts": f"""
-        SELECT d AS delivery_date,
-               n + CASE WHEN day(d) = 11 THEN 1 ELSE 0 END AS total_records,
-               n + CASE WHEN day(d) = 9 THEN 1 ELSE 0 END AS listed_records,
-               CASE WHEN day(d) = 14 THEN 0 ELSE n END AS actual_records,
-               day(d) NOT IN (9, 11, 14) AS ok
-        FROM (SELECT {_D} AS d, count(*) AS n FROM events WHERE day({_D}) NOT IN (10, 20, 30) GROUP BY 1)""",
-    "validate_file_counts": f"""
-        SELECT d AS delivery_date,
-               CASE WHEN day(d) = 15 THEN 2 ELSE 1 END AS n_lookup_files,
-               CASE WHEN day(d) = 15 THEN 2 ELSE 1 END AS lookup_files_listed,
-               CASE WHEN day(d) = 12 THEN 2 ELSE 1 END AS n_data_files,
-               1 AS data_files_listed,
-               day(d) <> 12 AS counts_ok
-        FROM ({_BROKEN_DAYS})""",
-    "delivery_gaps": f"""
-        SELECT CAST(g AS DATE) AS missing_date
-        FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) AS t(g)
-        WHERE CAST(g AS DATE) NOT IN ({_BROKEN_DAYS})""",
-    "schema_drift": f"""
-        SELECT d AS delivery_date, day(d) <> 16 AS header_found,
-               CASE WHEN day(d) = 16 THEN NULL ELSE 14 END AS n_columns,
-               '' AS missing_columns,
-               CASE WHEN day(d) = 13 THEN 'extra_col' ELSE '' END AS extra_columns,
-               CASE WHEN day(d) = 17 THEN 'pagename' ELSE '' END AS duplicated_columns,
-               false AS reordered
-        FROM ({_BROKEN_DAYS}) WHERE day(d) IN (13, 16, 17)""",
-    "schema_reordered": f"""
-        SELECT DISTINCT {_D} AS delivery_date, true AS header_found, 13 AS n_columns,
-               '' AS missing_columns, '' AS extra_columns, '' AS duplicated_columns, true AS reordered
-        FROM events WHERE day({_D}) % 2 = 0""",
-}
+def _oracles(per_file: int = ROWS_PER_FILE) -> dict[str, str]:
+    """Oracle SQL for test deliveries written with at most ``per_file`` rows per data file."""
+    return {
+        "feed_single_date": f"SELECT {_HIT_COLUMNS} FROM events WHERE {_D} = DATE '2024-01-05'",
+        "feed_date_set": f"SELECT {_HIT_COLUMNS} FROM events "
+                         f"WHERE {_D} IN (DATE '2024-01-02', DATE '2024-01-09', DATE '2024-01-23')",
+        "feed_date_range": f"SELECT {_HIT_COLUMNS} FROM events "
+                           f"WHERE {_D} BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'",
+        "feed_all_available": f"SELECT {_HIT_COLUMNS} FROM events",
+        "feed_multi_file": f"SELECT {_HIT_COLUMNS} FROM events",
+        "feed_reordered_columns": f"SELECT {_HIT_COLUMNS} FROM events",
+        "feed_validated_daily_pages": f"SELECT {_D} AS day, event_type AS pagename, count(*) AS hits, "
+                                      f"round(sum(value), 2) AS revenue FROM events GROUP BY 1, 2",
+        "feed_option_reader": f"SELECT {_D} AS day, count(*) AS hits, count(DISTINCT user_id) AS visitors "
+                              f"FROM events WHERE {_D} BETWEEN DATE '2024-01-25' AND DATE '2024-01-30' GROUP BY 1",
+        "pages_one_day": f"SELECT event_type AS pagename, count(*) AS hits FROM events "
+                         f"WHERE {_D} = DATE '2024-01-05' GROUP BY 1",
+        "header_schema": _header_sql(),
+        "type_losses": _type_losses_sql(),
+        "lookup_event": "SELECT DISTINCT substr(md5(event_type), 1, 8) AS lookup_key, event_type AS lookup_value "
+                        "FROM events",
+        "lookup_most_recent": f"SELECT DISTINCT CAST(user_id % {BROWSER_IDS} AS VARCHAR) AS lookup_key, "
+                              f"'browser-' || CAST(user_id % {BROWSER_IDS} AS VARCHAR) || ' 2024-01-17' "
+                              f"AS lookup_value FROM events WHERE {_D} = DATE '2024-01-17'",
+        "manifest_catalog": f"SELECT {_D} AS delivery_date, '1.0' AS version, 1 AS n_lookup_files, "
+                            f"{_n_files('count(*)', 1, per_file)} AS n_data_files, count(*) AS total_records, "
+                            f"0 AS n_problems FROM events GROUP BY 1",
+        "manifest_files": f"""
+            SELECT d AS delivery_date,
+                   printf('%02d-multi_%s.tsv.gz', event_id % {_n_files('n', fx.MULTI_FILES_PER_DAY, per_file)} + 1,
+                          strftime(d, '%Y-%m-%d')) AS file_name,
+                   count(*) AS record_count
+            FROM (SELECT {_D} AS d, event_id, count(*) OVER (PARTITION BY {_D}) AS n FROM events)
+            GROUP BY 1, 2""",
+        "validate_md5": f"""
+            SELECT d AS delivery_date, 'data' AS kind,
+                   printf('%02d-broken_%s.tsv.gz', f, strftime(d, '%Y-%m-%d')) AS file_name,
+                   day(d) <> 14 AS file_exists,
+                   day(d) <> 14 AND NOT (day(d) = 8 AND f = 1) AS size_ok,
+                   day(d) <> 14 AND NOT (day(d) = 7 AND f = 1) AS md5_ok
+            FROM (SELECT d, unnest(range(1, n_files + 1)) AS f FROM ({_broken_day_files(per_file)}))
+            UNION ALL
+            SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data.tar.gz',
+                   true, true, day(d) <> 18
+            FROM ({_BROKEN_DAYS})
+            UNION ALL
+            SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data-2.tar.gz', true, true, true
+            FROM ({_BROKEN_DAYS}) WHERE day(d) = 15""",
+        "validate_row_counts": f"""
+            SELECT d AS delivery_date,
+                   n + CASE WHEN day(d) = 11 THEN 1 ELSE 0 END AS total_records,
+                   n + CASE WHEN day(d) = 9 THEN 1 ELSE 0 END AS listed_records,
+                   CASE WHEN day(d) = 14 THEN 0 ELSE n END AS actual_records,
+                   day(d) NOT IN (9, 11, 14) AS ok
+            FROM (SELECT {_D} AS d, count(*) AS n FROM events WHERE day({_D}) NOT IN (10, 20, 30) GROUP BY 1)""",
+        "validate_file_counts": f"""
+            SELECT d AS delivery_date,
+                   CASE WHEN day(d) = 15 THEN 2 ELSE 1 END AS n_lookup_files,
+                   CASE WHEN day(d) = 15 THEN 2 ELSE 1 END AS lookup_files_listed,
+                   n_files + CASE WHEN day(d) = 12 THEN 1 ELSE 0 END AS n_data_files,
+                   n_files AS data_files_listed,
+                   day(d) <> 12 AS counts_ok
+            FROM ({_broken_day_files(per_file)})""",
+        "delivery_gaps": f"""
+            SELECT CAST(g AS DATE) AS missing_date
+            FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) AS t(g)
+            WHERE CAST(g AS DATE) NOT IN ({_BROKEN_DAYS})""",
+        "schema_drift": f"""
+            SELECT d AS delivery_date, day(d) <> 16 AS header_found,
+                   CASE WHEN day(d) = 16 THEN NULL ELSE 14 END AS n_columns,
+                   '' AS missing_columns,
+                   CASE WHEN day(d) = 13 THEN 'extra_col' ELSE '' END AS extra_columns,
+                   CASE WHEN day(d) = 17 THEN 'pagename' ELSE '' END AS duplicated_columns,
+                   false AS reordered
+            FROM ({_BROKEN_DAYS}) WHERE day(d) IN (13, 16, 17)""",
+        "schema_reordered": f"""
+            SELECT DISTINCT {_D} AS delivery_date, true AS header_found, 13 AS n_columns,
+                   '' AS missing_columns, '' AS extra_columns, '' AS duplicated_columns, true AS reordered
+            FROM events WHERE day({_D}) % 2 = 0""",
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _oracles()

@@ -33,3 +33,30 @@ def test_query_matches_oracle(spark, feeds, duck, name):
     onames = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(onames)
     assert rows_of(df.columns, df.collect()) == rows_of(onames, res.fetchall())
+
+
+SPLIT_QUERIES = ["feed_all_available", "feed_multi_file", "feed_validated_daily_pages", "manifest_catalog",
+                 "manifest_files", "validate_md5", "validate_row_counts", "validate_file_counts", "delivery_gaps"]
+
+
+def test_days_split_into_bounded_files(spark, duck, monkeypatch):
+    """With at most 10 rows per data file every day spans several files, and the
+    queries still match oracles written for that file size."""
+    from pyspark.sql import functions as F
+
+    from webfeed.operators import reports
+    from webfeed.testing import feedwriter
+    from webfeed.testing import fixtures as fx
+
+    monkeypatch.setattr(feedwriter, "ROWS_PER_FILE", 10)
+    split = fx.Fixtures(spark, SF_SMALL)
+    monkeypatch.setattr(E, "_fixtures", lambda _spark, _sf: split)
+    files = reports.manifest_catalog(spark, split.main, fx.MAIN_FEED).select(F.inline("data_files"))
+    assert files.agg(F.max("record_count")).first()[0] <= 10
+    assert files.count() > 30
+    oracles = E._oracles(10)
+    for name in SPLIT_QUERIES:
+        df = E.queries()[name](spark, SF_SMALL)
+        res = duck.execute(oracles[name])
+        onames = [d[0] for d in res.description]
+        assert rows_of(df.columns, df.collect()) == rows_of(onames, res.fetchall()), name

@@ -5,17 +5,22 @@ writer (gzip, tab separated, one task per data file); sizes, digests and record
 counts come back from Spark jobs; only per-file metadata and the small lookup
 archives are built and written by one task per delivery.
 
+A day is split into ``max(files_per_day, ceil(rows / ROWS_PER_FILE))`` data
+files (row ``event_id % n + 1``), so no task writes more than about
+``ROWS_PER_FILE`` rows however many rows one day holds.
+
 Hit columns (header name -> source):
 
     hitid_high 0 | hitid_low event_id | date_time ts | hit_time_gmt epoch seconds
-    visid_low user_id | browser user_id | event_list event code | pagename event_type
-    post_evar1 props | daily_visitor event_id % 2 | custom_unknown 'x'
-    "my col (a=b)" 'y' | curr_rate value
+    visid_low user_id | browser user_id % BROWSER_IDS | event_list event code
+    pagename event_type | post_evar1 props | daily_visitor event_id % 2
+    custom_unknown 'x' | "my col (a=b)" 'y' | curr_rate value
 
 The event code of a type is the first 8 hex digits of ``md5(event_type)``.
 Lookup members: ``event.tsv`` (code -> type, all events), ``browser.tsv``
-(user ids seen in that delivery -> ``browser-<id>``), the other known lookups
-empty, and ``column_headers.tsv``.
+(browser ids seen in that delivery -> ``browser-<id> <yyyy-MM-dd>``, at most
+``BROWSER_IDS`` lines), the other known lookups empty, and
+``column_headers.tsv``.
 """
 
 from __future__ import annotations
@@ -32,6 +37,11 @@ from pyspark.sql import functions as F
 from ..options import HEADER_MEMBER, KNOWN_LOOKUPS
 from ..session import HadoopFS, ship_package
 
+# Rows per data file at most: a bigger day is split into more files.
+ROWS_PER_FILE = 1_000_000
+# Browser ids are user_id % BROWSER_IDS, so a browser lookup has at most this many lines.
+BROWSER_IDS = 1000
+
 DEFAULT_HEADER = ("hitid_high", "hitid_low", "date_time", "hit_time_gmt", "visid_low", "browser",
                   "event_list", "pagename", "post_evar1", "daily_visitor", "custom_unknown",
                   "my col (a=b)", "curr_rate")
@@ -47,7 +57,7 @@ def hit_frame(events: DataFrame) -> tuple[DataFrame, list[str]]:
         "date_time": F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
         "hit_time_gmt": epoch,
         "visid_low": F.col("user_id"),
-        "browser": F.col("user_id"),
+        "browser": F.col("user_id") % BROWSER_IDS,
         "event_list": F.substring(F.md5(F.col("event_type")), 1, 8),
         "pagename": F.col("event_type"),
         "post_evar1": F.col("props"),
@@ -120,8 +130,14 @@ def _copy_name(name: str) -> str:
     return name.replace("-lookup_data.tar.gz", "-lookup_data-2.tar.gz")
 
 
+def files_for_day(rows: int, files_per_day: int) -> int:
+    """Data files of a day with ``rows`` rows."""
+    return max(files_per_day, -(-rows // ROWS_PER_FILE))
+
+
 def _archive_writer(out_dir: str, feedname: str, headers: dict, event_tsv: bytes, copies: set):
-    """applyInPandas function: one delivery's browsers -> its archive, written by the task."""
+    """applyInPandas function: one delivery's browser ids (at most ``BROWSER_IDS``) -> its
+    archive, written by the task."""
 
     def write(pdf):
         import hashlib
@@ -131,13 +147,13 @@ def _archive_writer(out_dir: str, feedname: str, headers: dict, event_tsv: bytes
         from webfeed.session import task_file_system
 
         day = pdf["day"].iloc[0]
-        ids = sorted(int(x) for x in pdf["user_id"])
+        ids = sorted(int(x) for x in pdf["browser_id"])
         members = {} if headers[day] is None else {HEADER_MEMBER: headers[day]}
         for lk in KNOWN_LOOKUPS:
             if lk == "event.tsv":
                 members[lk] = event_tsv
             elif lk == "browser.tsv":
-                members[lk] = "".join(f"{b}\tbrowser-{b}\n" for b in ids).encode()
+                members[lk] = "".join(f"{b}\tbrowser-{b} {day}\n" for b in ids).encode()
             else:
                 members[lk] = b""
         archive = _tar_gz(members)
@@ -164,10 +180,14 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
     ship_package(spark)
     hits, names = hit_frame(events)
     alias = {n: f"h{i}" for i, n in enumerate(names)}
-    all_days = sorted(r.day for r in hits.select("day").distinct().collect())
-    days = [d for d in all_days if spec.days(d) and d.day not in spec.defects.skip_days]
+    rows_of = {r.day: r.n for r in hits.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}  # per day
+    days = [d for d in sorted(rows_of) if spec.days(d) and d.day not in spec.defects.skip_days]
 
     # 1. data files: one CSV write per distinct header, one task per (day, file)
+    n_files = F.create_map(*[x for d in days
+                             for x in (F.lit(d), F.lit(files_for_day(rows_of[d], spec.files_per_day)))])
+    file_no = (F.col("event_id") % F.element_at(n_files, F.col("day")) + 1).cast("int")
+
     def comma(d: date) -> bool:
         return spec.comma_decimal_from is not None and d.day >= spec.comma_decimal_from
 
@@ -179,7 +199,7 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
         cols = [(F.regexp_replace(F.col(alias[n]).cast("string"), r"\.", ",") if commas and n == "curr_rate"
                  else F.col(alias[n])).alias(f"c{j}") for j, n in enumerate(header)]
         (hits.where(F.col("day").isin(hdays))
-         .select("day", (F.col("event_id") % spec.files_per_day + 1).cast("int").alias("file_no"), *cols)
+         .select("day", file_no.alias("file_no"), *cols)
          .repartition("day", "file_no")
          .write.partitionBy("day", "file_no").option("sep", "\t").option("compression", "gzip")
          .mode("overwrite").csv(f"{stage}/v{i}"))
@@ -193,8 +213,7 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
                .collect())
     counts = {(r.day, r.file_no): r.n for r in
               hits.where(F.col("day").isin(days))
-              .groupBy(F.col("day").cast("string").alias("day"),
-                       (F.col("event_id") % spec.files_per_day + 1).cast("int").alias("file_no"))
+              .groupBy(F.col("day").cast("string").alias("day"), file_no.alias("file_no"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}
 
     # 3. lookup archives: one task per delivery builds and writes its archive
@@ -206,7 +225,8 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
                                else ("\t".join(spec.header_for_day(d)) + "\n").encode()) for d in days}
     copies = {d.isoformat() for d in days if d.day in spec.defects.two_archives}
     archives = {r.day: r for r in
-                events.select(F.to_date("ts").cast("string").alias("day"), "user_id")
+                events.select(F.to_date("ts").cast("string").alias("day"),
+                              (F.col("user_id") % BROWSER_IDS).alias("browser_id"))
                 .where(F.col("day").isin(list(headers))).distinct()
                 .groupBy("day")
                 .applyInPandas(_archive_writer(out_dir, spec.feedname, headers, event_tsv, copies),
