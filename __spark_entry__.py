@@ -14,12 +14,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from webfeed import read_feed, read_lookup, selection  # noqa: E402
 from webfeed.operators import reports  # noqa: E402
+from webfeed.session import new_scratch_path  # noqa: E402
 from webfeed.sources.reader import FeedReader  # noqa: E402
+from webfeed.streaming.ingest import ingest_deliveries  # noqa: E402
 from webfeed.testing import fixtures as fx  # noqa: E402
 from webfeed.testing.feedwriter import BROWSER_IDS, ROWS_PER_FILE  # noqa: E402
 
@@ -76,6 +79,25 @@ def feed_option_reader(spark, sf_dir):
         F.count(F.lit(1)).alias("hits"), F.countDistinct("visid_low").alias("visitors"))
 
 
+def feed_delivery_date(spark, sf_dir):
+    hits = read_feed(spark, _fixtures(spark, sf_dir).multi, fx.MULTI_FEED, with_delivery_date=True)
+    return hits.select("hitid_low", "delivery_date")
+
+
+def feed_id_overrides(spark, sf_dir):
+    hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, start="2024-01-01", end="2024-01-07",
+                     column_types={"hitid_low": T.StringType(), "visid_low": T.StringType()})
+    return hits.select("hitid_low", "visid_low", "browser")
+
+
+def stream_ingest(spark, sf_dir):
+    """New deliveries -> partitioned Parquet by a file stream over manifests (validated)."""
+    target = new_scratch_path(spark, "ingest-hits")
+    ingest_deliveries(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, target,
+                      checkpoint=new_scratch_path(spark, "ingest-checkpoint"), validate=True).awaitTermination()
+    return _hits(spark.read.parquet(target))
+
+
 def pages_one_day(spark, sf_dir):
     hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, date="2024-01-05")
     return hits.groupBy("pagename").agg(F.count(F.lit(1)).alias("hits"))
@@ -102,6 +124,16 @@ def lookup_most_recent(spark, sf_dir):
                        start="2024-01-03", end="2024-01-17")
 
 
+def lookup_validated(spark, sf_dir):
+    return read_lookup(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, "event.tsv",
+                       dates="2024-01-04,2024-01-05", validate=True)
+
+
+def lookup_option_reader(spark, sf_dir):
+    return (FeedReader(spark).options(dir=_fixtures(spark, sf_dir).main, feedname=fx.MAIN_FEED, date="2024-01-09")
+            .load("browser.tsv"))
+
+
 # --- manifests and checks ----------------------------------------------------
 
 def manifest_catalog(spark, sf_dir):
@@ -165,10 +197,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_reordered_columns": feed_reordered_columns,
     "feed_validated_daily_pages": feed_validated_daily_pages,
     "feed_option_reader": feed_option_reader,
+    "feed_delivery_date": feed_delivery_date,
+    "feed_id_overrides": feed_id_overrides,
+    "stream_ingest": stream_ingest,
     "pages_one_day": pages_one_day,
     "header_schema": header_schema,
     "lookup_event": lookup_event,
     "lookup_most_recent": lookup_most_recent,
+    "lookup_validated": lookup_validated,
+    "lookup_option_reader": lookup_option_reader,
     "manifest_catalog": manifest_catalog,
     "manifest_files": manifest_files,
     "validate_md5": validate_md5,
@@ -221,6 +258,17 @@ _HEADER = [("hitid_high", "bigint", "count(*)"), ("hitid_low", "bigint", "count(
            ("curr_rate", "double", "count(value)")]
 
 
+def _browser_sql(day: str) -> str:
+    """Browser lookup of the delivery of ``day``."""
+    return (f"SELECT DISTINCT CAST(user_id % {BROWSER_IDS} AS VARCHAR) AS lookup_key, "
+            f"'browser-' || CAST(user_id % {BROWSER_IDS} AS VARCHAR) || ' {day}' AS lookup_value "
+            f"FROM events WHERE {_D} = DATE '{day}'")
+
+
+_EVENT_LOOKUP = ("SELECT DISTINCT substr(md5(event_type), 1, 8) AS lookup_key, event_type AS lookup_value "
+                 "FROM events")
+
+
 def _type_losses_sql() -> str:
     typed = [(n, t, agg) for n, t, agg in _HEADER if t != "string"]
     parts = [f"SELECT '{n}' AS column_name, '{t}' AS data_type, {agg} AS \"values\", "
@@ -250,15 +298,19 @@ def _oracles(per_file: int = ROWS_PER_FILE) -> dict[str, str]:
                                       f"round(sum(value), 2) AS revenue FROM events GROUP BY 1, 2",
         "feed_option_reader": f"SELECT {_D} AS day, count(*) AS hits, count(DISTINCT user_id) AS visitors "
                               f"FROM events WHERE {_D} BETWEEN DATE '2024-01-25' AND DATE '2024-01-30' GROUP BY 1",
+        "feed_delivery_date": f"SELECT event_id AS hitid_low, {_D} AS delivery_date FROM events",
+        "feed_id_overrides": f"SELECT CAST(event_id AS VARCHAR) AS hitid_low, CAST(user_id AS VARCHAR) AS visid_low, "
+                             f"user_id % {BROWSER_IDS} AS browser FROM events "
+                             f"WHERE {_D} BETWEEN DATE '2024-01-01' AND DATE '2024-01-07'",
+        "stream_ingest": f"SELECT {_HIT_COLUMNS}, {_D} AS delivery_date FROM events",
         "pages_one_day": f"SELECT event_type AS pagename, count(*) AS hits FROM events "
                          f"WHERE {_D} = DATE '2024-01-05' GROUP BY 1",
         "header_schema": _header_sql(),
         "type_losses": _type_losses_sql(),
-        "lookup_event": "SELECT DISTINCT substr(md5(event_type), 1, 8) AS lookup_key, event_type AS lookup_value "
-                        "FROM events",
-        "lookup_most_recent": f"SELECT DISTINCT CAST(user_id % {BROWSER_IDS} AS VARCHAR) AS lookup_key, "
-                              f"'browser-' || CAST(user_id % {BROWSER_IDS} AS VARCHAR) || ' 2024-01-17' "
-                              f"AS lookup_value FROM events WHERE {_D} = DATE '2024-01-17'",
+        "lookup_event": _EVENT_LOOKUP,
+        "lookup_most_recent": _browser_sql("2024-01-17"),
+        "lookup_validated": _EVENT_LOOKUP,
+        "lookup_option_reader": _browser_sql("2024-01-09"),
         "manifest_catalog": f"SELECT {_D} AS delivery_date, '1.0' AS version, 1 AS n_lookup_files, "
                             f"{_n_files('count(*)', 1, per_file)} AS n_data_files, count(*) AS total_records, "
                             f"0 AS n_problems FROM events GROUP BY 1",

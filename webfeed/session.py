@@ -14,13 +14,21 @@ from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this application (created if unset)."""
+    """The shared checkpoint folder of this application.
+
+    In local mode a fresh folder is made when none is configured; on a cluster
+    a machine-local folder would not be seen by the executors, so
+    ``spark.checkpoint.dir`` must name a shared one.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and every "
+                               "executor can reach (HDFS, object store)")
         configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
