@@ -34,13 +34,12 @@ from pyspark.sql import types as T
 from .. import paths
 from ..errors import ValidationError
 from ..functions.files import input_file_name
+from ..plans.broadcast import bounded_broadcast, row_bytes
 from ..plans.scan import CSV_OPTIONS
 from ..session import ship_package, task_file_system
 from ..sources.manifest import Delivery
 
 MD5_INLINE_MAX_BYTES = 128 * 1024 * 1024
-# Files per report up to which per-file tables are broadcast to the join.
-BROADCAST_FILES = 1_000_000
 _CHUNK = 8 * 1024 * 1024
 
 EXPECTED_SCHEMA = T.StructType([
@@ -150,11 +149,6 @@ def file_row_counts(spark: SparkSession, directory: str, names: list[str]) -> Da
             .groupBy("file_base").agg(F.count(F.lit(1)).alias("actual_records")))
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint for a side whose row count is known to be at most ``rows``."""
-    return F.broadcast(df) if rows <= BROADCAST_FILES else df
-
-
 def validation_report(spark: SparkSession, directory: str, deliveries: list[Delivery], *,
                       check_md5: bool = True, check_records: bool = True,
                       kinds: tuple[str, ...] = ("data", "lookup"),
@@ -166,29 +160,35 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
     exist) lets the record counts reuse the read's own CSV relations.
 
     Every side joined to the expected files has at most one row per listed
-    file, a count known on the driver, so it is broadcast below
-    ``BROADCAST_FILES`` and shuffled above.
+    file, holding that file's base name and path: row count and bytes are
+    known on the driver, so it is broadcast when both are small
+    (:mod:`~webfeed.plans.broadcast`) and shuffled otherwise.
     """
     expected = expected_files(spark, deliveries, kinds)
     names = sorted({f["name"] for d in deliveries
                     for kind, files in (("data", d.data_files), ("lookup", d.lookup_files))
                     if kind in kinds for f in files})
     n = len(names)
+    per_row = row_bytes([_base(x) for x in names], [paths.join(directory, x) for x in names])
+
+    def bounded(df: DataFrame) -> DataFrame:
+        return bounded_broadcast(df, n, per_row)
+
     files, present = _file_scan(spark, directory, names)
     if files is None:
         files = spark.createDataFrame([], "path string, length bigint, content binary")
     base = F.regexp_extract("path", r"[^/]*$", 0)
     actual = files.select(base.alias("file_base"), "path", F.col("length").alias("actual_size"))
-    report = expected.join(_bounded(actual, n), "file_base", "left")
+    report = expected.join(bounded(actual), "file_base", "left")
     if check_md5:
-        report = report.join(_bounded(file_digests(spark, files, md5_inline_max_bytes), n), "path", "left")
+        report = report.join(bounded(file_digests(spark, files, md5_inline_max_bytes)), "path", "left")
     else:
         report = report.withColumn("actual_md5", F.lit(None).cast("string"))
     data_names = sorted({f["name"] for d in deliveries for f in d.data_files if _base(f["name"]) in present})
     if check_records and "data" in kinds:
         counts = plan.file_row_counts(spark) if plan is not None else \
             file_row_counts(spark, directory, data_names)
-        report = report.join(_bounded(counts, n), "file_base", "left")
+        report = report.join(bounded(counts), "file_base", "left")
     else:
         report = report.withColumn("actual_records", F.lit(None).cast("bigint"))
 

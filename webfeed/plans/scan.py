@@ -24,6 +24,7 @@ from .. import paths
 from ..errors import DeliveryError, SchemaMismatchError
 from ..functions.files import input_file_name
 from ..functions.types import feed_schema
+from .broadcast import bounded_broadcast, row_bytes
 from ..options import HEADER_MEMBER
 from ..sources.header import collect_headers
 from ..sources.manifest import Delivery
@@ -33,10 +34,6 @@ from ..sources.manifest import Delivery
 CSV_OPTIONS = {"sep": "\t", "header": "false"}
 
 
-# Files per read up to which the file -> delivery-date table is broadcast.
-BROADCAST_FILES = 1_000_000
-
-
 @dataclass(frozen=True)
 class ScanGroup:
     columns: tuple[str, ...]
@@ -84,8 +81,9 @@ class FeedScanPlan:
 
         ``with_delivery_date`` appends ``delivery_date`` (the manifest's day) by
         joining each row's input file name to the plan's file list. That list
-        has one row per data file, a size known here, so it is broadcast when it
-        is below ``BROADCAST_FILES`` rows and shuffled otherwise.
+        has one row per data file, whose count and bytes are known here, so it
+        is broadcast when small (:mod:`~webfeed.plans.broadcast`) and shuffled
+        otherwise.
         """
         if not any(g.files for g in self.groups):
             empty = spark.createDataFrame([], self.schema)
@@ -97,8 +95,7 @@ class FeedScanPlan:
         hits = reduce(lambda a, b: a.unionByName(b), scans)
         pairs = [(f.rsplit("/", 1)[-1], d) for g in self.groups for d, fs in g.files_by_date for f in fs]
         owners = spark.createDataFrame(pairs, "_file string, delivery_date date")
-        if len(pairs) <= BROADCAST_FILES:
-            owners = F.broadcast(owners)
+        owners = bounded_broadcast(owners, len(pairs), row_bytes([f for f, _ in pairs]))
         return hits.join(owners, "_file", "left").drop("_file")
 
 

@@ -21,12 +21,10 @@ from pyspark.sql import types as T
 from ..errors import SchemaMismatchError
 from ..functions.types import sanitized_header
 from ..options import HEADER_MEMBER
+from ..plans.broadcast import bounded_broadcast, row_bytes
 from .archive import archive_lines
 from .manifest import Delivery
 
-# Deliveries are metadata: one row each. Above this many the mapping table is
-# joined with a shuffle instead of being broadcast.
-_BROADCAST_DELIVERIES = 200_000
 # Up to this many archives, every archive's header is collected in one job;
 # above it, only the distinct headers are (plus one small row per archive).
 DIRECT_HEADER_ARCHIVES = 100
@@ -57,8 +55,8 @@ def delivery_headers(spark: SparkSession, directory: str, deliveries: list[Deliv
         T.StructType([T.StructField("delivery_date", T.DateType()),
                       T.StructField("archive_name", T.StringType()),
                       T.StructField("archive_base", T.StringType())]))
-    if len(deliveries) <= _BROADCAST_DELIVERIES:
-        owners = F.broadcast(owners)
+    names = [d.archive for d in deliveries]
+    owners = bounded_broadcast(owners, len(deliveries), row_bytes(names, [_base(n) for n in names]))
     return (first.join(owners, "archive_base")
             .select("delivery_date", "archive_name", "header", "header_found"))
 
