@@ -128,3 +128,23 @@ def test_range_reads_only_selected_manifests(spark, workdir):  # partition pruni
     assert df.count() == 3
     df.collect()
     assert _scan_metrics(df) == [3]
+
+
+def test_many_dates_list_once_and_read_only_those(spark, workdir):
+    import datetime as dt
+
+    from webfeed.sources.manifest import DIRECT_NAME_DATES
+    days = [dt.date(2023, 1, 1) + dt.timedelta(days=i) for i in range(DIRECT_NAME_DATES + 20)]
+    for day in days:
+        with open(f"{workdir}/f_{day}.txt", "w") as fh:
+            fh.write("x\n")
+    wanted = days[1:DIRECT_NAME_DATES + 10:2] + days[-1:]
+    assert len(wanted) > DIRECT_NAME_DATES // 2
+    sel = selection(dates=[d.isoformat() for d in days[1:-1] if d in wanted] + [days[-1].isoformat()])
+    df = manifests(spark, workdir, "f", sel).select("delivery_date")
+    assert sorted(r.delivery_date for r in df.collect()) == sorted(wanted)
+    assert _scan_metrics(df) == [len(wanted)]
+    many = selection(dates=[d.isoformat() for d in days[:DIRECT_NAME_DATES + 5]])
+    got = manifests(spark, workdir, "f", many).select("delivery_date")
+    assert sorted(r.delivery_date for r in got.collect()) == days[:DIRECT_NAME_DATES + 5]
+    assert _scan_metrics(got) == [DIRECT_NAME_DATES + 5]

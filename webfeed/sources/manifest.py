@@ -56,6 +56,11 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
+# Up to this many explicit dates, manifests are addressed by exact name (one
+# metadata call each); more dates list the folder once and filter by name.
+DIRECT_NAME_DATES = 32
+
+
 def manifest_name(feedname: str, day: date) -> str:
     return f"{feedname}_{day.isoformat()}.txt"
 
@@ -63,13 +68,13 @@ def manifest_name(feedname: str, day: date) -> str:
 def _manifest_glob(directory: str, feedname: str, sel: DateSelection) -> str:
     """Non-recursive glob for the selected manifests.
 
-    Explicit dates become exact names (direct lookups, no directory listing);
-    a range or "all" lists the directory once with a date-shaped wildcard. For
-    a range, the date filter on the file name prunes the scan to the selected
-    manifests (Spark applies ``_metadata`` filters per file), so only those are
-    read.
+    A few explicit dates become exact names (direct lookups, no directory
+    listing); many dates, a range or "all" list the directory once with a
+    date-shaped wildcard. For dates and ranges, the date filter on the file
+    name prunes the scan to the selected manifests (Spark applies ``_metadata``
+    filters per file), so only those are read.
     """
-    if sel.kind in ("date", "dates"):
+    if sel.kind in ("date", "dates") and len(sel.expected_dates()) <= DIRECT_NAME_DATES:
         return paths.any_of(directory, [manifest_name(feedname, d) for d in sel.expected_dates()])
     day = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
     return paths.glob_escape(directory.rstrip("/")) + "/" + paths.glob_escape(feedname) + "_" + day + ".txt"
@@ -92,6 +97,8 @@ def manifests(spark: SparkSession, directory: str, feedname: str,
     base = raw.select(*cols["base"]).where(F.col("manifest_name").rlike(name_re))
     if sel.kind == "range":
         base = base.where(F.col("delivery_date").between(F.lit(sel.start), F.lit(sel.end)))
+    elif sel.kind == "dates" and len(sel.dates) > DIRECT_NAME_DATES:
+        base = base.where(F.col("delivery_date").isin(list(sel.dates)))
     return base.select(F.lit(feedname).alias("feedname"), *cols["parsed"]) \
         .select(*cols["final"])
 
