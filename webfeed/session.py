@@ -40,7 +40,7 @@ def new_scratch_path(spark: SparkSession, prefix: str) -> str:
 
 
 class HadoopFS:
-    """Minimal Hadoop FileSystem access (any scheme the cluster supports)."""
+    """Driver-side writes of small files through Hadoop FileSystem (any scheme the cluster supports)."""
 
     def __init__(self, spark: SparkSession):
         self._jvm = spark.sparkContext._jvm
@@ -58,21 +58,6 @@ class HadoopFS:
         finally:
             out.close()
 
-    def rename(self, src: str, dst: str) -> None:
-        fs, s = self._resolve(src)
-        _, d = self._resolve(dst)
-        fs.mkdirs(d.getParent())
-        if not fs.rename(s, d):
-            raise OSError(f"rename failed: {src} -> {dst}")
-
-    def mkdirs(self, path: str) -> None:
-        fs, p = self._resolve(path)
-        fs.mkdirs(p)
-
-    def exists(self, path: str) -> bool:
-        fs, p = self._resolve(path)
-        return bool(fs.exists(p))
-
 
 _SHIPPED: set[str] = set()
 

@@ -170,6 +170,36 @@ def _archive_writer(out_dir: str, feedname: str, headers: dict, event_tsv: bytes
     return write
 
 
+def _move_files(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Rename written files (one row per file) in Python tasks; a retried task skips
+    the files it already moved."""
+    if not moves:
+        return
+
+    def move(batches):
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        from webfeed.session import task_file_system
+
+        for pdf in batches:
+            for src, dst in zip(pdf["src"], pdf["dst"]):
+                filesystem, s = task_file_system(src)
+                _, d = task_file_system(dst)
+                if filesystem.get_file_info(s).type == pafs.FileType.NotFound \
+                        and filesystem.get_file_info(d).type == pafs.FileType.File:
+                    continue
+                filesystem.create_dir(d.rsplit("/", 1)[0], recursive=True)
+                filesystem.move(s, d)
+            yield pd.DataFrame({"moved": [len(pdf)]})
+
+    pairs = spark.createDataFrame(moves, "src string, dst string")
+    pairs = pairs.repartition(max(1, min(len(moves), spark.sparkContext.defaultParallelism)))
+    moved = pairs.mapInPandas(move, "moved bigint").agg(F.sum("moved")).first()[0]
+    if moved != len(moves):
+        raise OSError(f"moved {moved} of {len(moves)} files")
+
+
 def _flip(digest: str) -> str:
     return ("0" if digest[0] != "0" else "1") + digest[1:]
 
@@ -237,13 +267,14 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
     for r in written:
         files_by_day.setdefault(r.day, []).append(r)
     df = spec.defects
+    moves, manifests = [], []
     for d in days:
         iso = d.isoformat()
         data = []
         for r in sorted(files_by_day.get(iso, []), key=lambda r: r.file_no):
             name = f"{r.file_no:02d}-{spec.feedname}_{iso}.tsv.gz"
             if d.day not in df.missing_data_file:
-                fs.rename(r.path, f"{out_dir}/{name}")
+                moves.append((r.path, f"{out_dir}/{name}"))
             data.append({"name": name, "md5": r.md5, "size": r.length, "records": counts[(iso, r.file_no)]})
         a = archives[iso]
         lookups = [{"name": a.name, "md5": a.md5, "size": a.size}]
@@ -262,6 +293,10 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
             total += 1
         meta = {"n_lookup": len(lookups), "n_data": len(data) + (1 if d.day in df.bad_declared_files else 0),
                 "total": total}
-        fs.write_bytes(f"{out_dir}/{spec.feedname}_{iso}.txt",
-                       _manifest(meta, lookups, data, spec.crlf, spec.padded_numbers))
+        manifests.append((f"{out_dir}/{spec.feedname}_{iso}.txt",
+                          _manifest(meta, lookups, data, spec.crlf, spec.padded_numbers)))
+    # 4. data files to their delivery names (spread over tasks), then the manifests: last, as a vendor does
+    _move_files(spark, moves)
+    for path, text in manifests:
+        fs.write_bytes(path, text)
     return days
