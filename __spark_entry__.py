@@ -242,7 +242,7 @@ _BROKEN_DAYS = f"SELECT DISTINCT {_D} AS d FROM events WHERE day({_D}) NOT IN (1
 
 def _n_files(rows: str, min_files: int, per_file: int) -> str:
     """Data files of a day with ``rows`` rows (the writer splits big days)."""
-    return f"CAST(GREATEST({min_files}, CEIL({rows} / {per_file})) AS BIGINT)"
+    return f"CAST(GREATEST({min_files}, CEIL({rows} / {per_file})) AS INTEGER)"
 
 
 def _broken_day_files(per_file: int) -> str:

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from tools.check_oracles import rows_of
+from tools.check_oracles import rows_of, type_differences
 
 
 def test_keys_match():
@@ -29,10 +29,11 @@ def duck():
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, feeds, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
-    res = duck.execute(E.oracle_sql()[name])
-    onames = [d[0] for d in res.description]
+    rel = duck.sql(E.oracle_sql()[name])
+    onames = rel.columns
     assert sorted(df.columns) == sorted(onames)
-    assert rows_of(df.columns, df.collect()) == rows_of(onames, res.fetchall())
+    assert type_differences(df.schema, onames, rel.types) == {}
+    assert rows_of(df.columns, df.collect()) == rows_of(onames, rel.fetchall())
 
 
 SPLIT_QUERIES = ["feed_all_available", "feed_multi_file", "feed_validated_daily_pages", "manifest_catalog",
