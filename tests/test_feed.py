@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 from helpers import HEADER, row, write_delivery
-from webfeed import read_feed
+from webfeed import read_feed, read_lookup
 from webfeed.errors import DeliveryError, SchemaMismatchError, ValidationError
 
 
@@ -178,3 +178,20 @@ def test_validation_is_eager_and_result_is_a_plain_scan(spark, workdir):  # X11
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "FileScan csv" in plan and "binaryFile" not in plan and "Python" not in plan
     assert df.count() == 3 and df.count() == 3          # later actions do not re-validate
+
+
+def test_special_characters_in_folder_and_feed_names(spark, workdir):
+    """Blank, glob and URI-escape characters survive every read path."""
+    from webfeed.operators import reports
+
+    d = workdir + "/my feeds [eu] 100%+{x},y"
+    feed = "web shop+1 %20"
+    write_delivery(d, feed, "2024-01-01", [row(i) for i in range(4)], files=2, lookups={"event.tsv": "1\tA\n"})
+    write_delivery(d, feed, "2024-01-02", [row(9)], lookups={"event.tsv": "1\tB\n"})
+    assert read_feed(spark, "file://" + d, feed, validate=True).count() == 5
+    assert read_feed(spark, d, feed, date="2024-01-02").count() == 1
+    got = sorted((r.hitid_low, r.delivery_date.day) for r in read_feed(spark, d, feed, with_delivery_date=True).collect())
+    assert got == [(0, 1), (1, 1), (2, 1), (3, 1), (9, 2)]
+    assert [tuple(r) for r in read_lookup(spark, d, feed, "event.tsv").collect()] == [("1", "B")]
+    assert all(r.ok for r in reports.feed_validation(spark, d, feed).collect())
+    assert all(r.ok for r in reports.delivery_records(spark, d, feed).collect())
