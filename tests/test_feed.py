@@ -195,3 +195,20 @@ def test_special_characters_in_folder_and_feed_names(spark, workdir):
     assert [tuple(r) for r in read_lookup(spark, d, feed, "event.tsv").collect()] == [("1", "B")]
     assert all(r.ok for r in reports.feed_validation(spark, d, feed).collect())
     assert all(r.ok for r in reports.delivery_records(spark, d, feed).collect())
+
+
+def test_file_listed_by_two_deliveries(spark, workdir):
+    """Read twice, like any repeated path; but it has no single delivery date."""
+    from webfeed.errors import ManifestError
+
+    first = write_delivery(workdir, "f", "2024-01-01", [row(1), row(2)])
+
+    def also_list(m):
+        m["data"] = m["data"] + first["data"]
+        m["n_data"] = len(m["data"])
+        m["total"] += first["total"]
+    write_delivery(workdir, "f", "2024-01-02", [row(3)], manifest_edit=also_list)
+    assert read_feed(spark, workdir, "f").count() == 5
+    assert read_feed(spark, workdir, "f", validate=True).count() == 5  # each listing's count is right
+    with pytest.raises(ManifestError, match="01-f_2024-01-01.tsv.gz"):
+        read_feed(spark, workdir, "f", with_delivery_date=True)

@@ -185,8 +185,10 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
     else:
         report = report.withColumn("actual_md5", F.lit(None).cast("string"))
     data_names = sorted({f["name"] for d in deliveries for f in d.data_files if _base(f["name"]) in present})
+    listed = [f["name"] for d in deliveries for f in d.data_files]
     if check_records and "data" in kinds:
-        counts = plan.file_row_counts(spark) if plan is not None else \
+        # the read's relations hold a file once per listing: reuse them only when no file is listed twice
+        counts = plan.file_row_counts(spark) if plan is not None and len(set(listed)) == len(listed) else \
             file_row_counts(spark, directory, data_names)
         report = report.join(bounded(counts), "file_base", "left")
     else:

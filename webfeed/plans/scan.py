@@ -12,6 +12,7 @@ belong to each one.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import paths
-from ..errors import DeliveryError, SchemaMismatchError
+from ..errors import DeliveryError, ManifestError, SchemaMismatchError
 from ..functions.files import input_file_name
 from ..functions.types import feed_schema
 from .broadcast import bounded_broadcast, row_bytes
@@ -94,6 +95,10 @@ class FeedScanPlan:
         scans = [s.select(*self.columns, input_file_name().alias("_file")) for s in self.scans(spark)]
         hits = reduce(lambda a, b: a.unionByName(b), scans)
         pairs = [(f.rsplit("/", 1)[-1], d) for g in self.groups for d, fs in g.files_by_date for f in fs]
+        shared = sorted({f for f, n in Counter(f for f, _ in pairs).items() if n > 1})
+        if shared:  # the join would multiply their rows, and no single day is right
+            raise ManifestError(f"data files listed by more than one delivery have no single delivery date: "
+                                f"{', '.join(shared[:10])}{' ...' if len(shared) > 10 else ''}")
         owners = spark.createDataFrame(pairs, "_file string, delivery_date date")
         owners = bounded_broadcast(owners, len(pairs), row_bytes([f for f, _ in pairs]))
         return hits.join(owners, "_file", "left").drop("_file")
