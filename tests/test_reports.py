@@ -80,3 +80,24 @@ def test_type_losses(spark, workdir):  # X13 / E3
     got = {r.column_name: (r.data_type, r["values"], r.lost) for r in reports.type_losses(spark, workdir, "f").collect()}
     assert got == {"hitid_high": ("bigint", 3, 0), "hitid_low": ("bigint", 3, 1),
                    "date_time": ("timestamp", 3, 1), "curr_rate": ("double", 2, 1)}
+
+
+def test_truncated_data_file_is_reported_not_a_crash(spark, workdir):
+    import pytest
+
+    from webfeed import read_feed
+    from webfeed.errors import ValidationError
+
+    write_delivery(workdir, "f", "2024-01-01", [row(i) for i in range(2000)])
+    write_delivery(workdir, "f", "2024-01-02", [row(3)])
+    path = f"{workdir}/01-f_2024-01-01.tsv.gz"
+    with open(path, "rb") as fh:
+        data = fh.read()
+    with open(path, "wb") as fh:
+        fh.write(data[: len(data) // 2])   # an interrupted transfer
+    bad = [r for r in reports.feed_validation(spark, workdir, "f").collect() if not r.ok]
+    assert [(r.file_name, r.size_ok, r.md5_ok, r.records_ok) for r in bad] == \
+        [("01-f_2024-01-01.tsv.gz", False, False, False)]
+    assert bad[0].actual_records < 2000
+    with pytest.raises(ValidationError, match="01-f_2024-01-01.tsv.gz: size"):
+        read_feed(spark, workdir, "f", validate=True)

@@ -17,6 +17,9 @@ All work is Spark jobs:
   big a file is;
 * record counts use the read's CSV settings and count rows per file
   (``_metadata.file_name``) with map-side partial counts; no column is parsed.
+  A damaged file (truncated gzip) counts the rows that can be read, so it is
+  reported instead of failing the job; the hit read itself keeps Spark's
+  default and fails on it.
 
 The digest scan and the count scan are independent stages of one job, so they
 run side by side. Only one summary row per delivery reaches the driver
@@ -139,11 +142,12 @@ def file_row_counts(spark: SparkSession, directory: str, names: list[str]) -> Da
     """``file_base, actual_records``: rows per data file under the read's CSV settings.
 
     PERMISSIVE parsing never drops a row, so the count does not depend on the
-    column schema; a one-column schema is used and nothing is parsed.
+    column schema; a one-column schema is used and nothing is parsed. With
+    ``ignoreCorruptFiles`` a damaged file yields the rows before the damage.
     """
     if not names:
         return spark.createDataFrame([], "file_base string, actual_records bigint")
-    return (spark.read.schema("_c0 string").options(**CSV_OPTIONS)
+    return (spark.read.schema("_c0 string").options(**CSV_OPTIONS).option("ignoreCorruptFiles", "true")
             .csv(paths.literal_paths(directory, names))
             .select(input_file_name().alias("file_base"))
             .groupBy("file_base").agg(F.count(F.lit(1)).alias("actual_records")))
@@ -152,13 +156,9 @@ def file_row_counts(spark: SparkSession, directory: str, names: list[str]) -> Da
 def validation_report(spark: SparkSession, directory: str, deliveries: list[Delivery], *,
                       check_md5: bool = True, check_records: bool = True,
                       kinds: tuple[str, ...] = ("data", "lookup"),
-                      md5_inline_max_bytes: int = MD5_INLINE_MAX_BYTES,
-                      plan=None) -> DataFrame:
+                      md5_inline_max_bytes: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
     """Per-file report of the given deliveries (see module docstring); lazy.
 
-    ``plan`` (a :class:`~webfeed.plans.scan.FeedScanPlan` whose files all
-    exist) lets the record counts reuse the read's own CSV relations.
-
     Every side joined to the expected files has at most one row per listed
     file, holding that file's base name and path: row count and bytes are
     known on the driver, so it is broadcast when both are small
@@ -185,11 +185,8 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
     else:
         report = report.withColumn("actual_md5", F.lit(None).cast("string"))
     data_names = sorted({f["name"] for d in deliveries for f in d.data_files if _base(f["name"]) in present})
-    listed = [f["name"] for d in deliveries for f in d.data_files]
     if check_records and "data" in kinds:
-        # the read's relations hold a file once per listing: reuse them only when no file is listed twice
-        counts = plan.file_row_counts(spark) if plan is not None and len(set(listed)) == len(listed) else \
-            file_row_counts(spark, directory, data_names)
+        counts = file_row_counts(spark, directory, data_names)  # each file once, however often listed
         report = report.join(bounded(counts), "file_base", "left")
     else:
         report = report.withColumn("actual_records", F.lit(None).cast("bigint"))

@@ -59,8 +59,8 @@ class FeedScanPlan:
         """One native CSV relation per column order, built once per plan.
 
         Building a relation checks and lists every file (in parallel above a
-        few dozen paths); the hit table, the delivery-date column and the
-        validation counts all reuse these relations instead of listing again.
+        few dozen paths); the hit table and the delivery-date column reuse
+        these relations instead of listing again.
         """
         if self._scans is None:
             self._scans = [spark.read.schema(feed_schema(g.columns, self.column_types))
@@ -69,14 +69,6 @@ class FeedScanPlan:
                            for g in self.groups if g.files]
         return self._scans
 
-    def file_row_counts(self, spark: SparkSession) -> DataFrame:
-        """``file_base, actual_records`` from the plan's own relations (no column parsed)."""
-        counted = [s.select(input_file_name().alias("file_base")) for s in self.scans(spark)]
-        if not counted:
-            return spark.createDataFrame([], "file_base string, actual_records bigint")
-        return (reduce(lambda a, b: a.unionByName(b), counted)
-                .groupBy("file_base").agg(F.count(F.lit(1)).alias("actual_records")))
-
     def to_dataframe(self, spark: SparkSession, with_delivery_date: bool = False) -> DataFrame:
         """The hit table: one native CSV scan per distinct column order.
 

@@ -29,13 +29,11 @@ def feed_plan(spark: SparkSession, directory: str, feedname: str, sel: DateSelec
     plan = plan_scan(spark, directory, deliveries, column_types)
     if validate:
         try:
-            plan.scans(spark)  # also checks that every data file exists
-            shared = plan
+            plan.scans(spark)  # the read's relations; building them checks that every data file exists
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            shared = None  # the report names the missing files
-        enforce(validation_report(spark, directory, deliveries, plan=shared), deliveries)
+                raise  # otherwise the report names the missing files
+        enforce(validation_report(spark, directory, deliveries), deliveries)
     return plan
 
 
