@@ -101,3 +101,25 @@ def test_truncated_data_file_is_reported_not_a_crash(spark, workdir):
     assert bad[0].actual_records < 2000
     with pytest.raises(ValidationError, match="01-f_2024-01-01.tsv.gz: size"):
         read_feed(spark, workdir, "f", validate=True)
+
+
+def test_damaged_archive(spark, workdir):
+    import pytest
+
+    from webfeed import read_feed, read_lookup
+    from webfeed.errors import DeliveryError, ValidationError
+
+    write_delivery(workdir, "f", "2024-01-01", [row(1)], lookups={"event.tsv": "1\tA\n" * 5000})
+    write_delivery(workdir, "f", "2024-01-02", [row(2)], lookups={"event.tsv": "1\tB\n"})
+    path = f"{workdir}/f_2024-01-01-lookup_data.tar.gz"
+    with open(path, "wb") as fh:
+        fh.write(b"not an archive")
+    with pytest.raises(ValidationError, match="f_2024-01-01-lookup_data.tar.gz: size"):
+        read_feed(spark, workdir, "f", validate=True)   # reported before anything is unpacked
+    with pytest.raises(DeliveryError, match="cannot be unpacked: f_2024-01-01-lookup_data.tar.gz"):
+        read_feed(spark, workdir, "f")
+    with pytest.raises(Exception, match="cannot be unpacked"):
+        read_lookup(spark, workdir, "f", "event.tsv", date="2024-01-01").collect()
+    assert read_lookup(spark, workdir, "f", "event.tsv").collect()[0].lookup_value == "B"
+    drift = reports.schema_drift(spark, workdir, "f").collect()
+    assert [(r.delivery_date.day, r.header_found) for r in drift] == [(1, False)]

@@ -83,10 +83,11 @@ def schema_drift(spark: SparkSession, directory: str, feedname: str,
 def _canonical_header(spark: SparkSession, directory: str, deliveries: list) -> list[str]:
     """Header of the earliest delivery that has one (usually one archive is read)."""
     first = min(deliveries, key=lambda d: d.delivery_date)
-    found = collect_headers(spark, directory, [first.archive]).get(first.archive.rsplit("/", 1)[-1])
+    base = first.archive.rsplit("/", 1)[-1]
+    found = collect_headers(spark, directory, [first.archive], skip_damaged=True).get(base)
     if found is not None:
         return found
-    by_archive = collect_headers(spark, directory, [d.archive for d in deliveries])
+    by_archive = collect_headers(spark, directory, [d.archive for d in deliveries], skip_damaged=True)
     for d in sorted(deliveries, key=lambda d: d.delivery_date):
         if by_archive.get(d.archive.rsplit("/", 1)[-1]) is not None:
             return by_archive[d.archive.rsplit("/", 1)[-1]]

@@ -8,7 +8,9 @@ becomes one giant cell.
 
 Schema: ``archive_path string, member string, line_no int, line string``.
 A wanted member missing from an archive yields one row with ``line_no = -1``
-and a NULL line, so callers can report it.
+and a NULL line; an archive that cannot be unpacked (truncated, not gzip/tar)
+yields ``line_no = -2`` with the error text for each wanted member not read
+to its end. Callers report both.
 """
 
 from __future__ import annotations
@@ -27,33 +29,45 @@ LINES_SCHEMA = "archive_path string, member string, line_no int, line string"
 _ARROW_SCHEMA = pa.schema([("archive_path", pa.string()), ("member", pa.string()),
                            ("line_no", pa.int32()), ("line", pa.string())])
 _BATCH_LINES = 8192
+ABSENT, DAMAGED = -1, -2
 
 
-def _member_lines(data: bytes, wanted: frozenset[str]) -> Iterator[tuple[str, int, str | None]]:
-    """(member, line_no, line) for wanted members of one archive; -1 if absent."""
+def _member_lines(data: bytes, wanted: frozenset[str],
+                  max_lines: int | None = None) -> Iterator[tuple[str, int, str | None]]:
+    """(member, line_no, line) for wanted members of one archive (at most ``max_lines``
+    lines each); ``ABSENT`` rows for missing members, ``DAMAGED`` rows when unpacking fails."""
     import io
+    import itertools
     import tarfile
+    import zlib
 
     seen: set[str] = set()
-    # random-access mode: the bytes are in memory anyway, and its member readers are
-    # seekable, which the line decoder needs (stream-mode readers are not)
-    with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as tar:
-        for info in tar:
-            name = info.name[2:] if info.name.startswith("./") else info.name
-            if name not in wanted or name in seen or not info.isfile():
-                continue
-            seen.add(name)
-            # streamed line by line; LF, CR LF and a lone CR all end a line
-            member = io.TextIOWrapper(tar.extractfile(info), encoding="utf-8", errors="replace", newline=None)
-            for i, line in enumerate(member):
-                yield name, i, line[:-1] if line.endswith("\n") else line
-            if seen == wanted:
-                break
+    done: set[str] = set()
+    try:
+        # random-access mode: the bytes are in memory anyway, and its member readers are
+        # seekable, which the line decoder needs (stream-mode readers are not)
+        with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as tar:
+            for info in tar:
+                name = info.name[2:] if info.name.startswith("./") else info.name
+                if name not in wanted or name in seen or not info.isfile():
+                    continue
+                seen.add(name)
+                # streamed line by line; LF, CR LF and a lone CR all end a line
+                member = io.TextIOWrapper(tar.extractfile(info), encoding="utf-8", errors="replace", newline=None)
+                for i, line in enumerate(itertools.islice(member, max_lines)):
+                    yield name, i, line[:-1] if line.endswith("\n") else line
+                done.add(name)
+                if seen == wanted:
+                    break
+    except (tarfile.TarError, EOFError, OSError, zlib.error) as e:
+        for name in sorted(wanted - done):
+            yield name, DAMAGED, f"{type(e).__name__}: {e}"
+        return
     for name in sorted(wanted - seen):
-        yield name, -1, None
+        yield name, ABSENT, None
 
 
-def _extractor(wanted: frozenset[str]):
+def _extractor(wanted: frozenset[str], max_lines: int | None):
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buf: dict[str, list] = {"archive_path": [], "member": [], "line_no": [], "line": []}
 
@@ -67,7 +81,7 @@ def _extractor(wanted: frozenset[str]):
             batch_paths = batch.column("path").to_pylist()
             contents = batch.column("content")
             for i, path in enumerate(batch_paths):
-                for member, line_no, line in _member_lines(contents[i].as_py(), wanted):
+                for member, line_no, line in _member_lines(contents[i].as_py(), wanted, max_lines):
                     buf["archive_path"].append(path)
                     buf["member"].append(member)
                     buf["line_no"].append(line_no)
@@ -81,8 +95,9 @@ def _extractor(wanted: frozenset[str]):
 
 
 def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
-                  members: Iterable[str]) -> DataFrame:
-    """Lines of ``members`` in each named archive of ``directory`` (lazy)."""
+                  members: Iterable[str], max_lines: int | None = None) -> DataFrame:
+    """Lines of ``members`` in each named archive of ``directory`` (lazy); with
+    ``max_lines``, unpacking stops after that many lines of each member."""
     wanted = frozenset(members)
     ship_package(spark)
     try:
@@ -91,4 +106,4 @@ def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             raise DeliveryError(f"lookup archive missing: {e}") from None
         raise
-    return files.select("path", "content").mapInArrow(_extractor(wanted), LINES_SCHEMA)
+    return files.select("path", "content").mapInArrow(_extractor(wanted, max_lines), LINES_SCHEMA)

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date as Date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -23,18 +22,16 @@ from .manifest import collect_deliveries
 
 def feed_plan(spark: SparkSession, directory: str, feedname: str, sel: DateSelection | None = None,
               column_types: dict[str, T.DataType] | None = None, validate: bool = False) -> FeedScanPlan:
-    """Manifests -> checks -> headers -> scan plan (and validation when asked)."""
+    """Manifests -> checks -> (validation when asked) -> headers -> scan plan.
+
+    Validation needs no header, so it runs first: a damaged archive or data
+    file is reported by its size and digest before anything is unpacked.
+    """
     sel = sel or DateSelection()
     deliveries = collect_deliveries(spark, directory, feedname, sel)
-    plan = plan_scan(spark, directory, deliveries, column_types)
     if validate:
-        try:
-            plan.scans(spark)  # the read's relations; building them checks that every data file exists
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise  # otherwise the report names the missing files
         enforce(validation_report(spark, directory, deliveries), deliveries)
-    return plan
+    return plan_scan(spark, directory, deliveries, column_types)
 
 
 def read_feed(spark: SparkSession, directory: str, feedname: str, *,

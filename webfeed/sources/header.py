@@ -4,10 +4,13 @@ The header member of every selected archive is unpacked in one parallel Spark
 job. Names are sanitised (blank, ``, ; { } ( ) = \\t \\n`` become ``_``) after
 the line end is stripped.
 
-* :func:`archive_headers`  ``archive_base, header_found, header`` per archive;
+* :func:`archive_headers`  ``archive_base, header_found, header, damage`` per archive;
 * :func:`delivery_headers` the same per delivery (adds ``delivery_date``);
 * :func:`collect_headers`  archive name -> header on the driver, without ever
   holding more than one copy of each distinct header there.
+
+Only the first line of the header member is unpacked. An archive that cannot be
+unpacked has ``header_found = false`` and the error text in ``damage``.
 """
 
 from __future__ import annotations
@@ -18,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import SchemaMismatchError
+from ..errors import DeliveryError, SchemaMismatchError
 from ..functions.types import sanitized_header
 from ..options import HEADER_MEMBER
 from ..plans.broadcast import bounded_broadcast, row_bytes
-from .archive import archive_lines
+from .archive import DAMAGED, archive_lines
 from .manifest import Delivery
 
 # Up to this many archives, every archive's header is collected in one job;
@@ -38,13 +41,14 @@ def _base(name: str) -> str:
 def _header_columns(_app_id: str) -> list:
     return [F.regexp_extract("archive_path", r"[^/]*$", 0).alias("archive_base"),
             (F.col("line_no") == 0).alias("header_found"),
-            F.when(F.col("line_no") == 0, sanitized_header(F.col("line"))).alias("header")]
+            F.when(F.col("line_no") == 0, sanitized_header(F.col("line"))).alias("header"),
+            F.when(F.col("line_no") == DAMAGED, F.col("line")).alias("damage")]
 
 
 def archive_headers(spark: SparkSession, directory: str, archives: list[str]) -> DataFrame:
     """Sanitised header of each archive (lazy)."""
-    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER])
-    return lines.where(F.col("line_no") <= 0).select(*_header_columns(spark.sparkContext.applicationId))
+    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER], max_lines=1)
+    return lines.select(*_header_columns(spark.sparkContext.applicationId))
 
 
 def delivery_headers(spark: SparkSession, directory: str, deliveries: list[Delivery]) -> DataFrame:
@@ -61,16 +65,30 @@ def delivery_headers(spark: SparkSession, directory: str, deliveries: list[Deliv
             .select("delivery_date", "archive_name", "header", "header_found"))
 
 
+def _check_damage(rows, skip_damaged: bool) -> None:
+    damaged = sorted(f"{r.archive_base} ({r.damage})" for r in rows if r.damage is not None)
+    if damaged and not skip_damaged:
+        raise DeliveryError("lookup archive cannot be unpacked: " + "; ".join(damaged))
+
+
 def collect_headers(spark: SparkSession, directory: str, archives: list[str],
-                    direct_limit: int = DIRECT_HEADER_ARCHIVES) -> dict[str, list[str] | None]:
-    """Archive base name -> header (``None`` when it has no header member)."""
+                    direct_limit: int = DIRECT_HEADER_ARCHIVES,
+                    skip_damaged: bool = False) -> dict[str, list[str] | None]:
+    """Archive base name -> header (``None`` when it has no header member).
+
+    A damaged archive raises :class:`DeliveryError`, or maps to ``None`` with
+    ``skip_damaged``.
+    """
     archives = sorted(set(archives))
     h = archive_headers(spark, directory, archives)
     if len(archives) <= direct_limit:
-        return {r.archive_base: (list(r.header) if r.header_found else None) for r in h.collect()}
+        rows = h.collect()
+        _check_damage(rows, skip_damaged)
+        return {r.archive_base: (list(r.header) if r.header_found else None) for r in rows}
     h = h.withColumn("header_id", F.xxhash64("header")).cache()
     try:
-        per_archive = h.select("archive_base", "header_found", "header_id").collect()
+        per_archive = h.select("archive_base", "header_found", "header_id", "damage").collect()
+        _check_damage(per_archive, skip_damaged)
         firsts = (h.where("header_found").groupBy("header_id")
                   .agg(F.first("header").alias("header"), F.count_distinct("header").alias("variants"))
                   .collect())

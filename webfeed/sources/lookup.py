@@ -18,7 +18,7 @@ from ..functions.types import LOOKUP_SCHEMA
 from ..operators.validate import enforce, validation_report
 from ..options import check_lookup_name, selection
 from ..plans.scan import CSV_OPTIONS
-from .archive import archive_lines
+from .archive import ABSENT, DAMAGED, archive_lines
 from .manifest import collect_deliveries
 
 # Spark's CSV reader skips lines that are empty after trimming (chars <= ' ').
@@ -26,9 +26,12 @@ _NOT_BLANK = r"[^\x00-\x20]"
 
 
 def lookup_from_lines(lines: DataFrame, what: str) -> DataFrame:
-    """(key, value) rows from archive member lines; a missing member fails the query."""
+    """(key, value) rows from archive member lines; a missing member or a damaged
+    archive fails the query."""
     missing = F.raise_error(F.lit(f"lookup archive has no member {what}"))
-    keep = F.when(F.col("line_no") < 0, missing).otherwise(F.col("line").rlike(_NOT_BLANK))
+    damaged = F.raise_error(F.concat(F.lit(f"lookup archive cannot be unpacked for {what}: "), F.col("line")))
+    keep = (F.when(F.col("line_no") == ABSENT, missing).when(F.col("line_no") == DAMAGED, damaged)
+            .otherwise(F.col("line").rlike(_NOT_BLANK)))
     parsed = F.from_csv(F.col("line"), LOOKUP_SCHEMA.simpleString(), {"sep": CSV_OPTIONS["sep"]})
     return lines.where(keep).select(parsed.alias("r")).select("r.lookup_key", "r.lookup_value")
 
