@@ -6,6 +6,7 @@ new or unknown column never loses data. Matching is exact and case-sensitive.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -63,7 +64,7 @@ def column_type(name: str, overrides: dict[str, T.DataType] | None = None) -> T.
 def feed_schema(names: Sequence[str],
                 overrides: dict[str, T.DataType] | None = None) -> T.StructType:
     """Positional schema for a headerless data file with these column names."""
-    duplicates = sorted({n for n in names if list(names).count(n) > 1})
+    duplicates = sorted(n for n, k in Counter(names).items() if k > 1)
     if duplicates:
         raise ValueError(f"header has duplicate column names: {duplicates}")
     return T.StructType([T.StructField(n, column_type(n, overrides), True) for n in names])

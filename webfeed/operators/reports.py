@@ -64,7 +64,12 @@ def schema_drift(spark: SparkSession, directory: str, feedname: str,
     canon = F.array(*[F.lit(c) for c in canonical]).cast(T.ArrayType(T.StringType()))
     headers = delivery_headers(spark, directory, deliveries)
     h = F.col("header")
-    dups = F.array_distinct(F.filter(h, lambda x: F.size(F.filter(h, lambda y: y == x)) > 1))
+    # duplicates: equal neighbours once sorted (n log n per header, not n * n)
+    srt = F.array_sort(h)
+    repeats = F.filter(F.sequence(F.lit(2), F.greatest(F.size(srt), F.lit(2))),
+                       lambda i: F.element_at(srt, i) == F.element_at(srt, i - 1))
+    dups = F.when(F.size(srt) >= 2, F.array_distinct(F.transform(repeats, lambda i: F.element_at(srt, i)))) \
+        .when(h.isNotNull(), F.array().cast(T.ArrayType(T.StringType())))
     out = headers.select(
         "delivery_date", "header_found",
         F.when(F.col("header_found"), F.size(h)).alias("n_columns"),

@@ -97,9 +97,10 @@ class FeedScanPlan:
 
 
 def _describe_difference(canonical: list[str], other: list[str]) -> str:
-    missing = [c for c in canonical if c not in other]
-    extra = [c for c in other if c not in canonical]
-    dups = sorted({c for c in other if other.count(c) > 1})
+    canon, seen = set(canonical), set(other)
+    missing = [c for c in canonical if c not in seen]
+    extra = [c for c in other if c not in canon]
+    dups = sorted(c for c, k in Counter(other).items() if k > 1)
     parts = []
     if missing:
         parts.append(f"missing {missing}")
