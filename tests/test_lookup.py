@@ -78,3 +78,28 @@ def test_option_reader(spark, workdir):  # S1 option surface
     assert FeedReader(spark).options(dir=workdir, feedname="f", date="2024-01-02").load().count() == 1
     assert FeedReader(spark).options(dir=workdir, feedname="f", dates="2024-01-01,2024-01-02",
                                      validate=True).load().count() == 2
+
+
+def test_big_archives_are_streamed(spark, workdir):
+    """Archives above the inline size are streamed by the task; same lines as in memory."""
+    from webfeed.sources.archive import archive_lines
+
+    lines = "".join(f"{i}\tvalue {i}\r\n" for i in range(20000))
+    write_delivery(workdir, "f", "2024-01-01", [row(1)], lookups={"event.tsv": lines, "browser.tsv": "1\tx\n"})
+    write_delivery(workdir, "f", "2024-01-02", [row(2)], lookups={"event.tsv": "9\tz\n"})
+    with open(f"{workdir}/f_2024-01-02-lookup_data.tar.gz", "wb") as fh:
+        fh.write(b"\x1f\x8b broken")
+    archives = ["f_2024-01-01-lookup_data.tar.gz", "f_2024-01-02-lookup_data.tar.gz"]
+    wanted = ["event.tsv", "column_headers.tsv", "plugins.tsv"]
+
+    def lines_of(**kw):
+        df = archive_lines(spark, workdir, archives, wanted, **kw)
+        return sorted((r.archive_path.rsplit("/", 1)[-1], r.member, r.line_no, r.line if r.line_no >= -1 else "x")
+                      for r in df.collect())
+
+    inline, streamed = lines_of(), lines_of(inline_max_bytes=0)
+    assert streamed == inline
+    assert len([r for r in streamed if r[1] == "event.tsv" and r[0].startswith("f_2024-01-01")]) == 20000
+    assert ("f_2024-01-01-lookup_data.tar.gz", "plugins.tsv", -1, None) in streamed
+    assert {r[1] for r in streamed if r[2] == -2} == set(wanted)
+    assert lines_of(inline_max_bytes=0, max_lines=1) == lines_of(max_lines=1)

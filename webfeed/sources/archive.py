@@ -2,9 +2,12 @@
 
 Archives are read with Spark's ``binaryFile`` source and unpacked in Python
 workers (``mapInArrow``), one archive at a time, in parallel across archives.
-Decompression stops as soon as every wanted member has been seen. Output rows
-are single lines, emitted in bounded Arrow batches, so a large member never
-becomes one giant cell.
+Archives up to ``INLINE_MAX_BYTES`` come as ``binaryFile`` content (many per
+task); bigger ones are never loaded whole: the task streams them from storage
+and decompresses incrementally (``length`` filters pushed into the scan decide
+which path an archive takes). Decompression stops as soon as every wanted member
+has been read (or ``max_lines`` of it). Output rows are single lines, emitted in
+bounded Arrow batches, so a large member never becomes one giant cell.
 
 Schema: ``archive_path string, member string, line_no int, line string``.
 A wanted member missing from an archive yields one row with ``line_no = -1``
@@ -20,22 +23,30 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import paths
 from ..errors import DeliveryError
-from ..session import ship_package
+from ..session import ship_package, task_file_system
 
 LINES_SCHEMA = "archive_path string, member string, line_no int, line string"
 _ARROW_SCHEMA = pa.schema([("archive_path", pa.string()), ("member", pa.string()),
                            ("line_no", pa.int32()), ("line", pa.string())])
 _BATCH_LINES = 8192
 ABSENT, DAMAGED = -1, -2
+INLINE_MAX_BYTES = 64 * 1024 * 1024
+_READ_BUFFER = 8 * 1024 * 1024
 
 
-def _member_lines(data: bytes, wanted: frozenset[str],
-                  max_lines: int | None = None) -> Iterator[tuple[str, int, str | None]]:
+def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | None = None,
+                  path: str | None = None) -> Iterator[tuple[str, int, str | None]]:
     """(member, line_no, line) for wanted members of one archive (at most ``max_lines``
-    lines each); ``ABSENT`` rows for missing members, ``DAMAGED`` rows when unpacking fails."""
+    lines each); ``ABSENT`` rows for missing members, ``DAMAGED`` rows when unpacking fails.
+
+    The archive is ``data`` (its bytes) or, when that is None, streamed from ``path``.
+    """
+    import contextlib
+    import gzip
     import io
     import itertools
     import tarfile
@@ -44,9 +55,17 @@ def _member_lines(data: bytes, wanted: frozenset[str],
     seen: set[str] = set()
     done: set[str] = set()
     try:
-        # random-access mode: the bytes are in memory anyway, and its member readers are
-        # seekable, which the line decoder needs (stream-mode readers are not)
-        with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as tar:
+        with contextlib.ExitStack() as stack:
+            if data is not None:
+                # random-access mode: its member readers are seekable, which the line decoder needs
+                tar = stack.enter_context(tarfile.open(fileobj=io.BytesIO(data), mode="r:*"))
+            else:
+                filesystem, rel = task_file_system(path)
+                raw = stack.enter_context(filesystem.open_input_stream(rel, compression=None,
+                                                                        buffer_size=_READ_BUFFER))
+                # a forward-only gzip stream still seeks forward, which is all reading members in order needs
+                body = gzip.GzipFile(fileobj=raw) if path.endswith(("gz", "GZ")) else raw
+                tar = stack.enter_context(tarfile.open(fileobj=body, mode="r:"))
             for info in tar:
                 name = info.name[2:] if info.name.startswith("./") else info.name
                 if name not in wanted or name in seen or not info.isfile():
@@ -59,7 +78,7 @@ def _member_lines(data: bytes, wanted: frozenset[str],
                 done.add(name)
                 if seen == wanted:
                     break
-    except (tarfile.TarError, EOFError, OSError, zlib.error) as e:
+    except (tarfile.TarError, EOFError, OSError, ValueError, zlib.error) as e:
         for name in sorted(wanted - done):
             yield name, DAMAGED, f"{type(e).__name__}: {e}"
         return
@@ -79,9 +98,10 @@ def _extractor(wanted: frozenset[str], max_lines: int | None):
 
         for batch in batches:
             batch_paths = batch.column("path").to_pylist()
-            contents = batch.column("content")
+            contents = batch.column("content") if "content" in batch.schema.names else None
             for i, path in enumerate(batch_paths):
-                for member, line_no, line in _member_lines(contents[i].as_py(), wanted, max_lines):
+                data = contents[i].as_py() if contents is not None else None
+                for member, line_no, line in _member_lines(data, wanted, max_lines, path):
                     buf["archive_path"].append(path)
                     buf["member"].append(member)
                     buf["line_no"].append(line_no)
@@ -95,7 +115,8 @@ def _extractor(wanted: frozenset[str], max_lines: int | None):
 
 
 def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
-                  members: Iterable[str], max_lines: int | None = None) -> DataFrame:
+                  members: Iterable[str], max_lines: int | None = None,
+                  inline_max_bytes: int = INLINE_MAX_BYTES) -> DataFrame:
     """Lines of ``members`` in each named archive of ``directory`` (lazy); with
     ``max_lines``, unpacking stops after that many lines of each member."""
     wanted = frozenset(members)
@@ -106,4 +127,8 @@ def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             raise DeliveryError(f"lookup archive missing: {e}") from None
         raise
-    return files.select("path", "content").mapInArrow(_extractor(wanted, max_lines), LINES_SCHEMA)
+    extract = _extractor(wanted, max_lines)
+    small = files.where(F.col("length") <= inline_max_bytes).select("path", "content")
+    big = (files.where(F.col("length") > inline_max_bytes).select("path")
+           .repartition(spark.sparkContext.defaultParallelism, "path"))  # one stream per task
+    return small.mapInArrow(extract, LINES_SCHEMA).unionByName(big.mapInArrow(extract, LINES_SCHEMA))
