@@ -127,14 +127,14 @@ def file_digests(spark: SparkSession, files: DataFrame, inline_max: int = MD5_IN
 
     The ``length`` filters are pushed into the ``binaryFile`` scan, which skips
     the content of files it filters out: small files are hashed in the JVM,
-    big ones are never loaded whole but streamed in Python tasks, spread over
-    ``defaultParallelism`` partitions (a fixed count, so AQE keeps them apart).
+    big ones are never loaded whole but streamed in Python tasks. No shuffle:
+    the scan packs files into tasks by size, so a file bigger than the split
+    size has a task of its own.
     """
     small = files.where(F.col("length") <= inline_max).select("path", F.md5("content").alias("actual_md5"))
     ship_package(spark)
-    big = (files.where(F.col("length") > inline_max).select("path")
-           .repartition(spark.sparkContext.defaultParallelism, "path")
-           .mapInPandas(_stream_md5, "path string, actual_md5 string"))
+    big = files.where(F.col("length") > inline_max).select("path") \
+        .mapInPandas(_stream_md5, "path string, actual_md5 string")
     return small.unionByName(big)
 
 

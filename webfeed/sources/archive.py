@@ -129,6 +129,6 @@ def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
         raise
     extract = _extractor(wanted, max_lines)
     small = files.where(F.col("length") <= inline_max_bytes).select("path", "content")
-    big = (files.where(F.col("length") > inline_max_bytes).select("path")
-           .repartition(spark.sparkContext.defaultParallelism, "path"))  # one stream per task
+    # Spark packs files into scan tasks by size, so a big archive gets a task of its own
+    big = files.where(F.col("length") > inline_max_bytes).select("path")
     return small.mapInArrow(extract, LINES_SCHEMA).unionByName(big.mapInArrow(extract, LINES_SCHEMA))
