@@ -123,3 +123,23 @@ def test_damaged_archive(spark, workdir):
     assert read_lookup(spark, workdir, "f", "event.tsv").collect()[0].lookup_value == "B"
     drift = reports.schema_drift(spark, workdir, "f").collect()
     assert [(r.delivery_date.day, r.header_found) for r in drift] == [(1, False)]
+
+
+def test_damaged_archive_in_distinct_header_path(spark, workdir):
+    import pytest
+
+    from webfeed.errors import DeliveryError
+    from webfeed.sources.header import collect_headers
+
+    for d in (1, 2, 3):
+        write_delivery(workdir, "f", f"2024-01-0{d}", [row(d)])
+    with open(f"{workdir}/f_2024-01-02-lookup_data.tar.gz", "wb") as fh:
+        fh.write(b"broken")
+    archives = [f"f_2024-01-0{d}-lookup_data.tar.gz" for d in (1, 2, 3)]
+    with pytest.raises(DeliveryError, match="f_2024-01-02-lookup_data.tar.gz"):
+        collect_headers(spark, workdir, archives, direct_limit=0)
+    got = collect_headers(spark, workdir, archives, direct_limit=0, skip_damaged=True)
+    assert got == {**collect_headers(spark, workdir, archives, skip_damaged=True)}
+    assert got["f_2024-01-02-lookup_data.tar.gz"] is None
+    assert got["f_2024-01-01-lookup_data.tar.gz"] == [h.replace(" ", "_").replace("(", "_").replace(")", "_")
+                                                      .replace("=", "_") for h in HEADER]
