@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..options import HEADER_MEMBER, KNOWN_LOOKUPS
+from ..plans.broadcast import bounded_broadcast, row_bytes
 from ..session import HadoopFS, ship_package
 
 # Rows per data file at most: a bigger day is split into more files.
@@ -214,9 +215,10 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
     days = [d for d in sorted(rows_of) if spec.days(d) and d.day not in spec.defects.skip_days]
 
     # 1. data files: one CSV write per distinct header, one task per (day, file)
-    n_files = F.create_map(*[x for d in days
-                             for x in (F.lit(d), F.lit(files_for_day(rows_of[d], spec.files_per_day)))])
-    file_no = (F.col("event_id") % F.element_at(n_files, F.col("day")) + 1).cast("int")
+    day_files = spark.createDataFrame([(d, files_for_day(rows_of[d], spec.files_per_day)) for d in days],
+                                      "day date, n_files int")  # one row per day
+    hits = hits.join(bounded_broadcast(day_files, len(days), row_bytes()), "day")
+    file_no = (F.col("event_id") % F.col("n_files") + 1).cast("int")
 
     def comma(d: date) -> bool:
         return spec.comma_decimal_from is not None and d.day >= spec.comma_decimal_from
