@@ -249,6 +249,8 @@ def _broken_day_files(per_file: int) -> str:
     """Days of the broken feed with a delivery, their rows and data files."""
     return (f"SELECT {_D} AS d, count(*) AS n, {_n_files('count(*)', 1, per_file)} AS n_files "
             f"FROM events WHERE day({_D}) NOT IN (10, 20, 30) GROUP BY 1")
+
+
 _HEADER = [("hitid_high", "bigint", "count(*)"), ("hitid_low", "bigint", "count(event_id)"),
            ("date_time", "timestamp", "count(ts)"), ("hit_time_gmt", "bigint", "count(ts)"),
            ("visid_low", "bigint", "count(user_id)"), ("browser", "bigint", "count(user_id)"),
