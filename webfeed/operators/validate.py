@@ -119,11 +119,11 @@ def _stream_md5(batches):
                 while chunk := f.read(_CHUNK):
                     h.update(chunk)
             digests.append(h.hexdigest())
-        yield pd.DataFrame({"path": pdf["path"], "actual_md5": digests})
+        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "actual_md5": digests})
 
 
 def file_digests(spark: SparkSession, files: DataFrame, inline_max: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
-    """``path, actual_md5`` of every file of a ``binaryFile`` relation (lazy).
+    """``path, length, actual_md5`` of every file of a ``binaryFile`` relation (lazy).
 
     The ``length`` filters are pushed into the ``binaryFile`` scan, which skips
     the content of files it filters out: small files are hashed in the JVM,
@@ -131,10 +131,11 @@ def file_digests(spark: SparkSession, files: DataFrame, inline_max: int = MD5_IN
     the scan packs files into tasks by size, so a file bigger than the split
     size has a task of its own.
     """
-    small = files.where(F.col("length") <= inline_max).select("path", F.md5("content").alias("actual_md5"))
+    small = files.where(F.col("length") <= inline_max) \
+        .select("path", "length", F.md5("content").alias("actual_md5"))
     ship_package(spark)
-    big = files.where(F.col("length") > inline_max).select("path") \
-        .mapInPandas(_stream_md5, "path string, actual_md5 string")
+    big = files.where(F.col("length") > inline_max).select("path", "length") \
+        .mapInPandas(_stream_md5, "path string, length bigint, actual_md5 string")
     return small.unionByName(big)
 
 
@@ -177,13 +178,12 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
     files, present = _file_scan(spark, directory, names)
     if files is None:
         files = spark.createDataFrame([], "path string, length bigint, content binary")
-    base = F.regexp_extract("path", r"[^/]*$", 0)
-    actual = files.select(base.alias("file_base"), "path", F.col("length").alias("actual_size"))
+    # size and digest of each file in one pass over the binaryFile relation
+    info = file_digests(spark, files, md5_inline_max_bytes) if check_md5 else \
+        files.select("path", "length", F.lit(None).cast("string").alias("actual_md5"))
+    actual = info.select(F.regexp_extract("path", r"[^/]*$", 0).alias("file_base"),
+                         F.col("length").alias("actual_size"), "actual_md5")
     report = expected.join(bounded(actual), "file_base", "left")
-    if check_md5:
-        report = report.join(bounded(file_digests(spark, files, md5_inline_max_bytes)), "path", "left")
-    else:
-        report = report.withColumn("actual_md5", F.lit(None).cast("string"))
     data_names = sorted({f["name"] for d in deliveries for f in d.data_files if _base(f["name"]) in present})
     if check_records and "data" in kinds:
         counts = file_row_counts(spark, directory, data_names)  # each file once, however often listed
