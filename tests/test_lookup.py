@@ -97,9 +97,11 @@ def test_big_archives_are_streamed(spark, workdir):
         return sorted((r.archive_path.rsplit("/", 1)[-1], r.member, r.line_no, r.line if r.line_no >= -1 else "x")
                       for r in df.collect())
 
-    inline, streamed = lines_of(), lines_of(inline_max_bytes=0)
+    listed = {a: 1 for a in archives}  # any size above the inline limit routes an archive to streaming
+    inline, streamed = lines_of(), lines_of(inline_max_bytes=0, sizes=listed)
     assert streamed == inline
     assert len([r for r in streamed if r[1] == "event.tsv" and r[0].startswith("f_2024-01-01")]) == 20000
     assert ("f_2024-01-01-lookup_data.tar.gz", "plugins.tsv", -1, None) in streamed
     assert {r[1] for r in streamed if r[2] == -2} == set(wanted)
-    assert lines_of(inline_max_bytes=0, max_lines=1) == lines_of(max_lines=1)
+    assert lines_of(inline_max_bytes=0, sizes=listed, max_lines=1) == lines_of(max_lines=1)
+    assert lines_of(inline_max_bytes=0, sizes={archives[0]: None}) == inline  # unreadable size: streamed

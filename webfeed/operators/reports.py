@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..options import DateSelection, selection
 from ..sources.feed import feed_plan
-from ..sources.header import collect_headers, delivery_headers
+from ..sources.header import archive_sizes, collect_headers, delivery_headers
 from ..sources.manifest import load_deliveries, manifests
 from .validate import validation_report
 
@@ -89,10 +89,12 @@ def _canonical_header(spark: SparkSession, directory: str, deliveries: list) ->
     """Header of the earliest delivery that has one (usually one archive is read)."""
     first = min(deliveries, key=lambda d: d.delivery_date)
     base = first.archive.rsplit("/", 1)[-1]
-    found = collect_headers(spark, directory, [first.archive], skip_damaged=True).get(base)
+    found = collect_headers(spark, directory, [first.archive], skip_damaged=True,
+                            sizes=archive_sizes([first])).get(base)
     if found is not None:
         return found
-    by_archive = collect_headers(spark, directory, [d.archive for d in deliveries], skip_damaged=True)
+    by_archive = collect_headers(spark, directory, [d.archive for d in deliveries], skip_damaged=True,
+                                 sizes=archive_sizes(deliveries))
     for d in sorted(deliveries, key=lambda d: d.delivery_date):
         if by_archive.get(d.archive.rsplit("/", 1)[-1]) is not None:
             return by_archive[d.archive.rsplit("/", 1)[-1]]

@@ -122,20 +122,24 @@ def _stream_md5(batches):
         yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "actual_md5": digests})
 
 
-def file_digests(spark: SparkSession, files: DataFrame, inline_max: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
+def file_digests(spark: SparkSession, files: DataFrame, inline_max: int = MD5_INLINE_MAX_BYTES,
+                 stream_big: bool = True) -> DataFrame:
     """``path, length, actual_md5`` of every file of a ``binaryFile`` relation (lazy).
 
     The ``length`` filters are pushed into the ``binaryFile`` scan, which skips
     the content of files it filters out: small files are hashed in the JVM,
     big ones are never loaded whole but streamed in Python tasks. No shuffle:
     the scan packs files into tasks by size, so a file bigger than the split
-    size has a task of its own.
+    size has a task of its own. With ``stream_big=False`` (no file is listed as
+    big) big files keep a NULL digest and no Python task is started; such a
+    file differs from its listed size anyway.
     """
     small = files.where(F.col("length") <= inline_max) \
         .select("path", "length", F.md5("content").alias("actual_md5"))
     ship_package(spark)
-    big = files.where(F.col("length") > inline_max).select("path", "length") \
-        .mapInPandas(_stream_md5, "path string, length bigint, actual_md5 string")
+    big = files.where(F.col("length") > inline_max).select("path", "length")
+    big = big.mapInPandas(_stream_md5, "path string, length bigint, actual_md5 string") if stream_big \
+        else big.withColumn("actual_md5", F.lit(None).cast("string"))
     return small.unionByName(big)
 
 
@@ -179,7 +183,10 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
     if files is None:
         files = spark.createDataFrame([], "path string, length bigint, content binary")
     # size and digest of each file in one pass over the binaryFile relation
-    info = file_digests(spark, files, md5_inline_max_bytes) if check_md5 else \
+    listed = [f["size"] for d in deliveries for kind, fs in (("data", d.data_files), ("lookup", d.lookup_files))
+              if kind in kinds for f in fs]
+    stream_big = any(size is None or size > md5_inline_max_bytes for size in listed)
+    info = file_digests(spark, files, md5_inline_max_bytes, stream_big) if check_md5 else \
         files.select("path", "length", F.lit(None).cast("string").alias("actual_md5"))
     actual = info.select(F.regexp_extract("path", r"[^/]*$", 0).alias("file_base"),
                          F.col("length").alias("actual_size"), "actual_md5")

@@ -27,7 +27,7 @@ from ..functions.files import input_file_name
 from ..functions.types import feed_schema
 from .broadcast import bounded_broadcast, row_bytes
 from ..options import HEADER_MEMBER
-from ..sources.header import collect_headers
+from ..sources.header import archive_sizes, collect_headers
 from ..sources.manifest import Delivery
 
 # CSV settings of a data file: tab separated, no header row; everything else is
@@ -116,7 +116,7 @@ def _describe_difference(canonical: list[str], other: list[str]) -> str:
 def plan_scan(spark: SparkSession, directory: str, deliveries: list[Delivery],
               column_types: dict | None = None) -> FeedScanPlan:
     """Read the headers of all deliveries (one parallel job) and group deliveries by header."""
-    headers = collect_headers(spark, directory, [d.archive for d in deliveries])
+    headers = collect_headers(spark, directory, [d.archive for d in deliveries], sizes=archive_sizes(deliveries))
     absent = [d.delivery_date for d in deliveries if headers.get(d.archive.rsplit("/", 1)[-1]) is None]
     if absent:
         raise DeliveryError(f"lookup archive has no {HEADER_MEMBER} for "

@@ -2,11 +2,13 @@
 
 Archives are read with Spark's ``binaryFile`` source and unpacked in Python
 workers (``mapInArrow``), one archive at a time, in parallel across archives.
-Archives up to ``INLINE_MAX_BYTES`` come as ``binaryFile`` content (many per
-task); bigger ones are never loaded whole: the task streams them from storage
-and decompresses incrementally (``length`` filters pushed into the scan decide
-which path an archive takes). Decompression stops as soon as every wanted member
-has been read (or ``max_lines`` of it). Output rows are single lines, emitted in
+Archives listed (in their manifest) at up to ``INLINE_MAX_BYTES`` come as
+``binaryFile`` content, many per task; bigger ones, or ones without a readable
+size, are never loaded whole: the task streams them from storage and
+decompresses incrementally. The streamed branch exists only when such an archive
+is selected, so the usual read runs one Python task per scan partition.
+Decompression stops as soon as every wanted member has been read (or
+``max_lines`` of it). Output rows are single lines, emitted in
 bounded Arrow batches, so a large member never becomes one giant cell.
 
 Schema: ``archive_path string, member string, line_no int, line string``.
@@ -19,11 +21,11 @@ to its end. Callers report both.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import paths
 from ..errors import DeliveryError
@@ -114,21 +116,35 @@ def _extractor(wanted: frozenset[str], max_lines: int | None):
     return extract
 
 
+def _archives(spark: SparkSession, directory: str, names: list[str]) -> DataFrame:
+    try:
+        return spark.read.format("binaryFile").load(paths.literal_paths(directory, names))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            raise DeliveryError(f"lookup archive missing: {e}") from None
+        raise
+
+
 def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
                   members: Iterable[str], max_lines: int | None = None,
+                  sizes: dict[str, int | None] | None = None,
                   inline_max_bytes: int = INLINE_MAX_BYTES) -> DataFrame:
     """Lines of ``members`` in each named archive of ``directory`` (lazy); with
-    ``max_lines``, unpacking stops after that many lines of each member."""
+    ``max_lines``, unpacking stops after that many lines of each member.
+
+    ``sizes`` are the archives' listed sizes: above ``inline_max_bytes`` (or
+    None) an archive is streamed; without ``sizes`` every archive is read as
+    ``binaryFile`` content.
+    """
     wanted = frozenset(members)
     ship_package(spark)
-    try:
-        files = spark.read.format("binaryFile").load(paths.literal_paths(directory, archive_names))
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            raise DeliveryError(f"lookup archive missing: {e}") from None
-        raise
+    sizes = sizes or {}
+    big = [n for n in archive_names if n in sizes and (sizes[n] is None or sizes[n] > inline_max_bytes)]
+    small = [n for n in archive_names if n not in set(big)]
     extract = _extractor(wanted, max_lines)
-    small = files.where(F.col("length") <= inline_max_bytes).select("path", "content")
-    # Spark packs files into scan tasks by size, so a big archive gets a task of its own
-    big = files.where(F.col("length") > inline_max_bytes).select("path")
-    return small.mapInArrow(extract, LINES_SCHEMA).unionByName(big.mapInArrow(extract, LINES_SCHEMA))
+    parts = [] if archive_names else [spark.createDataFrame([], LINES_SCHEMA)]
+    if small:
+        parts.append(_archives(spark, directory, small).select("path", "content").mapInArrow(extract, LINES_SCHEMA))
+    if big:  # only the paths: the scan reads no content; a big file gets a task of its own
+        parts.append(_archives(spark, directory, big).select("path").mapInArrow(extract, LINES_SCHEMA))
+    return reduce(lambda a, b: a.unionByName(b), parts)

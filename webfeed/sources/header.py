@@ -45,15 +45,16 @@ def _header_columns(_app_id: str) -> list:
             F.when(F.col("line_no") == DAMAGED, F.col("line")).alias("damage")]
 
 
-def archive_headers(spark: SparkSession, directory: str, archives: list[str]) -> DataFrame:
-    """Sanitised header of each archive (lazy)."""
-    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER], max_lines=1)
+def archive_headers(spark: SparkSession, directory: str, archives: list[str],
+                    sizes: dict[str, int | None] | None = None) -> DataFrame:
+    """Sanitised header of each archive (lazy); ``sizes`` as listed in the manifests."""
+    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER], max_lines=1, sizes=sizes)
     return lines.select(*_header_columns(spark.sparkContext.applicationId))
 
 
 def delivery_headers(spark: SparkSession, directory: str, deliveries: list[Delivery]) -> DataFrame:
     """``delivery_date, archive_name, header, header_found`` per delivery (lazy)."""
-    first = archive_headers(spark, directory, [d.archive for d in deliveries])
+    first = archive_headers(spark, directory, [d.archive for d in deliveries], archive_sizes(deliveries))
     owners = spark.createDataFrame(
         [(d.delivery_date, d.archive, _base(d.archive)) for d in deliveries],
         T.StructType([T.StructField("delivery_date", T.DateType()),
@@ -71,16 +72,22 @@ def _check_damage(rows, skip_damaged: bool) -> None:
         raise DeliveryError("lookup archive cannot be unpacked: " + "; ".join(damaged))
 
 
+def archive_sizes(deliveries: list[Delivery]) -> dict[str, int | None]:
+    """Archive name -> size listed in its manifest."""
+    return {d.archive: d.archive_size for d in deliveries}
+
+
 def collect_headers(spark: SparkSession, directory: str, archives: list[str],
                     direct_limit: int = DIRECT_HEADER_ARCHIVES,
-                    skip_damaged: bool = False) -> dict[str, list[str] | None]:
+                    skip_damaged: bool = False,
+                    sizes: dict[str, int | None] | None = None) -> dict[str, list[str] | None]:
     """Archive base name -> header (``None`` when it has no header member).
 
     A damaged archive raises :class:`DeliveryError`, or maps to ``None`` with
     ``skip_damaged``.
     """
     archives = sorted(set(archives))
-    h = archive_headers(spark, directory, archives)
+    h = archive_headers(spark, directory, archives, sizes)
     if len(archives) <= direct_limit:
         rows = h.collect()
         _check_damage(rows, skip_damaged)

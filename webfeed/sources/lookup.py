@@ -54,5 +54,5 @@ def read_lookup(spark: SparkSession, directory: str, feedname: str, name: str, *
         enforce(validation_report(spark, directory, deliveries, check_records=False), deliveries,
                 check_total=False)
     latest = max(deliveries, key=lambda d: d.delivery_date)
-    lines = archive_lines(spark, directory, [latest.archive], [name])
+    lines = archive_lines(spark, directory, [latest.archive], [name], sizes={latest.archive: latest.archive_size})
     return lookup_from_lines(lines, f"{name} in {latest.archive}")

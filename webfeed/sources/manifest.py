@@ -150,6 +150,11 @@ class Delivery:
     def archive(self) -> str:
         return self.lookup_files[0]["name"]
 
+    @property
+    def archive_size(self) -> int | None:
+        """The archive's size as listed in the manifest (None when unreadable)."""
+        return self.lookup_files[0]["size"]
+
 
 def load_deliveries(spark: SparkSession, directory: str, feedname: str,
                     sel: DateSelection | None = None) -> list[Delivery]:
