@@ -61,3 +61,16 @@ def test_days_split_into_bounded_files(spark, duck, monkeypatch):
         res = duck.execute(oracles[name])
         onames = [d[0] for d in res.description]
         assert rows_of(df.columns, df.collect()) == rows_of(onames, res.fetchall()), name
+
+
+@pytest.mark.parametrize("name", ["feed_single_date", "feed_validated_daily_pages", "feed_delivery_date"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, feeds, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        got = rows_of(df.columns, df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = duck.sql(E.oracle_sql()[name])
+    assert got == rows_of(rel.columns, rel.fetchall())
