@@ -148,3 +148,17 @@ def test_many_dates_list_once_and_read_only_those(spark, workdir):
     got = manifests(spark, workdir, "f", many).select("delivery_date")
     assert sorted(r.delivery_date for r in got.collect()) == days[:DIRECT_NAME_DATES + 5]
     assert _scan_metrics(got) == [DIRECT_NAME_DATES + 5]
+
+
+def test_manifest_name_without_a_calendar_day(spark, workdir):
+    """Month 13 matches the name pattern but is no date: a manifest problem, not a parse crash."""
+    from webfeed import read_feed
+
+    write_delivery(workdir, "f", "2024-01-01", [row(1)])
+    with open(f"{workdir}/f_2024-13-45.txt", "w") as fh:
+        fh.write("junk\n")
+    bad = [r for r in manifests(spark, workdir, "f").collect() if r.delivery_date is None]
+    assert [(r.manifest_name, "file name has no valid date" in r.problems) for r in bad] == [("f_2024-13-45.txt", True)]
+    with pytest.raises(ManifestError, match="f_2024-13-45.txt"):
+        read_feed(spark, workdir, "f")
+    assert read_feed(spark, workdir, "f", start="2024-01-01", end="2024-01-01").count() == 1

@@ -89,4 +89,5 @@ def data_entries(text: Column) -> Column:
 
 
 def manifest_date(file_name: Column) -> Column:
-    return F.to_date(F.regexp_extract(file_name, MANIFEST_DATE, 1), "yyyy-MM-dd")
+    """Delivery day from a manifest file name; NULL when it is no calendar day (e.g. month 13)."""
+    return F.try_to_date(F.regexp_extract(file_name, MANIFEST_DATE, 1), "yyyy-MM-dd")

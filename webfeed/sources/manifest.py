@@ -117,6 +117,7 @@ def _parse_columns(_app_id: str) -> dict[str, list]:
     n_lk, n_dt = F.size("lookup_files"), F.size("data_files")
     has = F.col("has_metadata")
     checks = [
+        F.when(F.col("delivery_date").isNull(), F.lit("file name has no valid date")),
         F.when(~has, F.lit("no metadata block")),
         F.when(has & (F.col("n_lookup_files").isNull() | F.col("n_data_files").isNull()
                       | F.col("total_records").isNull()),
@@ -163,7 +164,7 @@ def load_deliveries(spark: SparkSession, directory: str, feedname: str,
     found = [Delivery(r.feedname, r.delivery_date, r.manifest_name, r.total_records,
                       tuple(e.asDict() for e in r.lookup_files), tuple(e.asDict() for e in r.data_files),
                       tuple(r.problems)) for r in rows]
-    return sorted(found, key=lambda d: d.delivery_date)
+    return sorted(found, key=lambda d: (d.delivery_date is not None, d.delivery_date or date.min))
 
 
 def check_deliveries(found: list[Delivery], directory: str, feedname: str, sel: DateSelection,

@@ -28,7 +28,8 @@ def _new_days(batch: DataFrame, feedname: str) -> list:
     name_re = "^" + paths.java_regex_literal(feedname) + r"_\d{4}-\d{2}-\d{2}\.txt$"
     return sorted(r.d for r in batch.select(F.col("manifest_name").alias("n"))
                   .where(F.col("n").rlike(name_re))
-                  .select(manifest_date(F.col("n")).alias("d")).distinct().collect())
+                  .select(manifest_date(F.col("n")).alias("d")).where(F.col("d").isNotNull())
+                  .distinct().collect())
 
 
 def ingest_deliveries(spark: SparkSession, directory: str, feedname: str, target: str, *,
