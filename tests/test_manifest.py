@@ -162,3 +162,7 @@ def test_manifest_name_without_a_calendar_day(spark, workdir):
     with pytest.raises(ManifestError, match="f_2024-13-45.txt"):
         read_feed(spark, workdir, "f")
     assert read_feed(spark, workdir, "f", start="2024-01-01", end="2024-01-01").count() == 1
+    from webfeed.operators import reports
+    assert reports.schema_drift(spark, workdir, "f").count() == 0
+    assert [r.missing_date for r in reports.delivery_gaps(spark, workdir, "f").collect()] == []
+    assert len(reports.feed_validation(spark, workdir, "f").collect()) == 2

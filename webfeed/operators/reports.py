@@ -55,7 +55,8 @@ def schema_drift(spark: SparkSession, directory: str, feedname: str,
     The canonical header is read first (normally from one archive) and enters
     the report as a literal; the report itself is one lazy header job.
     """
-    deliveries = [d for d in load_deliveries(spark, directory, feedname, sel) if d.lookup_files]
+    deliveries = [d for d in load_deliveries(spark, directory, feedname, sel)
+                  if d.lookup_files and d.delivery_date is not None]
     schema = ("delivery_date date, header_found boolean, n_columns int, missing_columns array<string>, "
               "extra_columns array<string>, duplicated_columns array<string>, reordered boolean")
     if not deliveries:
