@@ -143,3 +143,23 @@ def test_damaged_archive_in_distinct_header_path(spark, workdir):
     assert got["f_2024-01-02-lookup_data.tar.gz"] is None
     assert got["f_2024-01-01-lookup_data.tar.gz"] == [h.replace(" ", "_").replace("(", "_").replace(")", "_")
                                                       .replace("=", "_") for h in HEADER]
+
+
+def test_empty_data_file_exists_and_validates(spark, workdir):
+    """Scans skip zero-byte files; the file index still knows them."""
+    import hashlib
+
+    from webfeed import read_feed
+
+    def empty_second(m):
+        m["data"][1].update(md5=hashlib.md5(b"").hexdigest(), size=0, records=0)
+        m["total"] = m["data"][0]["records"]
+    write_delivery(workdir, "f", "2024-01-01", [row(1), row(2)], files=2, manifest_edit=empty_second)
+    open(f"{workdir}/02-f_2024-01-01.tsv.gz", "wb").close()
+    assert read_feed(spark, workdir, "f", validate=True).count() == 1
+    write_delivery(workdir, "f", "2024-01-02", [row(3), row(4)], files=2)
+    import os
+    os.remove(f"{workdir}/01-f_2024-01-02.tsv.gz")   # a missing file alongside the empty one
+    rows = {r.file_name: r for r in reports.feed_validation(spark, workdir, "f").collect()}
+    assert rows["02-f_2024-01-01.tsv.gz"].ok and rows["02-f_2024-01-01.tsv.gz"].actual_size == 0
+    assert not rows["01-f_2024-01-02.tsv.gz"].file_exists and rows["02-f_2024-01-02.tsv.gz"].ok

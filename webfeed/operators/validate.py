@@ -10,7 +10,9 @@ manifests::
 
 All work is Spark jobs:
 
-* presence and size come from the ``binaryFile`` file index (no content read);
+* presence comes from the ``binaryFile`` file index (no content read, no job);
+  size and digest from one scan of it. Spark's scans skip zero-byte files, so a
+  listed file with no scan row is empty: size 0, the digest of no bytes;
 * digests of files up to ``md5_inline_max_bytes`` are ``md5(content)`` in the
   JVM, many files per task; larger files are streamed through ``hashlib`` in
   Python tasks in 8 MiB chunks, one file per task, so memory stays flat however
@@ -28,6 +30,9 @@ run side by side. Only one summary row per delivery reaches the driver
 
 from __future__ import annotations
 
+import hashlib
+from urllib.parse import unquote
+
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -53,41 +58,40 @@ EXPECTED_SCHEMA = T.StructType([
     T.StructField("expected_size", T.LongType()),
     T.StructField("expected_md5", T.StringType()),
     T.StructField("expected_records", T.LongType()),
+    T.StructField("file_exists", T.BooleanType()),
 ])
+# MD5 of zero bytes: the digest of an empty file, which scans return no row for.
+EMPTY_MD5 = hashlib.md5(b"").hexdigest()
+
 
 def _base(name: str) -> str:
     return name.rsplit("/", 1)[-1]
 
 
 def expected_files(spark: SparkSession, deliveries: list[Delivery],
-                   kinds: tuple[str, ...] = ("data", "lookup")) -> DataFrame:
-    """Files the manifests promise (metadata rows, one per listed file)."""
+                   kinds: tuple[str, ...] = ("data", "lookup"), present: set[str] = frozenset()) -> DataFrame:
+    """Files the manifests promise (metadata rows, one per listed file); ``file_exists``
+    when the base name is in ``present``."""
     rows = []
     for d in deliveries:
         if "data" in kinds:
             rows += [(d.delivery_date, "data", f["name"], _base(f["name"]), f["size"], f["md5"],
-                      f["record_count"]) for f in d.data_files]
+                      f["record_count"], _base(f["name"]) in present) for f in d.data_files]
         if "lookup" in kinds:
-            rows += [(d.delivery_date, "lookup", f["name"], _base(f["name"]), f["size"], f["md5"], None)
-                     for f in d.lookup_files]
+            rows += [(d.delivery_date, "lookup", f["name"], _base(f["name"]), f["size"], f["md5"], None,
+                      _base(f["name"]) in present) for f in d.lookup_files]
     return spark.createDataFrame(rows, EXPECTED_SCHEMA)
 
 
-def list_files(spark: SparkSession, directory: str, names: list[str]) -> list[tuple[str, int]]:
-    """(qualified path, length) of the named files that exist; reads no content."""
-    if not names:
-        return []
-    try:
-        files = spark.read.format("binaryFile").load(paths.any_of(directory, names))
-    except AnalysisException:
-        return []
-    return [(r.path, r.length) for r in files.select("path", "length").collect()]
+def _indexed(files: DataFrame) -> set[str]:
+    """Base names of the files in a relation's index (empty files included; no job)."""
+    return {unquote(p.rsplit("/", 1)[-1]) for p in files.inputFiles()}
 
 
 def _file_scan(spark: SparkSession, directory: str, names: list[str]) -> tuple[DataFrame | None, set[str]]:
     """``binaryFile`` relation over the named files that exist, and their base names.
 
-    Normally every file exists and the scan is built without a listing job
+    Normally every file exists and the scan is built from the names directly
     (the reader checks existence itself); only when some are missing is the
     folder globbed once to find the ones that are there.
     """
@@ -95,11 +99,15 @@ def _file_scan(spark: SparkSession, directory: str, names: list[str]) -> tuple[D
         return None, set()
     reader = spark.read.format("binaryFile")
     try:
-        return reader.load(paths.literal_paths(directory, names)), {_base(n) for n in names}
+        files = reader.load(paths.literal_paths(directory, names))
+        return files, _indexed(files)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-    present = {_base(p) for p, _ in list_files(spark, directory, names)}
+    try:
+        present = _indexed(reader.load(paths.any_of(directory, names)))
+    except AnalysisException:
+        return None, set()
     existing = [n for n in names if _base(n) in present]
     if not existing:
         return None, set()
@@ -169,7 +177,6 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
     known on the driver, so it is broadcast when both are small
     (:mod:`~webfeed.plans.broadcast`) and shuffled otherwise.
     """
-    expected = expected_files(spark, deliveries, kinds)
     names = sorted({f["name"] for d in deliveries
                     for kind, files in (("data", d.data_files), ("lookup", d.lookup_files))
                     if kind in kinds for f in files})
@@ -180,6 +187,7 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
         return bounded_broadcast(df, n, per_row)
 
     files, present = _file_scan(spark, directory, names)
+    expected = expected_files(spark, deliveries, kinds, present)
     if files is None:
         files = spark.createDataFrame([], "path string, length bigint, content binary")
     # size and digest of each file in one pass over the binaryFile relation
@@ -198,19 +206,23 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
     else:
         report = report.withColumn("actual_records", F.lit(None).cast("bigint"))
 
-    exists = F.col("actual_size").isNotNull()
+    exists = F.col("file_exists")
+    empty = exists & F.col("actual_size").isNull()  # listed in the index, no scan row
     is_data = F.col("kind") == "data"
-    size_ok = exists & (F.col("actual_size") == F.col("expected_size"))
-    md5_ok = (exists & (F.col("actual_md5") == F.col("expected_md5"))) if check_md5 \
+    actual_size = F.when(exists, F.coalesce("actual_size", F.lit(0)).cast("bigint"))
+    actual_md5 = F.when(empty, F.lit(EMPTY_MD5)).otherwise(F.col("actual_md5")) if check_md5 \
+        else F.lit(None).cast("string")
+    size_ok = exists & (actual_size == F.col("expected_size"))
+    md5_ok = (exists & (actual_md5 == F.col("expected_md5"))) if check_md5 \
         else F.lit(None).cast("boolean")
     actual_records = F.when(is_data & exists, F.coalesce("actual_records", F.lit(0)).cast("bigint"))
     records_ok = (F.when(is_data, exists & (actual_records == F.col("expected_records")))
                   if check_records else F.lit(None).cast("boolean"))
     ok = size_ok & F.coalesce(md5_ok, F.lit(True)) & F.coalesce(records_ok, F.lit(True))
     return report.select(
-        "delivery_date", "kind", "file_name", exists.alias("file_exists"),
-        "expected_size", "actual_size", size_ok.alias("size_ok"),
-        "expected_md5", "actual_md5", md5_ok.alias("md5_ok"),
+        "delivery_date", "kind", "file_name", "file_exists",
+        "expected_size", actual_size.alias("actual_size"), size_ok.alias("size_ok"),
+        "expected_md5", actual_md5.alias("actual_md5"), md5_ok.alias("md5_ok"),
         "expected_records", actual_records.alias("actual_records"),
         records_ok.alias("records_ok"), ok.alias("ok"),
     )
