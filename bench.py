@@ -4,7 +4,10 @@
 
 Builds the test deliveries first (timed apart, ``fixture_build_sec``), runs
 every query once to warm up, then times ``BENCH_REPEATS`` runs (default 3) and
-reports the median per query. Prints one JSON line.
+reports the median per query. ``control_sec`` times a fixed plain Spark job
+(``spark.range`` aggregation, not part of ``value``) the same way: the host's
+speed drifts a lot, and the ratio to this control compares runs made at
+different times. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -76,6 +79,17 @@ def main() -> None:
             samples.append(time.perf_counter() - t)
         times[name] = round(statistics.median(samples), 4)
 
+    def control(s):
+        return s.range(0, 20_000_000, numPartitions=cpus).selectExpr("sum(id % 7) AS s", "count(*) AS n").collect()
+
+    control(spark)
+    samples = []
+    for _ in range(repeats):
+        t = time.perf_counter()
+        control(spark)
+        samples.append(time.perf_counter() - t)
+    control_sec = round(statistics.median(samples), 4)
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "feed_queries_total_sec",
@@ -84,6 +98,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else None,
         "fixture_build_sec": round(build_sec, 3),
+        "control_sec": control_sec,
         "cpus": cpus,
         "repeats": repeats,
     }))
