@@ -24,3 +24,21 @@ def test_ingest_new_deliveries(spark, workdir):  # E2
     df = spark.read.parquet(target)
     assert sorted((r.hitid_low, r.delivery_date.day) for r in df.collect()) == \
         [(1, 1), (2, 1), (3, 2), (4, 3), (5, 3)]
+
+
+def test_ingest_stops_on_a_bad_delivery_and_resumes(spark, workdir):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    target = new_scratch_path(spark, "ingest-target")
+    chk = new_scratch_path(spark, "ingest-checkpoint")
+
+    def wrong_total(m):
+        m["total"] += 1
+    write_delivery(workdir, "f", "2024-01-01", [row(1)])
+    write_delivery(workdir, "f", "2024-01-02", [row(2)], manifest_edit=wrong_total)
+    with pytest.raises(StreamingQueryException, match="Total-Records"):
+        ingest_deliveries(spark, workdir, "f", target, checkpoint=chk, validate=True).awaitTermination()
+    write_delivery(workdir, "f", "2024-01-02", [row(2)])   # the vendor re-delivers the day
+    ingest_deliveries(spark, workdir, "f", target, checkpoint=chk, validate=True).awaitTermination()
+    assert sorted((r.hitid_low, r.delivery_date.day) for r in spark.read.parquet(target).collect()) == [(1, 1), (2, 2)]
