@@ -212,3 +212,16 @@ def test_file_listed_by_two_deliveries(spark, workdir):
     assert read_feed(spark, workdir, "f", validate=True).count() == 5  # each listing's count is right
     with pytest.raises(ManifestError, match="01-f_2024-01-01.tsv.gz"):
         read_feed(spark, workdir, "f", with_delivery_date=True)
+
+
+def test_byte_order_marks(spark, workdir):
+    """A UTF-8 byte-order mark does not rename the first column or hide the metadata block."""
+    write_delivery(workdir, "f", "2024-01-05", [row(1)], header_text="\ufeff" + "\t".join(HEADER) + "\n")
+    manifest = f"{workdir}/f_2024-01-05.txt"
+    with open(manifest, encoding="utf-8") as fh:
+        text = fh.read()
+    with open(manifest, "w", encoding="utf-8") as fh:
+        fh.write("\ufeff" + text)
+    df = read_feed(spark, workdir, "f", validate=True)
+    assert df.columns[0] == "hitid_high" and dict(df.dtypes)["hitid_high"] == "bigint"
+    assert df.first().hitid_low == 1

@@ -25,8 +25,9 @@ _EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
 def normalized_text(value: Column) -> Column:
-    """Line ends as ``\\n`` (CR LF and lone CR too), with a final ``\\n``."""
-    lf = F.regexp_replace(value, r"\r\n|\r", "\n")
+    """Line ends as ``\\n`` (CR LF and lone CR too), with a final ``\\n``; a leading
+    byte-order mark removed."""
+    lf = F.regexp_replace(F.regexp_replace(value, "^\ufeff", ""), r"\r\n|\r", "\n")
     return F.when((lf == "") | lf.endswith("\n"), lf).otherwise(F.concat(lf, F.lit("\n")))
 
 

@@ -76,7 +76,7 @@ def sanitized_header(text: Column) -> Column:
     Line ends are stripped before splitting, so the last name does not pick up a
     trailing underscore from the final newline.
     """
-    first_line = F.regexp_extract(text, r"^([^\r\n]*)", 1)
+    first_line = F.regexp_extract(text, "^\ufeff?([^\r\n]*)", 1)  # without a byte-order mark
     names = F.split(first_line, "\t")
     return F.transform(names, lambda n: F.regexp_replace(n, HEADER_SANITIZE_PATTERN, "_"))
 
