@@ -139,8 +139,9 @@ def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
     wanted = frozenset(members)
     ship_package(spark)
     sizes = sizes or {}
-    big = [n for n in archive_names if n in sizes and (sizes[n] is None or sizes[n] > inline_max_bytes)]
-    small = [n for n in archive_names if n not in set(big)]
+    streamed = {n for n in archive_names if n in sizes and (sizes[n] is None or sizes[n] > inline_max_bytes)}
+    big = [n for n in archive_names if n in streamed]
+    small = [n for n in archive_names if n not in streamed]
     extract = _extractor(wanted, max_lines)
     parts = [] if archive_names else [spark.createDataFrame([], LINES_SCHEMA)]
     if small:
