@@ -127,7 +127,7 @@ def test_missing_data_file(spark, workdir):
     write_delivery(workdir, "f", "2024-01-01", [row(i) for i in range(4)], files=2, skip_files=(1,))
     with pytest.raises(ValidationError, match="file missing"):
         read_feed(spark, workdir, "f", validate=True)
-    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+    with pytest.raises(DeliveryError, match="02-f_2024-01-01.tsv.gz"):
         read_feed(spark, workdir, "f").count()
 
 

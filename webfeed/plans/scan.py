@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,10 +64,16 @@ class FeedScanPlan:
         these relations instead of listing again.
         """
         if self._scans is None:
-            self._scans = [spark.read.schema(feed_schema(g.columns, self.column_types))
-                           .options(**CSV_OPTIONS)
-                           .csv(paths.literal_paths(self.directory, g.files))
-                           for g in self.groups if g.files]
+            try:
+                self._scans = [spark.read.schema(feed_schema(g.columns, self.column_types))
+                               .options(**CSV_OPTIONS)
+                               .csv(paths.literal_paths(self.directory, g.files))
+                               for g in self.groups if g.files]
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                    raise
+                raise DeliveryError("a data file listed in a manifest is missing (validate=True names every "
+                                    f"bad file): {str(e).splitlines()[0]}") from None
         return self._scans
 
     def to_dataframe(self, spark: SparkSession, with_delivery_date: bool = False) -> DataFrame:
