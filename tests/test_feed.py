@@ -225,3 +225,14 @@ def test_byte_order_marks(spark, workdir):
     df = read_feed(spark, workdir, "f", validate=True)
     assert df.columns[0] == "hitid_high" and dict(df.dtypes)["hitid_high"] == "bigint"
     assert df.first().hitid_low == 1
+
+
+def test_delivery_date_plan_keeps_pushdown_and_broadcasts_the_file_table(spark, workdir):
+    write_delivery(workdir, "f", "2024-01-05", [row(i, page="home" if i % 2 else "cart") for i in range(6)], files=2)
+    q = (read_feed(spark, workdir, "f", with_delivery_date=True)
+         .where("pagename = 'home'").groupBy("delivery_date").count())
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(pagename), EqualTo(pagename,home)]" in plan
+    assert "ReadSchema: struct<pagename:string>" in plan
+    assert "BroadcastHashJoin" in plan and "Python" not in plan
+    assert [(r.delivery_date.day, r["count"]) for r in q.collect()] == [(5, 3)]
