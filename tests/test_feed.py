@@ -236,3 +236,10 @@ def test_delivery_date_plan_keeps_pushdown_and_broadcasts_the_file_table(spark,
     assert "ReadSchema: struct<pagename:string>" in plan
     assert "BroadcastHashJoin" in plan and "Python" not in plan
     assert [(r.delivery_date.day, r["count"]) for r in q.collect()] == [(5, 3)]
+
+
+def test_trailing_tab_in_header_makes_no_column(spark, workdir):
+    write_delivery(workdir, "f", "2024-01-05", [row(1)], header_text="\t".join(HEADER) + "\t\n")
+    df = read_feed(spark, workdir, "f")
+    assert df.columns[-1] == "curr_rate" and len(df.columns) == len(HEADER)
+    assert df.first().curr_rate == 1.5

@@ -73,10 +73,12 @@ def feed_schema(names: Sequence[str],
 def sanitized_header(text: Column) -> Column:
     """``column_headers.tsv`` text -> array of clean column names.
 
-    Line ends are stripped before splitting, so the last name does not pick up a
-    trailing underscore from the final newline.
+    Line ends and trailing tabs are stripped before splitting, so the last name
+    does not pick up a trailing underscore from the final newline and no empty
+    name is made from a final tab.
     """
     first_line = F.regexp_extract(text, "^\ufeff?([^\r\n]*)", 1)  # without a byte-order mark
-    names = F.split(first_line, "\t")
+    # trailing tabs name no column (an empty last name would become a column called "")
+    names = F.split(F.regexp_replace(first_line, "\t+$", ""), "\t")
     return F.transform(names, lambda n: F.regexp_replace(n, HEADER_SANITIZE_PATTERN, "_"))
 
