@@ -223,8 +223,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return pages_one_day(spark, SMOKE_DIR)
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and oracles of ``webfeed.llm`` and the corpus pipeline; none where those are not installed."""
+    try:
+        from webfeed.llm import registry
+    except ModuleNotFoundError as e:
+        if e.name not in ("webfeed.llm", "webfeed.llm.registry"):
+            raise
+        return {}, {}
+    found, oracles = dict(registry.QUERIES), dict(registry.ORACLES)
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline":
+            raise
+    else:
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _llm()[0]
 
 
 # --- oracles -----------------------------------------------------------------
@@ -372,4 +393,4 @@ def _oracles(per_file: int = ROWS_PER_FILE) -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    return _oracles() | _llm()[1]
