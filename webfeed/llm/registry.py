@@ -1,11 +1,15 @@
 """Queries of this subpackage for the driver contract, and their oracle SQL."""
 
-from webfeed.llm import topk
+from webfeed.llm import jaccard_join, licenses, topk
 
 QUERIES = {
+    "op7_license_scan": licenses.op7_license_scan,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op10_voronoi_top_k": topk.op10_voronoi_top_k,
 }
 
 ORACLES = {
+    "op7_license_scan": licenses.ORACLE_SQL,
+    "op8_jaccard_join": jaccard_join.ORACLE_SQL,
     "op10_voronoi_top_k": topk.ORACLE_SQL,
 }

@@ -31,14 +31,23 @@ def with_key(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def keep_columns(docs: DataFrame, decided: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined to ``decided`` (doc_id, k1, k2) by row key, semi or anti; only columns of ``docs``."""
-    k1, k2 = text_hashes(F.col("text"))
-    left = docs.withColumns({OWN + "id": F.col("doc_id").cast("long"), OWN + "k1": k1, OWN + "k2": k2})
-    d = decided.select(F.col("doc_id").alias(OWN + "d"), F.col("k1").alias(OWN + "d1"), F.col("k2").alias(OWN + "d2"))
-    on = (F.col(OWN + "k1") == F.col(OWN + "d1")) & (F.col(OWN + "k2") == F.col(OWN + "d2")) \
-        & F.col(OWN + "id").eqNullSafe(F.col(OWN + "d"))
-    return left.join(d, on, how).drop(OWN + "id", OWN + "k1", OWN + "k2")
+def _key_columns(df: DataFrame, k1: Column, k2: Column, prefix: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with the row key as four columns that are never null."""
+    doc_id = F.col("doc_id").cast("long")
+    added = {"i": F.coalesce(doc_id, F.lit(0)), "z": doc_id.isNull(), "k1": k1, "k2": k2}
+    return df.withColumns({prefix + n: c for n, c in added.items()}), [prefix + n for n in added]
+
+
+def keep_columns(docs: DataFrame, decided: DataFrame, how: str, once: bool = False) -> DataFrame:
+    """``docs`` joined to ``decided`` (doc_id, k1, k2) by row key, semi or anti; only columns of ``docs``.
+
+    ``once``: of rows with one key one stays.
+    """
+    left, mine = _key_columns(docs, *text_hashes(F.col("text")), OWN)
+    right, theirs = _key_columns(decided, F.col("k1"), F.col("k2"), OWN + "d")
+    joined = left.join(right.select(*theirs),
+                       [F.col(a) == F.col(b) for a, b in zip(mine, theirs, strict=True)], how)
+    return (joined.dropDuplicates(mine) if once else joined).drop(*mine)
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
