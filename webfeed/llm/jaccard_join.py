@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webfeed.llm import words as W
-from webfeed.llm.tables import components, keep_columns, table, with_key, written
+from webfeed.llm.tables import bit_filter, components, keep_columns, table, with_key, written
 
 NGRAM, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
@@ -260,20 +260,34 @@ def _blocked(rows: DataFrame, size: str, block: int) -> DataFrame:
     return out.repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj")
 
 
-def _shingle_blobs(ngram: int):
+def _key_hash(doc_id: pa.Array, k1: np.ndarray) -> np.ndarray:
+    known = doc_id.fill_null(0).to_numpy().view(np.uint64)
+    return W.mix(known + np.uint64(1)) ^ W.mix(k1.view(np.uint64))
+
+
+def _wanted_sets(ngram: int, bits):
+    """Task: keys and text -> shingle sets of the rows whose key the filter lets through."""
     def task(batches):
+        known = W.BitFilter(np.frombuffer(bits.value, np.uint8))
         hasher = W.Hasher()
         for batch in batches:
-            blobs = []
-            for _, hashes, first in W.row_chunks(hasher, batch.column("text")):
+            on = known.holds(_key_hash(batch.column("doc_id"), batch.column("k1").to_numpy()))
+            part = batch.take(pa.array(on))
+            for lo, hashes, first in W.row_chunks(hasher, part.column("text")):
                 found, at = W.shingles(hashes, first, ngram)
-                blobs += [found[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("bucket"), batch.column("n"),
-                                              batch.column("copies"), pa.array(blobs, pa.binary())],
-                                             names=["rep", "bucket", "n", "copies", "shingles"])
+                blobs = [found[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c).slice(lo, len(blobs)) for c in ("doc_id", "k1", "k2")),
+                     pa.array(blobs, pa.binary())], names=["doc_id", "k1", "k2", "shingles"])
     return task
 
 
+def _key_hashes(batches):
+    for b in batches:
+        h = _key_hash(b.column("doc_id"), b.column("k1").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["hash"])
+
+
 def jaccard_classes(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD,
                     bands: int = BANDS, rows: int = ROWS, tolerance: float = TOLERANCE) -> DataFrame:
     """(doc_id, k1, k2, class_id, n_links, stays) of every row.
@@ -302,10 +316,12 @@ def jaccard_classes(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRE
     groups = groups.join(groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
     wanted = written(spark, groups.join(reps.select("rep", "key", "copies"), "rep")
                      .select("rep", "bucket", "n", "copies", "key.*"), "groups")
-    texts = keyed.join(wanted.withColumnRenamed("doc_id", "d"), ["k1", "k2"]) \
-        .where(F.col("doc_id").eqNullSafe(F.col("d"))).select("rep", "bucket", "n", "copies", "text") \
-        .dropDuplicates(["rep"])
-    blobs = texts.mapInArrow(_shingle_blobs(ngram), "rep long, bucket long, n long, copies long, shingles binary")
+    # Only the sets of representatives in groups are shuffled; the filter spares the other texts.
+    bits = spark.sparkContext.broadcast(bit_filter(wanted.select("doc_id", "k1").mapInArrow(_key_hashes, "hash long")))
+    own = keyed.mapInArrow(_wanted_sets(ngram, bits), "doc_id long, k1 long, k2 long, shingles binary")
+    blobs = own.join(wanted.withColumnRenamed("doc_id", "d"), ["k1", "k2"]) \
+        .where(F.col("doc_id").eqNullSafe(F.col("d"))).dropDuplicates(["rep"]) \
+        .select("rep", "bucket", "n", "copies", "shingles")
     verified = written(spark, _blocked(blobs, "n", GROUP_BLOCK).mapInArrow(
         _verify(threshold), "rep long, links long, root long"), "verified")
     links = verified.groupBy("rep").agg(F.sum("links").alias("links"))

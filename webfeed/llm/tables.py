@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webfeed.llm import words as W
 from webfeed.session import new_scratch_path
 
 #: Prefix of working columns that stand beside a caller's columns.
@@ -57,6 +59,14 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bit_filter(hashes: DataFrame) -> bytes:
+    """Bits of a ``words.BitFilter`` over a column ``hash``; as many bytes whatever the rows, from at most 8 parts."""
+    bits = W.BitFilter.empty()
+    for part in hashes.coalesce(8).mapInArrow(W.filter_parts, "bits binary").toLocalIterator():
+        bits |= np.frombuffer(part["bits"], np.uint8)
+    return bits.tobytes()
+
+
 def components(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, label): connected components of undirected ``edges``; the label is the smallest node.
 

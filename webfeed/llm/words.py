@@ -150,3 +150,43 @@ def shingles(words: np.ndarray, first: np.ndarray, size: int, salt: int = 2) ->
     new[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1])
     row, found = row[new], found[new]
     return found, np.searchsorted(row, np.arange(rows + 1))
+
+
+class BitFilter:
+    """A fixed number of bits that remembers 64-bit hashes: no hash is missed, few others pass."""
+
+    def __init__(self, bits: np.ndarray):
+        self.table = bits
+
+    SIZE, PROBES = 1 << 25, 3
+
+    @classmethod
+    def _places(cls, h: np.ndarray, probe: int) -> tuple[np.ndarray, np.ndarray]:
+        at = mix(h + np.uint64(probe)) % np.uint64(cls.SIZE)
+        return (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
+
+    @classmethod
+    def empty(cls) -> np.ndarray:
+        return np.zeros(cls.SIZE // 8, np.uint8)
+
+    @classmethod
+    def add(cls, bits: np.ndarray, h: np.ndarray) -> None:
+        for probe in range(cls.PROBES):
+            place, bit = cls._places(h, probe)
+            np.bitwise_or.at(bits, place, np.uint8(1) << bit)
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        """Places in ``h`` of hashes that may have been added."""
+        left = np.arange(len(h))
+        for probe in range(self.PROBES):
+            place, bit = self._places(h[left], probe)
+            left = left[(self.table[place] >> bit) & 1 == 1]
+        return left
+
+
+def filter_parts(batches):
+    """Task: a column ``hash`` of longs -> the bits of a filter."""
+    bits = BitFilter.empty()
+    for b in batches:
+        BitFilter.add(bits, b.column("hash").to_numpy().view(np.uint64))
+    yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
