@@ -29,13 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webfeed.llm import words as W
-from webfeed.llm.tables import keep_columns, table, text_hashes, with_key, written
+from webfeed.llm.tables import bit_filter, keep_columns, table, text_hashes, with_key, written
 
 #: Ones are the word places that are hashed.
 MASKS = ("1111000101", "10000011111", "110010001101", "11100111")
 WINDOW, AGREE, MIN_ITEM_WORDS = 20, 0.8, 12
-#: Bits of the filter over test seeds, and bits set for each.
-FILTER_BITS, PROBES = 1 << 25, 3
 #: Test seeds that may be sent to every task (24 bytes each).
 BROADCAST_SEEDS = 1_000_000
 
@@ -54,11 +52,6 @@ def seeds(words: np.ndarray, first: np.ndarray, masks: tuple[str, ...]):
         yield W.mix(h[at]), rows[at], at - first[rows[at]]
 
 
-def _bits(h: np.ndarray) -> np.ndarray:
-    """Filter bits of seeds, PROBES for each."""
-    return np.stack([W.mix(h + np.uint64(p)) % np.uint64(FILTER_BITS) for p in range(PROBES)])
-
-
 def _item_seeds(batches):
     hasher = W.Hasher()
     for b in batches:
@@ -80,31 +73,17 @@ def _item_words(batches):
                                          names=["item", "item_id", "item_words"])
 
 
-def _filter_parts(batches):
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for b in batches:
-        h = b.column("seed").to_numpy().view(np.uint64)
-        for at in _bits(h):
-            np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64),
-                             np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-    yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
-
-
 def _hit_docs(bits):
     """Task: documents with seeds that the filter lets through -> their words and those seeds."""
     def task(batches):
-        table_bits = np.frombuffer(bits.value, np.uint8)
+        known = W.BitFilter(np.frombuffer(bits.value, np.uint8))
         hasher = W.Hasher()
         for b in batches:
             for lo, hashes, first in W.row_chunks(hasher, b.column("text")):
                 found = []
                 for h, row, at in seeds(hashes, first, MASKS):
-                    for p in range(PROBES):
-                        bit = W.mix(h + np.uint64(p)) % np.uint64(FILTER_BITS)
-                        on = (table_bits[(bit >> np.uint64(3)).astype(np.int64)]
-                              >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                        h, row, at = h[on], row[on], at[on]
-                    found.append((h, row, at))
+                    on = known.holds(h)
+                    found.append((h[on], row[on], at[on]))
                 h, row, at = (np.concatenate(x) for x in zip(*found, strict=True))
                 if not len(h):
                     continue
@@ -167,10 +146,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, agree:
                     .where(F.length("item_words") >= 8 * MIN_ITEM_WORDS), "item-words")
     long_enough = items.join(words.select("item"), "item", "left_semi")
     test = written(spark, long_enough.mapInArrow(_item_seeds, "seed long, item long, place int"), "item-seeds")
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for part in test.select("seed").distinct().coalesce(8).mapInArrow(_filter_parts, "bits binary").toLocalIterator():
-        bits |= np.frombuffer(part["bits"], np.uint8)  # as many bytes as the filter, from at most 8 parts
-    sent = spark.sparkContext.broadcast(bits.tobytes())
+    sent = spark.sparkContext.broadcast(bit_filter(test.select(F.col("seed").alias("hash")).distinct()))
     hit = written(spark, with_key(docs).mapInArrow(
         _hit_docs(sent), "doc_id long, k1 long, k2 long, words binary, hits array<struct<seed: long, at: int>>"), "hits")
     if test.count() <= broadcast_seeds:
