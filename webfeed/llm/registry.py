@@ -1,14 +1,19 @@
 """Queries of this subpackage for the driver contract, and their oracle SQL."""
 
-from webfeed.llm import jaccard_join, licenses, topk
+from webfeed.llm import bpe, decontaminate, jaccard_join, licenses, line_dedup, quality, topk
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op4_quality": quality.op4_quality,
+    "op6_byte_bpe": bpe.op6_byte_bpe,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op10_voronoi_top_k": topk.op10_voronoi_top_k,
 }
 
 ORACLES = {
+    "op3_line_dedup": line_dedup.ORACLE_SQL,
     "op7_license_scan": licenses.ORACLE_SQL,
     "op8_jaccard_join": jaccard_join.ORACLE_SQL,
     "op10_voronoi_top_k": topk.ORACLE_SQL,
