@@ -129,29 +129,6 @@ def _signatures(values: int):
     return task
 
 
-def _groups(batches, keys: list[str]):
-    """Whole groups of consecutive rows with equal ``keys`` (rows come sorted by them), several at a time."""
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        if not len(b):
-            continue
-        change = np.zeros(len(b), bool)
-        for k in keys:
-            x = b.column(k).to_numpy()
-            change[1:] |= x[1:] != x[:-1]
-        last = int(np.flatnonzero(change)[-1]) if change.any() else 0
-        same = held and all(held[-1].column(k)[len(held[-1]) - 1].equals(b.column(k)[0]) for k in keys)
-        if held and not same:
-            yield pa.Table.from_batches(held)
-            held = []
-        if last:
-            yield pa.Table.from_batches([*held, b.slice(0, last)])
-            held = []
-        held.append(b.slice(last))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _starts(t: pa.Table, keys: list[str]) -> np.ndarray:
     """First rows of the groups of a table, and its length."""
     change = np.zeros(t.num_rows, bool)
@@ -177,7 +154,7 @@ def _block_pairs(start: int, end: int, own: np.ndarray, bi: int, bj: int) -> tup
 def _prune(threshold: float, looks: list[tuple[int, int]], values: int):
     """Task: blocks of a bucket -> edges between representatives that the posterior keeps."""
     def task(batches):
-        for t in _groups(batches, _BLOCK_KEYS):
+        for t in W.groups(batches, _BLOCK_KEYS):
             cut = _starts(t, _BLOCK_KEYS)
             rep, size, own = (t[c].to_numpy() for c in ("rep", "size", "own"))
             bi, bj = t["bi"].to_numpy(), t["bj"].to_numpy()
@@ -214,7 +191,7 @@ def _prune(threshold: float, looks: list[tuple[int, int]], values: int):
 def _verify(threshold: float):
     """Task: blocks of a candidate group with whole sets -> links and one root per representative."""
     def task(batches):
-        for t in _groups(batches, _BLOCK_KEYS):
+        for t in W.groups(batches, _BLOCK_KEYS):
             cut = _starts(t, _BLOCK_KEYS)
             rep, copies, own = (t[c].to_numpy() for c in ("rep", "copies", "own"))
             bi, bj = t["bi"].to_numpy(), t["bj"].to_numpy()

@@ -1,18 +1,23 @@
 """Queries of this subpackage for the driver contract, and their oracle SQL."""
 
-from webfeed.llm import bpe, decontaminate, jaccard_join, licenses, line_dedup, quality, topk
+from webfeed.llm import (bpe, decontaminate, jaccard_join, langid, licenses, line_dedup, quality, suffix_dedup, topk,
+                         toxicity)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_quality": quality.op4_quality,
+    "op5_language_id": langid.op5_language_id,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_voronoi_top_k": topk.op10_voronoi_top_k,
 }
 
 ORACLES = {
+    "op2_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op3_line_dedup": line_dedup.ORACLE_SQL,
     "op7_license_scan": licenses.ORACLE_SQL,
     "op8_jaccard_join": jaccard_join.ORACLE_SQL,

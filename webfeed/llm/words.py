@@ -152,6 +152,29 @@ def shingles(words: np.ndarray, first: np.ndarray, size: int, salt: int = 2) ->
     return found, np.searchsorted(row, np.arange(rows + 1))
 
 
+def groups(batches, keys: list[str]):
+    """Whole groups of consecutive rows with equal ``keys`` (rows come sorted by them), several at a time."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not len(b):
+            continue
+        change = np.zeros(len(b), bool)
+        for k in keys:
+            x = b.column(k).to_numpy()
+            change[1:] |= x[1:] != x[:-1]
+        last = int(np.flatnonzero(change)[-1]) if change.any() else 0
+        same = held and all(held[-1].column(k)[len(held[-1]) - 1].equals(b.column(k)[0]) for k in keys)
+        if held and not same:
+            yield pa.Table.from_batches(held)
+            held = []
+        if last:
+            yield pa.Table.from_batches([*held, b.slice(0, last)])
+            held = []
+        held.append(b.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 class BitFilter:
     """A fixed number of bits that remembers 64-bit hashes: no hash is missed, few others pass."""
 
