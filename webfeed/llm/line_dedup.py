@@ -28,14 +28,14 @@ from webfeed.llm.tables import OWN, table, text_hashes, with_key, written
 #: Words that a repeated run must have.
 MIN_WORDS = 4
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_POS = F.struct("dn", "idx")
+_POS = "struct(dn, idx)"
 
 
 def _named(rows: DataFrame, by: list[str]) -> DataFrame:
     """Rows whose ``by`` values occur at several positions, named in sorted order; ``later``: not the first."""
-    groups = rows.groupBy(*by).agg(F.min(_POS).alias("first"), F.max(_POS).alias("last")).where("first < last")
+    groups = rows.groupBy(*by).agg(F.min(F.expr(_POS)).alias("first"), F.max(F.expr(_POS)).alias("last")).where("first < last")
     names = groups.orderBy(*by).select(*by, "first", F.monotonically_increasing_id().alias("name"))
-    return rows.join(names, by).withColumn("later", F.col("first") < _POS).drop(*by, "first", "last")
+    return rows.join(names, by).withColumn("later", F.col("first") < F.expr(_POS)).drop(*by, "first", "last")
 
 
 def _repeated_lines(docs: DataFrame) -> DataFrame:
@@ -91,8 +91,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     for p in parts[1:]:
         named = named.union(p)
     by = ["k", "len", "n1", "n2"]
-    earliest = named.groupBy(*by).agg(F.min(_POS).alias("first"))
-    runs = named.join(earliest, by).where(F.col("first") < _POS)
+    earliest = named.groupBy(*by).agg(F.min(F.expr(_POS)).alias("first"))
+    runs = named.join(earliest, by).where(F.col("first") < F.expr(_POS))
     gone = runs.select("dn", F.explode(F.sequence("idx", F.col("idx") + F.col("len") - 1)).alias("idx")).distinct()
     return gone.join(keys, "dn").select("doc_id", "k1", "k2", "idx")
 

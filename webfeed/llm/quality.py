@@ -230,12 +230,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary:
     return words, vectors, Network().fit(x[order].astype(np.float64), y[order])
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
-    """(doc_id, k1, k2, score) of every row: the calibrated probability of label 1."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **parameters))  # bounded by its parameters
+def quality_scores(docs: DataFrame, model) -> DataFrame:
+    """(doc_id, k1, k2, score) of every row: the calibrated probability of label 1 under a trained ``model``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the parameters of the training
 
     def task(batches):
-        words, vectors, network = model.value
+        words, vectors, network = sent.value
         get = Items()
         for b in batches:
             score = network.probability(pooled(get, b.column("text"), words, vectors))
@@ -245,13 +245,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, **parameters) -> DataFram
     return with_key(docs).mapInArrow(task, "doc_id long, k1 long, k2 long, score double")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) -> DataFrame:
-    """``docs`` without the documents whose score is under ``accept``."""
-    return keep_columns(docs, quality_scores(docs, labels).where(F.col("score") < accept), "left_anti")
+def keep_good(docs: DataFrame, labels: DataFrame, learn_from: DataFrame, accept: float = ACCEPT) -> DataFrame:
+    """``docs`` without those whose score is under ``accept``; where nothing could be learned, all of them stay."""
+    model = train(learn_from, labels)
+    if model[2].constant is not None:
+        return docs
+    return keep_columns(docs, quality_scores(docs, model).where(F.col("score") < accept), "left_anti")
 
 
 def op4_quality(spark, sf_dir):
     """Score and decision for every whole text of ``documents``."""
-    scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents")
+    scored = quality_scores(docs, train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score",
                          (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
