@@ -1,0 +1,46 @@
+"""Top-k search against brute force."""
+
+import math
+import random
+
+import pytest
+
+from llm_cases import rows_of
+from webfeed.llm import topk
+
+
+def brute(rows, k=5):
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
+          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, a in ok:
+        if q % 50 == 0:
+            hits = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in ok
+                          if i != q and len(a) == len(b))[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(hits)]
+    return sorted(out, key=repr)
+
+
+def made(seed, n=400):
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(n)]
+    hot = rows[7][1]
+    rows += [(1000 + i, list(hot)) for i in range(n // 2)]  # one vector over a third of the rows
+    return rows + [(2000, None), (2050, [None] * 8), (2100, [float("nan")] + [0.0] * 7), (2150, [float("inf")] * 8),
+                   (2200, [0.0] * 8), (2250, [1.0, 2.0]), (2251, [1.0, 1.0]), (None, [1.0] * 8), (2300, [1.0] * 3)]
+
+
+@pytest.mark.parametrize(("pivots", "block_rows"), [(16, 64), (1, 4096), (128, 50)])
+def test_against_brute_force(spark, pivots, block_rows):
+    rows = made(pivots)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "'x' AS id", "1 AS cell")
+    got = topk.voronoi_top_k(df, df.where("vec_id % 50 = 0"), pivots=pivots, block_rows=block_rows)
+    assert rows_of(got) == brute(rows)
+
+
+def test_few_rows_and_empty_table(spark):
+    rows = [(0, [1.0]), (1, [2.0]), (2, [2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert rows_of(topk.voronoi_top_k(df, df.where("vec_id % 50 = 0"))) == brute(rows)
+    assert topk.voronoi_top_k(df.limit(0), df.limit(0)).count() == 0
+    assert topk.voronoi_top_k(df, df.limit(0)).count() == 0

@@ -12,9 +12,8 @@ Candidates: 32 bands of 4 values miss a pair at similarity 0.8 with probability
 
 Edge cases: null text is empty; a text without words has no set, is linked to nothing and is its own
 class; a text of one to four words is one run; rows that agree in doc_id and text count as copies of
-each other, and one of them stays; a null doc_id is a value that sorts first when a class chooses which
-document stays (``class_id`` is the smallest that is not null); other columns are ignored; an empty
-table gives an empty result.
+each other, and one of them stays; null doc_ids come last when a class chooses its document; other
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -277,7 +276,7 @@ def jaccard_classes(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRE
     keyed = with_key(docs)
     sets = written(spark, keyed.mapInArrow(
         _sets(ngram, values), "doc_id long, k1 long, k2 long, size long, f1 long, f2 long, minhash binary"), "sets")
-    key = F.struct("doc_id", "k1", "k2")
+    key = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k1", "k2")  # null ids last
     with_set = sets.where("size > 0")
     reps = written(spark, with_set.groupBy("f1", "f2").agg(
         F.min(key).alias("key"), F.count(F.lit(1)).alias("copies"),
@@ -292,7 +291,7 @@ def jaccard_classes(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRE
     groups = components(spark, edges, "a", "b").withColumnsRenamed({"node": "rep", "label": "bucket"})
     groups = groups.join(groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
     wanted = written(spark, groups.join(reps.select("rep", "key", "copies"), "rep")
-                     .select("rep", "bucket", "n", "copies", "key.*"), "groups")
+                     .select("rep", "bucket", "n", "copies", "key.doc_id", "key.k1", "key.k2"), "groups")
     # Only the sets of representatives in groups are shuffled; the filter spares the other texts.
     bits = spark.sparkContext.broadcast(bit_filter(wanted.select("doc_id", "k1").mapInArrow(_key_hashes, "hash long")))
     own = keyed.mapInArrow(_wanted_sets(ngram, bits), "doc_id long, k1 long, k2 long, shingles binary")
@@ -305,9 +304,9 @@ def jaccard_classes(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRE
     classes = components(spark, verified, "rep", "root").withColumnsRenamed({"node": "rep"})
     labelled = written(spark, reps.select("rep", "f1", "f2", "key", "copies").join(classes, "rep", "left").join(
         links, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "labelled")
-    best = labelled.groupBy("label").agg(F.min("key").alias("first"), F.min("key.doc_id").alias("class_id"))
+    best = labelled.groupBy("label").agg(F.min("key").alias("first"))
     by_set = labelled.join(best, "label").select(
-        "f1", "f2", "first", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        "f1", "f2", "first", F.col("first.doc_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     linked = sets.select("doc_id", "k1", "k2", "f1", "f2", "size").join(by_set, ["f1", "f2"], "left")
     alone = F.col("size") == 0
     return linked.select(

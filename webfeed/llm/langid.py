@@ -215,6 +215,7 @@ def _label(model, spans: bool):
                 change = np.ones(len(path), bool)
                 change[1:] = path[1:] != path[:-1]
                 change[first[:-1][first[:-1] < len(path)]] = True
+                change &= count > 0
                 head = np.flatnonzero(change)
                 cut = np.searchsorted(head, first)
                 out = [b.column("doc_id").slice(lo, docs), pa.array(names), pa.array(ok),

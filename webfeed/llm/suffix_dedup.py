@@ -267,11 +267,12 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
     repeated = spark.sparkContext.broadcast(bit_filter(runs.select(F.col("run").alias("hash"))))
     found = listed.mapInArrow(_repeated_anchors(repeated), "run long, kind long, place long, doc_id long, k1 long, "
                                                            "k2 long, n_words long")
-    spot = F.struct("doc_id", "k1", "k2", "place")
+    spot = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k1", "k2", "place")  # null ids last
     kinds = written(spark, found.groupBy("run", "kind").agg(
         F.count(F.lit(1)).alias("n"), F.min(spot).alias("low")), "kinds")
     several = kinds.groupBy("run").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    contested = written(spark, kinds.join(several, "run").select("run", "kind", "c", "low.*"), "contested")
+    contested = written(spark, kinds.join(several, "run").select(
+        "run", "kind", "c", "low.doc_id", "low.k1", "low.place"), "contested")
     wanted = spark.sparkContext.broadcast(bit_filter(
         contested.select("doc_id", "k1", "place").mapInArrow(_hash_anchors, "hash long")))
     context = keyed.mapInArrow(_contexts(min_words, gram, wanted),
