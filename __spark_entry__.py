@@ -18,11 +18,11 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from webfeed import read_feed, read_lookup, selection  # noqa: E402
+from webfeed import FeedReader, read_feed, read_lookup, selection  # noqa: E402
 from webfeed.operators import reports  # noqa: E402
 from webfeed.session import new_scratch_path  # noqa: E402
-from webfeed.sources.reader import FeedReader  # noqa: E402
-from webfeed.streaming.ingest import ingest_deliveries  # noqa: E402
+from webfeed.paths import quoted  # noqa: E402
+from webfeed.streaming.ingest import ingest_deliveries, reingest_deliveries  # noqa: E402
 from webfeed.testing import fixtures as fx  # noqa: E402
 from webfeed.testing.feedwriter import BROWSER_IDS, ROWS_PER_FILE  # noqa: E402
 
@@ -85,7 +85,7 @@ def feed_delivery_date(spark, sf_dir):
 
 
 def feed_id_overrides(spark, sf_dir):
-    hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, start="2024-01-01", end="2024-01-07",
+    hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED,
                      column_types={"hitid_low": T.StringType(), "visid_low": T.StringType()})
     return hits.select("hitid_low", "visid_low", "browser")
 
@@ -98,15 +98,43 @@ def stream_ingest(spark, sf_dir):
     return _hits(spark.read.parquet(target))
 
 
+def feed_subfolders(spark, sf_dir):
+    """Equal base names in a folder per day, with alternating column order."""
+    return _hits(read_feed(spark, _fixtures(spark, sf_dir).subfolders, fx.SUBFOLDERS_FEED, validate=True,
+                           with_delivery_date=True))
+
+
+def feed_column_names(spark, sf_dir):
+    """Header names with a dot and a backtick."""
+    hits = _hits(read_feed(spark, _fixtures(spark, sf_dir).names, fx.NAMES_FEED))
+    return hits.withColumnsRenamed({"page.name": "page_name", "user`id": "user_id"})
+
+
+def reingested_day(spark, sf_dir):
+    """Ingested with a wrong first day, which is delivered again and ingested by an explicit call."""
+    f = _fixtures(spark, sf_dir)
+    target = new_scratch_path(spark, "reingest-hits")
+    ingest_deliveries(spark, f.main, fx.MAIN_FEED, target, checkpoint=new_scratch_path(spark, "reingest-checkpoint"),
+                      column_types={"visid_low": T.LongType()}).awaitTermination()
+    days = spark.read.parquet(target).select(F.min("delivery_date")).first()
+    # the day's partition as an earlier, incomplete delivery left it
+    part = read_feed(spark, f.main, fx.MAIN_FEED, date=days[0], with_delivery_date=True).where("hitid_low % 2 = 0")
+    (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("delivery_date")
+     .parquet(target))
+    reingest_deliveries(spark, f.main, fx.MAIN_FEED, target, dates=[days[0]], validate=True)
+    return _hits(spark.read.parquet(target))
+
+
 def pages_one_day(spark, sf_dir):
-    hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, date="2024-01-05")
-    return hits.groupBy("pagename").agg(F.count(F.lit(1)).alias("hits"))
+    """Hits per page of every one day."""
+    hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, with_delivery_date=True)
+    return hits.groupBy("delivery_date", "pagename").agg(F.count(F.lit(1)).alias("hits"))
 
 
 def header_schema(spark, sf_dir):
     hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED)
     fields = hits.schema.fields
-    counts = hits.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    counts = hits.agg(*[F.count(F.col(quoted(f.name))).alias(f"n{i}") for i, f in enumerate(fields)])
     rows = F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"),
                               F.lit(f.dataType.simpleString()).alias("data_type"),
                               F.col(f"n{i}").alias("non_null")) for i, f in enumerate(fields)])
@@ -126,7 +154,7 @@ def lookup_most_recent(spark, sf_dir):
 
 def lookup_validated(spark, sf_dir):
     return read_lookup(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, "event.tsv",
-                       dates="2024-01-04,2024-01-05", validate=True)
+                       validate=True)
 
 
 def lookup_option_reader(spark, sf_dir):
@@ -165,14 +193,15 @@ def validate_file_counts(spark, sf_dir):
 
 
 def delivery_gaps(spark, sf_dir):
-    return reports.delivery_gaps(spark, _fixtures(spark, sf_dir).broken, fx.BROKEN_FEED,
+    return reports.delivery_gaps(spark, _fixtures(spark, sf_dir).gaps, fx.GAPS_FEED,
                                  start="2024-01-01", end="2024-01-31")
 
 
 def _drift(df: DataFrame) -> DataFrame:
     return df.select("delivery_date", "header_found", "n_columns",
                      *[F.concat_ws(",", c).alias(c) for c in
-                       ("missing_columns", "extra_columns", "duplicated_columns")], "reordered")
+                       ("missing_columns", "extra_columns", "duplicated_columns")], "reordered",
+                     F.regexp_replace("problem", ": .*", "").alias("problem"))
 
 
 def schema_drift(spark, sf_dir):
@@ -188,6 +217,19 @@ def type_losses(spark, sf_dir):
     return reports.type_losses(spark, _fixtures(spark, sf_dir).locale, fx.LOCALE_FEED)
 
 
+def type_losses_names(spark, sf_dir):
+    """Typed columns whose names hold a dot and a backtick."""
+    return reports.type_losses(spark, _fixtures(spark, sf_dir).names, fx.NAMES_FEED,
+                               column_types={"page.name": T.LongType(), "user`id": T.LongType()}) \
+        .where(F.col("column_name").isin("page.name", "user`id"))
+
+
+def lookup_older_two_archives(spark, sf_dir):
+    """An older delivery that lists two archives does not matter to a lookup of the newest."""
+    return read_lookup(spark, _fixtures(spark, sf_dir).broken, fx.BROKEN_FEED, "browser.tsv",
+                       start="2024-01-13", end="2024-01-18")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_single_date": feed_single_date,
     "feed_date_set": feed_date_set,
@@ -200,7 +242,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_delivery_date": feed_delivery_date,
     "feed_id_overrides": feed_id_overrides,
     "stream_ingest": stream_ingest,
+    "feed_subfolders": feed_subfolders,
+    "feed_column_names": feed_column_names,
+    "reingested_day": reingested_day,
     "pages_one_day": pages_one_day,
+    "type_losses_names": type_losses_names,
+    "lookup_older_two_archives": lookup_older_two_archives,
     "header_schema": header_schema,
     "lookup_event": lookup_event,
     "lookup_most_recent": lookup_most_recent,
@@ -220,7 +267,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: hits per page of the 2024-01-05 delivery (sf0.001 test feed)."""
-    return pages_one_day(spark, SMOKE_DIR)
+    hits = read_feed(spark, _fixtures(spark, SMOKE_DIR).main, fx.MAIN_FEED, date="2024-01-05")
+    return hits.groupBy("pagename").agg(F.count(F.lit(1)).alias("hits"))
 
 
 def _llm() -> tuple[dict, dict]:
@@ -257,8 +305,7 @@ _HIT_COLUMNS = f"""
     substr(md5(event_type), 1, 8) AS event_list, event_type AS pagename, props AS post_evar1,
     CAST(event_id % 2 AS INTEGER) AS daily_visitor, 'x' AS custom_unknown, 'y' AS my_col__a_b_,
     value AS curr_rate"""
-# Days of the broken feed that have a delivery (days 10, 20, 30 are planted gaps).
-_BROKEN_DAYS = f"SELECT DISTINCT {_D} AS d FROM events WHERE day({_D}) NOT IN (10, 20, 30)"
+_DAYS = f"SELECT DISTINCT {_D} AS d FROM events"
 
 
 def _n_files(rows: str, min_files: int, per_file: int) -> str:
@@ -269,7 +316,7 @@ def _n_files(rows: str, min_files: int, per_file: int) -> str:
 def _broken_day_files(per_file: int) -> str:
     """Days of the broken feed with a delivery, their rows and data files."""
     return (f"SELECT {_D} AS d, count(*) AS n, {_n_files('count(*)', 1, per_file)} AS n_files "
-            f"FROM events WHERE day({_D}) NOT IN (10, 20, 30) GROUP BY 1")
+            f"FROM events GROUP BY 1")
 
 
 _HEADER = [("hitid_high", "bigint", "count(*)"), ("hitid_low", "bigint", "count(event_id)"),
@@ -323,11 +370,19 @@ def _oracles(per_file: int = ROWS_PER_FILE) -> dict[str, str]:
                               f"FROM events WHERE {_D} BETWEEN DATE '2024-01-25' AND DATE '2024-01-30' GROUP BY 1",
         "feed_delivery_date": f"SELECT event_id AS hitid_low, {_D} AS delivery_date FROM events",
         "feed_id_overrides": f"SELECT CAST(event_id AS VARCHAR) AS hitid_low, CAST(user_id AS VARCHAR) AS visid_low, "
-                             f"user_id % {BROWSER_IDS} AS browser FROM events "
-                             f"WHERE {_D} BETWEEN DATE '2024-01-01' AND DATE '2024-01-07'",
+                             f"user_id % {BROWSER_IDS} AS browser FROM events",
         "stream_ingest": f"SELECT {_HIT_COLUMNS}, {_D} AS delivery_date FROM events",
-        "pages_one_day": f"SELECT event_type AS pagename, count(*) AS hits FROM events "
-                         f"WHERE {_D} = DATE '2024-01-05' GROUP BY 1",
+        "pages_one_day": f"SELECT {_D} AS delivery_date, event_type AS pagename, count(*) AS hits FROM events "
+                         f"GROUP BY 1, 2",
+        "feed_subfolders": f"SELECT {_HIT_COLUMNS}, {_D} AS delivery_date FROM events",
+        "feed_column_names": f"SELECT {_HIT_COLUMNS}, event_type AS page_name, CAST(user_id AS VARCHAR) AS user_id "
+                             f"FROM events",
+        "reingested_day": f"SELECT {_HIT_COLUMNS}, {_D} AS delivery_date FROM events",
+        "type_losses_names": """
+            SELECT 'page.name' AS column_name, 'bigint' AS data_type, count(event_type) AS "values",
+                   count(event_type) FILTER (WHERE TRY_CAST(event_type AS BIGINT) IS NULL) AS lost FROM events
+            UNION ALL SELECT 'user`id', 'bigint', count(user_id), 0 FROM events""",
+        "lookup_older_two_archives": _browser_sql("2024-01-18"),
         "header_schema": _header_sql(),
         "type_losses": _type_losses_sql(),
         "lookup_event": _EVENT_LOOKUP,
@@ -353,22 +408,22 @@ def _oracles(per_file: int = ROWS_PER_FILE) -> dict[str, str]:
             FROM (SELECT d, unnest(range(1, n_files + 1)) AS f FROM ({_broken_day_files(per_file)}))
             UNION ALL
             SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data.tar.gz',
-                   true, true, day(d) <> 18
-            FROM ({_BROKEN_DAYS})
+                   day(d) <> 21, day(d) <> 21, day(d) NOT IN (18, 21)
+            FROM ({_DAYS}) WHERE day(d) <> 19
             UNION ALL
             SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data-2.tar.gz', true, true, true
-            FROM ({_BROKEN_DAYS}) WHERE day(d) = 15""",
+            FROM ({_DAYS}) WHERE day(d) = 15""",
         "validate_row_counts": f"""
             SELECT d AS delivery_date,
                    n + CASE WHEN day(d) = 11 THEN 1 ELSE 0 END AS total_records,
                    n + CASE WHEN day(d) = 9 THEN 1 ELSE 0 END AS listed_records,
                    CASE WHEN day(d) = 14 THEN 0 ELSE n END AS actual_records,
                    day(d) NOT IN (9, 11, 14) AS ok
-            FROM (SELECT {_D} AS d, count(*) AS n FROM events WHERE day({_D}) NOT IN (10, 20, 30) GROUP BY 1)""",
+            FROM (SELECT {_D} AS d, count(*) AS n FROM events GROUP BY 1)""",
         "validate_file_counts": f"""
             SELECT d AS delivery_date,
-                   CASE WHEN day(d) = 15 THEN 2 ELSE 1 END AS n_lookup_files,
-                   CASE WHEN day(d) = 15 THEN 2 ELSE 1 END AS lookup_files_listed,
+                   CASE day(d) WHEN 15 THEN 2 WHEN 19 THEN 0 ELSE 1 END AS n_lookup_files,
+                   CASE day(d) WHEN 15 THEN 2 WHEN 19 THEN 0 ELSE 1 END AS lookup_files_listed,
                    n_files + CASE WHEN day(d) = 12 THEN 1 ELSE 0 END AS n_data_files,
                    n_files AS data_files_listed,
                    day(d) <> 12 AS counts_ok
@@ -376,18 +431,26 @@ def _oracles(per_file: int = ROWS_PER_FILE) -> dict[str, str]:
         "delivery_gaps": f"""
             SELECT CAST(g AS DATE) AS missing_date
             FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) AS t(g)
-            WHERE CAST(g AS DATE) NOT IN ({_BROKEN_DAYS})""",
+            WHERE CAST(g AS DATE) NOT IN ({_DAYS} WHERE day({_D}) NOT IN (10, 20, 30))""",
         "schema_drift": f"""
-            SELECT d AS delivery_date, day(d) <> 16 AS header_found,
-                   CASE WHEN day(d) = 16 THEN NULL ELSE 14 END AS n_columns,
+            SELECT d AS delivery_date, day(d) IN (13, 17) AS header_found,
+                   CASE WHEN day(d) IN (13, 17) THEN 14 END AS n_columns,
                    '' AS missing_columns,
                    CASE WHEN day(d) = 13 THEN 'extra_col' ELSE '' END AS extra_columns,
                    CASE WHEN day(d) = 17 THEN 'pagename' ELSE '' END AS duplicated_columns,
-                   false AS reordered
-            FROM ({_BROKEN_DAYS}) WHERE day(d) IN (13, 16, 17)""",
+                   false AS reordered,
+                   CASE day(d) WHEN 15 THEN 'manifest lists 2 lookup archives'
+                               WHEN 16 THEN 'lookup archive has no column_headers.tsv'
+                               WHEN 19 THEN 'manifest lists 0 lookup archives'
+                               WHEN 21 THEN 'lookup archive is missing'
+                               WHEN 22 THEN 'column_headers.tsv is empty'
+                               WHEN 23 THEN 'lookup archive cannot be unpacked'
+                               WHEN 24 THEN 'column_headers.tsv has more than one line' END AS problem
+            FROM ({_DAYS}) WHERE day(d) IN (13, 15, 16, 17, 19, 21, 22, 23, 24)""",
         "schema_reordered": f"""
             SELECT DISTINCT {_D} AS delivery_date, true AS header_found, 13 AS n_columns,
-                   '' AS missing_columns, '' AS extra_columns, '' AS duplicated_columns, true AS reordered
+                   '' AS missing_columns, '' AS extra_columns, '' AS duplicated_columns, true AS reordered,
+                   NULL::VARCHAR AS problem
             FROM events WHERE day({_D}) % 2 = 0""",
     }
 

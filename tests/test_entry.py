@@ -26,10 +26,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._QUERIES))
 def test_query_matches_oracle(spark, feeds, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(E._oracles()[name])
     onames = rel.columns
     assert sorted(df.columns) == sorted(onames)
     assert type_differences(df.schema, onames, rel.types) == {}
@@ -72,5 +72,5 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, feeds, duck, name
         got = rows_of(df.columns, df.collect())
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(E._oracles()[name])
     assert got == rows_of(rel.columns, rel.fetchall())

@@ -1,3 +1,4 @@
+import gzip
 from datetime import datetime
 
 import pytest
@@ -243,3 +244,97 @@ def test_trailing_tab_in_header_makes_no_column(spark, workdir):
     df = read_feed(spark, workdir, "f")
     assert df.columns[-1] == "curr_rate" and len(df.columns) == len(HEADER)
     assert df.first().curr_rate == 1.5
+
+
+def _in_folders(workdir, days, swap=True):
+    """Deliveries whose files lie in a folder per day, with equal base names; every other header is reversed."""
+    import hashlib
+    import os
+
+    from helpers import manifest_text, tar_gz
+    for n, day in enumerate(days):
+        os.makedirs(f"{workdir}/{day}", exist_ok=True)
+        header = ["b", "a"] if swap and n % 2 else ["a", "b"]
+        body = gzip.compress(("\t".join(f"{c}{n}" for c in header) + "\n").encode())
+        archive = tar_gz({"column_headers.tsv": ("\t".join(header) + "\n").encode()})
+        for name, data in (("hits.tsv.gz", body), ("lookup.tar.gz", archive)):
+            with open(f"{workdir}/{day}/{name}", "wb") as fh:
+                fh.write(data)
+        m = {"version": "1.0", "n_lookup": 1, "n_data": 1, "total": 1,
+             "lookups": [{"name": f"{day}/lookup.tar.gz", "md5": hashlib.md5(archive).hexdigest(), "size": len(archive)}],
+             "data": [{"name": f"{day}/hits.tsv.gz", "md5": hashlib.md5(body).hexdigest(), "size": len(body), "records": 1}]}
+        with open(f"{workdir}/f_{day}.txt", "w") as fh:
+            fh.write(manifest_text(m))
+
+
+def test_equal_base_names_in_subfolders(spark, workdir):  # W1
+    from webfeed.operators import reports
+
+    _in_folders(workdir, ["2024-01-04", "2024-01-05", "2024-01-06"])
+    got = read_feed(spark, workdir, "f", validate=True, with_delivery_date=True)
+    assert sorted((r.a, r.b, r.delivery_date.day) for r in got.collect()) == \
+        [("a0", "b0", 4), ("a1", "b1", 5), ("a2", "b2", 6)]
+    rows = reports.feed_validation(spark, workdir, "f").collect()
+    assert len(rows) == 6 and all(r.ok for r in rows)
+
+
+def test_folder_listing_and_exact_names_read_the_same(spark, workdir, monkeypatch):  # P1
+    from webfeed.sources import files
+
+    _in_folders(workdir, ["2024-01-04", "2024-01-05", "2024-01-06"])
+
+    def twice(m):
+        m["data"] *= 2
+        m["n_data"], m["total"] = 2, 2
+    write_delivery(workdir, "g", "2024-01-01", [row(1), row(2)], manifest_edit=twice)  # one file listed twice
+    write_delivery(workdir, "g", "2024-01-02", [row(3)])
+    got = []
+    for limit in (32, 0):
+        monkeypatch.setattr(files, "DIRECT_FILES", limit)
+        got.append([sorted(map(tuple, read_feed(spark, workdir, f).collect())) for f in ("f", "g")])
+        import os
+        os.rename(f"{workdir}/01-g_2024-01-02.tsv.gz", f"{workdir}/kept")
+        with pytest.raises(DeliveryError, match="01-g_2024-01-02.tsv.gz"):
+            read_feed(spark, workdir, "g")
+        os.rename(f"{workdir}/kept", f"{workdir}/01-g_2024-01-02.tsv.gz")
+    assert got[0] == got[1] and len(got[0][1]) == 5
+
+
+def test_only_selected_files_are_opened(spark, workdir):  # P1
+    for d in range(1, 29):
+        write_delivery(workdir, "f", f"2024-01-{d:02d}", [row(d)], files=3)
+    df = read_feed(spark, workdir, "f", start="2024-01-03", end="2024-01-16")  # 42 files: by folder listing
+    assert df.count() == 14
+    plan = df.select("pagename").where("pagename = 'home'")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(pagename), EqualTo(pagename,home)]" in text
+    scan = plan._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 42
+
+
+def test_column_names_with_dot_and_backtick(spark, workdir):  # W2
+    from webfeed.operators import reports
+
+    write_delivery(workdir, "f", "2024-01-01", ["1\tx\t2"], header=["a.b", "c`d", "`"])
+    df = read_feed(spark, workdir, "f", column_types={"a.b": T.LongType(), "`": T.LongType()}, with_delivery_date=True)
+    assert df.columns == ["a.b", "c`d", "`", "delivery_date"] and tuple(df.first())[:3] == (1, "x", 2)
+    losses = reports.type_losses(spark, workdir, "f", column_types={"c`d": T.LongType()}).collect()
+    assert [(r.column_name, r["values"], r.lost) for r in losses] == [("c`d", 1, 1)]
+
+
+def test_names_that_clash(spark, workdir):  # W8
+    write_delivery(workdir, "f", "2024-01-01", ["1\t2"], header=["Browser", "browser"])
+    with pytest.raises(SchemaMismatchError, match="duplicated"):
+        read_feed(spark, workdir, "f")
+    write_delivery(workdir, "g", "2024-01-01", ["1\t2"], header=["delivery_date", "x"])
+    assert read_feed(spark, workdir, "g").count() == 1
+    with pytest.raises(SchemaMismatchError, match="delivery_date"):
+        read_feed(spark, workdir, "g", with_delivery_date=True)
+
+
+def test_reading_sets_no_checkpoint_folder(spark, workdir):  # W9
+    before = spark.sparkContext.getCheckpointDir()
+    write_delivery(workdir, "f", "2024-01-01", [row(1)])
+    read_feed(spark, workdir, "f", validate=True).count()
+    assert spark.sparkContext.getCheckpointDir() == before

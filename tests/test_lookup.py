@@ -2,7 +2,7 @@ import pytest
 
 from helpers import row, write_delivery
 from webfeed import read_lookup
-from webfeed.errors import FeedOptionError, ManifestError, ValidationError
+from webfeed.errors import DeliveryError, FeedOptionError, ManifestError, ValidationError
 from webfeed.sources.reader import FeedReader
 
 LOOKUPS = {"browser.tsv": "1\tFirefox\n2\tChrome\n", "event.tsv": "1\tPurchase\n200\tCustom 1\n"}
@@ -94,14 +94,59 @@ def test_big_archives_are_streamed(spark, workdir):
 
     def lines_of(**kw):
         df = archive_lines(spark, workdir, archives, wanted, **kw)
-        return sorted((r.archive_path.rsplit("/", 1)[-1], r.member, r.line_no, r.line if r.line_no >= -1 else "x")
-                      for r in df.collect())
+        return sorted((r.archive_name, r.member, r.line_no, r.line if r.line_no >= -1 else "x") for r in df.collect())
 
-    listed = {a: 1 for a in archives}  # any size above the inline limit routes an archive to streaming
-    inline, streamed = lines_of(), lines_of(inline_max_bytes=0, sizes=listed)
+    inline, streamed = lines_of(), lines_of(inline_max_bytes=0)
     assert streamed == inline
     assert len([r for r in streamed if r[1] == "event.tsv" and r[0].startswith("f_2024-01-01")]) == 20000
     assert ("f_2024-01-01-lookup_data.tar.gz", "plugins.tsv", -1, None) in streamed
     assert {r[1] for r in streamed if r[2] == -2} == set(wanted)
-    assert lines_of(inline_max_bytes=0, sizes=listed, max_lines=1) == lines_of(max_lines=1)
-    assert lines_of(inline_max_bytes=0, sizes={archives[0]: None}) == inline  # unreadable size: streamed
+    assert lines_of(inline_max_bytes=0, max_lines=1) == lines_of(max_lines=1)
+
+
+def test_compression_is_told_from_content_on_both_sides_of_the_inline_size(spark, workdir):
+    """gzip, bzip2, xz and plain tar named .tar.gz, an empty file and a missing one."""
+    import bz2
+    import gzip
+    import lzma
+
+    from helpers import tar_gz
+    from webfeed.sources.archive import DAMAGED, EMPTY, MISSING, archive_lines
+
+    packed = tar_gz({"event.tsv": b"1\tA\n2\tB\n", "plugins.tsv": b""})
+    plain = gzip.decompress(packed)
+    for name, data in (("gz", packed), ("bz2", bz2.compress(plain)), ("xz", lzma.compress(plain)), ("tar", plain),
+                       ("zero", b"")):
+        with open(f"{workdir}/{name}.tar.gz", "wb") as fh:
+            fh.write(data)
+    names = [f"{n}.tar.gz" for n in ("gz", "bz2", "xz", "tar", "zero", "gone")]
+    got = [sorted((r.archive_name, r.member, r.line_no, r.line) for r in archive_lines(
+        spark, workdir, names, ["event.tsv", "plugins.tsv"], inline_max_bytes=m).collect()) for m in (1 << 20, 0)]
+    assert got[0] == got[1]
+    for n in names[:4]:
+        assert [r[1:] for r in got[0] if r[0] == n] == [
+            ("event.tsv", 0, "1\tA"), ("event.tsv", 1, "2\tB"), ("plugins.tsv", EMPTY, None)]
+    assert {r[2] for r in got[0] if r[0] == names[4]} == {DAMAGED}
+    assert {r[2] for r in got[0] if r[0] == names[5]} == {MISSING}
+
+
+def test_unknown_storage_is_refused_by_name(monkeypatch):
+    from webfeed.session import check_streamable, task_file_system
+
+    with pytest.raises(DeliveryError, match="dbfs"):
+        check_streamable("dbfs:/feeds/x.tar.gz")
+    with pytest.raises(OSError, match="dbfs"):
+        task_file_system("dbfs:/feeds/x.tar.gz")
+    for known in ("file:/a/b", "/a/b", "s3a://bucket/x", "hdfs://host/x", "hdfs:/x"):
+        check_streamable(known)
+
+
+def test_an_older_delivery_with_two_archives_does_not_matter(spark, workdir):  # W4, V7
+    def twice(m):
+        m["lookups"] *= 2
+        m["n_lookup"] = 2
+    write_delivery(workdir, "f", "2024-01-01", [row(1)], lookups={"event.tsv": "1\tA\n"}, manifest_edit=twice)
+    write_delivery(workdir, "f", "2024-01-02", [row(2)], lookups={"event.tsv": "1\tB\n"})
+    assert [tuple(r) for r in read_lookup(spark, workdir, "f", "event.tsv").collect()] == [("1", "B")]
+    with pytest.raises(ManifestError, match="2 lookup archives"):
+        read_lookup(spark, workdir, "f", "event.tsv", date="2024-01-01")

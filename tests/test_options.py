@@ -78,3 +78,12 @@ def test_options_map():
 
 def test_parse_bool():
     assert parse_bool(True) and parse_bool("True") and not parse_bool("yes") and not parse_bool(None)
+
+
+def test_a_time_is_no_day():  # W7
+    from datetime import datetime
+
+    with pytest.raises(FeedOptionError, match="a time"):
+        selection(date=datetime(2024, 1, 5))
+    with pytest.raises(FeedOptionError, match="a time"):
+        selection(dates=[date(2024, 1, 5), datetime(2024, 1, 5, 3)])

@@ -40,11 +40,9 @@ def test_validation_report_rows(spark, workdir):  # V2, V3 as a report
 
 def test_big_files_are_hashed_by_streaming(spark, workdir):
     from webfeed.operators.validate import validation_report
-    from webfeed.sources.manifest import load_deliveries
 
     m = write_delivery(workdir, "f", "2024-01-01", [row(i) for i in range(50)], files=2)
-    deliveries = load_deliveries(spark, workdir, "f")
-    report = validation_report(spark, workdir, deliveries, md5_inline_max_bytes=0)
+    report = validation_report(spark, workdir, "f", md5_inline_max_bytes=0)
     assert {r.file_name: r.actual_md5 for r in report.collect() if r.kind == "data"} == \
         {d["name"]: d["md5"] for d in m["data"]}
 
@@ -56,7 +54,18 @@ def test_delivery_records(spark, workdir):
     assert rows[1].ok and (rows[2].total_records, rows[2].actual_records, rows[2].ok) == (4, 3, False)
 
 
-def test_header_collection_paths_agree(spark, workdir):
+def test_digest_of_a_file_above_the_limit_whatever_size_is_listed(spark, workdir):  # K1
+    from webfeed.operators.validate import validation_report
+
+    def small(m):
+        m["data"][0]["size"] = 1
+    m = write_delivery(workdir, "f", "2024-01-01", [row(i) for i in range(50)], manifest_edit=small)
+    got = [[(r.file_name, r.actual_size, r.actual_md5, r.md5_ok, r.size_ok) for r in validation_report(
+        spark, workdir, "f", md5_inline_max_bytes=limit).orderBy("file_name").collect()] for limit in (1, 1 << 20)]
+    assert got[0] == got[1] and got[0][0][2:] == (m["data"][0]["md5"], True, False)
+
+
+def test_headers_are_collected_once_each(spark, workdir):
     from webfeed.sources.header import collect_headers
     from webfeed.sources.manifest import load_deliveries
 
@@ -65,11 +74,10 @@ def test_header_collection_paths_agree(spark, workdir):
     write_delivery(workdir, "f", "2024-01-03", [row(3)])
     write_delivery(workdir, "f", "2024-01-04", [row(4)], archive_members={"event.tsv": b""})
     archives = [d.archive for d in load_deliveries(spark, workdir, "f")]
-    direct = collect_headers(spark, workdir, archives)
-    distinct_only = collect_headers(spark, workdir, archives, direct_limit=0)
-    assert direct == distinct_only
-    assert direct["f_2024-01-02-lookup_data.tar.gz"][-1] == "x_y"
-    assert direct["f_2024-01-04-lookup_data.tar.gz"] is None
+    found = collect_headers(spark, workdir, archives, skip_problems=True)
+    assert found["f_2024-01-02-lookup_data.tar.gz"][-1] == "x_y"
+    assert found["f_2024-01-01-lookup_data.tar.gz"] == found["f_2024-01-03-lookup_data.tar.gz"]
+    assert found["f_2024-01-04-lookup_data.tar.gz"] is None
 
 
 def test_type_losses(spark, workdir):  # X13 / E3
@@ -116,7 +124,7 @@ def test_damaged_archive(spark, workdir):
         fh.write(b"not an archive")
     with pytest.raises(ValidationError, match="f_2024-01-01-lookup_data.tar.gz: size"):
         read_feed(spark, workdir, "f", validate=True)   # reported before anything is unpacked
-    with pytest.raises(DeliveryError, match="cannot be unpacked: f_2024-01-01-lookup_data.tar.gz"):
+    with pytest.raises(DeliveryError, match="f_2024-01-01-lookup_data.tar.gz .lookup archive cannot be unpacked"):
         read_feed(spark, workdir, "f")
     with pytest.raises(Exception, match="cannot be unpacked"):
         read_lookup(spark, workdir, "f", "event.tsv", date="2024-01-01").collect()
@@ -125,7 +133,7 @@ def test_damaged_archive(spark, workdir):
     assert [(r.delivery_date.day, r.header_found) for r in drift] == [(1, False)]
 
 
-def test_damaged_archive_in_distinct_header_path(spark, workdir):
+def test_damaged_archive_among_others(spark, workdir):
     import pytest
 
     from webfeed.errors import DeliveryError
@@ -137,9 +145,8 @@ def test_damaged_archive_in_distinct_header_path(spark, workdir):
         fh.write(b"broken")
     archives = [f"f_2024-01-0{d}-lookup_data.tar.gz" for d in (1, 2, 3)]
     with pytest.raises(DeliveryError, match="f_2024-01-02-lookup_data.tar.gz"):
-        collect_headers(spark, workdir, archives, direct_limit=0)
-    got = collect_headers(spark, workdir, archives, direct_limit=0, skip_damaged=True)
-    assert got == {**collect_headers(spark, workdir, archives, skip_damaged=True)}
+        collect_headers(spark, workdir, archives)
+    got = collect_headers(spark, workdir, archives, skip_problems=True)
     assert got["f_2024-01-02-lookup_data.tar.gz"] is None
     assert got["f_2024-01-01-lookup_data.tar.gz"] == [h.replace(" ", "_").replace("(", "_").replace(")", "_")
                                                       .replace("=", "_") for h in HEADER]
@@ -163,3 +170,42 @@ def test_empty_data_file_exists_and_validates(spark, workdir):
     rows = {r.file_name: r for r in reports.feed_validation(spark, workdir, "f").collect()}
     assert rows["02-f_2024-01-01.tsv.gz"].ok and rows["02-f_2024-01-01.tsv.gz"].actual_size == 0
     assert not rows["01-f_2024-01-02.tsv.gz"].file_exists and rows["02-f_2024-01-02.tsv.gz"].ok
+
+
+def test_second_header_line_is_refused(spark, workdir):  # K5
+    import pytest
+
+    from webfeed import DeliveryError, read_feed
+
+    write_delivery(workdir, "f", "2024-01-01", [row(1)], header_text="\t".join(HEADER) + "\n \n")
+    assert read_feed(spark, workdir, "f").count() == 1
+    write_delivery(workdir, "f", "2024-01-02", [row(1)], header_text="\t".join(HEADER) + "\nmore\n")
+    with pytest.raises(DeliveryError, match="more than one line"):
+        read_feed(spark, workdir, "f")
+
+
+def test_drift_gives_every_delivery_without_a_header_and_why(spark, workdir):  # W3, V6, V7
+    def none(m):
+        m["lookups"], m["n_lookup"] = [], 0
+    write_delivery(workdir, "f", "2024-01-01", [row(1)])
+    write_delivery(workdir, "f", "2024-01-02", [row(1)], header_text="")
+    write_delivery(workdir, "f", "2024-01-03", [row(1)], manifest_edit=none)
+    write_delivery(workdir, "f", "2024-01-04", [row(1)], write_archive=False)
+    got = {r.delivery_date.day: (r.header_found, r.problem) for r in reports.schema_drift(spark, workdir, "f").collect()}
+    assert got == {2: (False, "column_headers.tsv is empty"), 3: (False, "manifest lists 0 lookup archives"),
+                   4: (False, "lookup archive is missing")}
+
+
+def test_many_bad_files_are_named_in_part(spark, workdir):
+    import pytest
+
+    from webfeed import ValidationError, read_feed
+
+    def wrong(m):
+        for d in m["data"]:
+            d["md5"] = "0" * 32
+    write_delivery(workdir, "f", "2024-01-01", [row(i) for i in range(15)], files=15, manifest_edit=wrong)
+    with pytest.raises(ValidationError, match="5 more bad files") as e:
+        read_feed(spark, workdir, "f", validate=True)
+    assert len(e.value.failures) == 10
+    assert sum(not r.ok for r in reports.feed_validation(spark, workdir, "f").collect()) == 15

@@ -42,3 +42,32 @@ def test_ingest_stops_on_a_bad_delivery_and_resumes(spark, workdir):
     write_delivery(workdir, "f", "2024-01-02", [row(2)])   # the vendor re-delivers the day
     ingest_deliveries(spark, workdir, "f", target, checkpoint=chk, validate=True).awaitTermination()
     assert sorted((r.hitid_low, r.delivery_date.day) for r in spark.read.parquet(target).collect()) == [(1, 1), (2, 2)]
+
+
+def test_columns_may_not_change_between_batches(spark, workdir):  # K4
+    import pytest
+
+    from helpers import HEADER
+
+    for d in (1, 2):
+        write_delivery(workdir, "f", f"2024-01-0{d}", [row(d)])
+    write_delivery(workdir, "f", "2024-01-03", [row(3) + ["z"]], header=HEADER + ["more"])
+    for size in (1, 7):
+        target = new_scratch_path(spark, "ingest-target")
+        q = ingest_deliveries(spark, workdir, "f", target, checkpoint=new_scratch_path(spark, "ingest-checkpoint"),
+                              max_deliveries_per_batch=size)
+        with pytest.raises(Exception, match="do not share the columns"):
+            q.awaitTermination()
+
+
+def test_a_day_delivered_again_is_ingested_by_an_explicit_call(spark, workdir):  # W5
+    from webfeed.streaming.ingest import reingest_deliveries
+
+    target, chk = new_scratch_path(spark, "ingest-target"), new_scratch_path(spark, "ingest-checkpoint")
+    write_delivery(workdir, "f", "2024-01-01", [row(1)])
+    write_delivery(workdir, "f", "2024-01-02", [row(2)])
+    ingest_deliveries(spark, workdir, "f", target, checkpoint=chk).awaitTermination()
+    write_delivery(workdir, "f", "2024-01-01", [row(1), row(9)])
+    ingest_deliveries(spark, workdir, "f", target, checkpoint=chk).awaitTermination()
+    reingest_deliveries(spark, workdir, "f", target, dates=["2024-01-01"], validate=True)
+    assert sorted(r.hitid_low for r in spark.read.parquet(target).collect()) == [1, 2, 9]

@@ -23,3 +23,17 @@ def input_file_name() -> Column:
 def input_file_path() -> Column:
     """Verbatim path of the file a row was read from."""
     return _decode(F.col("_metadata.file_path"))
+
+
+def normal_name(name: Column) -> Column:
+    """``paths.normal`` as an expression."""
+    return F.regexp_replace(F.regexp_replace(name, "/+", "/"), "^/", "")
+
+
+def relative_name(root: str) -> Column:
+    """Verbatim path of the file a row was read from, relative to the folder ``root``.
+
+    ``root`` is a path without scheme and authority (:func:`webfeed.sources.files.root_path`).
+    """
+    path = _decode(F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""))
+    return F.substring(path, len(root.rstrip("/")) + 2, 1 << 30)

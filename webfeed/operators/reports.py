@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..options import DateSelection, selection
+from ..paths import quoted
+from ..plans.broadcast import bounded_broadcast, row_bytes
 from ..sources.feed import feed_plan
-from ..sources.header import archive_sizes, collect_headers, delivery_headers
+from ..sources.header import archive_headers, collect_headers
 from ..sources.manifest import load_deliveries, manifests
 from .validate import validation_report
 
@@ -33,7 +35,7 @@ def manifest_catalog(spark: SparkSession, directory: str, feedname: str,
 def delivery_gaps(spark: SparkSession, directory: str, feedname: str,
                   start: str | Date | None = None, end: str | Date | None = None) -> DataFrame:
     """``missing_date``: days in ``[start, end]`` (or between the first and last
-    delivery found) that have no manifest. Lazy; one manifest scan."""
+    delivery found) that have no manifest. Lazy; one manifest scan with bounds, two without."""
     sel = selection(start=start, end=end)
     found = manifests(spark, directory, feedname, sel).select("delivery_date")
     if sel.kind == "range":
@@ -48,22 +50,28 @@ def delivery_gaps(spark: SparkSession, directory: str, feedname: str,
 
 def schema_drift(spark: SparkSession, directory: str, feedname: str,
                  sel: DateSelection | None = None) -> DataFrame:
-    """Deliveries whose header is absent, or differs from the earliest delivery's.
+    """Deliveries without a usable header, or whose header differs from the earliest usable one.
 
     Columns: ``delivery_date, header_found, n_columns, missing_columns,
-    extra_columns, duplicated_columns (array<string>), reordered boolean``.
-    The canonical header is read first (normally from one archive) and enters
-    the report as a literal; the report itself is one lazy header job.
+    extra_columns, duplicated_columns (array<string>), reordered boolean,
+    problem string`` (why there is no header: no archive or several listed, the
+    archive missing or damaged, the header member absent, empty or of several
+    lines). The canonical header is read first (normally from one archive) and
+    enters the report as a literal; the report itself is one lazy header job.
     """
-    deliveries = [d for d in load_deliveries(spark, directory, feedname, sel)
-                  if d.lookup_files and d.delivery_date is not None]
-    schema = ("delivery_date date, header_found boolean, n_columns int, missing_columns array<string>, "
-              "extra_columns array<string>, duplicated_columns array<string>, reordered boolean")
-    if not deliveries:
-        return spark.createDataFrame([], schema)
-    canonical = _canonical_header(spark, directory, deliveries)
+    deliveries = [d for d in load_deliveries(spark, directory, feedname, sel, data_names=False)
+                  if d.delivery_date is not None]
+    single = [d for d in deliveries if len(d.lookup_names) == 1]
+    canonical = _canonical_header(spark, directory, single)
     canon = F.array(*[F.lit(c) for c in canonical]).cast(T.ArrayType(T.StringType()))
-    headers = delivery_headers(spark, directory, deliveries)
+    headers = archive_headers(spark, directory, [d.archive for d in single])
+    rows = [(d.delivery_date, d.archive if len(d.lookup_names) == 1 else None, len(d.lookup_names))
+            for d in deliveries]
+    owners = spark.createDataFrame(rows, "delivery_date date, archive_name string, archives int")
+    headers = bounded_broadcast(headers, len(single), row_bytes([d.archive for d in single]) + (1 << 16))
+    joined = owners.join(headers, "archive_name", "left").withColumn(
+        "problem", F.when(F.col("archives") != 1,
+                          F.format_string("manifest lists %d lookup archives", "archives")).otherwise(F.col("problem")))
     h = F.col("header")
     # duplicates: equal neighbours once sorted (n log n per header, not n * n)
     srt = F.array_sort(h)
@@ -71,51 +79,40 @@ def schema_drift(spark: SparkSession, directory: str, feedname: str,
                        lambda i: F.element_at(srt, i) == F.element_at(srt, i - 1))
     dups = F.when(F.size(srt) >= 2, F.array_distinct(F.transform(repeats, lambda i: F.element_at(srt, i)))) \
         .when(h.isNotNull(), F.array().cast(T.ArrayType(T.StringType())))
-    out = headers.select(
-        "delivery_date", "header_found",
-        F.when(F.col("header_found"), F.size(h)).alias("n_columns"),
-        F.array_except(canon, h).alias("missing_columns"),
-        F.array_except(h, canon).alias("extra_columns"),
-        dups.alias("duplicated_columns"),
-        (F.col("header_found") & (h != canon)).alias("differs"),
-    )
+    out = joined.select(
+        "delivery_date", h.isNotNull().alias("header_found"), F.when(h.isNotNull(), F.size(h)).alias("n_columns"),
+        F.array_except(canon, h).alias("missing_columns"), F.array_except(h, canon).alias("extra_columns"),
+        dups.alias("duplicated_columns"), F.coalesce(h != canon, F.lit(False)).alias("differs"), "problem")
     same_set = ((F.size("missing_columns") == 0) & (F.size("extra_columns") == 0)
                 & (F.size("duplicated_columns") == 0))
     return (out.where(~F.col("header_found") | ~same_set | F.col("differs"))
             .select("delivery_date", "header_found", "n_columns", "missing_columns", "extra_columns",
-                    "duplicated_columns", (F.col("differs") & same_set).alias("reordered")))
+                    "duplicated_columns", F.coalesce(F.col("differs") & same_set, F.lit(False)).alias("reordered"),
+                    "problem"))
 
 
 def _canonical_header(spark: SparkSession, directory: str, deliveries: list) -> list[str]:
     """Header of the earliest delivery that has one (usually one archive is read)."""
-    first = min(deliveries, key=lambda d: d.delivery_date)
-    base = first.archive.rsplit("/", 1)[-1]
-    found = collect_headers(spark, directory, [first.archive], skip_damaged=True,
-                            sizes=archive_sizes([first])).get(base)
-    if found is not None:
-        return found
-    by_archive = collect_headers(spark, directory, [d.archive for d in deliveries], skip_damaged=True,
-                                 sizes=archive_sizes(deliveries))
-    for d in sorted(deliveries, key=lambda d: d.delivery_date):
-        if by_archive.get(d.archive.rsplit("/", 1)[-1]) is not None:
-            return by_archive[d.archive.rsplit("/", 1)[-1]]
+    for chosen in (deliveries[:1], deliveries[1:]):
+        found = collect_headers(spark, directory, [d.archive for d in chosen], skip_problems=True) if chosen else {}
+        for d in chosen:
+            if found[d.archive] is not None:
+                return found[d.archive]
     return []
 
 
 def feed_validation(spark: SparkSession, directory: str, feedname: str,
                     sel: DateSelection | None = None, **kwargs) -> DataFrame:
     """Per-file validation report of every delivery found, whatever its problems."""
-    return validation_report(spark, directory, load_deliveries(spark, directory, feedname, sel), **kwargs)
+    return validation_report(spark, directory, feedname, sel, **kwargs)
 
 
 def delivery_records(spark: SparkSession, directory: str, feedname: str,
                      sel: DateSelection | None = None) -> DataFrame:
     """Per delivery: ``total_records`` (declared), ``listed_records`` (sum of the
     files' Record-Count), ``actual_records`` (rows read) and ``ok``."""
-    deliveries = load_deliveries(spark, directory, feedname, sel)
-    report = validation_report(spark, directory, deliveries, check_md5=False, kinds=("data",))
-    declared = spark.createDataFrame([(d.delivery_date, d.total_records) for d in deliveries],
-                                     "delivery_date date, total_records bigint")
+    report = validation_report(spark, directory, feedname, sel, check_md5=False, kinds=("data",))
+    declared = manifests(spark, directory, feedname, sel).select("delivery_date", "total_records")
     per_day = report.groupBy("delivery_date").agg(
         F.sum("expected_records").alias("listed_records"),
         F.sum("actual_records").alias("actual_records"))
@@ -133,25 +130,24 @@ def type_losses(spark: SparkSession, directory: str, feedname: str, sel: DateSel
 
     ``values`` counts the non-empty cells in the files, ``lost`` the ones the
     typed read turns into NULL (out-of-range ids, a decimal comma, a bad
-    timestamp). The feed is scanned once with every column as STRING; each
-    value is re-parsed by ``from_csv`` — the CSV reader's own converter, same
-    options — and the counts are one aggregation (map-side partial counts).
+    timestamp). The feed is counted by two native scans, one with every column
+    as STRING and one typed: a cell that parses is not NULL in either.
     """
     plan = feed_plan(spark, directory, feedname, sel, column_types)
     typed = [(c, f.dataType) for c, f in zip(plan.columns, plan.schema.fields)
              if not isinstance(f.dataType, T.StringType)]
-    out_schema = "column_name string, data_type string, values bigint, lost bigint"
     if not typed:
-        return spark.createDataFrame([], out_schema)
-    raw = dataclasses.replace(plan, column_types={**plan.column_types,
-                                                  **{c: T.StringType() for c, _ in typed}})
-    hits = raw.to_dataframe(spark)
-    aggs = []
-    for i, (c, t) in enumerate(typed):
-        v = F.col(f"`{c}`")
-        parsed = F.from_csv(v, f"v {t.simpleString()}", {"sep": "\t"}).getField("v")
-        aggs += [F.count(v).alias(f"n{i}"), F.count_if(v.isNotNull() & parsed.isNull()).alias(f"l{i}")]
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t.simpleString()).alias("data_type"),
-                              F.col(f"n{i}").alias("values"), F.col(f"l{i}").alias("lost"))
-                     for i, (c, t) in enumerate(typed)])
-    return hits.agg(*aggs).select(F.inline(rows))
+        return spark.createDataFrame([], "column_name string, data_type string, values bigint, lost bigint")
+    raw = dataclasses.replace(plan, _scans=None, column_types={**plan.column_types,
+                                                               **{c: T.StringType() for c, _ in typed}})
+
+    def present(hits: DataFrame, count: str) -> DataFrame:
+        """Cells that are not NULL, by position of the column."""
+        counts = hits.agg(*[F.count(F.col(quoted(c))).alias(f"n{i}") for i, (c, _) in enumerate(typed)])
+        return counts.select(F.posexplode(F.array(*[f"n{i}" for i in range(len(typed))])).alias("i", count))
+
+    names = spark.createDataFrame([(i, c, t.simpleString()) for i, (c, t) in enumerate(typed)],
+                                  "i int, column_name string, data_type string")
+    return names.join(present(raw.to_dataframe(spark), "values"), "i").join(
+        present(plan.to_dataframe(spark), "kept"), "i").select(
+        "column_name", "data_type", "values", (F.col("values") - F.col("kept")).alias("lost"))

@@ -8,110 +8,67 @@ manifests::
     expected_md5 string, actual_md5 string, md5_ok boolean,
     expected_records bigint, actual_records bigint, records_ok boolean, ok boolean
 
-All work is Spark jobs:
+All work is Spark jobs; what the manifests promise is read from the manifest scan, and the driver holds
+only names:
 
 * presence comes from the ``binaryFile`` file index (no content read, no job);
   size and digest from one scan of it. Spark's scans skip zero-byte files, so a
   listed file with no scan row is empty: size 0, the digest of no bytes;
-* digests of files up to ``md5_inline_max_bytes`` are ``md5(content)`` in the
-  JVM, many files per task; larger files are streamed through ``hashlib`` in
-  Python tasks in 8 MiB chunks, one file per task, so memory stays flat however
-  big a file is;
-* record counts use the read's CSV settings and count rows per file
-  (``_metadata.file_name``) with map-side partial counts; no column is parsed.
-  A damaged file (truncated gzip) counts the rows that can be read, so it is
-  reported instead of failing the job; the hit read itself keeps Spark's
-  default and fails on it.
-
-The digest scan and the count scan are independent stages of one job, so they
-run side by side. Only one summary row per delivery reaches the driver
-(:func:`enforce`).
+* digests of files up to ``md5_inline_max_bytes`` (their real length) are
+  ``md5(content)`` in the JVM, many files per task; larger files are streamed
+  through ``hashlib`` in Python tasks in 8 MiB chunks, one file per task, so
+  memory stays flat however big a file is;
+* record counts use the read's CSV settings and count rows per file with
+  map-side partial counts; no column is parsed. Files whose size or digest is
+  wrong are counted by a scan that skips what cannot be read, so a damaged file
+  is reported instead of failing the job. Files that are right are counted by a
+  scan that fails, and is retried, on any read error.
+
+A validated read thus makes three passes over the hits: digests, counts, query.
+Files are keyed by their path relative to the directory.
 """
 
 from __future__ import annotations
 
 import hashlib
-from urllib.parse import unquote
+from functools import reduce
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import paths
 from ..errors import ValidationError
-from ..functions.files import input_file_name
+from ..functions.files import normal_name
+from ..options import DateSelection
 from ..plans.broadcast import bounded_broadcast, row_bytes
 from ..plans.scan import CSV_OPTIONS
-from ..session import ship_package, task_file_system
-from ..sources.manifest import Delivery
+from ..session import check_streamable, task_file_system
+from ..sources.files import Files
+from ..sources.manifest import Delivery, load_deliveries, manifests
 
 MD5_INLINE_MAX_BYTES = 128 * 1024 * 1024
 _CHUNK = 8 * 1024 * 1024
 
-EXPECTED_SCHEMA = T.StructType([
-    T.StructField("delivery_date", T.DateType()),
-    T.StructField("kind", T.StringType()),
-    T.StructField("file_name", T.StringType()),
-    T.StructField("file_base", T.StringType()),
-    T.StructField("expected_size", T.LongType()),
-    T.StructField("expected_md5", T.StringType()),
-    T.StructField("expected_records", T.LongType()),
-    T.StructField("file_exists", T.BooleanType()),
-])
+# Bad files of one delivery that reach the driver as examples.
+EXAMPLES = 10
 # MD5 of zero bytes: the digest of an empty file, which scans return no row for.
 EMPTY_MD5 = hashlib.md5(b"").hexdigest()
 
 
-def _base(name: str) -> str:
-    return name.rsplit("/", 1)[-1]
-
-
-def expected_files(spark: SparkSession, deliveries: list[Delivery],
-                   kinds: tuple[str, ...] = ("data", "lookup"), present: set[str] = frozenset()) -> DataFrame:
-    """Files the manifests promise (metadata rows, one per listed file); ``file_exists``
-    when the base name is in ``present``."""
-    rows = []
-    for d in deliveries:
-        if "data" in kinds:
-            rows += [(d.delivery_date, "data", f["name"], _base(f["name"]), f["size"], f["md5"],
-                      f["record_count"], _base(f["name"]) in present) for f in d.data_files]
-        if "lookup" in kinds:
-            rows += [(d.delivery_date, "lookup", f["name"], _base(f["name"]), f["size"], f["md5"], None,
-                      _base(f["name"]) in present) for f in d.lookup_files]
-    return spark.createDataFrame(rows, EXPECTED_SCHEMA)
-
-
-def _indexed(files: DataFrame) -> set[str]:
-    """Base names of the files in a relation's index (empty files included; no job)."""
-    return {unquote(p.rsplit("/", 1)[-1]) for p in files.inputFiles()}
-
-
-def _file_scan(spark: SparkSession, directory: str, names: list[str]) -> tuple[DataFrame | None, set[str]]:
-    """``binaryFile`` relation over the named files that exist, and their base names.
-
-    Normally every file exists and the scan is built from the names directly
-    (the reader checks existence itself); only when some are missing is the
-    folder globbed once to find the ones that are there.
-    """
-    if not names:
-        return None, set()
-    reader = spark.read.format("binaryFile")
-    try:
-        files = reader.load(paths.literal_paths(directory, names))
-        return files, _indexed(files)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-    try:
-        present = _indexed(reader.load(paths.any_of(directory, names)))
-    except AnalysisException:
-        return None, set()
-    existing = [n for n in names if _base(n) in present]
-    if not existing:
-        return None, set()
-    return reader.load(paths.literal_paths(directory, existing)), present
+def expected_files(spark: SparkSession, directory: str, feedname: str, sel: DateSelection | None = None,
+                   kinds: tuple[str, ...] = ("data", "lookup")) -> DataFrame:
+    """Files the manifests promise, one row per listed file (lazy; nothing reaches the driver)."""
+    found = manifests(spark, directory, feedname, sel)
+    parts = []
+    for kind, files in (("data", "data_files"), ("lookup", "lookup_files")):
+        if kind in kinds:
+            records = F.col("record_count") if kind == "data" else F.lit(None).cast("bigint")
+            parts.append(found.select("delivery_date", F.inline(files)).select(
+                "delivery_date", F.lit(kind).alias("kind"), F.col("name").alias("file_name"),
+                normal_name(F.col("name")).alias("file_key"), F.col("size").alias("expected_size"),
+                F.col("md5").alias("expected_md5"), records.alias("expected_records")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _stream_md5(batches):
@@ -127,82 +84,99 @@ def _stream_md5(batches):
                 while chunk := f.read(_CHUNK):
                     h.update(chunk)
             digests.append(h.hexdigest())
-        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "actual_md5": digests})
+        yield pd.DataFrame({"file_key": pdf["file_key"], "actual_size": pdf["actual_size"], "actual_md5": digests})
 
 
-def file_digests(spark: SparkSession, files: DataFrame, inline_max: int = MD5_INLINE_MAX_BYTES,
-                 stream_big: bool = True) -> DataFrame:
-    """``path, length, actual_md5`` of every file of a ``binaryFile`` relation (lazy).
+def file_digests(files: Files, directory: str, inline_max: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
+    """``file_key, actual_size, actual_md5`` of every file that exists and is not empty.
 
     The ``length`` filters are pushed into the ``binaryFile`` scan, which skips
     the content of files it filters out: small files are hashed in the JVM,
-    big ones are never loaded whole but streamed in Python tasks. No shuffle:
-    the scan packs files into tasks by size, so a file bigger than the split
-    size has a task of its own. With ``stream_big=False`` (no file is listed as
-    big) big files keep a NULL digest and no Python task is started; such a
-    file differs from its listed size anyway.
+    big ones (if there is any) are never loaded whole but streamed in Python
+    tasks. No shuffle: the scan packs files into tasks by size, so a file bigger
+    than the split size has a task of its own.
     """
-    small = files.where(F.col("length") <= inline_max) \
-        .select("path", "length", F.md5("content").alias("actual_md5"))
-    ship_package(spark)
-    big = files.where(F.col("length") > inline_max).select("path", "length")
-    big = big.mapInPandas(_stream_md5, "path string, length bigint, actual_md5 string") if stream_big \
-        else big.withColumn("actual_md5", F.lit(None).cast("string"))
-    return small.unionByName(big)
+    key, length = files.name().alias("file_key"), F.col("length")
+    small = files.select(key, length.alias("actual_size"), F.md5("content").alias("actual_md5"),
+                         where=length <= inline_max)
+    big = files.select(key, "path", length.alias("actual_size"), where=length > inline_max)
+    if big.isEmpty():  # lengths only: no content is read
+        return small
+    check_streamable(directory)
+    return small.unionByName(big.mapInPandas(_stream_md5, "file_key string, actual_size bigint, actual_md5 string"))
 
 
-def file_row_counts(spark: SparkSession, directory: str, names: list[str]) -> DataFrame:
-    """``file_base, actual_records``: rows per data file under the read's CSV settings.
+def file_row_counts(spark: SparkSession, directory: str, names: list[str], damaged: list[str]) -> DataFrame:
+    """``file_key, actual_records``: rows per data file under the read's CSV settings.
 
     PERMISSIVE parsing never drops a row, so the count does not depend on the
-    column schema; a one-column schema is used and nothing is parsed. With
-    ``ignoreCorruptFiles`` a damaged file yields the rows before the damage.
+    column schema; a one-column schema is used and nothing is parsed. A file in
+    ``damaged`` yields the rows before the damage.
     """
-    if not names:
-        return spark.createDataFrame([], "file_base string, actual_records bigint")
-    return (spark.read.schema("_c0 string").options(**CSV_OPTIONS).option("ignoreCorruptFiles", "true")
-            .csv(paths.literal_paths(directory, names))
-            .select(input_file_name().alias("file_base"))
-            .groupBy("file_base").agg(F.count(F.lit(1)).alias("actual_records")))
-
-
-def validation_report(spark: SparkSession, directory: str, deliveries: list[Delivery], *,
+    skip = set(damaged)
+    parts = []
+    for chosen, tolerant in (([n for n in names if n not in skip], "false"),
+                             ([n for n in names if n in skip], "true")):
+        if chosen:
+            reader = spark.read.schema("_c0 string").options(**CSV_OPTIONS).option("ignoreCorruptFiles", tolerant)
+            files = Files(spark, directory, chosen, reader.csv)
+            found = files.select(files.name().alias("file_key"))
+            if found is not None:
+                parts.append(found)
+    if not parts:
+        return spark.createDataFrame([], "file_key string, actual_records bigint")
+    return reduce(lambda a, b: a.unionAll(b), parts).groupBy("file_key") \
+        .agg(F.count(F.lit(1)).alias("actual_records"))
+
+
+def validation_report(spark: SparkSession, directory: str, feedname: str, sel: DateSelection | None = None, *,
                       check_md5: bool = True, check_records: bool = True,
                       kinds: tuple[str, ...] = ("data", "lookup"),
-                      md5_inline_max_bytes: int = MD5_INLINE_MAX_BYTES) -> DataFrame:
-    """Per-file report of the given deliveries (see module docstring); lazy.
+                      md5_inline_max_bytes: int = MD5_INLINE_MAX_BYTES,
+                      persisted: list[DataFrame] | None = None) -> DataFrame:
+    """Per-file report of the selected deliveries (see module docstring).
+
+    With ``check_records`` the sizes and digests are computed at once, for they tell which files are
+    damaged; the report is lazy and computes them again. A caller that runs the report right away
+    passes a list as ``persisted``: the digests (one small row per file) are then kept, and added to
+    the list for the caller to release.
 
     Every side joined to the expected files has at most one row per listed
-    file, holding that file's base name and path: row count and bytes are
-    known on the driver, so it is broadcast when both are small
+    file, holding that file's name: row count and bytes are known on the
+    driver, so it is broadcast when both are small
     (:mod:`~webfeed.plans.broadcast`) and shuffled otherwise.
     """
-    names = sorted({f["name"] for d in deliveries
-                    for kind, files in (("data", d.data_files), ("lookup", d.lookup_files))
-                    if kind in kinds for f in files})
-    n = len(names)
-    per_row = row_bytes([_base(x) for x in names], [paths.join(directory, x) for x in names])
+    deliveries = load_deliveries(spark, directory, feedname, sel)
+    data_names = sorted({paths.normal(n) for d in deliveries for n in d.data_names})
+    names = sorted({*(data_names if "data" in kinds else ()),
+                    *(paths.normal(n) for d in deliveries for n in d.lookup_names if "lookup" in kinds)})
+    per_row = row_bytes(names)
 
     def bounded(df: DataFrame) -> DataFrame:
-        return bounded_broadcast(df, n, per_row)
-
-    files, present = _file_scan(spark, directory, names)
-    expected = expected_files(spark, deliveries, kinds, present)
-    if files is None:
-        files = spark.createDataFrame([], "path string, length bigint, content binary")
-    # size and digest of each file in one pass over the binaryFile relation
-    listed = [f["size"] for d in deliveries for kind, fs in (("data", d.data_files), ("lookup", d.lookup_files))
-              if kind in kinds for f in fs]
-    stream_big = any(size is None or size > md5_inline_max_bytes for size in listed)
-    info = file_digests(spark, files, md5_inline_max_bytes, stream_big) if check_md5 else \
-        files.select("path", "length", F.lit(None).cast("string").alias("actual_md5"))
-    actual = info.select(F.regexp_extract("path", r"[^/]*$", 0).alias("file_base"),
-                         F.col("length").alias("actual_size"), "actual_md5")
-    report = expected.join(bounded(actual), "file_base", "left")
-    data_names = sorted({f["name"] for d in deliveries for f in d.data_files if _base(f["name"]) in present})
-    if check_records and "data" in kinds:
-        counts = file_row_counts(spark, directory, data_names)  # each file once, however often listed
-        report = report.join(bounded(counts), "file_base", "left")
+        return bounded_broadcast(df, len(names), per_row)
+
+    files = Files(spark, directory, names, spark.read.format("binaryFile").load)
+    if not files.exist:
+        actual = spark.createDataFrame([], "file_key string, actual_size bigint, actual_md5 string")
+    elif check_md5:
+        actual = file_digests(files, directory, md5_inline_max_bytes)
+    else:
+        actual = files.select(files.name().alias("file_key"), F.col("length").alias("actual_size"),
+                              F.lit(None).cast("string").alias("actual_md5"))
+    expected = expected_files(spark, directory, feedname, sel, kinds) \
+        .withColumn("file_exists", ~F.col("file_key").isin(files.missing(names)))
+    counted = check_records and "data" in kinds
+    if counted and persisted is not None:
+        persisted.append(actual := actual.persist())
+    report = expected.join(bounded(actual), "file_key", "left")
+    if counted:
+        wrong = ~F.col("actual_size").eqNullSafe(F.col("expected_size"))
+        if check_md5:
+            wrong = wrong | ~F.col("actual_md5").eqNullSafe(F.col("expected_md5"))
+        damaged = [r.file_key for r in report.where(wrong & F.col("file_exists") & (F.col("kind") == "data"))
+                   .select("file_key").distinct().collect()]
+        counts = file_row_counts(spark, directory, [n for n in data_names if n in files.exist], damaged)
+        report = report.join(bounded(counts), "file_key", "left")  # each file once, however often listed
     else:
         report = report.withColumn("actual_records", F.lit(None).cast("bigint"))
 
@@ -229,34 +203,44 @@ def validation_report(spark: SparkSession, directory: str, deliveries: list[Deli
 
 
 def delivery_summary(report: DataFrame) -> DataFrame:
-    """One row per delivery: rows read from its data files and its bad files."""
+    """One row per delivery: rows read from its data files, the number of its bad files and some of these.
+
+    The list that is cut to ``EXAMPLES`` holds one delivery's bad files, never more than its manifest lists.
+    """
     bad = F.struct("file_name", "file_exists", "size_ok", "md5_ok", "records_ok",
                    "actual_size", "expected_size", "actual_md5", "expected_md5",
                    "actual_records", "expected_records")
+    found = F.collect_list(F.when(~F.col("ok"), bad))
     return report.groupBy("delivery_date").agg(
         F.sum(F.when(F.col("kind") == "data", F.col("actual_records"))).alias("records_read"),
-        F.collect_list(F.when(~F.col("ok"), bad)).alias("bad_files"))
+        F.count_if(~F.col("ok")).alias("n_bad"), F.slice(F.array_sort(found), 1, EXAMPLES).alias("bad_files"))
+
+
+def _fault(f) -> str:
+    if not f.file_exists:
+        return "file missing"
+    what = []
+    if not f.size_ok:
+        what.append(f"size {f.actual_size} != {f.expected_size}")
+    if f.md5_ok is False:
+        what.append(f"md5 {f.actual_md5} != {f.expected_md5}")
+    if f.records_ok is False:
+        what.append(f"records {f.actual_records} != {f.expected_records}")
+    return ", ".join(what)
 
 
 def enforce(report: DataFrame, deliveries: list[Delivery], check_total: bool = True) -> None:
-    """Raise :class:`ValidationError` listing every bad file and every wrong total (one job)."""
+    """Raise :class:`ValidationError` naming the bad files (of each delivery the first ``EXAMPLES``, and how
+    many more) and every wrong total; the report itself lists all."""
     messages, failures = [], []
     summary = {r.delivery_date: r for r in delivery_summary(report).collect()}
     for d in deliveries:
         row = summary.get(d.delivery_date)
-        for f in (row.bad_files if row else []):
-            failures.append(f)
-            if not f.file_exists:
-                what = ["file missing"]
-            else:
-                what = []
-                if not f.size_ok:
-                    what.append(f"size {f.actual_size} != {f.expected_size}")
-                if f.md5_ok is False:
-                    what.append(f"md5 {f.actual_md5} != {f.expected_md5}")
-                if f.records_ok is False:
-                    what.append(f"records {f.actual_records} != {f.expected_records}")
-            messages.append(f"{d.delivery_date} {f.file_name}: {', '.join(what)}")
+        shown = row.bad_files if row else []
+        failures += shown
+        messages += [f"{d.delivery_date} {f.file_name}: {_fault(f)}" for f in shown]
+        if row and row.n_bad > len(shown):
+            messages.append(f"{d.delivery_date}: {row.n_bad - len(shown)} more bad files")
         read = (row.records_read if row else 0) or 0
         if check_total and read != d.total_records:
             messages.append(f"{d.delivery_date} {d.manifest_name}: Total-Records {d.total_records}, read {read}")

@@ -11,7 +11,7 @@ import difflib
 import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from .errors import FeedOptionError
 
@@ -41,6 +41,8 @@ _ISO_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 def parse_date(text: str | date, what: str = "date") -> date:
     """Strict ``yyyy-MM-dd`` (no surrounding blanks, real calendar day)."""
+    if isinstance(text, datetime):
+        raise FeedOptionError(f"{what} must be a day, got a time: {text!r}")
     if isinstance(text, date):
         return text
     if not isinstance(text, str) or not _ISO_DATE.fullmatch(text):

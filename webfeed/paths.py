@@ -6,6 +6,7 @@ manifest or a feed name are escaped before they are handed to a reader.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 _GLOB_SPECIAL = set("\\{}[]*?,")
@@ -16,15 +17,15 @@ def glob_escape(text: str) -> str:
     return "".join("\\" + c if c in _GLOB_SPECIAL else c for c in text)
 
 
-def join(directory: str, name: str) -> str:
-    """``directory`` + ``/`` + ``name`` without doubling the separator."""
-    return directory.rstrip("/") + "/" + name.lstrip("/")
+def normal(name: str) -> str:
+    """A manifest's file name as a path relative to the directory (no leading or doubled slash)."""
+    return re.sub("/+", "/", name).lstrip("/")
 
 
 def literal_paths(directory: str, names: Iterable[str]) -> list[str]:
     """Reader-safe paths (glob-escaped) for files named in a manifest."""
     d = glob_escape(directory.rstrip("/"))
-    return [d + "/" + glob_escape(n.lstrip("/")) for n in names]
+    return [d + "/" + glob_escape(normal(n)) for n in names]
 
 
 def any_of(directory: str, names: Iterable[str]) -> str:
@@ -43,3 +44,8 @@ def any_of(directory: str, names: Iterable[str]) -> str:
 def java_regex_literal(text: str) -> str:
     """Escape ``text`` for use inside a Java regular expression."""
     return "".join(c if c.isalnum() or c == "_" else "\\" + c for c in text)
+
+
+def quoted(name: str) -> str:
+    """A column name as Spark reads it literally (dots and backticks included)."""
+    return "`" + name.replace("`", "``") + "`"

@@ -17,18 +17,16 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import paths
 from ..errors import DeliveryError, ManifestError, SchemaMismatchError
-from ..functions.files import input_file_name
 from ..functions.types import feed_schema
 from .broadcast import bounded_broadcast, row_bytes
-from ..options import HEADER_MEMBER
-from ..sources.header import archive_sizes, collect_headers
+from ..sources.files import Files
+from ..sources.header import collect_headers
 from ..sources.manifest import Delivery
 
 # CSV settings of a data file: tab separated, no header row; everything else is
@@ -40,9 +38,12 @@ CSV_OPTIONS = {"sep": "\t", "header": "false"}
 class ScanGroup:
     columns: tuple[str, ...]
     dates: tuple[date, ...]
-    files: tuple[str, ...]
     files_by_date: tuple[tuple[date, tuple[str, ...]], ...] = ()
 
+    @property
+    def files(self) -> list[str]:
+        return [f for _, fs in self.files_by_date for f in fs]
+
 
 @dataclass
 class FeedScanPlan:
@@ -56,58 +57,62 @@ class FeedScanPlan:
     def schema(self) -> T.StructType:
         return feed_schema(self.columns, self.column_types)
 
-    def scans(self, spark: SparkSession) -> list[DataFrame]:
-        """One native CSV relation per column order, built once per plan.
-
-        Building a relation checks and lists every file (in parallel above a
-        few dozen paths); the hit table and the delivery-date column reuse
-        these relations instead of listing again.
-        """
+    def scans(self, spark: SparkSession) -> list[Files]:
+        """The files of each column order, listed once per plan (also for the delivery-date column)."""
         if self._scans is None:
-            try:
-                self._scans = [spark.read.schema(feed_schema(g.columns, self.column_types))
-                               .options(**CSV_OPTIONS)
-                               .csv(paths.literal_paths(self.directory, g.files))
-                               for g in self.groups if g.files]
-            except AnalysisException as e:
-                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                    raise
-                raise DeliveryError("a data file listed in a manifest is missing (validate=True names every "
-                                    f"bad file): {str(e).splitlines()[0]}") from None
+            scans, missing = [], []
+            for g in self.groups:
+                if g.files:
+                    reader = spark.read.schema(feed_schema(g.columns, self.column_types)).options(**CSV_OPTIONS)
+                    scans.append(Files(spark, self.directory, g.files, reader.csv))
+                    missing += scans[-1].missing(g.files)
+            if missing:
+                more = f" and {len(missing) - 10} more" if len(missing) > 10 else ""
+                raise DeliveryError("data files listed in a manifest are missing (validate=True names every bad "
+                                    f"file): {', '.join(sorted(missing)[:10])}{more}")
+            self._scans = scans
         return self._scans
 
     def to_dataframe(self, spark: SparkSession, with_delivery_date: bool = False) -> DataFrame:
         """The hit table: one native CSV scan per distinct column order.
 
         ``with_delivery_date`` appends ``delivery_date`` (the manifest's day) by
-        joining each row's input file name to the plan's file list. That list
-        has one row per data file, whose count and bytes are known here, so it
-        is broadcast when small (:mod:`~webfeed.plans.broadcast`) and shuffled
-        otherwise.
+        joining each row's input file (its path relative to the directory) to
+        the plan's file list. That list has one row per data file, whose count
+        and bytes are known here, so it is broadcast when small
+        (:mod:`~webfeed.plans.broadcast`) and shuffled otherwise.
         """
+        if with_delivery_date and any(c.lower() == "delivery_date" for c in self.columns):
+            raise SchemaMismatchError("the feed has a column delivery_date of its own")
+        columns = [F.col(paths.quoted(c)) for c in self.columns]
         if not any(g.files for g in self.groups):
             empty = spark.createDataFrame([], self.schema)
             return empty.withColumn("delivery_date", F.lit(None).cast("date")) if with_delivery_date else empty
         if not with_delivery_date:
-            scans = [s.select(*self.columns) for s in self.scans(spark)]
-            return reduce(lambda a, b: a.unionByName(b), scans)
-        scans = [s.select(*self.columns, input_file_name().alias("_file")) for s in self.scans(spark)]
-        hits = reduce(lambda a, b: a.unionByName(b), scans)
-        pairs = [(f.rsplit("/", 1)[-1], d) for g in self.groups for d, fs in g.files_by_date for f in fs]
+            return reduce(lambda a, b: a.unionByName(b), [s.select(*columns) for s in self.scans(spark)])
+        hits = reduce(lambda a, b: a.unionByName(b),
+                      [s.select(*columns, s.name().alias("__wf_file")) for s in self.scans(spark)])
+        pairs = [(paths.normal(f), d) for g in self.groups for d, fs in g.files_by_date for f in fs]
         shared = sorted({f for f, n in Counter(f for f, _ in pairs).items() if n > 1})
         if shared:  # the join would multiply their rows, and no single day is right
             raise ManifestError(f"data files listed by more than one delivery have no single delivery date: "
                                 f"{', '.join(shared[:10])}{' ...' if len(shared) > 10 else ''}")
-        owners = spark.createDataFrame(pairs, "_file string, delivery_date date")
+        owners = spark.createDataFrame(pairs, "__wf_file string, delivery_date date")
         owners = bounded_broadcast(owners, len(pairs), row_bytes([f for f, _ in pairs]))
-        return hits.join(owners, "_file", "left").drop("_file")
+        return hits.join(owners, "__wf_file", "left").drop("__wf_file")
+
+
+def same_names(header: list[str], case_sensitive: bool) -> list[str]:
+    """Names that occur more than once (or differ only in case, where Spark does not tell those apart)."""
+    count = Counter(c if case_sensitive else c.lower() for c in header)
+    return sorted({c for c in header if count[c if case_sensitive else c.lower()] > 1})
 
 
-def _describe_difference(canonical: list[str], other: list[str]) -> str:
+def _describe_difference(canonical: list[str], other: list[str], case_sensitive: bool) -> str:
     canon, seen = set(canonical), set(other)
     missing = [c for c in canonical if c not in seen]
     extra = [c for c in other if c not in canon]
-    dups = sorted(c for c, k in Counter(other).items() if k > 1)
+    dups = same_names(other, case_sensitive)
     parts = []
     if missing:
         parts.append(f"missing {missing}")
@@ -123,30 +128,24 @@ def _describe_difference(canonical: list[str], other: list[str]) -> str:
 def plan_scan(spark: SparkSession, directory: str, deliveries: list[Delivery],
               column_types: dict | None = None) -> FeedScanPlan:
     """Read the headers of all deliveries (one parallel job) and group deliveries by header."""
-    headers = collect_headers(spark, directory, [d.archive for d in deliveries], sizes=archive_sizes(deliveries))
-    absent = [d.delivery_date for d in deliveries if headers.get(d.archive.rsplit("/", 1)[-1]) is None]
-    if absent:
-        raise DeliveryError(f"lookup archive has no {HEADER_MEMBER} for "
-                            f"{', '.join(d.isoformat() for d in sorted(absent))}")
+    headers = collect_headers(spark, directory, [d.archive for d in deliveries])
     dates_of: dict[tuple[str, ...], list] = {}
     for d in deliveries:
-        dates_of.setdefault(tuple(headers[d.archive.rsplit("/", 1)[-1]]), []).append(d.delivery_date)
+        dates_of.setdefault(tuple(headers[d.archive]), []).append(d.delivery_date)
     grouped = [(list(h), sorted(ds)) for h, ds in dates_of.items()]
     by_date = {d.delivery_date: d for d in deliveries}
     groups = sorted(grouped, key=lambda g: g[1][0])
     canonical = groups[0][0]
+    case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
     problems = []
     for header, dates in groups:
-        bad = len(header) != len(set(header)) or set(header) != set(canonical)
+        bad = any(same_names(header, case_sensitive)) or set(header) != set(canonical)
         if bad:
             problems.append(f"{', '.join(d.isoformat() for d in dates)}: "
-                            f"{_describe_difference(canonical, header)}")
+                            f"{_describe_difference(canonical, header, case_sensitive)}")
     if problems:
         raise SchemaMismatchError("deliveries do not share the columns of "
                                   f"{groups[0][1][0].isoformat()}:\n  " + "\n  ".join(problems))
-    scan_groups = tuple(
-        ScanGroup(tuple(header), tuple(dates),
-                  tuple(f["name"] for d in dates for f in by_date[d].data_files),
-                  tuple((d, tuple(f["name"] for f in by_date[d].data_files)) for d in dates))
-        for header, dates in groups)
+    scan_groups = tuple(ScanGroup(tuple(header), tuple(dates), tuple((d, by_date[d].data_names) for d in dates))
+                        for header, dates in groups)
     return FeedScanPlan(directory, tuple(canonical), scan_groups, dict(column_types or {}))

@@ -7,11 +7,14 @@ folder is created and registered as the checkpoint directory.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from .errors import DeliveryError
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this application.
@@ -59,34 +62,16 @@ class HadoopFS:
             out.close()
 
 
-_SHIPPED: set[str] = set()
-
+# Schemes of file systems that a Python task can stream from (pyarrow); the rest must be read by Spark.
+_TASK_SCHEMES = {"s3": "s3", "s3a": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs", "viewfs": "viewfs",
+                 "abfs": "abfs", "abfss": "abfss"}
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (once per application).
 
-    Equivalent to ``--py-files``: the package is zipped into the shared scratch
-    folder and registered with ``addPyFile``.
-    """
-    import io
-    import os
-    import zipfile
-
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-        for root, _dirs, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    zf.write(full, os.path.join("webfeed", os.path.relpath(full, pkg)))
-    target = new_scratch_path(spark, "webfeed-code") + ".zip"
-    HadoopFS(spark).write_bytes(target, buf.getvalue())
-    sc.addPyFile(target)
-    _SHIPPED.add(sc.applicationId)
+def check_streamable(path: str) -> None:
+    """Refuse, before any job, a file that tasks would have to stream from an unknown file system."""
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", path)
+    if scheme and scheme[1].lower() not in ("file", *_TASK_SCHEMES):
+        raise DeliveryError(f"{path}: files above the in-memory limit cannot be streamed from {scheme[1]!r} storage")
 
 
 def task_file_system(path: str):
@@ -95,8 +80,11 @@ def task_file_system(path: str):
 
     from pyarrow import fs as pafs
 
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + unquote(path[len("file:"):]).lstrip("/")
-    if "://" not in path:
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
         return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + unquote(rest).lstrip("/")
+    if scheme.lower() not in _TASK_SCHEMES:
+        raise OSError(f"no task file system for {path}")
+    return pafs.FileSystem.from_uri(f"{_TASK_SCHEMES[scheme.lower()]}:{rest}")

@@ -1,21 +1,21 @@
-"""Archive member extraction: lines of named members of ``.tar.gz`` lookup archives.
+"""Archive member extraction: lines of named members of lookup archives.
 
 Archives are read with Spark's ``binaryFile`` source and unpacked in Python
 workers (``mapInArrow``), one archive at a time, in parallel across archives.
-Archives listed (in their manifest) at up to ``INLINE_MAX_BYTES`` come as
-``binaryFile`` content, many per task; bigger ones, or ones without a readable
-size, are never loaded whole: the task streams them from storage and
-decompresses incrementally. The streamed branch exists only when such an archive
-is selected, so the usual read runs one Python task per scan partition.
-Decompression stops as soon as every wanted member has been read (or
-``max_lines`` of it). Output rows are single lines, emitted in
-bounded Arrow batches, so a large member never becomes one giant cell.
-
-Schema: ``archive_path string, member string, line_no int, line string``.
-A wanted member missing from an archive yields one row with ``line_no = -1``
-and a NULL line; an archive that cannot be unpacked (truncated, not gzip/tar)
-yields ``line_no = -2`` with the error text for each wanted member not read
-to its end. Callers report both.
+Archives of up to ``INLINE_MAX_BYTES`` (their real length) come as ``binaryFile``
+content, many per task; bigger ones are never loaded whole: the task streams
+them from storage. Both are opened by the same code, which tells the compression
+(gzip, bzip2, xz or none) from the first bytes. Decompression stops as soon as
+every wanted member has been read (or ``max_lines`` of it). Output rows are
+single lines, emitted in bounded Arrow batches, so a large member never becomes
+one giant cell.
+
+Schema: ``archive_name string, member string, line_no int, line string``; the
+name is the archive's path relative to the delivery folder. Rows without a line:
+``line_no = -1`` for a wanted member that the archive lacks, ``-2`` with the error
+text for each wanted member not read to its end because the archive cannot be
+unpacked, ``-3`` for an empty member, ``-4`` for an archive that does not exist.
+Callers report these.
 """
 
 from __future__ import annotations
@@ -24,22 +24,36 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .. import paths
-from ..errors import DeliveryError
-from ..session import ship_package, task_file_system
+from ..session import check_streamable, task_file_system
+from .files import Files
 
-LINES_SCHEMA = "archive_path string, member string, line_no int, line string"
-_ARROW_SCHEMA = pa.schema([("archive_path", pa.string()), ("member", pa.string()),
+LINES_SCHEMA = "archive_name string, member string, line_no int, line string"
+_ARROW_SCHEMA = pa.schema([("archive_name", pa.string()), ("member", pa.string()),
                            ("line_no", pa.int32()), ("line", pa.string())])
 _BATCH_LINES = 8192
-ABSENT, DAMAGED = -1, -2
+ABSENT, DAMAGED, EMPTY, MISSING = -1, -2, -3, -4
 INLINE_MAX_BYTES = 64 * 1024 * 1024
 _READ_BUFFER = 8 * 1024 * 1024
 
 
+def _decompressed(raw):
+    """The tar stream of an archive, by its first bytes."""
+    import bz2
+    import gzip
+    import lzma
+
+    start = raw.read(6)
+    raw.seek(0)
+    if start[:2] == b"\x1f\x8b":
+        return gzip.GzipFile(fileobj=raw)
+    if start[:3] == b"BZh":
+        return bz2.BZ2File(raw)
+    return lzma.LZMAFile(raw) if start == b"\xfd7zXZ\x00" else raw
+
+
 def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | None = None,
                   path: str | None = None) -> Iterator[tuple[str, int, str | None]]:
     """(member, line_no, line) for wanted members of one archive (at most ``max_lines``
@@ -48,9 +62,9 @@ def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | N
     The archive is ``data`` (its bytes) or, when that is None, streamed from ``path``.
     """
     import contextlib
-    import gzip
     import io
     import itertools
+    import lzma
     import tarfile
     import zlib
 
@@ -59,15 +73,12 @@ def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | N
     try:
         with contextlib.ExitStack() as stack:
             if data is not None:
-                # random-access mode: its member readers are seekable, which the line decoder needs
-                tar = stack.enter_context(tarfile.open(fileobj=io.BytesIO(data), mode="r:*"))
+                raw = io.BytesIO(data)
             else:
                 filesystem, rel = task_file_system(path)
-                raw = stack.enter_context(filesystem.open_input_stream(rel, compression=None,
-                                                                        buffer_size=_READ_BUFFER))
-                # a forward-only gzip stream still seeks forward, which is all reading members in order needs
-                body = gzip.GzipFile(fileobj=raw) if path.endswith(("gz", "GZ")) else raw
-                tar = stack.enter_context(tarfile.open(fileobj=body, mode="r:"))
+                raw = io.BufferedReader(stack.enter_context(filesystem.open_input_file(rel)), _READ_BUFFER)
+            # a decompressed stream still seeks forward, which is all reading members in order needs
+            tar = stack.enter_context(tarfile.open(fileobj=_decompressed(raw), mode="r:"))
             for info in tar:
                 name = info.name[2:] if info.name.startswith("./") else info.name
                 if name not in wanted or name in seen or not info.isfile():
@@ -75,12 +86,15 @@ def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | N
                 seen.add(name)
                 # streamed line by line; LF, CR LF and a lone CR all end a line
                 member = io.TextIOWrapper(tar.extractfile(info), encoding="utf-8", errors="replace", newline=None)
+                i = -1
                 for i, line in enumerate(itertools.islice(member, max_lines)):
                     yield name, i, line[:-1] if line.endswith("\n") else line
+                if i < 0:
+                    yield name, EMPTY, None
                 done.add(name)
                 if seen == wanted:
                     break
-    except (tarfile.TarError, EOFError, OSError, ValueError, zlib.error) as e:
+    except (tarfile.TarError, EOFError, OSError, ValueError, lzma.LZMAError, zlib.error) as e:
         for name in sorted(wanted - done):
             yield name, DAMAGED, f"{type(e).__name__}: {e}"
         return
@@ -90,7 +104,7 @@ def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | N
 
 def _extractor(wanted: frozenset[str], max_lines: int | None):
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buf: dict[str, list] = {"archive_path": [], "member": [], "line_no": [], "line": []}
+        buf: dict[str, list] = {"archive_name": [], "member": [], "line_no": [], "line": []}
 
         def flush():
             out = pa.RecordBatch.from_pydict(buf, schema=_ARROW_SCHEMA)
@@ -100,11 +114,12 @@ def _extractor(wanted: frozenset[str], max_lines: int | None):
 
         for batch in batches:
             batch_paths = batch.column("path").to_pylist()
+            names = batch.column("archive_name").to_pylist()
             contents = batch.column("content") if "content" in batch.schema.names else None
             for i, path in enumerate(batch_paths):
                 data = contents[i].as_py() if contents is not None else None
                 for member, line_no, line in _member_lines(data, wanted, max_lines, path):
-                    buf["archive_path"].append(path)
+                    buf["archive_name"].append(names[i])
                     buf["member"].append(member)
                     buf["line_no"].append(line_no)
                     buf["line"].append(line)
@@ -116,36 +131,26 @@ def _extractor(wanted: frozenset[str], max_lines: int | None):
     return extract
 
 
-def _archives(spark: SparkSession, directory: str, names: list[str]) -> DataFrame:
-    try:
-        return spark.read.format("binaryFile").load(paths.literal_paths(directory, names))
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            raise DeliveryError(f"lookup archive missing: {e}") from None
-        raise
-
-
 def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
                   members: Iterable[str], max_lines: int | None = None,
-                  sizes: dict[str, int | None] | None = None,
                   inline_max_bytes: int = INLINE_MAX_BYTES) -> DataFrame:
     """Lines of ``members`` in each named archive of ``directory`` (lazy); with
     ``max_lines``, unpacking stops after that many lines of each member.
-
-    ``sizes`` are the archives' listed sizes: above ``inline_max_bytes`` (or
-    None) an archive is streamed; without ``sizes`` every archive is read as
-    ``binaryFile`` content.
     """
     wanted = frozenset(members)
-    ship_package(spark)
-    sizes = sizes or {}
-    streamed = {n for n in archive_names if n in sizes and (sizes[n] is None or sizes[n] > inline_max_bytes)}
-    big = [n for n in archive_names if n in streamed]
-    small = [n for n in archive_names if n not in streamed]
+    files = Files(spark, directory, sorted(set(archive_names)), spark.read.format("binaryFile").load)
     extract = _extractor(wanted, max_lines)
-    parts = [] if archive_names else [spark.createDataFrame([], LINES_SCHEMA)]
-    if small:
-        parts.append(_archives(spark, directory, small).select("path", "content").mapInArrow(extract, LINES_SCHEMA))
-    if big:  # only the paths: the scan reads no content; a big file gets a task of its own
-        parts.append(_archives(spark, directory, big).select("path").mapInArrow(extract, LINES_SCHEMA))
+    name, length = files.name().alias("archive_name"), F.col("length")
+    sizes = files.select(name, "length")  # one row per archive, no content read
+    real = {r.archive_name: r.length for r in sizes.collect()} if sizes is not None else {}
+    rows = [(n, m, MISSING, None) for n in files.missing(archive_names) for m in sorted(wanted)]
+    rows += [(n, m, DAMAGED, "empty file") for n in sorted(files.exist - set(real)) for m in sorted(wanted)]
+    parts = [spark.createDataFrame(rows, LINES_SCHEMA)] if rows or not real else []
+    if any(n <= inline_max_bytes for n in real.values()):
+        small = files.select("path", name, "content", where=length <= inline_max_bytes)
+        parts.append(small.mapInArrow(extract, LINES_SCHEMA))
+    if any(n > inline_max_bytes for n in real.values()):
+        check_streamable(directory)
+        # only the paths: the scan reads no content; a big file gets a task of its own
+        parts.append(files.select("path", name, where=length > inline_max_bytes).mapInArrow(extract, LINES_SCHEMA))
     return reduce(lambda a, b: a.unionByName(b), parts)

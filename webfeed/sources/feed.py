@@ -30,7 +30,12 @@ def feed_plan(spark: SparkSession, directory: str, feedname: str, sel: DateSelec
     sel = sel or DateSelection()
     deliveries = collect_deliveries(spark, directory, feedname, sel)
     if validate:
-        enforce(validation_report(spark, directory, deliveries), deliveries)
+        persisted: list[DataFrame] = []
+        try:
+            enforce(validation_report(spark, directory, feedname, sel, persisted=persisted), deliveries)
+        finally:
+            for kept in persisted:
+                kept.unpersist()
     return plan_scan(spark, directory, deliveries, column_types)
 
 

@@ -4,13 +4,13 @@ The header member of every selected archive is unpacked in one parallel Spark
 job. Names are sanitised (blank, ``, ; { } ( ) = \\t \\n`` become ``_``) after
 the line end is stripped.
 
-* :func:`archive_headers`  ``archive_base, header_found, header, damage`` per archive;
-* :func:`delivery_headers` the same per delivery (adds ``delivery_date``);
-* :func:`collect_headers`  archive name -> header on the driver, without ever
-  holding more than one copy of each distinct header there.
+* :func:`archive_headers`  ``archive_name, header, problem`` per archive: the header
+  or what is wrong (archive missing or damaged, no header member, an empty one, or
+  one with more than one line that is not blank);
+* :func:`collect_headers`  distinct header -> its archives on the driver, which
+  never holds more than one copy of each distinct header.
 
-Only the first line of the header member is unpacked. An archive that cannot be
-unpacked has ``header_found = false`` and the error text in ``damage``.
+Archives are named by their path relative to the delivery folder.
 """
 
 from __future__ import annotations
@@ -19,89 +19,49 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..errors import DeliveryError, SchemaMismatchError
+from ..errors import DeliveryError
 from ..functions.types import sanitized_header
 from ..options import HEADER_MEMBER
-from ..plans.broadcast import bounded_broadcast, row_bytes
-from .archive import DAMAGED, archive_lines
-from .manifest import Delivery
+from .archive import ABSENT, DAMAGED, EMPTY, MISSING, archive_lines
 
-# Up to this many archives, every archive's header is collected in one job;
-# above it, only the distinct headers are (plus one small row per archive).
-DIRECT_HEADER_ARCHIVES = 100
-
-
-def _base(name: str) -> str:
-    return name.rsplit("/", 1)[-1]
+#: Archives named in one error message.
+EXAMPLES = 10
 
 
 @functools.lru_cache(maxsize=4)
 def _header_columns(_app_id: str) -> list:
-    return [F.regexp_extract("archive_path", r"[^/]*$", 0).alias("archive_base"),
-            (F.col("line_no") == 0).alias("header_found"),
-            F.when(F.col("line_no") == 0, sanitized_header(F.col("line"))).alias("header"),
-            F.when(F.col("line_no") == DAMAGED, F.col("line")).alias("damage")]
-
-
-def archive_headers(spark: SparkSession, directory: str, archives: list[str],
-                    sizes: dict[str, int | None] | None = None) -> DataFrame:
-    """Sanitised header of each archive (lazy); ``sizes`` as listed in the manifests."""
-    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER], max_lines=1, sizes=sizes)
-    return lines.select(*_header_columns(spark.sparkContext.applicationId))
-
-
-def delivery_headers(spark: SparkSession, directory: str, deliveries: list[Delivery]) -> DataFrame:
-    """``delivery_date, archive_name, header, header_found`` per delivery (lazy)."""
-    first = archive_headers(spark, directory, [d.archive for d in deliveries], archive_sizes(deliveries))
-    owners = spark.createDataFrame(
-        [(d.delivery_date, d.archive, _base(d.archive)) for d in deliveries],
-        T.StructType([T.StructField("delivery_date", T.DateType()),
-                      T.StructField("archive_name", T.StringType()),
-                      T.StructField("archive_base", T.StringType())]))
-    names = [d.archive for d in deliveries]
-    owners = bounded_broadcast(owners, len(deliveries), row_bytes(names, [_base(n) for n in names]))
-    return (first.join(owners, "archive_base")
-            .select("delivery_date", "archive_name", "header", "header_found"))
-
-
-def _check_damage(rows, skip_damaged: bool) -> None:
-    damaged = sorted(f"{r.archive_base} ({r.damage})" for r in rows if r.damage is not None)
-    if damaged and not skip_damaged:
-        raise DeliveryError("lookup archive cannot be unpacked: " + "; ".join(damaged))
-
-
-def archive_sizes(deliveries: list[Delivery]) -> dict[str, int | None]:
-    """Archive name -> size listed in its manifest."""
-    return {d.archive: d.archive_size for d in deliveries}
+    """Aggregates over an archive's first two header lines."""
+    line, number = F.col("line"), F.col("line_no")
+    first = F.max(F.when(number == 0, line))
+    problem = F.max(
+        F.when(number == MISSING, F.lit("lookup archive is missing"))
+        .when(number == DAMAGED, F.concat(F.lit("lookup archive cannot be unpacked: "), line))
+        .when(number == ABSENT, F.lit(f"lookup archive has no {HEADER_MEMBER}"))
+        .when(number == EMPTY, F.lit(f"{HEADER_MEMBER} is empty"))
+        .when((number == 1) & line.rlike(r"[^\x00-\x20]"), F.lit(f"{HEADER_MEMBER} has more than one line")))
+    return [sanitized_header(first).alias("header"), problem.alias("problem")]
+
+
+def archive_headers(spark: SparkSession, directory: str, archives: list[str]) -> DataFrame:
+    """Sanitised header or problem of each archive (lazy)."""
+    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER], max_lines=2)
+    header, problem = _header_columns(spark.sparkContext.applicationId)
+    found = lines.groupBy("archive_name").agg(header, problem)
+    return found.select("archive_name", F.when(F.col("problem").isNull(), F.col("header")).alias("header"), "problem")
 
 
 def collect_headers(spark: SparkSession, directory: str, archives: list[str],
-                    direct_limit: int = DIRECT_HEADER_ARCHIVES,
-                    skip_damaged: bool = False,
-                    sizes: dict[str, int | None] | None = None) -> dict[str, list[str] | None]:
-    """Archive base name -> header (``None`` when it has no header member).
+                    skip_problems: bool = False) -> dict[str, list[str] | None]:
+    """Archive name -> header (one list object per distinct header).
 
-    A damaged archive raises :class:`DeliveryError`, or maps to ``None`` with
-    ``skip_damaged``.
+    An archive without a usable header raises :class:`DeliveryError`, or maps to
+    ``None`` with ``skip_problems``.
     """
-    archives = sorted(set(archives))
-    h = archive_headers(spark, directory, archives, sizes)
-    if len(archives) <= direct_limit:
-        rows = h.collect()
-        _check_damage(rows, skip_damaged)
-        return {r.archive_base: (list(r.header) if r.header_found else None) for r in rows}
-    h = h.withColumn("header_id", F.xxhash64("header")).cache()
-    try:
-        per_archive = h.select("archive_base", "header_found", "header_id", "damage").collect()
-        _check_damage(per_archive, skip_damaged)
-        firsts = (h.where("header_found").groupBy("header_id")
-                  .agg(F.first("header").alias("header"), F.count_distinct("header").alias("variants"))
-                  .collect())
-    finally:
-        h.unpersist()
-    if any(r.variants > 1 for r in firsts):  # 64-bit hash collision: never merge two headers
-        raise SchemaMismatchError("two different headers share one hash; cannot group deliveries")
-    distinct = {r.header_id: list(r.header) for r in firsts}
-    return {r.archive_base: (distinct[r.header_id] if r.header_found else None) for r in per_archive}
+    rows = archive_headers(spark, directory, archives).groupBy("header", "problem") \
+        .agg(F.collect_list("archive_name").alias("archives")).collect()
+    bad = sorted(f"{a} ({r.problem})" for r in rows if r.problem is not None for a in r.archives)
+    if bad and not skip_problems:
+        raise DeliveryError("no hit-table header: " + "; ".join(bad[:EXAMPLES])
+                            + (f"; and {len(bad) - EXAMPLES} more" if len(bad) > EXAMPLES else ""))
+    return {a: h for r in rows for h in [None if r.problem is not None else list(r.header)] for a in r.archives}

@@ -18,8 +18,8 @@ from ..functions.types import LOOKUP_SCHEMA
 from ..operators.validate import enforce, validation_report
 from ..options import check_lookup_name, selection
 from ..plans.scan import CSV_OPTIONS
-from .archive import ABSENT, DAMAGED, archive_lines
-from .manifest import collect_deliveries
+from .archive import ABSENT, DAMAGED, EMPTY, MISSING, archive_lines
+from .manifest import check_deliveries, load_deliveries
 
 # Spark's CSV reader skips lines that are empty after trimming (chars <= ' ').
 _NOT_BLANK = r"[^\x00-\x20]"
@@ -30,8 +30,10 @@ def lookup_from_lines(lines: DataFrame, what: str) -> DataFrame:
     archive fails the query."""
     missing = F.raise_error(F.lit(f"lookup archive has no member {what}"))
     damaged = F.raise_error(F.concat(F.lit(f"lookup archive cannot be unpacked for {what}: "), F.col("line")))
-    keep = (F.when(F.col("line_no") == ABSENT, missing).when(F.col("line_no") == DAMAGED, damaged)
-            .otherwise(F.col("line").rlike(_NOT_BLANK)))
+    gone = F.raise_error(F.concat(F.lit("lookup archive missing: "), F.col("archive_name")))
+    number = F.col("line_no")
+    keep = (F.when(number == ABSENT, missing).when(number == DAMAGED, damaged).when(number == MISSING, gone)
+            .when(number == EMPTY, F.lit(False)).otherwise(F.col("line").rlike(_NOT_BLANK)))
     parsed = F.from_csv(F.col("line"), LOOKUP_SCHEMA.simpleString(), {"sep": CSV_OPTIONS["sep"]})
     return lines.where(keep).select(parsed.alias("r")).select("r.lookup_key", "r.lookup_value")
 
@@ -49,10 +51,13 @@ def read_lookup(spark: SparkSession, directory: str, feedname: str, name: str, *
     """
     name = check_lookup_name(name)
     sel = selection(date=date, dates=dates, start=start, end=end)
-    deliveries = collect_deliveries(spark, directory, feedname, sel)
+    # every selected manifest is checked, but only the newest delivery's archive matters
+    deliveries = load_deliveries(spark, directory, feedname, sel, data_names=False)
+    check_deliveries(deliveries, directory, feedname, sel, need_archive=False)
+    latest = max(deliveries, key=lambda d: d.delivery_date)
+    check_deliveries([latest], directory, feedname, selection())
     if validate:
-        enforce(validation_report(spark, directory, deliveries, check_records=False), deliveries,
+        enforce(validation_report(spark, directory, feedname, sel, check_records=False), deliveries,
                 check_total=False)
-    latest = max(deliveries, key=lambda d: d.delivery_date)
-    lines = archive_lines(spark, directory, [latest.archive], [name], sizes={latest.archive: latest.archive_size})
+    lines = archive_lines(spark, directory, [latest.archive], [name])
     return lookup_from_lines(lines, f"{name} in {latest.archive}")

@@ -137,33 +137,38 @@ def _parse_columns(_app_id: str) -> dict[str, list]:
 
 @dataclass(frozen=True)
 class Delivery:
-    """Collected metadata of one delivery (driver side; a few hundred bytes)."""
+    """What the driver holds of one delivery: its lookup archives and the names of its data files."""
 
     feedname: str
     delivery_date: date
     manifest_name: str
     total_records: int
-    lookup_files: tuple
-    data_files: tuple
-    problems: tuple
+    lookup_names: tuple[str, ...]
+    data_names: tuple[str, ...]
+    problems: tuple[str, ...]
 
     @property
     def archive(self) -> str:
-        return self.lookup_files[0]["name"]
+        """The lookup archive's path relative to the directory."""
+        return paths.normal(self.lookup_names[0])
 
-    @property
-    def archive_size(self) -> int | None:
-        """The archive's size as listed in the manifest (None when unreadable)."""
-        return self.lookup_files[0]["size"]
 
+def load_deliveries(spark: SparkSession, directory: str, feedname: str, sel: DateSelection | None = None,
+                    data_names: bool = True) -> list[Delivery]:
+    """Run the manifest job; one :class:`Delivery` per manifest found, oldest first (no checks).
+
+    Only names come to the driver, which plans scans by them; without ``data_names`` not even those of
+    the data files.
+    """
+    def names(files: str):
+        return F.transform(files, lambda e: e["name"]).alias(files)
 
-def load_deliveries(spark: SparkSession, directory: str, feedname: str,
-                    sel: DateSelection | None = None) -> list[Delivery]:
-    """Run the manifest job; one :class:`Delivery` per manifest found, oldest first (no checks)."""
-    rows = manifests(spark, directory, feedname, sel).drop("manifest_path").collect()
+    rows = manifests(spark, directory, feedname, sel).select(
+        "feedname", "delivery_date", "manifest_name", "total_records", names("lookup_files"),
+        names("data_files") if data_names else F.array().cast("array<string>").alias("data_files"),
+        "problems").collect()
     found = [Delivery(r.feedname, r.delivery_date, r.manifest_name, r.total_records,
-                      tuple(e.asDict() for e in r.lookup_files), tuple(e.asDict() for e in r.data_files),
-                      tuple(r.problems)) for r in rows]
+                      tuple(r.lookup_files), tuple(r.data_files), tuple(r.problems)) for r in rows]
     return sorted(found, key=lambda d: (d.delivery_date is not None, d.delivery_date or date.min))
 
 
@@ -189,8 +194,8 @@ def check_deliveries(found: list[Delivery], directory: str, feedname: str, sel:
 
     bad = [f"{d.manifest_name}: {'; '.join(d.problems)}" for d in found if d.problems]
     if need_archive:
-        bad += [f"{d.manifest_name}: lists {len(d.lookup_files)} lookup archives, expected exactly 1"
-                for d in found if not d.problems and len(d.lookup_files) != 1]
+        bad += [f"{d.manifest_name}: lists {len(d.lookup_names)} lookup archives, expected exactly 1"
+                for d in found if not d.problems and len(d.lookup_names) != 1]
     if bad:
         raise ManifestError("bad manifest(s):\n  " + "\n  ".join(sorted(bad)))
 

@@ -14,13 +14,16 @@ stream checkpoint, every delivery lands once.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import paths
+from ..errors import SchemaMismatchError
 from ..functions.files import input_file_name
 from ..functions.manifest import manifest_date
+from ..options import selection
 from ..sources.feed import read_feed
 
 
@@ -32,12 +35,52 @@ def _new_days(batch: DataFrame, feedname: str) -> list:
                   .distinct().collect())
 
 
+def check_target(spark: SparkSession, hits: DataFrame, target: str) -> None:
+    """Refuse hits whose columns or types are not those of the table already at ``target``.
+
+    A batch sees only its own deliveries; without this a later batch could change the table's columns.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return
+    try:
+        there = spark.read.parquet(target).schema
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):  # the folder is still empty
+            return
+        raise
+    old, new = ({f.name: f.dataType.simpleString() for f in x.fields} for x in (there, hits.schema))
+    if old != new:
+        changed = sorted(n for n in old.keys() | new.keys() if old.get(n) != new.get(n))
+        raise SchemaMismatchError(f"deliveries do not share the columns of {target}: {', '.join(changed)} differ")
+
+
+def _write_days(spark: SparkSession, directory: str, feedname: str, target: str, days: list,
+                validate: bool, column_types: dict | None) -> None:
+    hits = read_feed(spark, directory, feedname, dates=days, validate=validate, column_types=column_types,
+                     with_delivery_date=True)
+    check_target(spark, hits, target)
+    (hits.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("delivery_date").parquet(target))
+
+
+def reingest_deliveries(spark: SparkSession, directory: str, feedname: str, target: str, *, dates,
+                        validate: bool = False, column_types: dict | None = None) -> None:
+    """Overwrite the partitions of ``dates`` with what is delivered now.
+
+    The stream remembers a manifest by its name, so a day delivered again after it was
+    ingested is not picked up by it; this call is for such days.
+    """
+    _write_days(spark, directory, feedname, target, sorted(selection(dates=dates).dates), validate, column_types)
+
+
 def ingest_deliveries(spark: SparkSession, directory: str, feedname: str, target: str, *,
                       checkpoint: str, validate: bool = False, column_types: dict | None = None,
                       max_deliveries_per_batch: int = 7, available_now: bool = True) -> StreamingQuery:
     """Start a stream that appends new deliveries of ``feedname`` to ``target``.
 
-    ``available_now=True`` processes what is there and stops (scheduled runs);
+    Every batch must have the columns and types of the target. A day delivered again after its batch succeeded
+    is not seen (:func:`reingest_deliveries`). ``available_now=True`` processes what is there and stops (scheduled runs);
     otherwise the stream keeps polling the folder.
     """
     pattern = (paths.glob_escape(directory.rstrip("/")) + "/" + paths.glob_escape(feedname)
@@ -50,10 +93,7 @@ def ingest_deliveries(spark: SparkSession, directory: str, feedname: str, target
         days = _new_days(batch, feedname)
         if not days:
             return
-        hits = read_feed(batch.sparkSession, directory, feedname, dates=days, validate=validate,
-                         column_types=column_types, with_delivery_date=True)
-        (hits.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("delivery_date").parquet(target))
+        _write_days(batch.sparkSession, directory, feedname, target, days, validate, column_types)
 
     writer = manifests.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from ..options import HEADER_MEMBER, KNOWN_LOOKUPS
 from ..plans.broadcast import bounded_broadcast, row_bytes
-from ..session import HadoopFS, ship_package
+from ..session import HadoopFS, task_file_system
 
 # Rows per data file at most: a bigger day is split into more files.
 ROWS_PER_FILE = 1_000_000
 # Browser ids are user_id % BROWSER_IDS, so a browser lookup has at most this many lines.
-BROWSER_IDS = 1000
+BROWSER_IDS = 1_000_000
 
 DEFAULT_HEADER = ("hitid_high", "hitid_low", "date_time", "hit_time_gmt", "visid_low", "browser",
                   "event_list", "pagename", "post_evar1", "daily_visitor", "custom_unknown",
@@ -67,6 +67,8 @@ def hit_frame(events: DataFrame) -> tuple[DataFrame, list[str]]:
         "my col (a=b)": F.lit("y"),
         "curr_rate": F.col("value"),
         "extra_col": F.lit("z"),
+        "page.name": F.col("event_type"),
+        "user`id": F.col("user_id"),
     }
     return events.select(F.to_date(ts).alias("day"), "event_id",
                          *[c.alias(f"h{i}") for i, c in enumerate(cols.values())]), list(cols)
@@ -86,6 +88,11 @@ class Defects:
     two_archives: frozenset[int] = frozenset()      # two Lookup-File entries
     no_header_member: frozenset[int] = frozenset()  # archive lacks column_headers.tsv
     bad_md5_archive: frozenset[int] = frozenset()   # archive digest altered
+    no_archive: frozenset[int] = frozenset()        # no Lookup-File entry
+    missing_archive: frozenset[int] = frozenset()   # listed but not delivered
+    empty_header: frozenset[int] = frozenset()      # column_headers.tsv has no bytes
+    damaged_archive: frozenset[int] = frozenset()   # archive cut off (size and digest listed as it is)
+    two_line_header: frozenset[int] = frozenset()   # column_headers.tsv has a second line
 
 
 @dataclass
@@ -99,6 +106,14 @@ class FeedSpec:
     defects: Defects = field(default_factory=Defects)
     # From this day of month on, curr_rate is written with a decimal comma.
     comma_decimal_from: int | None = None
+    # Each day's files in a folder of its own, with the same base names every day.
+    subfolders: bool = False
+
+    def archive_name(self, day: str) -> str:
+        return f"{day}/lookup_data.tar.gz" if self.subfolders else f"{self.feedname}_{day}-lookup_data.tar.gz"
+
+    def data_name(self, day: str, number: int) -> str:
+        return f"{day}/hits-{number:02d}.tsv.gz" if self.subfolders else f"{number:02d}-{self.feedname}_{day}.tsv.gz"
 
 
 def _tar_gz(members: dict[str, bytes]) -> bytes:
@@ -136,7 +151,7 @@ def files_for_day(rows: int, files_per_day: int) -> int:
     return max(files_per_day, -(-rows // ROWS_PER_FILE))
 
 
-def _archive_writer(out_dir: str, feedname: str, headers: dict, event_tsv: bytes, copies: set):
+def _archive_writer(out_dir: str, names: dict, headers: dict, event_tsv: bytes, copies: set, absent: set, cut: set):
     """applyInPandas function: one delivery's browser ids (at most ``BROWSER_IDS``) -> its
     archive, written by the task."""
 
@@ -145,8 +160,6 @@ def _archive_writer(out_dir: str, feedname: str, headers: dict, event_tsv: bytes
 
         import pandas as pd
 
-        from webfeed.session import task_file_system
-
         day = pdf["day"].iloc[0]
         ids = sorted(int(x) for x in pdf["browser_id"])
         members = {} if headers[day] is None else {HEADER_MEMBER: headers[day]}
@@ -158,8 +171,9 @@ def _archive_writer(out_dir: str, feedname: str, headers: dict, event_tsv: bytes
             else:
                 members[lk] = b""
         archive = _tar_gz(members)
-        name = f"{feedname}_{day}-lookup_data.tar.gz"
-        targets = [name, _copy_name(name)] if day in copies else [name]
+        archive = archive[:20] if day in cut else archive
+        name = names[day]
+        targets = [] if day in absent else [name, _copy_name(name)] if day in copies else [name]
         for t in targets:  # a retried task rewrites the same bytes
             filesystem, path = task_file_system(f"{out_dir}/{t}")
             filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
@@ -181,8 +195,6 @@ def _move_files(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
         import pandas as pd
         from pyarrow import fs as pafs
 
-        from webfeed.session import task_file_system
-
         for pdf in batches:
             for src, dst in zip(pdf["src"], pdf["dst"]):
                 filesystem, s = task_file_system(src)
@@ -208,7 +220,6 @@ def _flip(digest: str) -> str:
 def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: str, spec: FeedSpec) -> list[date]:
     """Write the deliveries of ``spec`` into ``out_dir``; returns the delivered days."""
     fs = HadoopFS(spark)
-    ship_package(spark)
     hits, names = hit_frame(events)
     alias = {n: f"h{i}" for i, n in enumerate(names)}
     rows_of = {r.day: r.n for r in hits.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}  # per day
@@ -253,28 +264,39 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
                         events.select(F.substring(F.md5("event_type"), 1, 8).alias("code"), "event_type")
                         .distinct().collect())  # one row per event type
     event_tsv = "".join(f"{c}\t{t}\n" for c, t in event_rows).encode()
-    headers = {d.isoformat(): (None if d.day in spec.defects.no_header_member
-                               else ("\t".join(spec.header_for_day(d)) + "\n").encode()) for d in days}
-    copies = {d.isoformat() for d in days if d.day in spec.defects.two_archives}
+    df = spec.defects
+
+    def header_text(d: date) -> bytes | None:
+        if d.day in df.no_header_member:
+            return None
+        second = "more\n" if d.day in df.two_line_header else ""
+        return b"" if d.day in df.empty_header else ("\t".join(spec.header_for_day(d)) + "\n" + second).encode()
+
+    def on(chosen: frozenset[int]) -> set[str]:
+        return {d.isoformat() for d in days if d.day in chosen}
+
+    headers = {d.isoformat(): header_text(d) for d in days}
+    names = {d.isoformat(): spec.archive_name(d.isoformat()) for d in days}
+    copies = on(df.two_archives)
     archives = {r.day: r for r in
                 events.select(F.to_date("ts").cast("string").alias("day"),
                               (F.col("user_id") % BROWSER_IDS).alias("browser_id"))
                 .where(F.col("day").isin(list(headers))).distinct()
                 .groupBy("day")
-                .applyInPandas(_archive_writer(out_dir, spec.feedname, headers, event_tsv, copies),
+                .applyInPandas(_archive_writer(out_dir, names, headers, event_tsv, copies,
+                                               on(df.missing_archive), on(df.damaged_archive)),
                                "day string, name string, md5 string, size bigint")
                 .collect()}
 
     files_by_day: dict[str, list] = {}
     for r in written:
         files_by_day.setdefault(r.day, []).append(r)
-    df = spec.defects
     moves, manifests = [], []
     for d in days:
         iso = d.isoformat()
         data = []
         for r in sorted(files_by_day.get(iso, []), key=lambda r: r.file_no):
-            name = f"{r.file_no:02d}-{spec.feedname}_{iso}.tsv.gz"
+            name = spec.data_name(iso, r.file_no)
             if d.day not in df.missing_data_file:
                 moves.append((r.path, f"{out_dir}/{name}"))
             data.append({"name": name, "md5": r.md5, "size": r.length, "records": counts[(iso, r.file_no)]})
@@ -282,6 +304,8 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
         lookups = [{"name": a.name, "md5": a.md5, "size": a.size}]
         if iso in copies:
             lookups.append({**lookups[0], "name": _copy_name(a.name)})
+        if d.day in df.no_archive:
+            lookups = []
         if d.day in df.bad_md5_archive:
             lookups[0]["md5"] = _flip(lookups[0]["md5"])
         if d.day in df.bad_md5_data:

@@ -1,6 +1,6 @@
 """The test feeds derived from a test-data folder's ``events`` table.
 
-Five delivery folders, each written on first use (once per process and data
+Delivery folders, each written on first use (once per process and data
 folder) under the application's shared scratch folder:
 
 * ``main``    feed ``shop.web``: one data file per day, plus a decoy feed
@@ -9,6 +9,10 @@ folder) under the application's shared scratch folder:
   blank-padded numbers;
 * ``reorder`` feed ``reorder``: even days list the columns in reverse order;
 * ``broken``  feed ``broken``: planted defects, by day of month (below);
+* ``gaps``    feed ``gaps``: no delivery on days 10, 20, 30;
+* ``subfolders``  feed ``subfolders``: every day in a folder of its own with the same base names; even days
+  list the columns in reverse order;
+* ``names``   feed ``names``: two more columns, ``page.name`` and ``user`id``;
 * ``locale``  feed ``locale``: from day 21 on, ``curr_rate`` has a decimal comma.
 """
 
@@ -27,13 +31,15 @@ MULTI_FEED = "multi"
 REORDER_FEED = "reorder"
 BROKEN_FEED = "broken"
 LOCALE_FEED = "locale"
+GAPS_FEED = "gaps"
+SUBFOLDERS_FEED = "subfolders"
+NAMES_FEED = "names"
 COMMA_DECIMAL_FROM = 21
 
 MULTI_FILES_PER_DAY = 3
 
 # Planted defects of the broken feed (day of month).
 BROKEN = Defects(
-    skip_days=frozenset({10, 20, 30}),
     bad_md5_data=frozenset({7}),
     bad_size_data=frozenset({8}),
     bad_record_count=frozenset({9}),
@@ -43,7 +49,13 @@ BROKEN = Defects(
     two_archives=frozenset({15}),
     no_header_member=frozenset({16}),
     bad_md5_archive=frozenset({18}),
+    no_archive=frozenset({19}),
+    missing_archive=frozenset({21}),
+    empty_header=frozenset({22}),
+    damaged_archive=frozenset({23}),
+    two_line_header=frozenset({24}),
 )
+GAPS = Defects(skip_days=frozenset({10, 20, 30}))
 EXTRA_COLUMN_DAY = 13       # header has one more column: extra_col
 DUPLICATE_COLUMN_DAY = 17   # header lists pagename twice
 
@@ -66,6 +78,9 @@ _FOLDERS = {
     "reorder": [FeedSpec(REORDER_FEED, header_for_day=_reordered)],
     "broken": [FeedSpec(BROKEN_FEED, header_for_day=_broken_header, defects=BROKEN)],
     "locale": [FeedSpec(LOCALE_FEED, comma_decimal_from=COMMA_DECIMAL_FROM)],
+    "gaps": [FeedSpec(GAPS_FEED, defects=GAPS)],
+    "subfolders": [FeedSpec(SUBFOLDERS_FEED, header_for_day=_reordered, subfolders=True)],
+    "names": [FeedSpec(NAMES_FEED, header_for_day=lambda d: (*DEFAULT_HEADER, "page.name", "user`id"))],
 }
 
 
@@ -93,6 +108,9 @@ class Fixtures:
     reorder = property(lambda self: self._folder("reorder"))
     broken = property(lambda self: self._folder("broken"))
     locale = property(lambda self: self._folder("locale"))
+    gaps = property(lambda self: self._folder("gaps"))
+    subfolders = property(lambda self: self._folder("subfolders"))
+    names = property(lambda self: self._folder("names"))
 
     def build_all(self) -> Fixtures:
         for name in _FOLDERS:
