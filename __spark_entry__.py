@@ -8,6 +8,7 @@ straight from ``events``. Deliveries are days of ``CAST(ts AS DATE)``.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -274,21 +275,21 @@ def entry(spark: SparkSession) -> DataFrame:
 def _llm() -> tuple[dict, dict]:
     """Queries and oracles of ``webfeed.llm`` and the corpus pipeline; none where those are not installed."""
     try:
-        from webfeed.llm import registry
+        registry = importlib.import_module("webfeed.llm.registry")
     except ModuleNotFoundError as e:
         if e.name not in ("webfeed.llm", "webfeed.llm.registry"):
             raise
         return {}, {}
     found, oracles = dict(registry.QUERIES), dict(registry.ORACLES)
     try:
-        import corpus_pipeline
+        pipeline = importlib.import_module("corpus_pipeline")
     except ModuleNotFoundError as e:
         if e.name != "corpus_pipeline":
             raise
     else:
-        found["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+        found["pipeline"] = pipeline.run
+        if pipeline.ORACLE_SQL:
+            oracles["pipeline"] = pipeline.ORACLE_SQL
     return found, oracles
 
 
