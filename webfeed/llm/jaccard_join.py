@@ -35,6 +35,8 @@ TOLERANCE = 1e-6
 STEP = 16
 #: Representatives of a bucket, and of a candidate group, that one task compares with as many others.
 BUCKET_BLOCK, GROUP_BLOCK = 1024, 256
+#: Pairs whose MinHash values are compared at a time.
+PAIRS = 1 << 16
 
 
 def least_matches(threshold: float, tolerance: float, total: int, step: int) -> list[tuple[int, int]]:
@@ -141,13 +143,18 @@ def _starts(t: pa.Table, keys: list[str]) -> np.ndarray:
 _BLOCK_KEYS = ["bucket", "bi", "bj"]
 
 
-def _block_pairs(start: int, end: int, own: np.ndarray, bi: int, bj: int) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs that a block (bi, bj) answers for: within a block, or across two."""
-    if bi == bj:
-        i, j = np.triu_indices(end - start, 1)
-        return i + start, j + start
-    a, b = start + np.flatnonzero(own[start:end] == bi), start + np.flatnonzero(own[start:end] == bj)
-    return np.repeat(a, len(b)), np.tile(b, len(a))
+def _block_pairs(start: int, end: int, own: np.ndarray, bi: int, bj: int):
+    """The pairs that a block (bi, bj) answers for, within a block or across two, some ``PAIRS`` at a time."""
+    a = b = np.arange(start, end)
+    if bi != bj:
+        a, b = a[own[start:end] == bi], a[own[start:end] == bj]
+    step = max(1, PAIRS // max(1, len(b)))
+    for lo in range(0, len(a), step):
+        part = a[lo:lo + step]
+        i, j = np.repeat(part, len(b)), np.tile(b, len(part))
+        if bi == bj:
+            i, j = i[j > i], j[j > i]
+        yield i, j
 
 
 def _prune(threshold: float, looks: list[tuple[int, int]], values: int):
@@ -161,17 +168,8 @@ def _prune(threshold: float, looks: list[tuple[int, int]], values: int):
             keep: list[tuple[np.ndarray, np.ndarray]] = []
             todo: list[tuple[np.ndarray, np.ndarray]] = []
             n = 0
-            for s, e in zip(cut[:-1], cut[1:], strict=True):
-                if e - s == 2 and bi[s] == bj[s]:
-                    pairs = np.array([s]), np.array([s + 1])
-                else:
-                    pairs = _block_pairs(s, e, own, bi[s], bj[s])
-                todo.append(pairs)
-                n += len(pairs[0])
-                if n < 1 << 16 and e < cut[-1]:
-                    continue
-                i, j = (np.concatenate(x) for x in zip(*todo, strict=True))
-                todo, n = [], 0
+
+            def compare(i, j, sig=sig, size=size, keep=keep):
                 near = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
                 i, j = i[near], j[near]
                 matches, done = np.zeros(len(i), np.int16), 0
@@ -180,6 +178,17 @@ def _prune(threshold: float, looks: list[tuple[int, int]], values: int):
                     on = matches >= least
                     i, j, matches, done = i[on], j[on], matches[on], look
                 keep.append((i, j))
+
+            for s, e in zip(cut[:-1], cut[1:], strict=True):
+                two = e - s == 2 and bi[s] == bj[s]
+                for pairs in [(np.array([s]), np.array([s + 1]))] if two else _block_pairs(s, e, own, bi[s], bj[s]):
+                    todo.append(pairs)
+                    n += len(pairs[0])
+                    if n >= PAIRS:
+                        compare(*(np.concatenate(x) for x in zip(*todo, strict=True)))
+                        todo, n = [], 0
+            if todo:
+                compare(*(np.concatenate(x) for x in zip(*todo, strict=True)))
             i, j = (np.concatenate(x) for x in zip(*keep, strict=True))
             root = _roots(t.num_rows, i, j)
             moved = np.flatnonzero(root != np.arange(t.num_rows))
@@ -283,13 +292,16 @@ def jaccard_classes(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRE
         F.first("size").alias("size"), F.first("minhash").alias("minhash"))
         .select(F.monotonically_increasing_id().alias("rep"), "f1", "f2", "key", "size", "copies", "minhash"), "reps")
     banded = written(spark, reps.mapInArrow(_bands(bands, rows), "bucket long, rep long"), "bands")
-    full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # What is joined to many rows of one key is written first: Spark can then split a hot key's rows.
+    full = written(spark, banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     sig = reps.mapInArrow(_signatures(values), "rep long, size long, sig binary")
     members = banded.join(full, "bucket").join(sig, "rep")
     edges = _blocked(members, "n", BUCKET_BLOCK).mapInArrow(
         _prune(threshold, least_matches(threshold, tolerance, values, STEP), values), "a long, b long")
-    groups = components(spark, edges, "a", "b").withColumnsRenamed({"node": "rep", "label": "bucket"})
-    groups = groups.join(groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
+    groups = written(spark, components(spark, edges, "a", "b")
+                     .withColumnsRenamed({"node": "rep", "label": "bucket"}), "components")
+    sizes = written(spark, groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    groups = groups.join(sizes, "bucket")
     wanted = written(spark, groups.join(reps.select("rep", "key", "copies"), "rep")
                      .select("rep", "bucket", "n", "copies", "key.doc_id", "key.k1", "key.k2"), "groups")
     # Only the sets of representatives in groups are shuffled; the filter spares the other texts.
@@ -304,7 +316,7 @@ def jaccard_classes(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRE
     classes = components(spark, verified, "rep", "root").withColumnsRenamed({"node": "rep"})
     labelled = written(spark, reps.select("rep", "f1", "f2", "key", "copies").join(classes, "rep", "left").join(
         links, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "labelled")
-    best = labelled.groupBy("label").agg(F.min("key").alias("first"))
+    best = written(spark, labelled.groupBy("label").agg(F.min("key").alias("first")), "classes")
     by_set = labelled.join(best, "label").select(
         "f1", "f2", "first", F.col("first.doc_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     linked = sets.select("doc_id", "k1", "k2", "f1", "f2", "size").join(by_set, ["f1", "f2"], "left")

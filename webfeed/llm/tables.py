@@ -71,18 +71,19 @@ def components(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFra
     """(node, label): connected components of undirected ``edges``; the label is the smallest node.
 
     Alternating large-star and small-star steps until the edges stop changing. Each
-    step joins every edge to the minimum of its ends' neighbourhoods, which are
-    pre-aggregated; a hot node only meets one row of its own minimum.
+    step joins every edge to the minimum of its ends' neighbourhoods. These are
+    pre-aggregated and written before the join, whose two sides are then plain
+    shuffles: a hot node meets one row, and Spark can split its edges over tasks.
     """
     e = written(spark, edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                 .where("u <> v").distinct(), "edges")
     before = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
+        large = written(spark, both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                        .where("u <> v").distinct(), "edges")
+        low = written(spark, large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         e = written(spark, small, "edges")
