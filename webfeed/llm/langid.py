@@ -27,7 +27,7 @@ from webfeed.llm.tables import table, with_key, written
 
 SAMPLE, BUCKETS, SWITCH, SCRIPT_SHARE = 8_000, 1 << 16, 6.0, 0.01
 FOLDS, HELD_OUT, UNKNOWN = 3, 1, "und"
-#: Text handled at a time; Viterbi steps through all documents of a chunk together.
+#: Text handled at a time, for four languages; Viterbi steps through all documents of a chunk together.
 CHUNK = 8 << 20
 # First and last code points of script blocks.
 SCRIPTS = [("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("armenian", 0x530, 0x58F),
@@ -185,7 +185,7 @@ def _label(model, spans: bool):
         for b in batches:
             raw, offsets = W.text_bytes(b.column("text"))
             letters = b.column("letters").to_numpy(zero_copy_only=False)
-            for lo, hi in W.chunks(offsets, CHUNK):
+            for lo, hi in W.chunks(offsets, CHUNK * 4 // max(4, count)):
                 part = offsets[lo:hi + 1]
                 own = raw[part[0]:part[-1]]
                 low, starts, ends, first, word, at, which = get(own, part - part[0])

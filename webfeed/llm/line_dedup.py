@@ -91,7 +91,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     for p in parts[1:]:
         named = named.union(p)
     by = ["k", "len", "n1", "n2"]
-    earliest = named.groupBy(*by).agg(F.min(F.expr(_POS)).alias("first"))
+    named = written(spark, named, "blocks")
+    # Written, so that the join has two plain shuffles and Spark can split a run that very many share.
+    earliest = written(spark, named.groupBy(*by).agg(F.min(F.expr(_POS)).alias("first")), "earliest")
     runs = named.join(earliest, by).where(F.col("first") < F.expr(_POS))
     gone = runs.select("dn", F.explode(F.sequence("idx", F.col("idx") + F.col("len") - 1)).alias("idx")).distinct()
     return gone.join(keys, "dn").select("doc_id", "k1", "k2", "idx")

@@ -32,6 +32,8 @@ from webfeed.llm.tables import bit_filter, table, with_key, written
 
 MIN_WORDS, GRAM = 50, 8
 SORT_MOST = 100_000
+#: Anchors whose surroundings a task holds at a time.
+AT_ONCE = 1 << 14
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -76,18 +78,21 @@ class Surroundings:
             row = np.searchsorted(first, place, side="right") - 1
             short = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
-            def around(offsets, place=place, row=row, first=first, short=short):
-                q = place[:, None] + offsets[None, :]
-                ok = (q >= first[:-1][row][:, None]) & (q < first[1:][row][:, None])
+            def around(offsets, pick, place=place, row=row, first=first, short=short):
+                q = place[pick, None] + offsets[None, :]
+                ok = (q >= first[:-1][row[pick]][:, None]) & (q < first[1:][row[pick]][:, None])
                 return np.where(ok, short[np.clip(q, 0, max(0, len(short) - 1))], np.uint32(0))
 
             yield lo, row, place - first[row], grams[found], around, n
 
-    def left(self, around) -> np.ndarray:
-        return around(-1 - np.arange(self.side))
-
-    def right(self, around) -> np.ndarray:
-        return around(self.gram + np.arange(self.side))
+    def parts(self, around, run: np.ndarray, pick: np.ndarray):
+        """(places in ``run``, left words, right words, hash of the surroundings) of some anchors at a time."""
+        for lo in range(0, len(pick), AT_ONCE):
+            part = pick[lo:lo + AT_ONCE]
+            left = around(-1 - np.arange(self.side), part)
+            right = around(self.gram + np.arange(self.side), part)
+            yield part, left, right, W.mix(run[part] + W.mix(_prefix_hashes(left)[:, -1]) * np.uint64(3)
+                                           + W.mix(_prefix_hashes(right)[:, -1]) * np.uint64(5))
 
 
 def _prefix_hashes(words: np.ndarray) -> np.ndarray:
@@ -109,8 +114,9 @@ def _anchor_lists(min_words: int, gram: int):
         get = Surroundings(min_words, gram)
         for b in batches:
             for lo, row, place, run, around, n in get(b.column("text")):
-                all_left, all_right = _prefix_hashes(get.left(around))[:, -1], _prefix_hashes(get.right(around))[:, -1]
-                kind = W.mix(run + W.mix(all_left) * np.uint64(3) + W.mix(all_right) * np.uint64(5))
+                kind = np.zeros(len(run), np.uint64)
+                for part, _, _, value in get.parts(around, run, np.arange(len(run))):
+                    kind[part] = value
                 some, cut = np.unique(row, return_index=True)
                 if not len(some):
                     continue
@@ -150,17 +156,12 @@ def _contexts(min_words: int, gram: int, bits):
             for lo, row, place, run, around, _ in get(b.column("text")):
                 docs = b.column("doc_id").take(pa.array(lo + row))
                 on = known.holds(_anchor_hash(docs, k1[lo + row], place))
-                if not len(on):
-                    continue
-                left, right = get.left(around)[on], get.right(around)[on]
-                run = run[on]
-                kind = W.mix(run + W.mix(_prefix_hashes(left)[:, -1]) * np.uint64(3)
-                             + W.mix(_prefix_hashes(right)[:, -1]) * np.uint64(5))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(run.view(np.int64)), pa.array(kind.view(np.int64)), docs.take(pa.array(on)),
-                     pa.array([x.tobytes() for x in left], pa.binary()),
-                     pa.array([x.astype(">u4").tobytes() for x in right], pa.binary())],
-                    names=["run", "kind", "doc_id", "left", "right"])
+                for part, left, right, kind in get.parts(around, run, on):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(run[part].view(np.int64)), pa.array(kind.view(np.int64)), docs.take(pa.array(part)),
+                         pa.array([x.tobytes() for x in left], pa.binary()),
+                         pa.array([x.astype(">u4").tobytes() for x in right], pa.binary())],
+                        names=["run", "kind", "doc_id", "left", "right"])
     return task
 
 
@@ -270,7 +271,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
     spot = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k1", "k2", "place")  # null ids last
     kinds = written(spark, found.groupBy("run", "kind").agg(
         F.count(F.lit(1)).alias("n"), F.min(spot).alias("low")), "kinds")
-    several = kinds.groupBy("run").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    several = written(spark, kinds.groupBy("run").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "several")
     contested = written(spark, kinds.join(several, "run").select(
         "run", "kind", "c", "low.doc_id", "low.k1", "low.place"), "contested")
     wanted = spark.sparkContext.broadcast(bit_filter(
@@ -295,10 +296,10 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
     # Whole surroundings repeat where a kind occurs several times; else what the sorting found does.
     side = min_words - gram
     often = F.col("n") > 1
-    told = kinds.join(extents, ["run", "kind"], "left").where(often | F.col("before").isNotNull()).select(
+    told = written(spark, kinds.join(extents, ["run", "kind"], "left").where(often | F.col("before").isNotNull()).select(
         "run", "kind", F.when(often, F.lit(side)).otherwise(F.col("before")).alias("before"),
         F.when(often, F.lit(min_words)).otherwise(F.col("after")).alias("after"),
-        F.least("low.doc_id", "first_id").alias("first_id"))
+        F.least("low.doc_id", "first_id").alias("first_id")), "told")  # Spark can split a kind that very many share
     spans = found.join(told, ["run", "kind"]).select(
         "doc_id", "k1", "k2", (F.col("place") - F.least("place", "before")).alias("a"),
         F.least(F.col("place") + F.col("after"), "n_words").alias("z"), "first_id")
