@@ -26,10 +26,26 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from webfeed import read_feed, read_lookup  # noqa: E402
 from webfeed.operators import reports  # noqa: E402
+from webfeed.session import new_scratch_path  # noqa: E402
+from webfeed.streaming.ingest import ingest_deliveries  # noqa: E402
 from webfeed.testing import fixtures as fx  # noqa: E402
+from webfeed.testing.feedwriter import DEFAULT_HEADER, WIDE_COLUMNS, FeedSpec, write_feed  # noqa: E402
 
 
-def _queries(f: fx.Fixtures):
+MANY_FEED = "many"
+
+
+def _many(spark: SparkSession, sf_dir: str) -> str:
+    """A feed of about 1,000 data files (35 each day) and 63 columns."""
+    header = (*DEFAULT_HEADER, *WIDE_COLUMNS)
+    path = new_scratch_path(spark, "bench-many")
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    write_feed(spark, events, path, path + "-staging",
+               FeedSpec(MANY_FEED, files_per_day=35, header_for_day=lambda d: header))
+    return path
+
+
+def _queries(f: fx.Fixtures, many: str):
     return {
         "read_one_day_pages": lambda s: read_feed(s, f.main, fx.MAIN_FEED, date="2024-01-05")
         .groupBy("pagename").count().collect(),
@@ -47,6 +63,14 @@ def _queries(f: fx.Fixtures):
         "manifest_catalog": lambda s: reports.manifest_catalog(s, f.main, fx.MAIN_FEED).collect(),
         "validation_report": lambda s: reports.feed_validation(s, f.broken, fx.BROKEN_FEED).collect(),
         "delivery_gaps": lambda s: reports.delivery_gaps(s, f.broken, fx.BROKEN_FEED).collect(),
+        "read_with_delivery_date": lambda s: read_feed(s, f.multi, fx.MULTI_FEED, with_delivery_date=True)
+        .groupBy("delivery_date").count().collect(),
+        "type_losses": lambda s: reports.type_losses(s, f.locale, fx.LOCALE_FEED).collect(),
+        "stream_ingest": lambda s: ingest_deliveries(
+            s, f.main, fx.MAIN_FEED, new_scratch_path(s, "bench-hits"),
+            checkpoint=new_scratch_path(s, "bench-checkpoint")).awaitTermination(),
+        "read_many_files_wide": lambda s: read_feed(s, many, MANY_FEED).select("pagename", "curr_rate")
+        .groupBy("pagename").agg(F.sum("curr_rate")).collect(),
         "schema_drift": lambda s: reports.schema_drift(s, f.broken, fx.BROKEN_FEED).collect(),
     }
 
@@ -65,9 +89,10 @@ def main() -> None:
 
     t0 = time.perf_counter()
     fixtures = fx.build(spark, sf_dir).build_all()
+    many = _many(spark, sf_dir)
     build_sec = time.perf_counter() - t0
 
-    qs = _queries(fixtures)
+    qs = _queries(fixtures, many)
     for run in qs.values():  # warm-up: JIT, Python workers, file-system caches
         run(spark)
     times: dict[str, float] = {}

@@ -48,6 +48,10 @@ DEFAULT_HEADER = ("hitid_high", "hitid_low", "date_time", "hit_time_gmt", "visid
                   "my col (a=b)", "curr_rate")
 
 
+# Optional further columns, for wide feeds.
+WIDE_COLUMNS = tuple(f"wide_{i:02d}" for i in range(50))
+
+
 def hit_frame(events: DataFrame) -> tuple[DataFrame, list[str]]:
     """Every possible hit column (as ``h<i>``) plus ``day`` and ``event_id``; and the header names."""
     ts = F.col("ts")
@@ -69,6 +73,7 @@ def hit_frame(events: DataFrame) -> tuple[DataFrame, list[str]]:
         "extra_col": F.lit("z"),
         "page.name": F.col("event_type"),
         "user`id": F.col("user_id"),
+        **{name: F.col("user_id") + i for i, name in enumerate(WIDE_COLUMNS)},
     }
     return events.select(F.to_date(ts).alias("day"), "event_id",
                          *[c.alias(f"h{i}") for i, c in enumerate(cols.values())]), list(cols)
