@@ -22,13 +22,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webfeed.llm.tables import table, written
 
 #: Text of a bundle (at least one document), and of the batches that leave a task.
-BUNDLE_BYTES, OUT_BYTES = 24 << 20, 8 << 20
+BUNDLE_BYTES, OUT_BYTES = 16 << 20, 4 << 20
+#: Numbers packed at a time.
+AT_ONCE = 1 << 18
+#: Compression of packed rows.
+LEVEL = 9
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -41,32 +45,37 @@ def _pack(values: np.ndarray) -> bytes:
     """Unsigned numbers in 7-bit groups (small numbers take one byte), compressed."""
     import zstandard
 
-    v = values.astype(np.uint64)
-    n = np.ones(len(v), np.int64)
-    for bits in (7, 14, 21, 28):
-        n += v >= np.uint64(1 << bits)
-    at = np.cumsum(n) - n
-    out = np.zeros(int(n.sum()), np.uint8)
-    for j in range(5):
-        has = np.flatnonzero(n > j)
-        if not len(has):
-            break
-        more = (n[has] > j + 1).astype(np.uint8) << 7
-        out[at[has] + j] = (v[has] >> np.uint64(7 * j)).astype(np.uint8) & 0x7F | more
-    return zstandard.compress(out.tobytes(), 3)
+    out = []
+    for lo in range(0, len(values), AT_ONCE):
+        v = values[lo:lo + AT_ONCE].astype(np.uint64)
+        n = np.ones(len(v), np.int32)
+        for bits in (7, 14, 21, 28):
+            n += v >= np.uint64(1 << bits)
+        at = np.cumsum(n) - n
+        raw = np.zeros(int(n.sum()), np.uint8)
+        for j in range(int(n.max())):
+            has = np.flatnonzero(n > j)
+            more = (n[has] > j + 1).astype(np.uint8) << 7
+            raw[at[has] + j] = (v[has] >> np.uint64(7 * j)).astype(np.uint8) & 0x7F | more
+        out.append(raw.tobytes())
+    return zstandard.compress(b"".join(out), LEVEL)
 
 
 def _unpack(blob: bytes) -> np.ndarray:
     import zstandard
 
     raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
-    last = np.flatnonzero(raw < 0x80)
-    first = np.concatenate([[0], last[:-1] + 1]).astype(np.int64)[:len(last)]
-    n = last - first + 1
-    out = np.zeros(len(last), np.int64)
-    for j in range(int(n.max(initial=0))):
-        has = np.flatnonzero(n > j)
-        out[has] |= (raw[first[has] + j].astype(np.int64) & 0x7F) << (7 * j)
+    out, done = np.zeros(int((raw < 0x80).sum()), np.uint32), 0
+    lo = 0
+    while lo < len(raw):
+        last = np.flatnonzero(raw[lo:lo + AT_ONCE] < 0x80)
+        part = raw[lo:lo + int(last[-1]) + 1]  # whole numbers only; one has five bytes at most
+        first = np.concatenate([[0], last[:-1] + 1])
+        n = last - first + 1
+        for j in range(int(n.max())):
+            has = np.flatnonzero(n > j)
+            out[done + has] |= (part[first[has] + j].astype(np.uint32) & np.uint32(0x7F)) << np.uint32(7 * j)
+        lo, done = lo + len(part), done + len(last)
     return out
 
 
@@ -105,10 +114,18 @@ def _bundles(pattern: str, buckets: int, bundle_bytes: int):
 
         def flush():
             nonlocal serial, size, local
-            found = [w.encode("utf-8") for w in local]
-            bucket = np.fromiter((zlib.crc32(w) for w in found), np.int64, len(found)) % buckets
             counts = np.fromiter(map(len, numbers), np.int64, len(numbers))
-            every = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+            every = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
+            numbers.clear()
+            # Frequent words get small numbers, which pack best.
+            order = np.argsort(-np.bincount(every, minlength=len(local)), kind="stable")
+            number = np.empty(len(order), np.int32)
+            number[order] = np.arange(len(order), dtype=np.int32)
+            every = number[every]
+            words = list(local)
+            local = _Numbers()
+            found = [words[i].encode("utf-8") for i in order]
+            bucket = np.fromiter((zlib.crc32(w) for w in found), np.int64, len(found)) % buckets
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, pa.schema([("doc_id", pa.int64())])) as w:
                 w.write_batch(pa.record_batch([pa.array(ids, pa.int64())], names=["doc_id"]))
@@ -121,11 +138,10 @@ def _bundles(pattern: str, buckets: int, bundle_bytes: int):
                 mine = [found[i] for i in order[cut[b]:cut[b + 1]]]
                 if mine:
                     lens = np.fromiter(map(len, mine), np.int64, len(mine))
-                    yield _part(name, b, _pack(lens), zstandard.compress(b"".join(mine), 3), None)
+                    yield _part(name, b, _pack(lens), zstandard.compress(b"".join(mine), LEVEL), None)
             serial += 1
             ids.clear()
-            numbers.clear()
-            local, size = _Numbers(), 0
+            size = 0
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -183,11 +199,11 @@ def _reassemble(batches):
         found = sorted(b for b in parts if b >= 0)
         if len(order):
             length[order] = np.concatenate([_unpack(parts[b][0]) for b in found])
-            values = np.concatenate([_unpack(parts[b][1]).astype(np.uint32) for b in found])
+            values = np.concatenate([_unpack(parts[b][1]) for b in found])
         start = np.zeros(len(bucket), np.int64)
         start[order] = np.cumsum(length[order]) - length[order]
-        per_doc = np.concatenate([[0], np.cumsum(_unpack(counts))]).astype(np.int64)
-        every = _unpack(every).astype(np.int32)
+        per_doc = np.concatenate([[0], np.cumsum(_unpack(counts), dtype=np.int64)])
+        every = _unpack(every)
         lo = 0
         while lo < len(docs):
             hi = max(lo + 1, int(np.searchsorted(per_doc, per_doc[lo] + OUT_BYTES // 16, side="right")) - 1)
@@ -216,35 +232,13 @@ def _reassemble(batches):
         yield from bundle()
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
-    """(doc_id, n_tokens, ids): the ids of every text as little-endian unsigned 32-bit integers."""
-    spark = docs.sparkSession
-    buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))  # the vocabulary: a fixed size
-    parts = written(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                    .mapInArrow(_bundles(pattern, buckets, bundle_bytes), _PARTS_SQL), "bundles")
-    words = parts.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket")
-    ids = words.mapInArrow(_encode_words(ranks, pattern), _PARTS_SQL)
-    both = parts.where("bucket < 0").union(ids).repartition("bundle").sortWithinPartitions("bundle", "bucket")
-    return both.mapInArrow(_reassemble, "doc_id long, n_tokens long, ids binary")
-
-
-def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """``encoded`` with ``decoded`` (binary): the bytes of its ``ids``, from the token-byte table."""
-    ranks = read_ranks(ranks_path)
-    size = max(ranks.values(), default=-1) + 1
-    tokens = [b""] * size
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    sent = encoded.sparkSession.sparkContext.broadcast(
-        (np.frombuffer(b"".join(tokens), np.uint8), np.array([len(t) for t in tokens], np.int64)))
-
+def _decoder(tokens):
+    """Task: rows with ``ids`` -> the same with their bytes, some OUT_BYTES at a time."""
     def task(batches):
-        flat, length = sent.value
+        flat, length = tokens.value
         start = np.cumsum(length) - length
         for batch in batches:
-            out, n = [], 0
-            lo = 0
+            out, n, lo = [], 0, 0
             for row, blob in enumerate(batch.column("ids")):
                 ids = np.frombuffer(blob.as_buffer(), "<u4") if blob.is_valid else np.zeros(0, "<u4")
                 k = length[ids]
@@ -257,9 +251,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                     lo, out, n = row + 1, [], 0
             if out:
                 yield _with(batch.slice(lo), out)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary"
-    return encoded.mapInArrow(task, schema)
+    return task
 
 
 def _with(batch: pa.RecordBatch, decoded: list[bytes]) -> pa.RecordBatch:
@@ -267,11 +259,62 @@ def _with(batch: pa.RecordBatch, decoded: list[bytes]) -> pa.RecordBatch:
                                       names=[*batch.schema.names, "decoded"])
 
 
-def encode_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, from its ids and their decoded bytes."""
-    both = decode(encode(docs, ranks_path, pattern), ranks_path)
-    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+def _digests(batches):
+    """Rows with ids and decoded bytes -> their SHA-256 digests."""
+    import hashlib
+
+    for b in batches:
+        sha = [pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in b.column(c)], pa.string())
+               for c in ("ids", "decoded")]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_tokens"), *sha],
+                                         names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def _token_bytes(spark: SparkSession, ranks: dict[bytes, int]):
+    """The token-byte table, as broad as the vocabulary: all bytes, and the length of each token."""
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return spark.sparkContext.broadcast(
+        (np.frombuffer(b"".join(tokens), np.uint8), np.array([len(t) for t in tokens], np.int64)))
+
+
+def _bundled(docs: DataFrame, ranks: dict[bytes, int], pattern: str, bundle_bytes: int) -> DataFrame:
+    """Positions and word ids of whole bundles, sorted by bundle and bucket within partitions."""
+    spark = docs.sparkSession
+    buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sent = spark.sparkContext.broadcast(ranks)  # the vocabulary: a fixed size
+    parts = written(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                    .mapInArrow(_bundles(pattern, buckets, bundle_bytes), _PARTS_SQL), "bundles")
+    words = parts.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket")
+    ids = words.mapInArrow(_encode_words(sent, pattern), _PARTS_SQL)
+    return parts.where("bucket < 0").union(ids).repartition("bundle").sortWithinPartitions("bundle", "bucket")
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
+    """(doc_id, n_tokens, ids): the ids of every text as little-endian unsigned 32-bit integers."""
+    return _bundled(docs, read_ranks(ranks_path), pattern, bundle_bytes) \
+        .mapInArrow(_reassemble, "doc_id long, n_tokens long, ids binary")
+
+
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``encoded`` with ``decoded`` (binary): the bytes of its ``ids``, from the token-byte table."""
+    tokens = _token_bytes(encoded.sparkSession, read_ranks(ranks_path))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary"
+    return encoded.mapInArrow(_decoder(tokens), schema)
+
+
+def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, from its ids and their decoded bytes.
+
+    The steps of :func:`encode` and :func:`decode`; the ids are decoded in the task that reassembled them, so
+    neither ids nor bytes leave it.
+    """
+    ranks = read_ranks(ranks_path)
+    decoder = _decoder(_token_bytes(docs.sparkSession, ranks))
+    return _bundled(docs, ranks, pattern, bundle_bytes).mapInArrow(
+        lambda batches: _digests(decoder(_reassemble(batches))),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op6_byte_bpe(spark, sf_dir):
