@@ -18,6 +18,15 @@ def test_masks_hit_every_window_with_four_substitutions():
                    for p in range(D.WINDOW - len(m) + 1)), bad
 
 
+@pytest.mark.parametrize("size", range(D.MIN_ITEM_WORDS, D.WINDOW + 1))
+def test_masks_hit_every_shorter_window(size):
+    ones = [[i for i, c in enumerate(m) if c == "1"] for m in D.MASKS]
+    for bad in itertools.combinations(range(size), size - math.ceil(D.AGREE * size - 1e-9)):
+        good = set(range(size)) - set(bad)
+        assert any(all(p + i in good for i in on) for m, on in zip(D.MASKS, ones, strict=True)
+                   for p in range(size - len(m) + 1)), bad
+
+
 def brute(docs, items):
     out = set()
     for doc_id, text in docs:
@@ -52,6 +61,20 @@ def test_against_brute_force(spark, broadcast):
     assert {tuple(r) for r in got} == brute(docs, items)
 
 
+def test_short_items_with_substitutions(spark):
+    rng = random.Random(4)
+    items, docs = [], []
+    for n, bad in enumerate([(1, 9), (2, 9), (4, 7), (4, 6, 9), (4, 7, 10), (7, 9, 10), (7, 10, 11), (1, 4, 7, 9)]):
+        items.append((n, prose(rng, 12 if len(bad) == 2 else 15)))
+        part = items[-1][1].split()
+        for i in bad:
+            part[i] = "subst"
+        docs.append((n, f"{prose(rng, 30)} {' '.join(part)} {prose(rng, 30)}"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in D.overlaps(frame(spark, docs), bench).select("doc_id", "item_id").collect()}
+    assert got == brute(docs, items) == {(n, n) for n in range(7)}
+
+
 def test_awkward_rows(spark):
     docs = awkward()
     base = docs[0][1]

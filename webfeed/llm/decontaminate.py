@@ -6,8 +6,8 @@ joined; every joined pair of places gives a diagonal (document place minus item
 diagonal the words are compared one by one. A document overlaps an item where some ``WINDOW``
 consecutive words (all of the item, if it is shorter) agree in at least ``AGREE`` of their places.
 
-The masks together hit every window of 20 words with up to four substitutions, wherever these are
-(the tests try all of them), so no overlap of that size is missed.
+The masks together hit every window of 12 to 20 words with as many substitutions as ``AGREE`` allows,
+wherever these are (the tests try all of them), so no overlap is missed.
 
 Documents keep only seeds that a bit filter of the test seeds (a fixed number of bits, whatever the
 benchmark's size) lets through; what it lets through wrongly is removed by the join. The join is a
@@ -32,7 +32,7 @@ from webfeed.llm import words as W
 from webfeed.llm.tables import bit_filter, keep_columns, table, text_hashes, with_key, written
 
 #: Ones are the word places that are hashed.
-MASKS = ("1111000101", "10000011111", "110010001101", "11100111")
+MASKS = ("1111000101", "10000011111", "110010001101", "11100111", "111101001")
 WINDOW, AGREE, MIN_ITEM_WORDS = 20, 0.8, 12
 #: Test seeds that may be sent to every task (24 bytes each).
 BROADCAST_SEEDS = 1_000_000
