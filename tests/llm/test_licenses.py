@@ -51,6 +51,33 @@ def test_other_notices(spark):
     assert rows_of(L.license_scan(frame(spark, docs), notices)) == brute(docs, notices)
 
 
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+MIT = "dnl Released under\ndnl the MIT\ndnl License"
+
+
+def test_notices_broken_over_lines(spark):
+    docs = [
+        (1, f"int x;\n{MPL}\nint y;"), (2, BSD), (3, f"{MPL}\r\n\r\n{BSD}"), (4, MIT),
+        (5, f"{BSD}\n{BSD}\n{MIT}\nReleased under the MIT License\n{BSD}"),
+        (6, BSD.replace("binary", "object").replace("source", "text").replace("Redistribution", "Copying")),
+        (7, "Released\nunder the MIT License\nfor all"),  # the second line matches alone, once
+        (8, "released under\n" + "other words " * 5 + "\nthe mit license"),
+    ]
+    got = {r.doc_id: (r.labels, r.n_blocks, r.score) for r in L.license_scan(frame(spark, docs)).collect()}
+    assert got[1] == ("mpl-2.0-notice", 1, 1.0)
+    assert got[2] == ("bsd-notice", 1, 1.0)
+    assert got[3] == ("bsd-notice,mpl-2.0-notice", 2, 1.0)
+    assert got[4][:2] == ("mit-notice", 1)
+    assert got[5][:2] == ("bsd-notice,mit,mit-notice", 5)
+    assert got[6] == ("", 0, 0.0)
+    assert got[7][:2] == ("mit,mit-notice", 1)
+    assert got[8][:2] == ("mit", 0)
+
+
 def test_native_plan_and_empty_table(spark):
     got = L.license_scan(frame(spark, CASES).limit(0))
     assert got.count() == 0

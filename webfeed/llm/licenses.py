@@ -8,7 +8,10 @@ Words are ordered by the number of blocks of all documents that hold them, rares
 - length filter: a block with fewer than ``need`` such words cannot match;
 - positional filter: the first shared word leaves at most ``min(|T| - i, b - j)`` shared words.
 
-What passes is counted exactly. Notices are a bounded parameter; their words, and nothing that grows
+What passes is counted exactly. A notice that is broken over lines matches as a run of its own number of
+words and a quarter (two at least) more, for words that comment signs add, which begins and ends on different
+lines, none of which matches the notice alone; it is looked for around the notice's rarest words (as in the
+prefix filter), and of runs that overlap one is reported, under its first line. Notices are a bounded parameter; their words, and nothing that grows
 with the documents, are sent to every task. Besides, places of fixed base phrases are reported.
 
 Edge cases: null text is empty (no words, no labels, score 0); rows that agree in doc_id and text get
@@ -49,22 +52,84 @@ def _lower_ascii(text: Column) -> Column:
     return F.when(text.rlike("[Kİ]"), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
 
 
+def _tokens(notice: str) -> list[str]:
+    import re
+
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", notice.translate(str.maketrans(_UPPER, _LOWER)))
+
+
 def notice_words(notice: str) -> list[str]:
     """Distinct words of a notice."""
-    import re
+    return sorted(set(_tokens(notice)))
 
-    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+",
-                                 notice.translate(str.maketrans(_UPPER, _LOWER)))))
+
+def run_length(notice: str) -> int:
+    """Words of text that a notice broken over lines may take."""
+    n = len(_tokens(notice))
+    return n + max(2, n // 4)
 
 
 def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def _broken_notices(docs: DataFrame, notices: list[tuple[str, list[str], list[str], int, int]]) -> DataFrame:
+    """(doc_id, k1, k2, line, label, containment): notices (label, words, rare words, need, run) over several lines."""
+    rare = sorted({x for _, _, prefix, _, _ in notices for x in prefix})
+    parts = F.transform(F.split(_lower_ascii(F.col("text")), "\n"),
+                        lambda b: F.filter(F.split(b, _NOT_WORD), lambda x: x != ""))
+    rows = with_key(docs).where(F.col("text").rlike("(?i)" + "|".join(rare))) \
+        .select("doc_id", "k1", "k2", parts.alias("parts"))
+    rows = rows.select("*", F.flatten("parts").alias("w"),
+                       F.flatten(F.transform("parts", lambda p, n: F.transform(p, lambda _: n))).alias("at"))
+    known = F.array(*[F.struct(F.lit(label).alias("label"), _strings(words).alias("words"), _strings(prefix).alias("rare"),
+                               F.lit(need).alias("need"), F.lit(run).alias("run"))
+                      for label, words, prefix, need, run in notices])
+    rows = rows.select("*", F.explode(known).alias("t")).where(F.arrays_overlap("w", "t.rare"))
+    w, at, t = F.col("w"), F.col("at"), F.col("t")
+    places = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(t["rare"], w[i]))
+    starts = F.array_distinct(F.flatten(F.transform(
+        places, lambda i: F.sequence(F.greatest(F.lit(0), i - t["run"] + 1), i))))
+    starts = F.filter(starts, lambda s: F.array_contains(t["words"], w[s]))
+    runs = F.filter(
+        F.transform(starts, lambda s: F.struct(
+            s.alias("s"), F.array_intersect(F.slice(w, s + 1, t["run"]), t["words"]).alias("shared"))),
+        lambda r: F.size(r["shared"]) >= t["need"])
+    # The last word is where the run has all that it shares.
+    runs = F.transform(runs, lambda r: F.struct(
+        (r["s"] + F.array_max(F.transform(
+            r["shared"], lambda x: F.array_position(F.slice(w, r["s"] + 1, t["run"]), x))).cast("int") - 1).alias("end"),
+        (-F.size(r["shared"])).alias("less"), (-r["s"]).alias("before")))
+    runs = F.array_sort(F.filter(runs, lambda r: (at[-r["before"]] < at[r["end"]]) & ~F.exists(
+        F.sequence(at[-r["before"]], at[r["end"]]),
+        lambda n: F.size(F.array_intersect(F.col("parts")[n], t["words"])) >= t["need"])))
+    # By their ends, each run that begins after the last one reported.
+    kind = "struct<end: int, less: int, before: int>"
+    state = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("last"))
+
+    def step(acc: Column, r: Column) -> Column:
+        last = acc["last"]
+        more = F.struct(last["end"].alias("end"), F.least(last["less"], r["less"]).alias("less"), last["before"].alias("before"))
+        done = F.when(last.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(last)))
+        return F.when(last.isNull() | (-r["before"] > last["end"]), F.struct(done.alias("done"), r.alias("last"))) \
+            .otherwise(F.struct(acc["done"].alias("done"), more.alias("last")))
+
+    found = F.aggregate(runs, state, step, lambda acc: F.when(acc["last"].isNull(), acc["done"])
+                        .otherwise(F.concat(acc["done"], F.array(acc["last"]))))
+    lines = F.transform(found, lambda r: F.struct(
+        at[-r["before"]].alias("line"), (-r["less"] / F.size(t["words"])).alias("containment")))
+    return rows.select("doc_id", "k1", "k2", t["label"].alias("label"), F.explode(lines).alias("f")) \
+        .select("doc_id", "k1", "k2", "f.line", "label", "f.containment")
+
+
 def notice_matches(docs: DataFrame, notices: list[tuple[str, str]] | None = None,
                    threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, k1, k2, line, label, containment): every line that holds enough words of a notice."""
+    """(doc_id, k1, k2, line, label, containment): every line that holds enough words of a notice.
+
+    A notice broken over lines is reported under the first of them.
+    """
     spark = docs.sparkSession
+    run = {label: run_length(notice) for label, notice in (NOTICES if notices is None else notices)}
     notices = [(label, w) for label, notice in (NOTICES if notices is None else notices) if (w := notice_words(notice))]
     need = {label: max(1, math.ceil(threshold * len(w) - 1e-9)) for label, w in notices}
     vocabulary = sorted({x for _, w in notices for x in w})
@@ -80,9 +145,10 @@ def notice_matches(docs: DataFrame, notices: list[tuple[str, str]] | None = None
              .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per notice word at most
     order = sorted(vocabulary, key=lambda w: (count.get(w, 0), w))
     place = {w: i for i, w in enumerate(order)}
-    prefixes = []
+    prefixes, broken = [], []
     for label, w in notices:
         ranked = sorted(w, key=place.__getitem__)
+        broken.append((label, w, ranked[:len(w) - need[label] + 1], need[label], run[label]))
         prefixes += [(t, label, ranked, i, need[label]) for i, t in enumerate(ranked[:len(w) - need[label] + 1])]
     small = spark.createDataFrame(prefixes, "token string, label string, notice array<string>, i int, need int")
     blocks = lines.select("doc_id", "k1", "k2", "line", held(order).alias("own")).where(F.size("own") >= least)
@@ -91,8 +157,9 @@ def notice_matches(docs: DataFrame, notices: list[tuple[str, str]] | None = None
         .where((F.size("own") >= F.col("need"))
                & (F.least(F.size("notice") - F.col("i"), F.size("own") - F.col("j")) >= F.col("need")))
     shared = F.array_intersect("own", "notice")
-    return pairs.where((shared[0] == F.col("token")) & (F.size(shared) >= F.col("need"))) \
+    whole = pairs.where((shared[0] == F.col("token")) & (F.size(shared) >= F.col("need"))) \
         .select("doc_id", "k1", "k2", "line", "label", (F.size(shared) / F.size("notice")).alias("containment"))
+    return whole.union(_broken_notices(docs, broken)) if broken else whole
 
 
 def license_scan(docs: DataFrame, notices: list[tuple[str, str]] | None = None,
