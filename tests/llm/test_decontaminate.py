@@ -75,6 +75,23 @@ def test_short_items_with_substitutions(spark):
     assert got == brute(docs, items) == {(n, n) for n in range(7)}
 
 
+def test_items_under_twelve_words_and_scripts_without_spaces(spark):
+    rng = random.Random(6)
+    han = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(30))
+    thai = "".join(chr(0xE01 + rng.randrange(40)) for _ in range(14))
+    rare = "".join(chr(0x20000 + rng.randrange(5000)) for _ in range(14))
+    items = [(1, "What is the boiling point of water?"), (2, "one two three"), (3, "too short"), (4, prose(rng, 11)),
+             (5, f"{han}\u3002"), (6, thai), (7, han[:5]), (8, f"{rare} ?")]
+    docs = [(1, f"{prose(rng, 30)} what is the BOILING point, of water {prose(rng, 5)} what is the boiling point of water"),
+            (2, "one two three"), (3, "one two four three too short"), (4, items[3][1].replace(" ", "\n")),
+            (5, " ".join(["subst", *items[3][1].split()[1:]])), (6, f"abc{han[:10]}\u4dff{han[11:]}\u3002xyz"),
+            (7, f"\u0e50{thai[:-1]}\u0e51{thai}"), (8, han[20:] + han[:4]), (9, rare + thai[:3]), (10, "x" + han[:5])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_equal, r.first_word, r.end_word) for r in D.overlaps(frame(spark, docs), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (4, 4), (6, 5), (6, 7), (7, 6), (9, 8), (10, 7)}
+    assert got[1, 1] == (7, 30, 37) and got[4, 4] == (11, 0, 11) and got[10, 7] == (5, 1, 6) and got[9, 8] == (14, 0, 14)
+
+
 def test_awkward_rows(spark):
     docs = awkward()
     base = docs[0][1]
