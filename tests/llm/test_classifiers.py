@@ -82,6 +82,26 @@ def test_language_spans_scripts_and_awkward_rows(spark):
     assert langid.identify(frame(spark, asked).limit(0), frame(spark, learn)).count() == 0
 
 
+def test_language_of_letters_outside_the_script_table(spark):
+    rng = np.random.default_rng(5)
+    bn, ta, ka = ["আমি", "তুমি", "বাংলা", "ভাষা"], ["நான்", "தமிழ்", "மொழி", "இது"], ["მე", "ქართული", "ენა", "ეს"]
+    en, vi = ["the", "house", "and", "school"], ["ở", "ấy", "ừ", "ẩm"]
+    known = {"bn": bn, "ta": ta, "ka": ka, "en": en, "vi": vi}
+    learn = [(i, " ".join(rng.choice(known[lang], 30)), lang) for i, lang in enumerate([*known] * 20)]
+    asked = [(n, " ".join(w * 4), lang) for n, (lang, w) in enumerate(known.items())]
+    asked += [(10, " ".join(en * 4 + ta * 4)), (11, "2nd “the” house"), (12, "“ – ”"), (13, "১২ ১২")]
+    rows = {r["doc_id"]: r for r in langid.identify(frame(spark, asked), frame(spark, learn)).collect()}
+    assert [(rows[n]["lang_pred"], rows[n]["score"]) for n in range(5)] == [(lang, 1.0) for lang in known]
+    assert [s["lang"] for s in rows[10]["spans"]] == ["en", "ta"]
+    assert (rows[11]["lang_pred"], rows[11]["score"]) == ("en", 1.0)
+    assert {(rows[n]["lang_pred"], rows[n]["score"]) for n in (12, 13)} == {("und", 0.0)}
+    text = "12 “a” ১২ “আমি” – 3д ế".encode()
+    raw, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    starts, ends, _ = langid.WordGrams().hasher.spans(raw, offsets)
+    x, none = langid.OTHER, langid.NONE
+    assert langid.scripts(raw, starts, ends).tolist() == [none, 0, none, x, none, 2, x]
+
+
 def test_viterbi_against_all_paths():
     import itertools
 

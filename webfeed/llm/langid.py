@@ -1,7 +1,8 @@
 """Language identification: script ranges narrow the candidates, then Viterbi over per-word scores.
 
-A word's script (code-point range of its first character that lies in one) leaves those languages that
-write at least ``SCRIPT_SHARE`` of their words in it; a word's score under a language is the log
+A word's script (code-point range of its first letter) leaves those languages that write at least
+``SCRIPT_SHARE`` of their words in it; letters outside the ranges leave all languages, words without any
+letter tell nothing; a word's score under a language is the log
 probability of its hashed byte n-grams (1 to 4 bytes with word ends, and the whole word). The best path
 through a document's words, with a penalty for each switch of language, labels spans; the document's
 language is the one that labels most letters (bytes of words), ties to the smaller name.
@@ -16,6 +17,10 @@ learned language every text is ``und``; other columns are ignored; empty tables
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +40,20 @@ SCRIPTS = [("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400,
            ("thai", 0xE00, 0xE7F), ("hangul", 0xAC00, 0xD7AF), ("kana", 0x3040, 0x30FF), ("han", 0x4E00, 0x9FFF)]
 
 
+#: Classes of words besides the scripts: letters of other blocks, no letter at all.
+OTHER, NONE = len(SCRIPTS), len(SCRIPTS) + 1
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """Class of every code point: its script, OTHER for other letters, NONE for what is no letter."""
+    letter = np.fromiter((unicodedata.category(chr(i))[0] == "L" for i in range(sys.maxunicode + 1)), bool)
+    out = np.where(letter, OTHER, NONE).astype(np.int8)
+    for i, (_, lo, hi) in enumerate(SCRIPTS):
+        out[lo:hi + 1][letter[lo:hi + 1]] = i
+    return out
+
+
 def _first_code_points(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Code point that begins at each byte place (UTF-8)."""
     padded = np.append(raw, np.zeros(3, np.uint8)).astype(np.int64)
@@ -44,12 +63,19 @@ def _first_code_points(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
                      (a & 7) << 18 | (b & 0x3F) << 12 | (c & 0x3F) << 6 | d & 0x3F)
 
 
-def scripts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Number of the script of each word's first character; len(SCRIPTS) for none (digits, others)."""
-    points = _first_code_points(raw, starts)
-    out = np.full(len(starts), len(SCRIPTS))
-    for i, (_, lo, hi) in enumerate(SCRIPTS):
-        out[(points >= lo) & (points <= hi)] = i
+def scripts(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Class of each word's first letter; NONE where it has none (digits, signs)."""
+    classes = _classes()
+    out = classes[_first_code_points(raw, starts)].astype(np.int64)
+    rest = np.flatnonzero(out == NONE)
+    n = (ends - starts)[rest]
+    owner = np.repeat(rest, n)
+    at = np.arange(int(n.sum())) + np.repeat(starts[rest] - (np.cumsum(n) - n), n)
+    head = (raw[at] & 0xC0) != 0x80
+    owner, kind = owner[head], classes[_first_code_points(raw, at[head])]
+    owner, kind = owner[kind != NONE], kind[kind != NONE]
+    word, place = np.unique(owner, return_index=True)
+    out[word] = kind[place]
     return out
 
 
@@ -101,7 +127,7 @@ def _counts(languages: list[str], buckets: int):
     def task(batches):
         get = WordGrams()
         grams = np.zeros((len(languages), buckets))
-        script = np.zeros((len(languages), len(SCRIPTS) + 1))
+        script = np.zeros((len(languages), NONE + 1))
         for b in batches:
             lang = np.array([number[x] for x in b.column("lang").to_pylist()])
             for name in np.unique(lang):
@@ -115,7 +141,7 @@ def _counts(languages: list[str], buckets: int):
                     n = np.bincount(which, minlength=len(word))
                     bucket, who = get.grams(low, starts[at], ends[at], word, buckets)
                     grams[name] += np.bincount(bucket, weights=n[who], minlength=buckets)
-                    script[name] += np.bincount(scripts(own, starts[at]), weights=n, minlength=len(SCRIPTS) + 1)
+                    script[name] += np.bincount(scripts(own, starts[at], ends[at]), weights=n, minlength=NONE + 1)
         yield pa.RecordBatch.from_arrays([pa.array([grams.tobytes()], pa.binary()),
                                           pa.array([script.tobytes()], pa.binary())], names=["grams", "scripts"])
     return task
@@ -130,7 +156,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS):
     part = written(spark, rows.withColumn("h", F.xxhash64("doc_id")).join(F.broadcast(chosen), "h", "left_semi")
                    .select("lang", "text"), "language-sample").coalesce(8)
     languages = sorted(r["lang"] for r in part.select("lang").distinct().collect())  # as many as the sample, at most
-    grams, script = np.zeros((len(languages), buckets)), np.zeros((len(languages), len(SCRIPTS) + 1))
+    grams, script = np.zeros((len(languages), buckets)), np.zeros((len(languages), NONE + 1))
     if languages:
         for r in part.mapInArrow(_counts(languages, buckets), "grams binary, scripts binary").toLocalIterator():
             grams += np.frombuffer(r["grams"]).reshape(grams.shape)
@@ -140,7 +166,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS):
     share = script / np.maximum(script.sum(1, keepdims=True), 1)
     candidates = (share >= SCRIPT_SHARE).T
     candidates[~candidates.any(1)] = True  # a script that no language uses tells nothing
-    candidates[-1] = True
+    candidates[OTHER:] = True
     return languages, np.ascontiguousarray(logs), candidates
 
 
@@ -198,12 +224,12 @@ def _label(model, spans: bool):
                                       for j in range(count)], 1)
                     score -= np.logaddexp.reduce(score, axis=1, keepdims=True)
                     np.maximum(score, -12, out=score)  # one word never outweighs many
-                    kind = scripts(own, starts[at])
+                    kind = scripts(own, starts[at], ends[at])
                     score = np.where(candidates[kind], score, -24)
-                    score[kind == len(SCRIPTS)] = 0
+                    score[kind == NONE] = 0
                     path = viterbi(score.astype(np.float32)[which], first, SWITCH)
                     weight = (ends - starts).astype(np.float64)
-                    weight[(kind == len(SCRIPTS))[which]] *= 1e-6  # digits and signs only break ties
+                    weight[(kind == NONE)[which]] *= 1e-6  # digits and signs only break ties
                     row = np.repeat(np.arange(docs), np.diff(first))
                     share = np.bincount(row * count + path, weights=weight, minlength=docs * count) \
                         .reshape(docs, count)
