@@ -21,7 +21,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from webfeed import FeedReader, read_feed, read_lookup, selection  # noqa: E402
 from webfeed.operators import reports  # noqa: E402
-from webfeed.session import new_scratch_path  # noqa: E402
+from webfeed.operators.decode import decode_as_of  # noqa: E402
+from webfeed.operators.validate import validation_report  # noqa: E402
+from webfeed.session import HadoopFS, new_scratch_path  # noqa: E402
+from webfeed.sources.catalog import Catalog  # noqa: E402
+from webfeed.sources.lookup import read_lookup_history  # noqa: E402
 from webfeed.paths import quoted  # noqa: E402
 from webfeed.streaming.ingest import ingest_deliveries, reingest_deliveries  # noqa: E402
 from webfeed.testing import fixtures as fx  # noqa: E402
@@ -126,6 +130,97 @@ def reingested_day(spark, sf_dir):
     return _hits(spark.read.parquet(target))
 
 
+def redelivered_day(spark, sf_dir):
+    """A day's partition as an earlier delivery left it; its manifest comes again, and the ingestion, started anew, sees it."""
+    f = _fixtures(spark, sf_dir)
+    target, checkpoint = new_scratch_path(spark, "redeliver-hits"), new_scratch_path(spark, "redeliver-checkpoint")
+    ingest_deliveries(spark, f.names, fx.NAMES_FEED, target, checkpoint=checkpoint).awaitTermination()
+    day = spark.read.parquet(target).select(F.max("delivery_date")).first()[0]
+    part = read_feed(spark, f.names, fx.NAMES_FEED, date=day, with_delivery_date=True).where("hitid_low % 2 = 0")
+    (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("delivery_date")
+     .parquet(target))
+    manifest = f"{f.names}/{fx.NAMES_FEED}_{day}.txt"
+    text = spark.read.text(manifest, wholetext=True).first()[0]
+    HadoopFS(spark).write_bytes(manifest, (text + "\n").encode())  # one byte longer, at another time
+    ingest_deliveries(spark, f.names, fx.NAMES_FEED, target, checkpoint=checkpoint, validate=True).awaitTermination()
+    return _hits(spark.read.parquet(target)).withColumnsRenamed({"page.name": "page_name", "user`id": "user_id"})
+
+
+def _catalog(spark, sf_dir) -> Catalog:
+    """The main feed's catalogue, taken in by several increments."""
+    c = Catalog(spark, new_scratch_path(spark, "catalog"), _fixtures(spark, sf_dir).main, fx.MAIN_FEED)
+    c.refresh(at_once=12)
+    c.refresh()
+    return c
+
+
+def catalog_all_available(spark, sf_dir):
+    return _hits(_catalog(spark, sf_dir).read(direct=0, with_delivery_date=True))
+
+
+def catalog_reordered(spark, sf_dir):
+    """Two column orders, by a catalogue whose refresh validates with a ledger."""
+    c = Catalog(spark, new_scratch_path(spark, "catalog"), _fixtures(spark, sf_dir).reorder, fx.REORDER_FEED)
+    c.refresh(validate=True, ledger=new_scratch_path(spark, "ledger"))
+    return _hits(c.read(direct=0))
+
+
+def catalog_files(spark, sf_dir):
+    files = _catalog(spark, sf_dir).files()
+    return files.select("delivery_date", F.col("file_key").alias("file_name"), F.col("expected_records").alias("records"),
+                        (F.col("length") == F.col("expected_size")).alias("size_ok"), F.size("header").alias("n_columns"))
+
+
+def validate_ledger(spark, sf_dir):
+    """The second of two validations: files that have not changed come from the ledger."""
+    f, ledger = _fixtures(spark, sf_dir), new_scratch_path(spark, "ledger")
+    validation_report(spark, f.broken, fx.BROKEN_FEED, ledger=ledger)
+    r = validation_report(spark, f.broken, fx.BROKEN_FEED, ledger=ledger)
+    return r.select("delivery_date", "kind", "file_name", "file_exists", "size_ok", "md5_ok", "records_ok")
+
+
+def lost_cells(spark, sf_dir):
+    """Every cell that its column's type cannot hold: decimal commas from day 21 on."""
+    return reports.lost_cells(spark, _fixtures(spark, sf_dir).locale, fx.LOCALE_FEED)
+
+
+def column_profile(spark, sf_dir):
+    return reports.column_profile(spark, _fixtures(spark, sf_dir).locale, fx.LOCALE_FEED)
+
+
+def type_losses_lossless(spark, sf_dir):
+    """Type losses of the feed with a decimal comma, read with the types of its profile: none."""
+    f = _fixtures(spark, sf_dir)
+    types = reports.lossless_types(reports.column_profile(spark, f.locale, fx.LOCALE_FEED))
+    return reports.type_losses(spark, f.locale, fx.LOCALE_FEED, column_types=types)
+
+
+def lookup_history(spark, sf_dir):
+    """Browsers (values change every day) and events (values never change) over all deliveries."""
+    f = _fixtures(spark, sf_dir)
+    parts = [read_lookup_history(spark, f.main, fx.MAIN_FEED, name).intervals
+             .select(F.lit(name).alias("lookup"), "lookup_key", "lookup_value", "valid_from", "valid_until")
+             for name in ("browser.tsv", "event.tsv")]
+    return parts[0].union(parts[1])
+
+
+def decode_browsers_as_of(spark, sf_dir):
+    """All hits; browsers by the last of three deliveries at the time."""
+    f = _fixtures(spark, sf_dir)
+    history = read_lookup_history(spark, f.main, fx.MAIN_FEED, "browser.tsv", dates="2024-01-03,2024-01-10,2024-01-20")
+    hits = read_feed(spark, f.main, fx.MAIN_FEED, with_delivery_date=True)
+    return decode_as_of(hits, history, "browser", "browser_name").select("hitid_low", "delivery_date", "browser_name")
+
+
+def decode_events_as_of(spark, sf_dir):
+    """All hits; events by the delivery of their own day (a few hot keys)."""
+    f = _fixtures(spark, sf_dir)
+    history = read_lookup_history(spark, f.main, fx.MAIN_FEED, "event.tsv")
+    hits = read_feed(spark, f.main, fx.MAIN_FEED, with_delivery_date=True)
+    return decode_as_of(hits, history, "event_list", "event_name").groupBy("delivery_date", "event_name") \
+        .agg(F.count(F.lit(1)).alias("hits"))
+
+
 def pages_one_day(spark, sf_dir):
     """Hits per page of every one day."""
     hits = read_feed(spark, _fixtures(spark, sf_dir).main, fx.MAIN_FEED, with_delivery_date=True)
@@ -263,6 +358,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_drift": schema_drift,
     "schema_reordered": schema_reordered,
     "type_losses": type_losses,
+    "redelivered_day": redelivered_day,
+    "catalog_all_available": catalog_all_available,
+    "catalog_reordered": catalog_reordered,
+    "catalog_files": catalog_files,
+    "validate_ledger": validate_ledger,
+    "lost_cells": lost_cells,
+    "column_profile": column_profile,
+    "type_losses_lossless": type_losses_lossless,
+    "lookup_history": lookup_history,
+    "decode_browsers_as_of": decode_browsers_as_of,
+    "decode_events_as_of": decode_events_as_of,
 }
 
 
@@ -348,6 +454,28 @@ def _type_losses_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _file_sql(feed: str, per_file: int, n: str = "n") -> str:
+    """Name of the data file that holds an event of a day with ``n`` events."""
+    return (f"printf('%02d-{feed}_%s.tsv.gz', event_id % {_n_files(n, 1, per_file)} + 1, "
+            f"strftime({_D}, '%Y-%m-%d'))")
+
+
+# The narrowest type that holds an integer column.
+_INT = ("CASE WHEN min({0}) >= -2147483648 AND max({0}) <= 2147483647 THEN 'int' ELSE 'bigint' END")
+_COMMA = f"count(*) FILTER (WHERE value IS NOT NULL AND day({_D}) >= {fx.COMMA_DECIMAL_FROM}) > 0"
+_LOSSLESS = {"hitid_high": "'int'", "hitid_low": _INT.format("event_id"), "date_time": "'timestamp'",
+             "hit_time_gmt": _INT.format("CAST(floor(epoch(ts)) AS BIGINT)"), "visid_low": _INT.format("user_id"),
+             "browser": _INT.format(f"(user_id % {BROWSER_IDS})"), "daily_visitor": "'int'",
+             "curr_rate": f"CASE WHEN {_COMMA} THEN 'string' ELSE 'double' END"}
+
+
+def _profile_sql() -> str:
+    parts = [f"SELECT {i + 1} AS position, '{n}' AS column_name, '{t}' AS data_type, {agg} AS \"values\", "
+             f"{_LOSSLESS.get(n, chr(39) + 'string' + chr(39))} AS lossless_type FROM events"
+             for i, (n, t, agg) in enumerate(_HEADER)]
+    return "\nUNION ALL\n".join(parts)
+
+
 def _header_sql() -> str:
     parts = [f"SELECT {i + 1} AS position, '{n}' AS column_name, '{t}' AS data_type, {agg} AS non_null "
              f"FROM events" for i, (n, t, agg) in enumerate(_HEADER)]
@@ -386,6 +514,46 @@ def _oracles(per_file: int = ROWS_PER_FILE) -> dict[str, str]:
         "lookup_older_two_archives": _browser_sql("2024-01-18"),
         "header_schema": _header_sql(),
         "type_losses": _type_losses_sql(),
+        "redelivered_day": f"SELECT {_HIT_COLUMNS}, event_type AS page_name, CAST(user_id AS VARCHAR) AS user_id, "
+                           f"{_D} AS delivery_date FROM events",
+        "catalog_all_available": f"SELECT {_HIT_COLUMNS}, {_D} AS delivery_date FROM events",
+        "catalog_reordered": f"SELECT {_HIT_COLUMNS} FROM events",
+        "catalog_files": f"""
+            SELECT {_D} AS delivery_date, {_file_sql(fx.MAIN_FEED, per_file)} AS file_name, count(*) AS records,
+                   true AS size_ok, 13 AS n_columns
+            FROM (SELECT *, count(*) OVER (PARTITION BY {_D}) AS n FROM events) GROUP BY 1, 2""",
+        "lost_cells": f"""
+            SELECT * EXCLUDE (day) FROM (
+                SELECT {_D} AS delivery_date, {_file_sql(fx.LOCALE_FEED, per_file)} AS file_name,
+                       row_number() OVER (PARTITION BY {_D}, event_id % {_n_files('n', 1, per_file)} ORDER BY event_id)
+                           AS record,
+                       'curr_rate' AS column_name, 'double' AS data_type,
+                       replace(CAST(value AS VARCHAR), '.', ',') AS value, day({_D}) AS day
+                FROM (SELECT *, count(*) OVER (PARTITION BY {_D}) AS n FROM events))
+            WHERE day >= {fx.COMMA_DECIMAL_FROM} AND value IS NOT NULL""",
+        "column_profile": _profile_sql(),
+        "type_losses_lossless": f"""
+            SELECT column_name, lossless_type AS data_type, "values", CAST(0 AS BIGINT) AS lost
+            FROM ({_profile_sql()}) WHERE lossless_type <> 'string'""",
+        "lookup_history": f"""
+            WITH d AS ({_DAYS}), n AS (SELECT d, lead(d) OVER (ORDER BY d) AS nxt FROM d),
+            l AS (SELECT DISTINCT {_D} AS d, CAST(user_id % {BROWSER_IDS} AS VARCHAR) AS k FROM events)
+            SELECT 'browser.tsv' AS lookup, k AS lookup_key, 'browser-' || k || ' ' || strftime(d, '%Y-%m-%d') AS lookup_value,
+                   d AS valid_from, nxt AS valid_until FROM l JOIN n USING (d)
+            UNION ALL
+            SELECT 'event.tsv', lookup_key, lookup_value, (SELECT min(d) FROM d), NULL::DATE FROM ({_EVENT_LOOKUP})""",
+        "decode_browsers_as_of": f"""
+            WITH a AS (SELECT *, CASE WHEN {_D} >= DATE '2024-01-20' THEN DATE '2024-01-20'
+                                      WHEN {_D} >= DATE '2024-01-10' THEN DATE '2024-01-10'
+                                      WHEN {_D} >= DATE '2024-01-03' THEN DATE '2024-01-03' END AS of
+                       FROM events),
+            l AS (SELECT DISTINCT {_D} AS d, user_id % {BROWSER_IDS} AS k FROM events)
+            SELECT event_id AS hitid_low, {_D} AS delivery_date,
+                   CASE WHEN l.k IS NOT NULL THEN 'browser-' || CAST(l.k AS VARCHAR) || ' ' || strftime(of, '%Y-%m-%d') END
+                       AS browser_name
+            FROM a LEFT JOIN l ON l.d = a.of AND l.k = a.user_id % {BROWSER_IDS}""",
+        "decode_events_as_of": f"SELECT {_D} AS delivery_date, event_type AS event_name, count(*) AS hits FROM events "
+                               f"GROUP BY 1, 2",
         "lookup_event": _EVENT_LOOKUP,
         "lookup_most_recent": _browser_sql("2024-01-17"),
         "lookup_validated": _EVENT_LOOKUP,
@@ -414,6 +582,21 @@ def _oracles(per_file: int = ROWS_PER_FILE) -> dict[str, str]:
             UNION ALL
             SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data-2.tar.gz', true, true, true
             FROM ({_DAYS}) WHERE day(d) = 15""",
+        "validate_ledger": f"""
+            SELECT d AS delivery_date, 'data' AS kind,
+                   printf('%02d-broken_%s.tsv.gz', f, strftime(d, '%Y-%m-%d')) AS file_name,
+                   day(d) <> 14 AS file_exists,
+                   day(d) <> 14 AND NOT (day(d) = 8 AND f = 1) AS size_ok,
+                   day(d) <> 14 AND NOT (day(d) = 7 AND f = 1) AS md5_ok,
+                   day(d) <> 14 AND NOT (day(d) = 9 AND f = 1) AS records_ok
+            FROM (SELECT d, unnest(range(1, n_files + 1)) AS f FROM ({_broken_day_files(per_file)}))
+            UNION ALL
+            SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data.tar.gz',
+                   day(d) <> 21, day(d) <> 21, day(d) NOT IN (18, 21), NULL::BOOLEAN
+            FROM ({_DAYS}) WHERE day(d) <> 19
+            UNION ALL
+            SELECT d, 'lookup', 'broken_' || strftime(d, '%Y-%m-%d') || '-lookup_data-2.tar.gz', true, true, true, NULL
+            FROM ({_DAYS}) WHERE day(d) = 15""",
         "validate_row_counts": f"""
             SELECT d AS delivery_date,
                    n + CASE WHEN day(d) = 11 THEN 1 ELSE 0 END AS total_records,

@@ -209,3 +209,98 @@ def test_many_bad_files_are_named_in_part(spark, workdir):
         read_feed(spark, workdir, "f", validate=True)
     assert len(e.value.failures) == 10
     assert sum(not r.ok for r in reports.feed_validation(spark, workdir, "f").collect()) == 15
+
+
+def test_lost_cells(spark, workdir):  # E3, X13
+    from pyspark.sql import types as T
+
+    big = str(2 ** 64)
+    write_delivery(workdir, "f", "2024-01-01", [
+        row(1, rate="1,5"), "", row(2), ["0", big, "never", "p", "v", "x"], ["0", "3"], ["", "", "", "", "", ""], row(4, rate="2,5")])
+    write_delivery(workdir, "f", "2024-01-02", [list(reversed(row(9, rate="é")))], header=list(reversed(HEADER)))
+    got = sorted((r.delivery_date.day, r.file_name, r.record, r.column_name, r.data_type, r.value)
+                 for r in reports.lost_cells(spark, workdir, "f").collect())
+    one, two = "01-f_2024-01-01.tsv.gz", "01-f_2024-01-02.tsv.gz"
+    assert got == [(1, one, 1, "curr_rate", "double", "1,5"), (1, one, 3, "curr_rate", "double", "x"),
+                   (1, one, 3, "date_time", "timestamp", "never"), (1, one, 3, "hitid_low", "bigint", big),
+                   (1, one, 5, "curr_rate", "double", "2,5"), (2, two, 1, "curr_rate", "double", "é")]
+    losses = {r.column_name: r.lost for r in reports.type_losses(spark, workdir, "f").collect()}
+    assert losses == {"hitid_high": 0, "hitid_low": 1, "date_time": 1, "curr_rate": 4}
+    assert reports.lost_cells(spark, workdir, "f", column_types=dict.fromkeys(HEADER, T.StringType())).count() == 0
+
+
+def test_column_profile_loses_nothing(spark, workdir):  # C3, X13
+    columns = {
+        "small": ["0", "-5", "2147483647"], "long": ["1", "2147483648", "-9223372036854775808"], "huge": ["18446744073709551615", "7"],
+        "over": ["100000000000000000000", "1"], "zeros": ["007", "1"], "plus": ["+1", "2"], "half": ["0.5", "-3", "1e3"],
+        "exact": ["0.30000000000000004", "1.0E-5"], "rough": ["0.123456789012345678"], "mixed": ["5", "x"], "blank": ["", ""],
+        "time": ["2024-01-05 10:00:00", "2024-02-29 23:59:59.123456"], "feb": ["2024-02-30 10:00:00"], "day": ["2024-01-05"],
+        "both": ["5", "2024-01-05 10:00:00"], "spaced": [" 5", "6"], "nan": ["NaN", "1.5"], "hitid_low": ["5", ""], "curr_rate": ["1,5"],
+        "mcvisid": ["99999999999", "1"], "inf": ["1e999"]}
+    n = max(map(len, columns.values()))
+    lines = [[v[i] if i < len(v) else "" for v in columns.values()] for i in range(n)]
+    write_delivery(workdir, "f", "2024-01-01", lines, header=list(columns))
+    profile = reports.column_profile(spark, workdir, "f")
+    rows = {r.column_name: r for r in profile.collect()}
+    assert {c: rows[c].lossless_type for c in columns} == {
+        "small": "int", "long": "bigint", "huge": "decimal(20,0)", "over": "string", "zeros": "string", "plus": "string",
+        "half": "double", "exact": "double", "rough": "string", "mixed": "string", "blank": "string", "time": "timestamp",
+        "feb": "string", "day": "string", "both": "string", "spaced": "string", "nan": "string", "hitid_low": "int",
+        "curr_rate": "string", "mcvisid": "bigint", "inf": "string"}
+    assert rows["blank"]["values"] == 0 and rows["hitid_low"]["values"] == 1 and rows["small"].position == 1
+    types = reports.lossless_types(profile)
+    losses = reports.type_losses(spark, workdir, "f", column_types=types).collect()
+    assert losses and all(r.lost == 0 for r in losses)
+
+
+def test_equal_archives_are_unpacked_once(spark, workdir, monkeypatch):  # A1, C1
+    from webfeed import read_feed
+    from webfeed.plans import scan
+
+    asked = []
+    collect = scan.collect_headers
+    monkeypatch.setattr(scan, "collect_headers", lambda s, d, names, **kw: asked.append(len(names)) or collect(s, d, names, **kw))
+    for d in range(1, 7):
+        write_delivery(workdir, "f", f"2024-01-0{d}", [row(d)], lookups={"event.tsv": f"{d % 2}\tx\n"})
+    assert read_feed(spark, workdir, "f", validate=True).count() == 6
+    assert read_feed(spark, workdir, "f").count() == 6
+    assert asked == [2, 6]
+
+
+def test_jobs_of_a_validated_read_and_of_the_drift_report(spark, workdir):  # P2, P3
+    from webfeed import read_feed
+
+    for d in range(1, 4):
+        write_delivery(workdir, "f", f"2024-01-0{d}", [row(i) for i in range(5)], files=2)
+
+    def jobs(run):
+        name = f"jobs-{run.__name__}"
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            run()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    def plain():
+        read_feed(spark, workdir, "f")
+
+    def validated():
+        read_feed(spark, workdir, "f", validate=True)
+
+    def drift():
+        reports.schema_drift(spark, workdir, "f").count()
+    counts = jobs(plain), jobs(validated), jobs(drift)
+    assert counts[0] <= 5 and counts[1] <= 8 and counts[2] <= 7, counts
+
+
+def test_nothing_is_decoded_for_the_rows_of_a_feed(spark, workdir):  # P1
+    from webfeed import read_feed
+
+    for d in range(1, 15):
+        write_delivery(workdir, "f", f"2024-01-{d:02d}", [row(i) for i in range(3)], files=3)
+    for kw in (dict(), dict(with_delivery_date=True), dict(start="2024-01-02", end="2024-01-13")):
+        df = read_feed(spark, workdir, "f", **kw)
+        assert df.count() == (36 if "start" in kw else 42)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "regexp_replace" not in text and "decode" not in text.lower()

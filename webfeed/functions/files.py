@@ -30,10 +30,16 @@ def normal_name(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, "/+", "/"), "^/", "")
 
 
-def relative_name(root: str) -> Column:
-    """Verbatim path of the file a row was read from, relative to the folder ``root``.
+def raw_path() -> Column:
+    """URI of the file a row was read from, as the file index has it: nothing is computed per row."""
+    return F.col("_metadata.file_path")
 
-    ``root`` is a path without scheme and authority (:func:`webfeed.sources.files.root_path`).
+
+def relative_name(root: str, uri: Column | None = None) -> Column:
+    """Verbatim path of a file (by default the one a row was read from), relative to the folder ``root``.
+
+    ``root`` is a path without scheme and authority (:func:`webfeed.sources.files.root_path`). For tables of
+    one row per file: rows of hits are told apart by :func:`raw_path`.
     """
-    path = _decode(F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""))
+    path = _decode(F.regexp_replace(raw_path() if uri is None else uri, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""))
     return F.substring(path, len(root.rstrip("/")) + 2, 1 << 30)

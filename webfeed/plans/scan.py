@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from .. import paths
 from ..errors import DeliveryError, ManifestError, SchemaMismatchError
+from ..functions.files import raw_path
 from ..functions.types import feed_schema
 from .broadcast import bounded_broadcast, row_bytes
 from ..sources.files import Files
@@ -77,7 +78,7 @@ class FeedScanPlan:
         """The hit table: one native CSV scan per distinct column order.
 
         ``with_delivery_date`` appends ``delivery_date`` (the manifest's day) by
-        joining each row's input file (its path relative to the directory) to
+        joining each row's input file (its URI in the file index) to
         the plan's file list. That list has one row per data file, whose count
         and bytes are known here, so it is broadcast when small
         (:mod:`~webfeed.plans.broadcast`) and shuffled otherwise.
@@ -91,12 +92,14 @@ class FeedScanPlan:
         if not with_delivery_date:
             return reduce(lambda a, b: a.unionByName(b), [s.select(*columns) for s in self.scans(spark)])
         hits = reduce(lambda a, b: a.unionByName(b),
-                      [s.select(*columns, s.name().alias("__wf_file")) for s in self.scans(spark)])
+                      [s.select(*columns, raw_path().alias("__wf_file")) for s in self.scans(spark)])
         pairs = [(paths.normal(f), d) for g in self.groups for d, fs in g.files_by_date for f in fs]
         shared = sorted({f for f, n in Counter(f for f, _ in pairs).items() if n > 1})
         if shared:  # the join would multiply their rows, and no single day is right
             raise ManifestError(f"data files listed by more than one delivery have no single delivery date: "
                                 f"{', '.join(shared[:10])}{' ...' if len(shared) > 10 else ''}")
+        uri = {name: found for s in self.scans(spark) for name, found in s.exist.items()}
+        pairs = [(uri[f], d) for f, d in pairs]
         owners = spark.createDataFrame(pairs, "__wf_file string, delivery_date date")
         owners = bounded_broadcast(owners, len(pairs), row_bytes([f for f, _ in pairs]))
         return hits.join(owners, "__wf_file", "left").drop("__wf_file")
@@ -125,16 +128,8 @@ def _describe_difference(canonical: list[str], other: list[str], case_sensitive:
     return ", ".join(parts)
 
 
-def plan_scan(spark: SparkSession, directory: str, deliveries: list[Delivery],
-              column_types: dict | None = None) -> FeedScanPlan:
-    """Read the headers of all deliveries (one parallel job) and group deliveries by header."""
-    headers = collect_headers(spark, directory, [d.archive for d in deliveries])
-    dates_of: dict[tuple[str, ...], list] = {}
-    for d in deliveries:
-        dates_of.setdefault(tuple(headers[d.archive]), []).append(d.delivery_date)
-    grouped = [(list(h), sorted(ds)) for h, ds in dates_of.items()]
-    by_date = {d.delivery_date: d for d in deliveries}
-    groups = sorted(grouped, key=lambda g: g[1][0])
+def check_headers(spark: SparkSession, groups: list[tuple[list[str], list[date]]]) -> None:
+    """Refuse headers (with their days, the earliest day's first) that do not share one set of columns."""
     canonical = groups[0][0]
     case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
     problems = []
@@ -146,6 +141,28 @@ def plan_scan(spark: SparkSession, directory: str, deliveries: list[Delivery],
     if problems:
         raise SchemaMismatchError("deliveries do not share the columns of "
                                   f"{groups[0][1][0].isoformat()}:\n  " + "\n  ".join(problems))
+
+
+def plan_scan(spark: SparkSession, directory: str, deliveries: list[Delivery],
+              column_types: dict | None = None, same_content: bool = False) -> FeedScanPlan:
+    """Read the headers of all deliveries (one parallel job) and group deliveries by header.
+
+    ``same_content``: archives of equal size and digest are known to be equal (they were validated); of each
+    such kind one is unpacked.
+    """
+    stands_for = {d.archive: d.archive for d in deliveries}
+    lengths = None
+    if same_content:
+        first: dict[tuple, str] = {}
+        stands_for = {d.archive: first.setdefault((d.lookup_digests[0], d.lookup_sizes[0]), d.archive) for d in deliveries}
+        lengths = {a: size for (_, size), a in first.items()}
+    headers = collect_headers(spark, directory, sorted(set(stands_for.values())), lengths=lengths)
+    dates_of: dict[tuple[str, ...], list] = {}
+    for d in deliveries:
+        dates_of.setdefault(tuple(headers[stands_for[d.archive]]), []).append(d.delivery_date)
+    by_date = {d.delivery_date: d for d in deliveries}
+    groups = sorted([(list(h), sorted(ds)) for h, ds in dates_of.items()], key=lambda g: g[1][0])
+    check_headers(spark, groups)
     scan_groups = tuple(ScanGroup(tuple(header), tuple(dates), tuple((d, by_date[d].data_names) for d in dates))
                         for header, dates in groups)
-    return FeedScanPlan(directory, tuple(canonical), scan_groups, dict(column_types or {}))
+    return FeedScanPlan(directory, tuple(groups[0][0]), scan_groups, dict(column_types or {}))

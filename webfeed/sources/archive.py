@@ -4,7 +4,8 @@ Archives are read with Spark's ``binaryFile`` source and unpacked in Python
 workers (``mapInArrow``), one archive at a time, in parallel across archives.
 Archives of up to ``INLINE_MAX_BYTES`` (their real length) come as ``binaryFile``
 content, many per task; bigger ones are never loaded whole: the task streams
-them from storage. Both are opened by the same code, which tells the compression
+them from storage, with the cluster's settings of that store. In a store that
+tasks do not know, archives of all sizes come as content. Both are opened by the same code, which tells the compression
 (gzip, bzip2, xz or none) from the first bytes. Decompression stops as soon as
 every wanted member has been read (or ``max_lines`` of it). Output rows are
 single lines, emitted in bounded Arrow batches, so a large member never becomes
@@ -20,6 +21,7 @@ Callers report these.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import check_streamable, task_file_system
+from ..session import TaskFolder, task_folder
 from .files import Files
 
 LINES_SCHEMA = "archive_name string, member string, line_no int, line string"
@@ -36,6 +38,8 @@ _ARROW_SCHEMA = pa.schema([("archive_name", pa.string()), ("member", pa.string()
 _BATCH_LINES = 8192
 ABSENT, DAMAGED, EMPTY, MISSING = -1, -2, -3, -4
 INLINE_MAX_BYTES = 64 * 1024 * 1024
+#: What Spark can give as content of a file.
+MAX_CONTENT = (1 << 31) - 1
 _READ_BUFFER = 8 * 1024 * 1024
 
 
@@ -55,11 +59,11 @@ def _decompressed(raw):
 
 
 def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | None = None,
-                  path: str | None = None) -> Iterator[tuple[str, int, str | None]]:
+                  opened=None) -> Iterator[tuple[str, int, str | None]]:
     """(member, line_no, line) for wanted members of one archive (at most ``max_lines``
     lines each); ``ABSENT`` rows for missing members, ``DAMAGED`` rows when unpacking fails.
 
-    The archive is ``data`` (its bytes) or, when that is None, streamed from ``path``.
+    The archive is ``data`` (its bytes) or, when that is None, the file that ``opened`` opens.
     """
     import contextlib
     import io
@@ -75,8 +79,7 @@ def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | N
             if data is not None:
                 raw = io.BytesIO(data)
             else:
-                filesystem, rel = task_file_system(path)
-                raw = io.BufferedReader(stack.enter_context(filesystem.open_input_file(rel)), _READ_BUFFER)
+                raw = io.BufferedReader(stack.enter_context(opened()), _READ_BUFFER)
             # a decompressed stream still seeks forward, which is all reading members in order needs
             tar = stack.enter_context(tarfile.open(fileobj=_decompressed(raw), mode="r:"))
             for info in tar:
@@ -102,7 +105,7 @@ def _member_lines(data: bytes | None, wanted: frozenset[str], max_lines: int | N
         yield name, ABSENT, None
 
 
-def _extractor(wanted: frozenset[str], max_lines: int | None):
+def _extractor(wanted: frozenset[str], max_lines: int | None, folder: TaskFolder | None):
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buf: dict[str, list] = {"archive_name": [], "member": [], "line_no": [], "line": []}
 
@@ -113,13 +116,12 @@ def _extractor(wanted: frozenset[str], max_lines: int | None):
             return out
 
         for batch in batches:
-            batch_paths = batch.column("path").to_pylist()
-            names = batch.column("archive_name").to_pylist()
             contents = batch.column("content") if "content" in batch.schema.names else None
-            for i, path in enumerate(batch_paths):
+            for i, name in enumerate(batch.column("archive_name").to_pylist()):
                 data = contents[i].as_py() if contents is not None else None
-                for member, line_no, line in _member_lines(data, wanted, max_lines, path):
-                    buf["archive_name"].append(names[i])
+                opened = functools.partial(folder.open, name, seekable=True) if contents is None else None
+                for member, line_no, line in _member_lines(data, wanted, max_lines, opened):
+                    buf["archive_name"].append(name)
                     buf["member"].append(member)
                     buf["line_no"].append(line_no)
                     buf["line"].append(line)
@@ -133,24 +135,26 @@ def _extractor(wanted: frozenset[str], max_lines: int | None):
 
 def archive_lines(spark: SparkSession, directory: str, archive_names: list[str],
                   members: Iterable[str], max_lines: int | None = None,
-                  inline_max_bytes: int = INLINE_MAX_BYTES) -> DataFrame:
+                  inline_max_bytes: int = INLINE_MAX_BYTES, lengths: dict[str, int] | None = None) -> DataFrame:
     """Lines of ``members`` in each named archive of ``directory`` (lazy); with
-    ``max_lines``, unpacking stops after that many lines of each member.
+    ``max_lines``, unpacking stops after that many lines of each member. ``lengths``: those of
+    archives that a validation has just found to be as listed (saves the job that asks for them).
     """
     wanted = frozenset(members)
     files = Files(spark, directory, sorted(set(archive_names)), spark.read.format("binaryFile").load)
-    extract = _extractor(wanted, max_lines)
+    folder = task_folder(spark, directory)
+    limit = MAX_CONTENT if folder is None else inline_max_bytes
+    extract = _extractor(wanted, max_lines, folder)
     name, length = files.name().alias("archive_name"), F.col("length")
-    sizes = files.select(name, "length")  # one row per archive, no content read
-    real = {r.archive_name: r.length for r in sizes.collect()} if sizes is not None else {}
+    sizes = files.select(name, "length") if lengths is None else None  # one row per archive, no content read
+    real = {r.archive_name: r.length for r in sizes.collect()} if sizes is not None else dict(lengths or {})
     rows = [(n, m, MISSING, None) for n in files.missing(archive_names) for m in sorted(wanted)]
-    rows += [(n, m, DAMAGED, "empty file") for n in sorted(files.exist - set(real)) for m in sorted(wanted)]
+    rows += [(n, m, DAMAGED, "empty file") for n in sorted(set(files.exist) - set(real)) for m in sorted(wanted)]
     parts = [spark.createDataFrame(rows, LINES_SCHEMA)] if rows or not real else []
-    if any(n <= inline_max_bytes for n in real.values()):
-        small = files.select("path", name, "content", where=length <= inline_max_bytes)
+    if any(n <= limit for n in real.values()):
+        small = files.select(name, "content", where=length <= limit)
         parts.append(small.mapInArrow(extract, LINES_SCHEMA))
-    if any(n > inline_max_bytes for n in real.values()):
-        check_streamable(directory)
-        # only the paths: the scan reads no content; a big file gets a task of its own
-        parts.append(files.select("path", name, where=length > inline_max_bytes).mapInArrow(extract, LINES_SCHEMA))
+    if any(n > limit for n in real.values()):
+        # only the names: the scan reads no content; a big file gets a task of its own
+        parts.append(files.select(name, where=length > limit).mapInArrow(extract, LINES_SCHEMA))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -21,7 +21,8 @@ from .manifest import collect_deliveries
 
 
 def feed_plan(spark: SparkSession, directory: str, feedname: str, sel: DateSelection | None = None,
-              column_types: dict[str, T.DataType] | None = None, validate: bool = False) -> FeedScanPlan:
+              column_types: dict[str, T.DataType] | None = None, validate: bool = False,
+              ledger: str | None = None) -> FeedScanPlan:
     """Manifests -> checks -> (validation when asked) -> headers -> scan plan.
 
     Validation needs no header, so it runs first: a damaged archive or data
@@ -30,13 +31,8 @@ def feed_plan(spark: SparkSession, directory: str, feedname: str, sel: DateSelec
     sel = sel or DateSelection()
     deliveries = collect_deliveries(spark, directory, feedname, sel)
     if validate:
-        persisted: list[DataFrame] = []
-        try:
-            enforce(validation_report(spark, directory, feedname, sel, persisted=persisted), deliveries)
-        finally:
-            for kept in persisted:
-                kept.unpersist()
-    return plan_scan(spark, directory, deliveries, column_types)
+        enforce(validation_report(spark, directory, feedname, sel, deliveries=deliveries, ledger=ledger), deliveries)
+    return plan_scan(spark, directory, deliveries, column_types, same_content=validate)
 
 
 def read_feed(spark: SparkSession, directory: str, feedname: str, *,
@@ -46,7 +42,7 @@ def read_feed(spark: SparkSession, directory: str, feedname: str, *,
               end: str | Date | None = None,
               validate: bool = False,
               column_types: dict[str, T.DataType] | None = None,
-              with_delivery_date: bool = False) -> DataFrame:
+              with_delivery_date: bool = False, ledger: str | None = None) -> DataFrame:
     """Hit rows of the chosen deliveries of ``feedname`` in ``directory``.
 
     Choose at most one of ``date``, ``dates`` (list or comma separated) or the
@@ -56,7 +52,9 @@ def read_feed(spark: SparkSession, directory: str, feedname: str, *,
     overrides the type of named columns (e.g. ``{"mcvisid": StringType()}`` to
     keep ids that do not fit the default type). ``with_delivery_date=True`` adds
     a ``delivery_date`` column (the day of the delivery each row came from).
+    ``ledger`` names a folder where validations keep what they found: files that have
+    not changed since are not read again (:mod:`~webfeed.operators.ledger`).
     """
     sel = selection(date=date, dates=dates, start=start, end=end)
-    plan = feed_plan(spark, directory, feedname, sel, column_types, validate)
+    plan = feed_plan(spark, directory, feedname, sel, column_types, validate, ledger)
     return plan.to_dataframe(spark, with_delivery_date)

@@ -43,25 +43,33 @@ def _header_columns(_app_id: str) -> list:
     return [sanitized_header(first).alias("header"), problem.alias("problem")]
 
 
-def archive_headers(spark: SparkSession, directory: str, archives: list[str]) -> DataFrame:
-    """Sanitised header or problem of each archive (lazy)."""
-    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER], max_lines=2)
+def archive_headers(spark: SparkSession, directory: str, archives: list[str],
+                    lengths: dict[str, int] | None = None) -> DataFrame:
+    """Sanitised header or problem of each archive (lazy); ``lengths``: see :func:`archive_lines`."""
+    lines = archive_lines(spark, directory, sorted(set(archives)), [HEADER_MEMBER], max_lines=2, lengths=lengths)
     header, problem = _header_columns(spark.sparkContext.applicationId)
     found = lines.groupBy("archive_name").agg(header, problem)
     return found.select("archive_name", F.when(F.col("problem").isNull(), F.col("header")).alias("header"), "problem")
 
 
+def distinct_headers(spark: SparkSession, directory: str, archives: list[str], lengths: dict[str, int] | None = None
+                     ) -> list[tuple[list[str] | None, str | None, list[str]]]:
+    """(header, problem, archives) of every distinct header and problem: one job, each header once on the driver."""
+    rows = archive_headers(spark, directory, archives, lengths).groupBy("header", "problem") \
+        .agg(F.collect_list("archive_name").alias("archives")).collect()
+    return [(None if r.header is None else list(r.header), r.problem, list(r.archives)) for r in rows]
+
+
 def collect_headers(spark: SparkSession, directory: str, archives: list[str],
-                    skip_problems: bool = False) -> dict[str, list[str] | None]:
+                    skip_problems: bool = False, lengths: dict[str, int] | None = None) -> dict[str, list[str] | None]:
     """Archive name -> header (one list object per distinct header).
 
     An archive without a usable header raises :class:`DeliveryError`, or maps to
     ``None`` with ``skip_problems``.
     """
-    rows = archive_headers(spark, directory, archives).groupBy("header", "problem") \
-        .agg(F.collect_list("archive_name").alias("archives")).collect()
-    bad = sorted(f"{a} ({r.problem})" for r in rows if r.problem is not None for a in r.archives)
+    rows = distinct_headers(spark, directory, archives, lengths)
+    bad = sorted(f"{a} ({problem})" for _, problem, found in rows if problem is not None for a in found)
     if bad and not skip_problems:
         raise DeliveryError("no hit-table header: " + "; ".join(bad[:EXAMPLES])
                             + (f"; and {len(bad) - EXAMPLES} more" if len(bad) > EXAMPLES else ""))
-    return {a: h for r in rows for h in [None if r.problem is not None else list(r.header)] for a in r.archives}
+    return {a: None if problem is not None else header for header, problem, found in rows for a in found}

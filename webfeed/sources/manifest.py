@@ -103,6 +103,26 @@ def manifests(spark: SparkSession, directory: str, feedname: str,
         .select(*cols["final"])
 
 
+def manifest_files(spark: SparkSession, directory: str, feedname: str, since: str | None = None) -> DataFrame:
+    """(manifest_name, delivery_date, modified, length) of the feed's manifests, by the file index alone.
+
+    ``since``: only those modified after this time (UTC, ``yyyy-MM-ddTHH:mm:ss``). No manifest is opened.
+    """
+    names = paths.glob_escape(feedname) + "_[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9].txt"
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", names)
+    if since is not None:
+        reader = reader.option("modifiedAfter", since).option("timeZone", "UTC")
+    try:
+        listed = reader.load(paths.glob_escape(directory.rstrip("/")))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], "manifest_name string, delivery_date date, modified timestamp, length long")
+        raise
+    name = input_file_name()
+    return listed.select(name.alias("manifest_name"), mf.manifest_date(name).alias("delivery_date"),
+                         F.col("modificationTime").alias("modified"), "length").where("delivery_date IS NOT NULL")
+
+
 @functools.lru_cache(maxsize=4)
 def _parse_columns(_app_id: str) -> dict[str, list]:
     """Parsing expressions, built once per application (they do not depend on the feed)."""
@@ -137,7 +157,7 @@ def _parse_columns(_app_id: str) -> dict[str, list]:
 
 @dataclass(frozen=True)
 class Delivery:
-    """What the driver holds of one delivery: its lookup archives and the names of its data files."""
+    """What the driver holds of one delivery: its lookup archives (one, normally) and the names of its data files."""
 
     feedname: str
     delivery_date: date
@@ -146,6 +166,8 @@ class Delivery:
     lookup_names: tuple[str, ...]
     data_names: tuple[str, ...]
     problems: tuple[str, ...]
+    lookup_digests: tuple[str, ...] = ()
+    lookup_sizes: tuple[int, ...] = ()
 
     @property
     def archive(self) -> str:
@@ -160,15 +182,13 @@ def load_deliveries(spark: SparkSession, directory: str, feedname: str, sel: Dat
     Only names come to the driver, which plans scans by them; without ``data_names`` not even those of
     the data files.
     """
-    def names(files: str):
-        return F.transform(files, lambda e: e["name"]).alias(files)
-
+    names = F.transform("data_files", lambda e: e["name"]) if data_names else F.array().cast("array<string>")
     rows = manifests(spark, directory, feedname, sel).select(
-        "feedname", "delivery_date", "manifest_name", "total_records", names("lookup_files"),
-        names("data_files") if data_names else F.array().cast("array<string>").alias("data_files"),
+        "feedname", "delivery_date", "manifest_name", "total_records", "lookup_files", names.alias("data_files"),
         "problems").collect()
     found = [Delivery(r.feedname, r.delivery_date, r.manifest_name, r.total_records,
-                      tuple(r.lookup_files), tuple(r.data_files), tuple(r.problems)) for r in rows]
+                      tuple(x.name for x in r.lookup_files), tuple(r.data_files), tuple(r.problems),
+                      tuple(x.md5 for x in r.lookup_files), tuple(x.size for x in r.lookup_files)) for r in rows]
     return sorted(found, key=lambda d: (d.delivery_date is not None, d.delivery_date or date.min))
 
 

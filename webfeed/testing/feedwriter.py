@@ -1,7 +1,7 @@
 """Writes test deliveries (manifest, gz data files, lookup archive) from ``events``.
 
 Test tooling, not part of the read path. Hit rows are written by Spark's CSV
-writer (gzip, tab separated, one task per data file); sizes, digests and record
+writer (gzip, tab separated, one task per data file, in the order of event_id); sizes, digests and record
 counts come back from Spark jobs; only per-file metadata and the small lookup
 archives are built and written by one task per delivery.
 
@@ -247,8 +247,8 @@ def write_feed(spark: SparkSession, events: DataFrame, out_dir: str, staging: st
         cols = [(F.regexp_replace(F.col(alias[n]).cast("string"), r"\.", ",") if commas and n == "curr_rate"
                  else F.col(alias[n])).alias(f"c{j}") for j, n in enumerate(header)]
         (hits.where(F.col("day").isin(hdays))
-         .select("day", file_no.alias("file_no"), *cols)
-         .repartition("day", "file_no")
+         .select("day", file_no.alias("file_no"), "event_id", *cols)
+         .repartition("day", "file_no").sortWithinPartitions("day", "file_no", "event_id").drop("event_id")
          .write.partitionBy("day", "file_no").option("sep", "\t").option("compression", "gzip")
          .mode("overwrite").csv(f"{stage}/v{i}"))
 
