@@ -31,31 +31,38 @@ from webfeed.llm.bpe import _pack, _unpack
 from webfeed.llm.tables import table, written
 
 #: Text and distinct pieces of a bundle (at least one slice of a document), and text that is cut at a time.
-BUNDLE_BYTES, BUNDLE_PIECES, SLICE = 16 << 20, 200_000, 1 << 20
+BUNDLE_BYTES, BUNDLE_PIECES, SLICE = 64 << 20, 700_000, 1 << 20
 #: White space and what follows it; a break comes before a space or line feed that follows anything else.
 _PIECE = r"\s*\S+(?:[^\S \n]\s*(?:\S+|\Z))*|\s+"
 _WHOLE = r"(?s).+"
+# Fixed value: the pattern by which byte-level BPE cuts a text before its merges.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def groups_of(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
-    """Groups (first A, end A, first B, end B): cut wherever tokens of both end at the same byte."""
-    a_at, b_at = {end: i + 1 for i, end in enumerate(a_ends)}, {end: i + 1 for i, end in enumerate(b_ends)}
-    out, a, b = [], 0, 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        out.append((a, a_at[end], b, b_at[end]))
-        a, b = a_at[end], b_at[end]
-    return out
+def groups_of(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ends, A tokens, B tokens) up to the end of every group: bytes at which tokens of both end."""
+    a_at = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1), strict=True))
+    b_at = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1), strict=True))
+    common = sorted(a_at.keys() & b_at.keys())
+    n = len(common)
+    return (np.array(common, np.int64), np.fromiter(map(a_at.__getitem__, common), np.int64, n),
+            np.fromiter(map(b_at.__getitem__, common), np.int64, n))
 
 
-def links_of(a_ends: list[int], b_ends: list[int], group: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """Pairs (A index, B index) in a group whose byte ranges overlap."""
-    i, i_end, j, j_end = group
-    out = []
-    while i < i_end and j < j_end:
-        out.append((i, j))
-        a, b = a_ends[i], b_ends[j]
-        i, j = i + (a <= b), j + (b <= a)
-    return out
+def links_of(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(A index, B index) of all tokens whose byte ranges overlap, in order.
+
+    Two tokens of a group overlap in one stretch, which ends where the first of them does; so in every slice each
+    end of either list closes one link.
+    """
+    ends = _merged(a_ends, b_ends)
+    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The distinct values of two sorted lists."""
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    return both[np.diff(both, prepend=-1) > 0]
 
 
 def byte_values() -> dict[str, int]:
@@ -92,6 +99,21 @@ class Tokenizers:
         cut = re.compile("[^▁]▁|\n")
         self.breaks = not any(cut.search(p) for p in pieces) and not self.b.is_unknown(self.space)
 
+        # A's merges in the order of their ids are ranks, which tiktoken applies faster, with the same result. Which signs
+        # are letters or digits does not differ between libraries for the first blocks of Unicode.
+        import json
+
+        import tiktoken
+
+        model = json.loads(a_json)["model"]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        ranked = all(entries.get(x + y) == 256 + i for i, (x, y) in enumerate(pairs)) and not model.get("ignore_merges")
+        ranks = {self.a_bytes[i]: i for i in range(256 + len(pairs))} if ranked else {}
+        self.known = re.compile("[\x00-\u024F]+").fullmatch if len(ranks) == 256 + len(pairs) else lambda _: None
+        self.fast_a = tiktoken.Encoding("a", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary \
+            if ranks else None
+        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+
     def encode(self, pieces: list[str]) -> list[tuple[list[int], list[int]]]:
         """A's and B's ids of every piece of a text (the first of which begins with the added space)."""
         a = [e.ids for e in self.a.encode_batch(pieces, add_special_tokens=False)]
@@ -100,6 +122,54 @@ class Tokenizers:
         return [(x, [self.space] if p == " " else y if p[0] == " " else y[1:] if y and y[0] == self.space else [])
                 for p, x, y in zip(pieces, a, b, strict=True)]
 
+    def same(self, raw: bytes, a, b) -> bool:
+        """Whether both id lists stand for these bytes."""
+        return b"".join(map(self.a_bytes.__getitem__, a)) == raw and b"".join(map(self.b_bytes.__getitem__, b)) == raw
+
+    def encode_all(self, pieces: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(good pieces, bad ones, bytes of each good one, their A ids, their B ids).
+
+        Pieces that begin with a space and end with none make one text, in which both break between them.
+        """
+        usual: tuple[list[str], list[str]] = [], []
+        rest = []
+        for p in pieces:
+            if self.breaks and p[0] == " " and not p[-1].isspace() and "▁" not in p:
+                usual[self.known(p) is None].append(p)
+            else:
+                rest.append(p)
+        good, bad, sizes, a, b = [], [], [], [], []
+        for text, encode in zip(usual, (self.fast_a, lambda x: self.a.encode(x, add_special_tokens=False).ids), strict=True):
+            if not text:
+                continue
+            every = "".join(text)
+            raw = every.encode("utf-8")
+            x, y = encode(every), self.b.encode(every[1:], num_threads=1)
+            size = list(map(len, text)) if len(raw) == len(every) else [len(p.encode("utf-8")) for p in text]
+            if self.same(raw, x, y) and _all_in(size, self.a_size[x]) and _all_in(size, self.b_size[y]):
+                good += text
+                sizes += size
+                a += x
+                b += y
+            else:
+                rest += text
+        for p, (x, y) in zip(rest, self.encode(rest) if rest else (), strict=True):
+            raw = p.encode("utf-8")
+            if self.same(raw, x, y):
+                good.append(p)
+                sizes.append(len(raw))
+                a += x
+                b += y
+            else:
+                bad.append(p)
+        return good, bad, *(np.array(x, np.int64) for x in (sizes, a, b))
+
+
+def _all_in(sizes: list[int], tokens: np.ndarray) -> bool:
+    """Whether a token ends wherever a piece ends."""
+    ends, at = np.cumsum(sizes), np.cumsum(tokens)
+    return bool((at[np.minimum(np.searchsorted(at, ends), len(at) - 1)] == ends).all())
+
 
 def slices(text: str, size: int, breaks: bool):
     """The text in slices of at least ``size`` characters that end where a piece does."""
@@ -114,89 +184,126 @@ def slices(text: str, size: int, breaks: bool):
         lo = hi
 
 
+class _Doc:
+    """A document of a bundle: its groups (or their digest) and its pieces, slice by slice."""
+
+    __slots__ = ("counts", "doc_id", "good", "groups", "held", "kinds")
+
+    def __init__(self, doc_id, good: bool, groups):
+        self.doc_id, self.good, self.groups, self.held = doc_id, good, groups, ""
+        self.kinds: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+
+    def add(self, kinds: np.ndarray, groups: str) -> None:
+        kind, count = np.unique(kinds, return_counts=True)
+        self.kinds.append(kind)
+        self.counts.append(count)
+        text, self.held = self.held + groups[:-1], ";"  # the sign that ends a slice begins the next
+        if isinstance(self.groups, list):
+            self.groups.append(text)
+        else:
+            self.groups.update(text.encode())
+
+    def text(self) -> str:
+        if not self.good:
+            return ""
+        return "".join(self.groups) if isinstance(self.groups, list) else self.groups.hexdigest()
+
+    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.good:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(self.kinds) == 1:
+            return self.kinds[0], self.counts[0]
+        kind, back = np.unique(np.concatenate(self.kinds), return_inverse=True)
+        return kind, np.bincount(back, weights=np.concatenate(self.counts)).astype(np.int64)
+
+
 class _Bundle:
     """Distinct pieces of some documents, each aligned once, and the documents as numbers of pieces."""
 
-    def __init__(self, both: Tokenizers):
+    def __init__(self, both: Tokenizers, digest: bool):
         import re
 
-        self.both, self.find = both, re.compile(_PIECE if both.breaks else _WHOLE).findall
+        self.both, self.digest, self.find = both, digest, re.compile(_PIECE if both.breaks else _WHOLE).findall
         self.piece: dict[str, int] = {}
-        self.pair: dict[tuple[int, int], int] = {}
-        self.good: list[bool] = []
-        self.text: list[str] = []  # groups of each piece
-        self.size: list[tuple[int, int, int, int]] = []  # A tokens, B tokens, groups, links
-        self.links: list[int] = []
-        self.docs: list[tuple] = []
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
-        self.bytes = 0
-
-    def _align(self, pieces: list[str]) -> None:
-        a_bytes, b_bytes = self.both.a_bytes, self.both.b_bytes
-        for piece, (a, b) in zip(pieces, self.both.encode(pieces), strict=True):
-            raw = piece.encode("utf-8")
-            x, y = [a_bytes[i] for i in a], [b_bytes[i] for i in b]
-            self.piece[piece] = len(self.piece)
-            if b"".join(x) != raw or b"".join(y) != raw:
-                self.good.append(False)
-                self.text.append("")
-                self.size.append((0, 0, 0, 0))
-                continue
-            self.good.append(True)
-            a_ends, b_ends = np.cumsum([len(t) for t in x]).tolist(), np.cumsum([len(t) for t in y]).tolist()
-            text, n = [], 0
-            for group in groups_of(a_ends, b_ends):
-                i, i_end, j, j_end = group
-                text.append(",".join(map(str, a[i:i_end])) + "|" + ",".join(map(str, b[j:j_end])))
-                for s, t in links_of(a_ends, b_ends, group):
-                    self.links.append(self.pair.setdefault((a[s], b[t]), len(self.pair)))
-                    n += 1
-            self.text.append(";".join(text))
-            self.size.append((len(a), len(b), len(text), n))
-
-    def add(self, doc_id, text: str | None, digest: bool) -> None:
+        self.text: dict[str, str] = {}  # groups of each piece, with an end sign
+        self.bad: set[str] = set()
+        self.pair: dict[int, int] = {}
+        self.size: list[np.ndarray] = []  # A tokens, B tokens, groups, links of each piece
+        self.links: list[np.ndarray] = []
+        self.docs: list[_Doc] = []
+        self.waiting: list[tuple[_Doc, list[str]]] = []
+        self.bytes = self.ahead = 0
+        a, b = range(len(both.a_bytes)), range(len(both.b_bytes))
+        self.signs = [np.array([f"{i}{sign}" for i in ids], object) for ids, sign in ((a, ","), (a, "|"), (b, ","), (b, ";"))]
+
+    def add(self, doc_id, text: str | None) -> None:
         import hashlib
 
-        out, number, good = [], self.piece, bool(text)
-        sha, begun = hashlib.sha256(), False
-        kinds, counts = [], []
+        doc = _Doc(doc_id, bool(text), hashlib.sha256() if self.digest else [])
+        self.docs.append(doc)
         for part in slices(" " + text, SLICE, self.both.breaks) if text else ():
-            found = self.find(part)
-            new = [p for p in dict.fromkeys(found) if p not in number]
-            if new:
-                self._align(new)
-            every = [number[p] for p in found]
-            kind, count = np.unique(np.array(every, np.int64), return_counts=True)
-            if not all(self.good[k] for k in kind.tolist()):
-                good = False
-                break
-            kinds.append(kind)
-            counts.append(count)
-            groups = ";".join([self.text[k] for k in every])
-            if digest:
-                sha.update((";" + groups if begun else groups).encode())
-            else:
-                out.append(groups)
-            begun = True
+            self.waiting.append((doc, self.find(part)))
+            self.ahead += len(part)
+            if self.ahead >= SLICE:
+                self.flush()
         self.bytes += len(text or "")
-        self.docs.append((doc_id, (sha.hexdigest() if digest else ";".join(out)) if good else ""))
-        none = np.zeros(0, np.int64)
-        if good and len(kinds) > 1:
-            kind, back = np.unique(np.concatenate(kinds), return_inverse=True)
-            self.held.append((kind, np.bincount(back, weights=np.concatenate(counts)).astype(np.int64)))
-        else:
-            self.held.append((kinds[0], counts[0]) if good else (none, none))
+
+    def flush(self) -> None:
+        """Align the pieces that are new, and give the documents that wait theirs."""
+        every = set().union(*(found for _, found in self.waiting))
+        self._align([p for p in every if p not in self.piece and p not in self.bad])
+        number, text = self.piece.__getitem__, self.text.__getitem__
+        for doc, found in self.waiting:
+            if self.bad and not self.bad.isdisjoint(found):
+                doc.good = False
+            if doc.good:
+                doc.add(np.fromiter(map(number, found), np.int64, len(found)), "".join(map(text, found)))
+        self.waiting, self.ahead = [], 0
+
+    def _align(self, pieces: list[str]) -> None:
+        both = self.both
+        pieces, bad, sizes, a, b = both.encode_all(pieces)
+        self.bad.update(bad)
+        if not pieces:
+            return
+        a_ends, b_ends = np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b])
+        ends, a_cut, b_cut = groups_of(a_ends, b_ends)
+        la, lb = links_of(a_ends, b_ends)
+        piece_ends = np.cumsum(sizes)
+        per = [np.searchsorted(x, piece_ends, side="right") for x in (a_ends, b_ends, ends)]
+        per.append(np.searchsorted(_merged(a_ends, b_ends), piece_ends, side="right"))
+        self.size.append(np.stack([np.diff(x, prepend=0) for x in per], 1))
+        # The signs of all groups in order: a group's A ids, then its B ids.
+        out = np.empty(len(a) + len(b), object)
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[a_cut - 1] = last_b[b_cut - 1] = True
+        of_a, of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        before_b, through_a = np.concatenate([[0], b_cut]), a_cut
+        out[np.arange(len(a)) + before_b[of_a]] = np.where(last_a, self.signs[1][a], self.signs[0][a])
+        out[np.arange(len(b)) + through_a[of_b]] = np.where(last_b, self.signs[3][b], self.signs[2][b])
+        signs, stops = out.tolist(), (per[0] + per[1]).tolist()
+        lo, n = 0, len(self.piece)
+        for p, hi in zip(pieces, stops, strict=True):
+            self.text[p] = "".join(signs[lo:hi])
+            lo = hi
+        self.piece.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        key, back = np.unique(a[la] << 32 | b[lb], return_inverse=True)
+        known = self.pair
+        self.links.append(np.fromiter((known.setdefault(k, len(known)) for k in key.tolist()), np.int64, len(key))[back])
 
     def full(self, most_bytes: int, most_pieces: int) -> bool:
         return self.bytes >= most_bytes or len(self.piece) >= most_pieces
 
     def row(self, name: int) -> pa.RecordBatch:
         """The bundle as one row."""
-        size = np.array(self.size, np.int64).reshape(-1, 4)
-        n = np.array([len(k) for k, _ in self.held], np.int64)
-        kind = np.concatenate([k for k, _ in self.held])
-        count = np.concatenate([c for _, c in self.held])
-        links = np.array(self.links, np.int64)
+        self.flush()
+        size = np.concatenate([np.zeros((0, 4), np.int64), *self.size])
+        held = [d.pieces() for d in self.docs]
+        n = np.array([len(k) for k, _ in held], np.int64)
+        kind = np.concatenate([k for k, _ in held])
+        count = np.concatenate([c for _, c in held])
+        links = np.concatenate([np.zeros(0, np.int64), *self.links])
         # Occurrences of every pair in the documents that have tokens.
         seen = np.zeros(len(size), np.int64)
         np.add.at(seen, kind, count)
@@ -205,16 +312,17 @@ class _Bundle:
         doc = np.repeat(np.arange(len(n)), n)
         sums = np.zeros((len(n), 4), np.int64)
         np.add.at(sums, doc, size[kind] * count[:, None])
-        docs = pa.record_batch([pa.array([d[0] for d in self.docs], pa.int64()), pa.array([d[1] for d in self.docs], pa.string()),
+        docs = pa.record_batch([pa.array([d.doc_id for d in self.docs], pa.int64()),
+                                pa.array([d.text() for d in self.docs], pa.string()),
                                 *(pa.array(sums[:, i]) for i in range(4))],
                                names=["doc_id", "groups", "n_a", "n_b", "n_groups", "n_links"])
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, docs.schema) as w:
             w.write_batch(docs)
-        pairs = np.array(list(self.pair), np.int64).reshape(-1, 2)
+        pairs = np.array(list(self.pair), np.int64)
         blobs = [sink.getvalue().to_pybytes(), _pack(n), _pack(kind), _pack(count), _pack(size[:, 3]), _pack(links)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([name], pa.int64()), *(pa.array([x], pa.list_(pa.int64())) for x in (pairs[:, 0], pairs[:, 1], total)),
+            [pa.array([name], pa.int64()), *(pa.array([x], pa.list_(pa.int64())) for x in (pairs >> 32, pairs & 0xFFFFFFFF, total)),
              *(pa.array([x], pa.binary()) for x in blobs)], names=_ROW)
 
 
@@ -233,8 +341,8 @@ def _bundles(files, digest: bool, most_bytes: int, most_pieces: int):
         for batch in batches:
             both = both or Tokenizers(*files.value)
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                now = now or _Bundle(both)
-                now.add(doc_id, text.as_py(), digest)
+                now = now or _Bundle(both, digest)
+                now.add(doc_id, text.as_py())
                 if now.full(most_bytes, most_pieces):
                     yield now.row(name)
                     name, now = name + 1, None
