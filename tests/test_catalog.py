@@ -172,3 +172,38 @@ def test_store_settings():
     assert dict(store_settings("s3a", conf.get)) == {
         "access_key": "a", "secret_key": "b", "endpoint_override": "store:9000", "scheme": "http"}
     assert store_settings("file", conf.get) == ()
+
+
+def test_one_big_file_is_read_by_several_tasks(spark, workdir, catalog, monkeypatch):
+    import gzip
+
+    from pyspark.sql import functions as F
+    from webfeed.session import task_folder
+    from webfeed.sources import lines
+
+    rng = random.Random(8)
+    text = b"\xef\xbb\xbf" + b"".join(rng.choice([b"%d\tx" % i, b'"q\ty"', b" ", b"", b"z" * rng.randrange(300)])
+                                      + rng.choice([b"\n", b"\r\n", b"\r"]) for i in range(5000)) + b"last"
+    for data, gzipped in ((text, False), (gzip.compress(text), True), (gzip.compress(text[:9000]) + gzip.compress(text[9000:]), True)):
+        for size in (97, 4096, 1 << 20):
+            chunks = [data[i:i + size] for i in range(0, len(data), size)]
+            whole = [x for _, part in lines.file_lines(chunks, gzipped) for x in part.to_pylist()]
+            for parts in (2, 3, 8):
+                got = [[(n + i, x) for n, part in lines.file_lines(chunks, gzipped, p, parts, len(chunks))
+                        for i, x in enumerate(part.to_pylist())] for p in range(parts)]
+                assert [x for part in got for x in part] == list(enumerate(whole))
+                assert size > 97 or all(got)
+
+    for d in (1, 2):
+        write_delivery(workdir, "f", f"2024-01-0{d}", [row(i, page=f"p{rng.random()}") for i in range(4000)])
+    catalog.refresh()
+    plain = rows_of(read_feed(spark, workdir, "f", with_delivery_date=True))
+    assert rows_of(catalog.read(direct=0, task_bytes=10_000, with_delivery_date=True)) == plain
+    # by value: the task function carries this module's constants
+    monkeypatch.setattr(lines, "READ_BYTES", 1000)
+    files = lines.spread(catalog.files(), 10_000)
+    found = lines.record_lines(files, task_folder(spark, workdir)).withColumn("task", F.spark_partition_id())
+    tasks = found.groupBy("file_key").agg(F.countDistinct("task").alias("n"), F.max("record").alias("last"),
+                                          F.countDistinct("record").alias("records")).collect()
+    assert all(t.n > 1 and t.last == t.records == 4000 for t in tasks) and len(tasks) == 2
+    assert rows_of(catalog.read(direct=0, task_bytes=10_000, with_delivery_date=True)) == plain
