@@ -71,3 +71,44 @@ def test_a_day_delivered_again_is_ingested_by_an_explicit_call(spark, workdir):
     ingest_deliveries(spark, workdir, "f", target, checkpoint=chk).awaitTermination()
     reingest_deliveries(spark, workdir, "f", target, dates=["2024-01-01"], validate=True)
     assert sorted(r.hitid_low for r in spark.read.parquet(target).collect()) == [1, 2, 9]
+
+
+def test_a_day_delivered_again_is_seen(spark, workdir):  # E2
+    import os
+
+    target, chk = new_scratch_path(spark, "ingest-target"), new_scratch_path(spark, "ingest-checkpoint")
+    for d in (1, 2, 3):
+        write_delivery(workdir, "f", f"2024-01-0{d}", [row(d)])
+
+    def ingest(**kw):
+        ingest_deliveries(spark, workdir, "f", target, checkpoint=chk, **kw).awaitTermination()
+        return sorted(r.hitid_low for r in spark.read.parquet(target).collect())
+    assert ingest(max_deliveries_per_batch=2) == [1, 2, 3]
+    local = target.removeprefix("file:")
+    written = sorted(os.listdir(local))
+    assert ingest() == [1, 2, 3] and sorted(os.listdir(local)) == written  # nothing new, nothing done
+    write_delivery(workdir, "f", "2024-01-02", [row(20), row(21)])
+    assert ingest(validate=True) == [1, 3, 20, 21]
+    # again, together with a new day; and a manifest that only changes its time
+    write_delivery(workdir, "f", "2024-01-02", [row(22)])
+    write_delivery(workdir, "f", "2024-01-04", [row(4)])
+    os.utime(f"{workdir}/f_2024-01-01.txt", (10 ** 9, 10 ** 9))
+    assert ingest() == [1, 3, 4, 22]
+    assert ingest() == [1, 3, 4, 22]
+
+
+def test_a_bad_delivery_again_stops_before_anything_is_written(spark, workdir):
+    import pytest
+
+    from webfeed.errors import ValidationError
+
+    target, chk = new_scratch_path(spark, "ingest-target"), new_scratch_path(spark, "ingest-checkpoint")
+    write_delivery(workdir, "f", "2024-01-01", [row(1)])
+    ingest_deliveries(spark, workdir, "f", target, checkpoint=chk).awaitTermination()
+    write_delivery(workdir, "f", "2024-01-01", [row(2)], manifest_edit=lambda m: m.update(total=9))
+    with pytest.raises(ValidationError, match="Total-Records"):
+        ingest_deliveries(spark, workdir, "f", target, checkpoint=chk, validate=True)
+    assert [r.hitid_low for r in spark.read.parquet(target).collect()] == [1]
+    write_delivery(workdir, "f", "2024-01-01", [row(2)])
+    ingest_deliveries(spark, workdir, "f", target, checkpoint=chk, validate=True).awaitTermination()
+    assert [r.hitid_low for r in spark.read.parquet(target).collect()] == [2]
