@@ -26,7 +26,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from webfeed import read_feed, read_lookup  # noqa: E402
 from webfeed.operators import reports  # noqa: E402
+from webfeed.operators.decode import decode_as_of  # noqa: E402
 from webfeed.session import new_scratch_path  # noqa: E402
+from webfeed.sources.catalog import Catalog  # noqa: E402
+from webfeed.sources.lookup import read_lookup_history  # noqa: E402
 from webfeed.streaming.ingest import ingest_deliveries  # noqa: E402
 from webfeed.testing import fixtures as fx  # noqa: E402
 from webfeed.testing.feedwriter import DEFAULT_HEADER, WIDE_COLUMNS, FeedSpec, write_feed  # noqa: E402
@@ -45,7 +48,10 @@ def _many(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _queries(f: fx.Fixtures, many: str):
+def _queries(spark: SparkSession, f: fx.Fixtures, many: str):
+    catalog = Catalog(spark, new_scratch_path(spark, "bench-catalog"), many, MANY_FEED)
+    catalog.refresh()
+    ledger = new_scratch_path(spark, "bench-ledger")
     return {
         "read_one_day_pages": lambda s: read_feed(s, f.main, fx.MAIN_FEED, date="2024-01-05")
         .groupBy("pagename").count().collect(),
@@ -71,6 +77,15 @@ def _queries(f: fx.Fixtures, many: str):
             checkpoint=new_scratch_path(s, "bench-checkpoint")).awaitTermination(),
         "read_many_files_wide": lambda s: read_feed(s, many, MANY_FEED).select("pagename", "curr_rate")
         .groupBy("pagename").agg(F.sum("curr_rate")).collect(),
+        "catalog_many_files_wide": lambda s: catalog.read(direct=0).select("pagename", "curr_rate")
+        .groupBy("pagename").agg(F.sum("curr_rate")).collect(),
+        "catalog_refresh_nothing_new": lambda s: catalog.refresh(),
+        "read_30_days_validate_ledger": lambda s: read_feed(s, f.main, fx.MAIN_FEED, validate=True, ledger=ledger)
+        .groupBy("pagename").count().collect(),
+        "decode_browsers_as_of": lambda s: decode_as_of(
+            read_feed(s, f.main, fx.MAIN_FEED, with_delivery_date=True),
+            read_lookup_history(s, f.main, fx.MAIN_FEED, "browser.tsv"), "browser", "name")
+        .groupBy("delivery_date").agg(F.count("name")).collect(),
         "schema_drift": lambda s: reports.schema_drift(s, f.broken, fx.BROKEN_FEED).collect(),
     }
 
@@ -92,7 +107,7 @@ def main() -> None:
     many = _many(spark, sf_dir)
     build_sec = time.perf_counter() - t0
 
-    qs = _queries(fixtures, many)
+    qs = _queries(spark, fixtures, many)
     for run in qs.values():  # warm-up: JIT, Python workers, file-system caches
         run(spark)
     times: dict[str, float] = {}
