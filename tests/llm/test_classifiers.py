@@ -1,5 +1,6 @@
 """Quality, language and toxicity: held-out results, what is learned from, awkward rows."""
 
+import random
 import zlib
 
 import numpy as np
@@ -148,3 +149,58 @@ def test_toxicity_awkward_rows(spark):
     assert {(round(r["severity"], 6), r["toxic"]) for r in none} == {(0.0, 0)}
     assert toxicity.severities(docs.limit(0), labels).count() == 0
     assert rows_of(docs.select("doc_id"))
+
+
+def test_quality_scores_against_plain_python(spark):
+    """Every whole text scored token by token by the trained model."""
+    import re
+
+    model = quality.train(table(spark, SF, "documents"), table(spark, SF, "labels"), sample=300, vocabulary=500)
+    vocabulary, vectors, network = model
+    assert network.constant is None
+    of = {int(h): i for i, h in enumerate(vocabulary)}
+    get = quality.Items()
+
+    def score(text):
+        raw = (text or "").encode()
+        tokens = re.findall(rb"[^\x00-\x20]+", raw)
+        pools = np.zeros((2, vectors.shape[1]))
+        again = 0
+        for i, token in enumerate(tokens):
+            word, shape, _, _ = get(np.frombuffer(token, np.uint8), np.array([0, len(token)]))
+            again += i > 0 and token == tokens[i - 1]
+            for c, item in enumerate((word[0], shape[0])):
+                if int(item) in of:
+                    pools[c] += vectors[of[int(item)]]
+        n = max(1, len(tokens))
+        x = np.concatenate([*(pools / n), [again / n, float(bool(tokens))]])
+        z = (x - network.mean) / network.scale
+        h = np.tanh(z @ network.p["w"] + network.p["b"])
+        return 1 / (1 + np.exp(-(h @ network.p["v"] + network.p["c"][0]) / network.temperature))
+
+    docs = [(r[0], r[1]) for r in table(spark, SF, "documents").select("doc_id", "text").limit(60).collect()] + awkward()
+    got = sorted((tuple(r) for r in quality.quality_scores(frame(spark, docs), model).select("doc_id", "score").collect()), key=repr)
+    expected = sorted([(d, score(t)) for d, t in docs], key=repr)
+    by_id = lambda rows: sorted(((repr(d), s) for d, s in rows))
+    for (a, x), (b, y) in zip(by_id(got), by_id(expected), strict=True):
+        assert a == b and abs(x - y) < 1e-4
+
+
+def test_samples_are_bounded_by_documents(spark):
+    from webfeed.llm.labelled import labelled_sample
+
+    docs = [(1, f"text {i}") for i in range(50)] + [(i, "other") for i in range(2, 12)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 12)], "doc_id long, quality int, toxic int")
+    got = labelled_sample(frame(spark, docs), labels, "quality", 20).collect()
+    assert sorted(r.doc_id for r in got) == list(range(1, 12))
+    assert labelled_sample(frame(spark, docs), labels, "quality", 4).count() == 4
+
+
+def test_a_rare_language_is_learned(spark):
+    rng = random.Random(1)
+    common = [(i, " ".join(rng.choice(["the", "and", "house", "garden"]) for _ in range(20)), "en") for i in range(600)]
+    rare = [(10_000 + i, " ".join(rng.choice(["og", "hvis", "huset", "haven"]) for _ in range(20)), "da") for i in range(6)]
+    docs = frame(spark, common + rare)
+    languages, *_ = langid.train(docs, sample=20)
+    assert languages == ["da", "en"]
+    assert langid.train(docs, most=1)[0] == ["en"]

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     assert set(registry.QUERIES) | {"pipeline"} <= set(E.queries())
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 14))
     assert set(registry.ORACLES) <= set(registry.QUERIES)
 
 
@@ -56,3 +56,51 @@ def test_extra_columns_pass_through(spark):
         out = stage(spark, docs, SF)
         assert out.dtypes == docs.dtypes
         out.collect()
+
+
+def test_stages_against_brute_force(spark):
+    """Line dedup, near copies, decontamination and BPE, each on rows with repeats, nulls, ties and a long text."""
+    import hashlib
+    import struct
+
+    import public_tokenizers as tokenizers
+    import test_decontaminate
+    import test_jaccard_join
+    import test_line_dedup
+    import tiktoken
+
+    from llm_cases import awkward, prose, rows_of
+    from webfeed.llm.bpe import read_ranks
+    from webfeed.session import new_scratch_path
+
+    sf = new_scratch_path(spark, "sf")
+    items = [(1, prose(__import__("random").Random(3), 25)), (2, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    docs = awkward() + test_line_dedup.made(3) + [(300, "start " + items[0][1] + " end"), (301, "start " + items[0][1] + " end")]
+
+    lines = test_line_dedup.brute(docs, 4)
+    expected = []
+    for d, t in docs:
+        dead = lines[d, t or ""]
+        if len(dead) < len((t or "").split("\n")):
+            expected.append((d, test_line_dedup.kept(t, dead) if dead else t))
+    got = [tuple(r) for r in C.line_runs(spark, frame(spark, docs), sf).select("doc_id", "text").collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+    classes = test_jaccard_join.brute(unique := [(i, t) for i, (_, t) in enumerate(docs)])
+    stay = {d for d, c, _ in classes if d == c}
+    got = {r[0] for r in C.near_copies(spark, frame(spark, unique), sf).select("doc_id").collect()}
+    assert got == stay
+
+    bad = {d for d, _ in test_decontaminate.brute(docs, items)}
+    got = sorted((r[0] for r in C.decontamination(spark, frame(spark, docs), sf).select("doc_id").collect()), key=repr)
+    assert bad == {300, 301} and got == sorted((d for d, _ in docs if d not in bad), key=repr)
+
+    code = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, special_tokens={},
+                             mergeable_ranks=read_ranks(tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    expected = []
+    for d, t in docs:
+        ids = code.encode_ordinary(t or "")
+        expected.append((d, len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(),
+                         hashlib.sha256((t or "").encode()).hexdigest()))
+    assert rows_of(C.byte_bpe(spark, frame(spark, docs), sf)) == sorted(expected, key=repr)

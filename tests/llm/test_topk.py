@@ -44,3 +44,44 @@ def test_few_rows_and_empty_table(spark):
     assert rows_of(topk.voronoi_top_k(df, df.where("vec_id % 50 = 0"))) == brute(rows)
     assert topk.voronoi_top_k(df.limit(0), df.limit(0)).count() == 0
     assert topk.voronoi_top_k(df, df.limit(0)).count() == 0
+
+
+def brute_rows(rows, k=5):
+    """As ``brute``, but a query row leaves out itself only."""
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    out = []
+    for at, (q, a) in enumerate(ok):
+        if q % 50 == 0:
+            hits = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for other, (i, b) in enumerate(ok) if other != at)[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(hits)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("pivots", "block_rows", "query_rows"), [(4, 4096, 16384), (2, 10, 3), (1, 1, 1)])
+def test_rows_that_repeat_an_id(spark, pivots, block_rows, query_rows):
+    rng = random.Random(pivots)
+    rows = [(rng.choice([0, 50, 51, 52, 100]), [rng.gauss(0, 1) for _ in range(4)]) for _ in range(60)]
+    rows += rows[:7] + [(0, rows[1][1])] * 3 + [(50, [0.5] * 4), (50, [0.5] * 4), (51, [0.5] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.voronoi_top_k(df, df.where("vec_id % 50 = 0"), pivots=pivots, block_rows=block_rows, query_rows=query_rows)
+    assert rows_of(got) == brute_rows(rows)
+
+
+def test_no_group_grows_with_the_queries(spark, monkeypatch):
+    """Many queries of one cell: no task gets more than a block of either side."""
+    rng = random.Random(5)
+    rows = [(50 * i, [1.0 + rng.random() / 100, 1.0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    counts = spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        solve = topk_solver(k)
+
+        def run(left, right):
+            counts.add(int(left.num_rows > 60 or right.num_rows > 80))
+            return solve(left, right)
+        return run
+    topk_solver = topk._solver
+    monkeypatch.setattr(topk, "_solver", counted)
+    got = topk.voronoi_top_k(df, df, pivots=1, block_rows=32, query_rows=25)
+    assert got.count() == 300 * 5 and counts.value == 0

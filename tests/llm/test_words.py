@@ -47,3 +47,20 @@ def test_bit_filter_misses_nothing():
     f = W.BitFilter(bits)
     assert f.holds(h).tolist() == list(range(1000))
     assert len(f.holds(W.mix(np.arange(10_000, 20_000, dtype=np.uint64)))) < 10
+
+
+def test_filters_made_in_slices_are_sized_by_their_hashes(spark, monkeypatch):
+    from webfeed.llm.tables import bit_filter
+
+    h = W.mix(np.arange(5000, dtype=np.uint64))
+    df = spark.createDataFrame([(int(x),) for x in h.view(np.int64)], "hash long").repartition(5)
+    whole = W.BitFilter.empty()
+    W.BitFilter.add(whole, h)
+    assert bit_filter(df) == whole.tobytes()
+    monkeypatch.setattr(W.BitFilter, "SIZE", 1 << 10)
+    bits = np.frombuffer(bit_filter(df), np.uint8)
+    assert 8 * len(bits) == 1 << 17 and len(W.BitFilter(bits).holds(h)) == 5000
+    others = W.mix(np.arange(10_000, 40_000, dtype=np.uint64))
+    assert len(W.BitFilter(bits).holds(others)) < 300
+    assert not any(bit_filter(df.limit(0)))
+    assert W.BitFilter.size_for(10 ** 12) == W.BitFilter.MOST
