@@ -19,11 +19,12 @@ ignored (the filtering stage keeps them); empty tables give empty results.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webfeed.llm.tables import OWN, table, text_hashes, with_key, written
+from webfeed.session import new_scratch_path
 
 #: Words that a repeated run must have.
 MIN_WORDS = 4
@@ -32,23 +33,22 @@ _POS = "struct(dn, idx)"
 
 
 def _named(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Rows whose ``by`` values occur at several positions, named in sorted order; ``later``: not the first."""
-    groups = rows.groupBy(*by).agg(F.min(F.expr(_POS)).alias("first"), F.max(F.expr(_POS)).alias("last")).where("first < last")
-    names = groups.orderBy(*by).select(*by, "first", F.monotonically_increasing_id().alias("name"))
-    return rows.join(names, by).withColumn("later", F.col("first") < F.expr(_POS)).drop(*by, "first", "last")
+    """Rows whose ``by`` values occur at several positions, named in sorted order."""
+    groups = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1")  # a position has one row
+    names = groups.orderBy(*by).select(*by, F.monotonically_increasing_id().alias("name"))
+    return rows.join(names, by).drop(*by)
 
 
 def _repeated_lines(docs: DataFrame) -> DataFrame:
-    """(dn, idx, name, later, words) of lines that occur again; dn numbers documents in key order."""
+    """(doc_id, k1, k2, idx, name, words) of lines that occur again."""
     spark = docs.sparkSession
     lines = with_key(docs).select("doc_id", "k1", "k2", F.posexplode(F.split("text", "\n")).alias("idx", "line")) \
         .select("doc_id", "k1", "k2", "idx", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(7), "line").alias("l2"),
                 F.regexp_count("line", F.lit(_WORD)).alias("words"))
     pos = F.struct("doc_id", "k1", "k2", "idx")
     groups = lines.groupBy("l1", "l2").agg(F.min(pos).alias("first"), F.max(pos).alias("last")).where("first < last")
-    names = groups.orderBy("l1", "l2").select("l1", "l2", "first", F.monotonically_increasing_id().alias("name"))
-    found = lines.join(names, ["l1", "l2"]).select(
-        "doc_id", "k1", "k2", "idx", "name", (F.col("first") < pos).alias("later"), "words") \
+    names = groups.orderBy("l1", "l2").select("l1", "l2", F.monotonically_increasing_id().alias("name"))
+    found = lines.join(names, ["l1", "l2"]).select("doc_id", "k1", "k2", "idx", "name", "words") \
         .dropDuplicates(["doc_id", "k1", "k2", "idx"])
     return written(spark, found, "lines")
 
@@ -61,35 +61,19 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                    .withColumn("dn", F.monotonically_increasing_id()), "line-docs")
     same = (F.col("n.k1") == F.col("l.k1")) & (F.col("n.k2") == F.col("l.k2")) \
         & F.col("n.doc_id").eqNullSafe(F.col("l.doc_id"))
-    level = written(spark, lines.alias("l").join(keys.alias("n"), same).select("dn", "idx", "name", "later", "words"),
+    first = written(spark, lines.alias("l").join(keys.alias("n"), same).select("dn", "idx", "name", "words"),
                     "level")
     # Consecutive repeated lines, with the words before each: the shortest runs that have enough words.
-    words = level.select("dn", "idx", "words")
-    levels, length = [level.drop("words")], 1
-    while True:
-        below = levels[-1]
-        pairs = below.select("dn", "idx", F.col("name").alias("n1")).join(
-            below.select("dn", (F.col("idx") - length).alias("idx"), F.col("name").alias("n2")), ["dn", "idx"])
-        above = written(spark, _named(pairs, ["n1", "n2"]), "level")
-        if above.isEmpty():
-            break
-        levels.append(above)
-        length *= 2
-    blocks = written(spark, _shortest_runs(words, min_words), "runs")
+    blocks = written(spark, _shortest_runs(first.select("dn", "idx", "words"), min_words), "runs")
+    names = _levels(spark, first.drop("words"))
     # A block is two overlapping prefixes of the level that fits; one longer than the last level's
     # prefixes reach does not repeat.
-    parts = []
-    for k, names in enumerate(levels):
-        size = 1 << k
-        mine = blocks.where((F.col("len") >= size) & (F.col("len") < 2 * size))
-        first = names.select("dn", "idx", F.col("name").alias("n1"))
-        second = names.select("dn", F.col("idx").alias("at"), F.col("name").alias("n2"))
-        parts.append(mine.withColumn("at", F.col("idx") + F.col("len") - size)
-                     .join(first, ["dn", "idx"]).join(second, ["dn", "at"])
-                     .select("dn", "idx", "len", F.lit(k).alias("k"), "n1", "n2"))
-    named = parts[0]
-    for p in parts[1:]:
-        named = named.union(p)
+    at = F.col("idx") + F.col("len") - F.col("size")
+    named = blocks.withColumn("k", F.length(F.bin("len")) - 1) \
+        .withColumn("size", F.expr("shiftleft(1, k)")).withColumn("at", at) \
+        .join(names.select("k", "dn", "idx", F.col("name").alias("n1")), ["k", "dn", "idx"]) \
+        .join(names.select("k", "dn", F.col("idx").alias("at"), F.col("name").alias("n2")), ["k", "dn", "at"]) \
+        .select("dn", "idx", "len", "k", "n1", "n2")
     by = ["k", "len", "n1", "n2"]
     named = written(spark, named, "blocks")
     # Written, so that the join has two plain shuffles and Spark can split a run that very many share.
@@ -99,6 +83,26 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return gone.join(keys, "dn").select("doc_id", "k1", "k2", "idx")
 
 
+def _levels(spark: SparkSession, first: DataFrame) -> DataFrame:
+    """(k, dn, idx, name): the names of all levels, from that of single lines; a folder of one table for each."""
+    folder = new_scratch_path(spark, "levels")
+    schema = T.StructType(list(first.schema.fields)).add("k", "integer")
+    first.write.parquet(f"{folder}/k=0")
+    k, more = 0, True
+    while more:
+        # The level is a column of the data, so that every round has the same plan and generated code.
+        below = spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/k={k}")
+        after = F.col("idx") - F.expr("shiftleft(1, k)")
+        pairs = below.select("dn", "idx", F.col("name").alias("n1")).join(
+            below.select("dn", after.alias("idx"), F.col("name").alias("n2")), ["dn", "idx"])
+        k += 1
+        seen = Observation()
+        _named(pairs, ["n1", "n2"]).select(*first.columns).observe(seen, F.count(F.lit(1)).alias("n")) \
+            .write.parquet(f"{folder}/k={k}")
+        more = seen.get["n"] > 0
+    return spark.read.schema(schema).parquet(folder)
+
+
 def _shortest_runs(words: DataFrame, min_words: int) -> DataFrame:
     """(dn, idx, len): of repeated lines in a row, the shortest runs of ``min_words`` words from each start and end."""
     def task(batches):

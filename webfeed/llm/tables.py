@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from webfeed.llm import words as W
@@ -59,11 +61,35 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of ``value``, of a bounded size, that tasks read by :func:`received`.
+
+    Code travels with it: the workers need not have the classes of ``value``.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return cloudpickle.loads(sent.value)
+
+
+#: Parts of a filter that are made apart.
+FILTER_SLICES = 64
+
+
 def bit_filter(hashes: DataFrame) -> bytes:
-    """Bits of a ``words.BitFilter`` over a column ``hash``; as many bytes whatever the rows, from at most 8 parts."""
-    bits = W.BitFilter.empty()
-    for part in hashes.coalesce(8).mapInArrow(W.filter_parts, "bits binary").toLocalIterator():
-        bits |= np.frombuffer(part["bits"], np.uint8)
+    """Bits of a ``words.BitFilter`` over a column ``hash``, sized by the number of rows up to a fixed bound.
+
+    The places of the bits are shuffled by slice of the filter, so that each slice is made once and the driver
+    gets every bit once, however many rows there are.
+    """
+    rows = written(hashes.sparkSession, hashes, "hashes")
+    size = W.BitFilter.size_for(rows.count())
+    bits, width = W.BitFilter.empty(size), size // 8 // FILTER_SLICES
+    parts = rows.mapInArrow(W.filter_places(size, FILTER_SLICES), "slice int, places binary").repartition("slice") \
+        .mapInArrow(W.filter_slices(size, FILTER_SLICES), "slice int, bits binary")
+    for part in parts.toLocalIterator():
+        bits[part["slice"] * width:(part["slice"] + 1) * width] = np.frombuffer(part["bits"], np.uint8)
     return bits.tobytes()
 
 
@@ -86,10 +112,11 @@ def components(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFra
         low = written(spark, large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = written(spark, small, "edges")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        seen = Observation()
+        e = written(spark, small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(
+            F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "edges")
+        if seen.get == before:
             break
-        before = now
+        before = seen.get
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return nodes.union(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

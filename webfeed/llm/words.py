@@ -176,40 +176,75 @@ def groups(batches, keys: list[str]):
 
 
 class BitFilter:
-    """A fixed number of bits that remembers 64-bit hashes: no hash is missed, few others pass."""
+    """Bits that remember 64-bit hashes: no hash is missed, few others pass while there are bits enough."""
+
+    #: Bits of the smallest and of the largest filter (64 MB), and for each hash.
+    SIZE, MOST, EACH, PROBES = 1 << 25, 1 << 29, 16, 3
 
     def __init__(self, bits: np.ndarray):
         self.table = bits
 
-    SIZE, PROBES = 1 << 25, 3
-
     @classmethod
-    def _places(cls, h: np.ndarray, probe: int) -> tuple[np.ndarray, np.ndarray]:
-        at = mix(h + np.uint64(probe)) % np.uint64(cls.SIZE)
-        return (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
+    def size_for(cls, hashes: int) -> int:
+        """Bits, a power of two, for a number of hashes; beyond MOST a fuller filter lets more others pass."""
+        size = cls.SIZE
+        while size < cls.MOST and size < cls.EACH * hashes:
+            size *= 2
+        return size
+
+    @staticmethod
+    def places(h: np.ndarray, probe: int, size: int) -> np.ndarray:
+        return mix(h + np.uint64(probe)) % np.uint64(size)
 
     @classmethod
-    def empty(cls) -> np.ndarray:
-        return np.zeros(cls.SIZE // 8, np.uint8)
+    def empty(cls, size: int = SIZE) -> np.ndarray:
+        return np.zeros(size // 8, np.uint8)
+
+    @staticmethod
+    def set_bits(bits: np.ndarray, at: np.ndarray) -> None:
+        np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
 
     @classmethod
     def add(cls, bits: np.ndarray, h: np.ndarray) -> None:
         for probe in range(cls.PROBES):
-            place, bit = cls._places(h, probe)
-            np.bitwise_or.at(bits, place, np.uint8(1) << bit)
+            cls.set_bits(bits, cls.places(h, probe, 8 * len(bits)))
 
     def holds(self, h: np.ndarray) -> np.ndarray:
         """Places in ``h`` of hashes that may have been added."""
         left = np.arange(len(h))
         for probe in range(self.PROBES):
-            place, bit = self._places(h[left], probe)
-            left = left[(self.table[place] >> bit) & 1 == 1]
+            at = self.places(h[left], probe, 8 * len(self.table))
+            left = left[(self.table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
         return left
 
 
-def filter_parts(batches):
-    """Task: a column ``hash`` of longs -> the bits of a filter."""
-    bits = BitFilter.empty()
-    for b in batches:
-        BitFilter.add(bits, b.column("hash").to_numpy().view(np.uint64))
-    yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
+def filter_places(size: int, slices: int):
+    """Task: a column ``hash`` of longs -> the places of their bits, packed by slice of the filter."""
+    width = size // slices
+
+    def task(batches):
+        for b in batches:
+            h = b.column("hash").to_numpy().view(np.uint64)
+            at = np.sort(np.concatenate([BitFilter.places(h, probe, size) for probe in range(BitFilter.PROBES)]))
+            cut = np.searchsorted(at, np.arange(slices + 1, dtype=np.uint64) * np.uint64(width))
+            some = np.flatnonzero(np.diff(cut))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some.astype(np.int32)),
+                 pa.array([(at[cut[s]:cut[s + 1]] - np.uint64(s * width)).astype(np.uint32).tobytes() for s in some], pa.binary())],
+                names=["slice", "places"])
+    return task
+
+
+def filter_slices(size: int, slices: int):
+    """Task: packed places, each slice's in one task -> the bits of every slice."""
+    def task(batches):
+        found: dict[int, np.ndarray] = {}
+        for b in batches:
+            for s, places in zip(b.column("slice").to_pylist(), b.column("places"), strict=True):
+                if s not in found:
+                    found[s] = BitFilter.empty(size // slices)
+                BitFilter.set_bits(found[s], np.frombuffer(places.as_buffer(), np.uint32).astype(np.uint64))
+        for s, bits in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([bits.tobytes()], pa.binary())],
+                                             names=["slice", "bits"])
+    return task
