@@ -7,8 +7,8 @@ probability of its hashed byte n-grams (1 to 4 bytes with word ends, and the who
 through a document's words, with a penalty for each switch of language, labels spans; the document's
 language is the one that labels most letters (bytes of words), ties to the smaller name.
 
-Learning uses at most ``SAMPLE`` documents (smallest id hashes) outside the held-out fold; prediction
-reads every whole text.
+Learning uses at most ``SAMPLE`` documents of each language (smallest id hashes) outside the held-out fold, and
+the ``LANGUAGES`` languages with most documents; prediction reads every whole text.
 
 Edge cases: null texts and texts without any letter are ``und`` with score 0; every row gives one output
 row; a null doc_id counts as the empty text for its fold; null languages are not learned; without any
@@ -19,18 +19,17 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webfeed.llm import words as W
 from webfeed.llm.labelled import fold
-from webfeed.llm.tables import table, with_key, written
+from webfeed.llm.tables import received, shared, table, with_key, written
 
-SAMPLE, BUCKETS, SWITCH, SCRIPT_SHARE = 8_000, 1 << 16, 6.0, 0.01
+SAMPLE, LANGUAGES, BUCKETS, SWITCH, SCRIPT_SHARE = 2_000, 256, 1 << 16, 6.0, 0.01
 FOLDS, HELD_OUT, UNKNOWN = 3, 1, "und"
 #: Text handled at a time, for four languages; Viterbi steps through all documents of a chunk together.
 CHUNK = 8 << 20
@@ -44,7 +43,6 @@ SCRIPTS = [("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400,
 OTHER, NONE = len(SCRIPTS), len(SCRIPTS) + 1
 
 
-@lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
     """Class of every code point: its script, OTHER for other letters, NONE for what is no letter."""
     letter = np.fromiter((unicodedata.category(chr(i))[0] == "L" for i in range(sys.maxunicode + 1)), bool)
@@ -63,9 +61,9 @@ def _first_code_points(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
                      (a & 7) << 18 | (b & 0x3F) << 12 | (c & 0x3F) << 6 | d & 0x3F)
 
 
-def scripts(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Class of each word's first letter; NONE where it has none (digits, signs)."""
-    classes = _classes()
+def scripts(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, classes: np.ndarray | None = None) -> np.ndarray:
+    """Class of each word's first letter; NONE where it has none (digits, signs). ``classes``: those of all code points."""
+    classes = _classes() if classes is None else classes
     out = classes[_first_code_points(raw, starts)].astype(np.int64)
     rest = np.flatnonzero(out == NONE)
     n = (ends - starts)[rest]
@@ -125,7 +123,7 @@ def _counts(languages: list[str], buckets: int):
     number = {name: i for i, name in enumerate(languages)}
 
     def task(batches):
-        get = WordGrams()
+        get, classes = WordGrams(), _classes()
         grams = np.zeros((len(languages), buckets))
         script = np.zeros((len(languages), NONE + 1))
         for b in batches:
@@ -141,21 +139,30 @@ def _counts(languages: list[str], buckets: int):
                     n = np.bincount(which, minlength=len(word))
                     bucket, who = get.grams(low, starts[at], ends[at], word, buckets)
                     grams[name] += np.bincount(bucket, weights=n[who], minlength=buckets)
-                    script[name] += np.bincount(scripts(own, starts[at], ends[at]), weights=n, minlength=NONE + 1)
+                    script[name] += np.bincount(scripts(own, starts[at], ends[at], classes), weights=n, minlength=NONE + 1)
         yield pa.RecordBatch.from_arrays([pa.array([grams.tobytes()], pa.binary()),
                                           pa.array([script.tobytes()], pa.binary())], names=["grams", "scripts"])
     return task
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS):
-    """(languages, log probabilities by n-gram and language, candidates by script and language)."""
+def train(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS, most: int = LANGUAGES):
+    """(languages, log probabilities by n-gram and language, candidates by script and language).
+
+    Learned from ``sample`` documents of each language at most, those whose ids have the smallest hashes, and from the
+    ``most`` languages with most documents; of documents that repeat an id one of each language counts.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.coalesce("text", F.lit("")).alias("text")) \
         .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    chosen = rows.select(F.xxhash64("doc_id").alias("h")).distinct().orderBy("h").limit(sample)
-    part = written(spark, rows.withColumn("h", F.xxhash64("doc_id")).join(F.broadcast(chosen), "h", "left_semi")
-                   .select("lang", "text"), "language-sample").coalesce(8)
-    languages = sorted(r["lang"] for r in part.select("lang").distinct().collect())  # as many as the sample, at most
+    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct()
+    common = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most).select("lang")
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    chosen = ids.join(F.broadcast(common), "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample)
+    # bounded by the two parameters
+    found = rows.join(F.broadcast(chosen.select("lang", "doc_id")), ["lang", "doc_id"]).groupBy("lang", "doc_id") \
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    part = written(spark, found.select("lang", "text"), "language-sample").coalesce(8)
+    languages = sorted(r["lang"] for r in part.select("lang").distinct().collect())  # at most ``most``
     grams, script = np.zeros((len(languages), buckets)), np.zeros((len(languages), NONE + 1))
     if languages:
         for r in part.mapInArrow(_counts(languages, buckets), "grams binary, scripts binary").toLocalIterator():
@@ -206,7 +213,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
 
 def _label(model, spans: bool):
     def task(batches):
-        languages, logs, candidates = model.value
+        languages, logs, candidates, classes = received(model)
         get, buckets, count = WordGrams(), logs.shape[0], len(languages)
         for b in batches:
             raw, offsets = W.text_bytes(b.column("text"))
@@ -224,7 +231,7 @@ def _label(model, spans: bool):
                                       for j in range(count)], 1)
                     score -= np.logaddexp.reduce(score, axis=1, keepdims=True)
                     np.maximum(score, -12, out=score)  # one word never outweighs many
-                    kind = scripts(own, starts[at], ends[at])
+                    kind = scripts(own, starts[at], ends[at], classes)
                     score = np.where(candidates[kind], score, -24)
                     score[kind == NONE] = 0
                     path = viterbi(score.astype(np.float32)[which], first, SWITCH)
@@ -266,7 +273,7 @@ def identify(docs: DataFrame, learn_from: DataFrame, spans: bool = True, **param
 
     ``spans``: word ranges (from 0) with their language; ``score``: share of the letters in ``lang_pred``.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(learn_from, **parameters))  # bounded by its parameters
+    model = shared(docs.sparkSession, (*train(learn_from, **parameters), _classes()))  # bounded by its parameters
     schema = "doc_id long, lang_pred string, score double, n_spans long"
     if spans:
         schema += ", spans array<struct<first_word: long, end_word: long, lang: string>>"
@@ -277,5 +284,5 @@ def identify(docs: DataFrame, learn_from: DataFrame, spans: bool = True, **param
 def op5_language_id(spark, sf_dir):
     """Language of every whole text of ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    return identify(docs, docs, spans=False).select(
-        "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score", "n_spans")
+    return identify(docs, docs).select(
+        "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score", "n_spans", "spans")

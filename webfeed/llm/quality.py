@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from webfeed.llm import words as W
 from webfeed.llm.labelled import fold, labelled_sample
-from webfeed.llm.tables import keep_columns, table, with_key, written
+from webfeed.llm.tables import keep_columns, received, shared, table, with_key, written
 
 SAMPLE, VOCABULARY, SIZE, HIDDEN = 12_000, 16_384, 64, 32
 FOLDS, HELD_OUT, ACCEPT = 4, 2, 0.7
@@ -232,10 +232,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary:
 
 def quality_scores(docs: DataFrame, model) -> DataFrame:
     """(doc_id, k1, k2, score) of every row: the calibrated probability of label 1 under a trained ``model``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the parameters of the training
+    sent = shared(docs.sparkSession, model)  # bounded by the parameters of the training
 
     def task(batches):
-        words, vectors, network = sent.value
+        words, vectors, network = received(sent)
         get = Items()
         for b in batches:
             score = network.probability(pooled(get, b.column("text"), words, vectors))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from webfeed.llm import words as W
 from webfeed.llm.labelled import labelled_sample
-from webfeed.llm.tables import table, with_key, written
+from webfeed.llm.tables import received, shared, table, with_key, written
 
 SAMPLE, FEATURES, GRADES, INDICATIVE = 12_000, 1 << 18, 4, 12.0
 #: Features whose odds differ less than this between toxic and other documents get no weight.
@@ -163,10 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
 
 def severities(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
     """(doc_id, severity, grade, p_toxic, toxic) of every row; ``grade`` is the likeliest."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **parameters))  # bounded by FEATURES
+    model = shared(docs.sparkSession, train(docs, labels, **parameters))  # bounded by FEATURES
 
     def task(batches):
-        ordinal = model.value
+        ordinal = received(model)
         hasher = W.Hasher()
         for b in batches:
             score = np.zeros(len(b))
