@@ -300,14 +300,20 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
         "run", "kind", F.when(often, F.lit(side)).otherwise(F.col("before")).alias("before"),
         F.when(often, F.lit(min_words)).otherwise(F.col("after")).alias("after"),
         F.least("low.doc_id", "first_id").alias("first_id")), "told")  # Spark can split a kind that very many share
+    # Rows that agree in doc_id and text have the same spans: these are found once, and given to every row.
     spans = found.join(told, ["run", "kind"]).select(
         "doc_id", "k1", "k2", (F.col("place") - F.least("place", "before")).alias("a"),
-        F.least(F.col("place") + F.col("after"), "n_words").alias("z"), "first_id")
+        F.least(F.col("place") + F.col("after"), "n_words").alias("z"), "first_id").distinct()
     row = Window.partitionBy("doc_id", "k1", "k2").orderBy("a", "z")
     islands = spans.withColumn("reach", F.max("z").over(row.rowsBetween(Window.unboundedPreceding, -1))) \
         .withColumn("island", F.sum(F.when(F.col("a") <= F.col("reach"), 0).otherwise(1)).over(row))
-    return islands.groupBy("doc_id", "k1", "k2", "island").agg(
-        F.min("a").alias("first_word"), F.max("z").alias("end_word"), F.min("first_id").alias("first_id")).drop("island")
+    merged = written(spark, islands.groupBy("doc_id", "k1", "k2", "island").agg(
+        F.min("a").alias("first_word"), F.max("z").alias("end_word"), F.min("first_id").alias("first_id")).drop("island"),
+        "islands")
+    row, of = listed.alias("row"), merged.alias("of")
+    same = (F.col("row.k1") == F.col("of.k1")) & (F.col("row.k2") == F.col("of.k2")) \
+        & F.col("row.doc_id").eqNullSafe(F.col("of.doc_id"))
+    return row.join(of, same).select("of.*")
 
 
 def op2_suffix_dedup(spark, sf_dir):
