@@ -5,14 +5,15 @@ of each cell (pivot distance range, greatest distance) bounds every score in it:
 ``q.x <= q.p + |q| * max|x - p|``. Each query is first solved in its own cell,
 which gives a lower bound of its k-th score; it is then sent only to those cells
 whose upper bound reaches that score, solved there locally, and the lists merged.
-Cells of any size are cut into blocks of bounded rows, so a hot cell or a vector
-repeated over a third of all rows is spread over many tasks.
+The data and the queries of a cell are cut into blocks of bounded rows, and every
+pair of blocks is a task's group, so a hot cell or a vector repeated over a third
+of all rows is spread over many tasks.
 
 Edge cases: a vector that is null, empty-of-type, or holds null or non-finite
 components takes no part, nor does a row whose id is null; vectors meet only
-vectors of their own length; ties go to the smaller id; rows that repeat an id
-are separate candidates with equal (score, id) and each other's candidates are
-excluded as the query's own id. An empty table gives an empty result.
+vectors of their own length; ties go to the smaller id. Rows that repeat an id are
+queries and candidates of their own: every query row has a list, and misses one
+row of its own id and vector, itself. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from webfeed.llm.tables import table, written
 
 #: Pivots: a bounded sample of the data, the only thing sent to every task.
 PIVOTS = 128
-#: Rows of a data block and of a query block, solved together in one task.
-BLOCK_ROWS, QUERY_ROWS = 4096, 1024
+#: Rows of a data block and of a query block, which one task solves together; queries multiplied at a time.
+BLOCK_ROWS, QUERY_ROWS, AT_ONCE = 4096, 16384, 1024
 
 
 def _scaled(df: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -44,10 +45,10 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(col), dim)
 
 
-def _top(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best (score, id) of one query, ties to the smaller id, its own id left out."""
-    other = ids != own
-    scores, ids = scores[other], ids[other]
+def _top(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best (score, id) of one query, ties to the smaller id; without the first of the rows ``own``."""
+    if len(own):
+        scores, ids = np.delete(scores, own[0]), np.delete(ids, own[0])
     if len(scores) > k:
         cut = np.partition(scores, len(scores) - k)[len(scores) - k]
         near = scores >= cut
@@ -56,45 +57,50 @@ def _top(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndar
     return scores[best], ids[best]
 
 
-_HIT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-_HIT_SQL = "query_id long, vec_id long, score long"
+_HIT = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_HIT_SQL = "q long, query_id long, vec_id long, score long"
 
 
 def _solver(k: int):
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
-        """One data block against the queries sent to it."""
+        """One data block against one block of the queries sent to its cell."""
         if not left.num_rows or not right.num_rows:
             return _HIT.empty_table()
         ids = right["id"].to_numpy()
+        by_id = np.argsort(ids, kind="stable")
         dim = len(right["v"][0])
         data = _matrix(right["v"].combine_chunks(), dim)
         peak = np.abs(data).max(initial=0)
-        out = [[], [], []]
-        for lo in range(0, left.num_rows, QUERY_ROWS):
-            part = left.slice(lo, QUERY_ROWS)
+        out = [[], [], [], []]
+        for lo in range(0, left.num_rows, AT_ONCE):
+            part = left.slice(lo, AT_ONCE)
             q = _matrix(part["v"].combine_chunks(), dim)
             if peak * np.abs(q).max(initial=0) * dim < 2 ** 53:  # then float64 sums are exact integers
                 scores = (q @ data.T).astype(np.int64)
             else:
                 scores = q.astype(np.int64) @ data.T.astype(np.int64)
-            for own, row in zip(part["id"].to_pylist(), scores, strict=True):
-                s, i = _top(row, ids, own, k)
-                out[0].append(np.full(len(s), own, np.int64))
-                out[1].append(i)
-                out[2].append(s)
+            asked = part["id"].to_numpy()
+            a, b = (np.searchsorted(ids, asked, side, sorter=by_id) for side in ("left", "right"))
+            for at, (number, row) in enumerate(zip(part["q"].to_pylist(), scores, strict=True)):
+                same = by_id[a[at]:b[at]]
+                s, i = _top(row, ids, same[(data[same] == q[at]).all(1)], k)
+                out[0].append(np.full(len(s), number, np.int64))
+                out[1].append(np.full(len(s), asked[at], np.int64))
+                out[2].append(i)
+                out[3].append(s)
         return pa.table([np.concatenate(x) for x in out], schema=_HIT)
     return solve
 
 
 def _best(hits: DataFrame, k: int) -> DataFrame:
     """The k best hits of each query (Spark limits the groups before the shuffle)."""
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    w = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("vec_id"))
     return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def voronoi_top_k(data: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id",
                   vector: str = "embedding", scale: int = 256, pivots: int = PIVOTS,
-                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` greatest integer inner products of every query.
 
     Exact: pivots only steer which cells a query visits. See the module for edge cases.
@@ -130,26 +136,34 @@ def voronoi_top_k(data: DataFrame, queries: DataFrame, k: int = 5, vec_id: str =
 
     shape = "id long, v array<long>, dim int, cell int, dist double, norm double"
     placed = written(spark, x.mapInArrow(assign, shape), "cells")
-    asked = written(spark, q.mapInArrow(assign, shape), "asked")
+    asked = written(spark, q.mapInArrow(assign, shape).withColumn("q", F.monotonically_increasing_id()), "asked")
     # One summary row per cell: bounded by the number of pivots and vector lengths.
     cells = {(r["dim"], r["cell"]): (r["n"], r["radius"]) for r in placed.groupBy("dim", "cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("dist").alias("radius")).collect()}
     blocks = {key: -(-n // block_rows) for key, (n, _) in cells.items()}
     n_blocks = spark.createDataFrame([(d, c, b) for (d, c), b in blocks.items()] or [(-1, -1, 1)],
                                      "dim int, cell int, n int")
-    blocked = placed.join(F.broadcast(n_blocks), ["dim", "cell"]) \
-        .withColumn("block", F.pmod(F.xxhash64("id", "v"), F.col("n")).cast("int"))
+    def dealt(rows: DataFrame, number: str, by: list[str], own: str, other: str) -> DataFrame:
+        """Rows in a block of their own side, by hash, with one copy for each block of the other side."""
+        return rows.withColumn(own, F.pmod(F.xxhash64(*by), F.col(number)).cast("int")) \
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("n_queries" if number == "n" else "n") - 1))) \
+            .drop("n", "n_queries")
+
     solve = _solver(k)
 
     def local(routed: DataFrame) -> DataFrame:
-        """Every (query, cell) pair solved in all blocks of the cell."""
-        spread = routed.join(F.broadcast(n_blocks), ["dim", "cell"]) \
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n")
-        return spread.groupBy("dim", "cell", "block").cogroup(blocked.groupBy("dim", "cell", "block")) \
-            .applyInArrow(solve, _HIT_SQL)
-
-    home = written(spark, _best(local(asked.select("id", "v", "dim", "cell")), k), "home")
-    floor = home.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        """Every (query, cell) pair solved: each block of a cell's data against each block of its queries."""
+        sizes = routed.groupBy("dim", "cell").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(query_rows)).cast("int").alias("n_queries")) \
+            .join(F.broadcast(n_blocks), ["dim", "cell"])  # a row for each cell
+        sizes = F.broadcast(sizes)
+        keys = ["dim", "cell", "block", "query_block"]
+        left = dealt(routed.join(sizes, ["dim", "cell"]), "n_queries", ["q"], "query_block", "block")
+        right = dealt(placed.join(sizes, ["dim", "cell"]), "n", ["id", "v"], "block", "query_block").select("id", "v", *keys)
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(solve, _HIT_SQL)
+
+    home = written(spark, _best(local(asked.select("q", "id", "v", "dim", "cell")), k), "home")
+    floor = home.where(F.col("rank") == k).select("q", F.col("score").alias("floor"))
 
     def route(batches):
         """The other cells whose upper bound reaches the k-th score found at home."""
@@ -178,10 +192,11 @@ def voronoi_top_k(data: DataFrame, queries: DataFrame, k: int = 5, vec_id: str =
                 i, c = (np.concatenate(z) for z in zip(*out, strict=True))
                 i = pa.array(i)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(i), b.column("v").take(i), b.column("dim").take(i),
-                     pa.array(c.astype(np.int32))], names=["id", "v", "dim", "cell"])
+                    [b.column("q").take(i), b.column("id").take(i), b.column("v").take(i), b.column("dim").take(i),
+                     pa.array(c.astype(np.int32))], names=["q", "id", "v", "dim", "cell"])
 
-    routed = asked.join(floor, "id", "left").mapInArrow(route, "id long, v array<long>, dim int, cell int")
+    routed = asked.join(floor, "q", "left").mapInArrow(route, "q long, id long, v array<long>, dim int, cell int")
+    routed = written(spark, routed, "routed")
     far = local(routed)
     best = _best(home.drop("rank").union(far), k)
     return best.select("query_id", "rank", "vec_id", "score")
