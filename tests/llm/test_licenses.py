@@ -17,7 +17,8 @@ def brute(docs, notices=L.NOTICES):
             for label, notice in notices:
                 need = set(words(notice))
                 share = len(need & set(words(line)))
-                if need and share >= max(1, math.ceil(L.THRESHOLD * len(need) - 1e-9)):
+                named = label not in L.NAMES or L.NAMES[label] in words(line)
+                if need and named and share >= max(1, math.ceil(L.THRESHOLD * len(need) - 1e-9)):
                     best = max(best, share / len(need))
                     labels.add(label)
                     blocks.add(n)
@@ -83,3 +84,11 @@ def test_native_plan_and_empty_table(spark):
     assert got.count() == 0
     plan = L.license_scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct", plan)
+
+
+def test_the_word_that_names_a_license_is_shared(spark):
+    docs = [(1, "Released under the Apache License"), (2, "released under the GPL license"),
+            (3, "Licensed under the Eclipse License, version 2.0"), (4, "Licensed\nunder the Eclipse License,\nversion 2.0"),
+            (5, "released under the mit software"), (6, "Released under\nthe GPL\nlicense"), (7, "Released under\nthe MIT terms")]
+    got = {r.doc_id: r.labels for r in L.license_scan(frame(spark, docs)).collect()}
+    assert got == {1: "apache", 2: "", 3: "", 4: "", 5: "mit-notice", 6: "", 7: "mit-notice"}

@@ -3,8 +3,9 @@
 Documents are cut into pre-tokens (matches of the pattern) with their positions, in bundles of
 documents of bounded text. A bundle's distinct pre-tokens are shuffled by word, so that each distinct
 word of the whole corpus meets in one task and is encoded once; the ids are joined back to the bundles
-that hold the word, and every document is reassembled by position. Decoding looks ids up in the
-token-byte table, whose size is that of the vocabulary.
+that hold the word, and every document is reassembled by position. Decoding joins ids to the
+token-byte table, whose size is that of the vocabulary: the table is sent to every task and joined there by
+place, since a shuffle would move a row for every token of the corpus.
 
 Between the steps a bundle is a few packed rows: its positions as numbers of its own distinct words,
 and those words by word bucket. The bundles are written to the checkpoint folder once, so a lost

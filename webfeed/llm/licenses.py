@@ -8,7 +8,8 @@ Words are ordered by the number of blocks of all documents that hold them, rares
 - length filter: a block with fewer than ``need`` such words cannot match;
 - positional filter: the first shared word leaves at most ``min(|T| - i, b - j)`` shared words.
 
-What passes is counted exactly. A notice that is broken over lines matches as a run of its own number of
+What passes is counted exactly, and must share the word that names the license (``NAMES``): short notices differ
+in little else. A notice that is broken over lines matches as a run of its own number of
 words and a quarter (two at least) more, for words that comment signs add, which begins and ends on different
 lines, none of which matches the notice alone; it is looked for around the notice's rarest words (as in the
 prefix filter), and of runs that overlap one is reported, under its first line. Notices are a bounded parameter; their words, and nothing that grows
@@ -38,6 +39,9 @@ NOTICES = [
     ("mpl-2.0-notice", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("bsd-notice", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
 ]
+#: The word of a notice that a match must share.
+NAMES = {"apache-2.0-notice": "apache", "gpl-3.0-notice": "general", "mit-notice": "mit", "cc-by-nc-4.0-notice": "cc",
+         "mpl-2.0-notice": "mozilla"}
 THRESHOLD = 0.8
 
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -73,6 +77,11 @@ def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def _named(shared: Column, name: Column) -> Column:
+    """Whether the words shared with a notice hold the one that names it (if one does)."""
+    return (name == "") | F.array_contains(shared, name)
+
+
 def _broken_notices(docs: DataFrame, notices: list[tuple[str, list[str], list[str], int, int]]) -> DataFrame:
     """(doc_id, k1, k2, line, label, containment): notices (label, words, rare words, need, run) over several lines."""
     rare = sorted({x for _, _, prefix, _, _ in notices for x in prefix})
@@ -83,7 +92,7 @@ def _broken_notices(docs: DataFrame, notices: list[tuple[str, list[str], list[st
     rows = rows.select("*", F.flatten("parts").alias("w"),
                        F.flatten(F.transform("parts", lambda p, n: F.transform(p, lambda _: n))).alias("at"))
     known = F.array(*[F.struct(F.lit(label).alias("label"), _strings(words).alias("words"), _strings(prefix).alias("rare"),
-                               F.lit(need).alias("need"), F.lit(run).alias("run"))
+                               F.lit(need).alias("need"), F.lit(run).alias("run"), F.lit(NAMES.get(label, "")).alias("name"))
                       for label, words, prefix, need, run in notices])
     rows = rows.select("*", F.explode(known).alias("t")).where(F.arrays_overlap("w", "t.rare"))
     w, at, t = F.col("w"), F.col("at"), F.col("t")
@@ -94,15 +103,18 @@ def _broken_notices(docs: DataFrame, notices: list[tuple[str, list[str], list[st
     runs = F.filter(
         F.transform(starts, lambda s: F.struct(
             s.alias("s"), F.array_intersect(F.slice(w, s + 1, t["run"]), t["words"]).alias("shared"))),
-        lambda r: F.size(r["shared"]) >= t["need"])
+        lambda r: (F.size(r["shared"]) >= t["need"]) & _named(r["shared"], t["name"]))
     # The last word is where the run has all that it shares.
     runs = F.transform(runs, lambda r: F.struct(
         (r["s"] + F.array_max(F.transform(
             r["shared"], lambda x: F.array_position(F.slice(w, r["s"] + 1, t["run"]), x))).cast("int") - 1).alias("end"),
         (-F.size(r["shared"])).alias("less"), (-r["s"]).alias("before")))
+    def alone(n: Column) -> Column:
+        shared = F.array_intersect(F.col("parts")[n], t["words"])
+        return (F.size(shared) >= t["need"]) & _named(shared, t["name"])
+
     runs = F.array_sort(F.filter(runs, lambda r: (at[-r["before"]] < at[r["end"]]) & ~F.exists(
-        F.sequence(at[-r["before"]], at[r["end"]]),
-        lambda n: F.size(F.array_intersect(F.col("parts")[n], t["words"])) >= t["need"])))
+        F.sequence(at[-r["before"]], at[r["end"]]), alone)))
     # By their ends, each run that begins after the last one reported.
     kind = "struct<end: int, less: int, before: int>"
     state = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("last"))
@@ -149,15 +161,16 @@ def notice_matches(docs: DataFrame, notices: list[tuple[str, str]] | None = None
     for label, w in notices:
         ranked = sorted(w, key=place.__getitem__)
         broken.append((label, w, ranked[:len(w) - need[label] + 1], need[label], run[label]))
-        prefixes += [(t, label, ranked, i, need[label]) for i, t in enumerate(ranked[:len(w) - need[label] + 1])]
-    small = spark.createDataFrame(prefixes, "token string, label string, notice array<string>, i int, need int")
+        prefixes += [(t, label, ranked, i, need[label], NAMES.get(label, ""))
+                     for i, t in enumerate(ranked[:len(w) - need[label] + 1])]
+    small = spark.createDataFrame(prefixes, "token string, label string, notice array<string>, i int, need int, name string")
     blocks = lines.select("doc_id", "k1", "k2", "line", held(order).alias("own")).where(F.size("own") >= least)
     probes = blocks.select("*", F.posexplode(F.slice("own", F.lit(1), F.size("own") - least + 1)).alias("j", "token"))
     pairs = probes.join(F.broadcast(small), "token") \
         .where((F.size("own") >= F.col("need"))
                & (F.least(F.size("notice") - F.col("i"), F.size("own") - F.col("j")) >= F.col("need")))
     shared = F.array_intersect("own", "notice")
-    whole = pairs.where((shared[0] == F.col("token")) & (F.size(shared) >= F.col("need"))) \
+    whole = pairs.where((shared[0] == F.col("token")) & (F.size(shared) >= F.col("need")) & _named(shared, F.col("name"))) \
         .select("doc_id", "k1", "k2", "line", "label", (F.size(shared) / F.size("notice")).alias("containment"))
     return whole.union(_broken_notices(docs, broken)) if broken else whole
 
@@ -207,7 +220,8 @@ def op7_license_scan(spark, sf_dir):
 
 def _oracle() -> str:
     notices = " UNION ALL ".join(
-        f"SELECT '{label}' AS label, {notice_words(notice)!r} AS words" for label, notice in NOTICES)
+        f"SELECT '{label}' AS label, {notice_words(notice)!r} AS words, '{NAMES.get(label, '')}' AS name"
+        for label, notice in NOTICES)
     places = " UNION ALL ".join(
         f"SELECT rid, '{label}' AS label, i FROM (SELECT rid, w, unnest(range(0, len(w))) AS i FROM d) WHERE "
         + " AND ".join(f"w[i + {n + 1}] = '{x}'" for n, x in enumerate(p.split())) for p, label in PHRASES)
@@ -221,7 +235,7 @@ def _oracle() -> str:
         SELECT rid, unnest(string_split(low, chr(10))) AS block,
                generate_subscripts(string_split(low, chr(10)), 1) AS line FROM t)),
     m AS (SELECT rid, line, label, len(list_intersect(own, words)) / len(words) AS c, len(words) AS size,
-                 len(list_intersect(own, words)) AS shared FROM b, n),
+                 len(list_intersect(own, words)) AS shared FROM b, n WHERE name = '' OR list_contains(own, name)),
     s AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS best, count(DISTINCT line) AS blocks FROM m
           WHERE shared >= ceil({THRESHOLD} * size - 1e-9) GROUP BY 1),
     p AS ({places}),
