@@ -25,7 +25,7 @@ from datetime import timedelta
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,11 @@ _FILES = T.StructType() \
     .add("modified", "timestamp").add("expected_size", "long").add("expected_md5", "string").add("expected_records", "long")
 
 
+def _header_id(header: Column) -> Column:
+    """A short name of a header (names hold no tab)."""
+    return F.when(header.isNotNull(), F.md5(F.concat_ws("\t", header)))
+
+
 class Catalog:
     """The catalogue of one feed, in the folder ``path``."""
 
@@ -85,9 +90,10 @@ class Catalog:
         return rows.withColumn("n", F.row_number().over(last)).where("n = 1").drop("n")
 
     def files(self, sel: DateSelection | None = None) -> DataFrame:
-        """One row per data file that a delivery lists."""
+        """One row per data file that a delivery lists, with the number of its columns and a digest of its header."""
         rows = self._table("files", _FILES)
-        alive = self.deliveries(sel).select("delivery_date", "seq", "header")
+        alive = self.deliveries(sel).select("delivery_date", "seq", F.size("header").alias("n_columns"),
+                                            _header_id(F.col("header")).alias("header_id"))
         return rows.join(alive, ["delivery_date", "seq"])
 
     # --- refresh --------------------------------------------------------------
@@ -173,7 +179,7 @@ class Catalog:
         bad = chosen.where("problem IS NOT NULL").orderBy("delivery_date").limit(10).collect()
         if bad:
             raise ManifestError("bad manifest(s):\n  " + "\n  ".join(f"{r.manifest_name}: {r.problem}" for r in bad))
-        kinds = chosen.groupBy("header").agg(
+        kinds = chosen.groupBy("header", _header_id(F.col("header")).alias("header_id")).agg(
             F.count(F.lit(1)).alias("days"), F.min("delivery_date").alias("first"), F.sum("n_files").alias("n_files")) \
             .orderBy("first").collect()
         expected = sel.expected_dates()
@@ -206,7 +212,7 @@ class Catalog:
         parts = []
         for k in kinds:
             schema = feed_schema(k.header, column_types)
-            mine = self.files(sel).where(F.col("header") == F.array(*[F.lit(c) for c in k.header]))
+            mine = self.files(sel).where(F.col("header_id") == k.header_id)
             rows = record_lines(spread(mine, task_bytes), folder) \
                 .select(parsed(F.col("line"), schema, CSV_OPTIONS).alias("r"), "delivery_date")
             parts.append(rows.select(*columns_of(F.col("r"), schema),
@@ -216,11 +222,10 @@ class Catalog:
 
     def _scan(self, sel: DateSelection, kinds: list, column_types: dict | None) -> FeedScanPlan:
         """The native scan of a few files."""
-        by_header: dict[tuple, dict] = {}
-        for k in kinds:
-            by_header[tuple(k.header)] = {}
-        for r in self.files(sel).select("header", "delivery_date", "file_key").collect():
-            by_header[tuple(r.header)].setdefault(r.delivery_date, []).append(r.file_key)
-        groups = tuple(ScanGroup(h, tuple(sorted(days)), tuple((d, tuple(sorted(fs))) for d, fs in sorted(days.items())))
-                       for h, days in by_header.items())
+        by_header: dict[str, dict] = {k.header_id: {} for k in kinds}
+        for r in self.files(sel).select("header_id", "delivery_date", "file_key").collect():
+            by_header[r.header_id].setdefault(r.delivery_date, []).append(r.file_key)
+        groups = tuple(ScanGroup(tuple(k.header), tuple(sorted(days)),
+                                 tuple((d, tuple(sorted(fs))) for d, fs in sorted(days.items())))
+                       for k in kinds for days in [by_header[k.header_id]])
         return FeedScanPlan(self.directory, tuple(kinds[0].header), groups, dict(column_types or {}))
