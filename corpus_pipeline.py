@@ -48,7 +48,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("line_dedup", line_runs), ("jaccard_join", near_copies),
           ("decontamination", decontamination), ("byte_bpe", byte_bpe)]
 
-#: A trained classifier and a tokenizer are not SQL; the tests compare the stages with brute force.
+#: A trained classifier and a tokenizer are not SQL; the tests compare the other stages with brute force, and the
+#: classifier's scores with those of its model computed in plain Python.
 ORACLE_SQL = None
 
 
