@@ -53,6 +53,23 @@ def test_against_brute_force(spark, seed, least):
         {d: (gone[(d, t)], kept(t, gone[(d, t)])) for d, t in docs}
 
 
+@pytest.mark.parametrize("least", [1, 4, 9])
+def test_words_are_counted_as_far_as_a_run_needs(spark, monkeypatch, least):
+    lines = ["", "--", "a", " a", "a-", "\tÜn?ï c_d é!", "K İ x", "a\u2028b", "𝒳 y", ". a . b . c . d .", "1 b 3 d e 6 7 h",
+             "x " * 200_000, "-" * 300_000, "y" * 300_000, "-" * 300_000 + " z z z"]
+    docs = [(d, "\n".join([f"own {d}", x, f"other {d} " * 9, x, lines[(i + 3) % 6]]))
+            for i, x in enumerate(lines) for d in (i, 100 + i)]
+    seen, runs = [], L._shortest_runs
+    monkeypatch.setattr(L, "_shortest_runs", lambda found, n: seen.extend(found.collect()) or runs(found, n))
+    gone = brute(docs, least)
+    got = L.dedup_line_runs(frame(spark, docs), least).select("doc_id", "text", "__wf_gone").collect()
+    assert {r[0]: set(r[2] or ()) for r in got} == {d: gone[d, t] for d, t in docs}
+    texts = [t.split("\n") for _, t in sorted(docs)]
+    place = {n: i for i, n in enumerate(sorted({r["dn"] for r in seen}))}  # every document has repeated lines
+    assert len(place) == len(docs) and max(r["words"] for r in seen) == least
+    assert all(r["words"] == min(len(words(texts[place[r["dn"]]][r["idx"]])), least) for r in seen)
+
+
 def test_awkward_rows_and_columns(spark):
     docs = [(d, t if t is None or len(t) < 5000 else t[:3000]) for d, t in awkward()]
     gone = brute(docs, 4)

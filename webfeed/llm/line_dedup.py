@@ -19,7 +19,7 @@ ignored (the filtering stage keeps them); empty tables give empty results.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ from webfeed.session import new_scratch_path
 #: Words that a repeated run must have.
 MIN_WORDS = 4
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 _POS = "struct(dn, idx)"
 
 
@@ -39,12 +40,22 @@ def _named(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.join(names, by).drop(*by)
 
 
-def _repeated_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, k1, k2, idx, name, words) of lines that occur again."""
+def _words(line: str, most: int) -> Column:
+    """Words of column ``line``, counted up to ``most``.
+
+    A run has enough words as soon as one of its lines has, so counts above ``min_words`` change no run. The pattern
+    of the first words never goes back over what it has read, so it takes linear time.
+    """
+    first = F.regexp_extract(line, f"(?:{_BETWEEN}+{_WORD}+){{0,{max(most, 1)}}}+", 0)
+    return F.regexp_count(first, F.lit(_WORD))
+
+
+def _repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, k1, k2, idx, name, words) of lines that occur again; ``words`` counts up to ``min_words``."""
     spark = docs.sparkSession
     lines = with_key(docs).select("doc_id", "k1", "k2", F.posexplode(F.split("text", "\n")).alias("idx", "line")) \
         .select("doc_id", "k1", "k2", "idx", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(7), "line").alias("l2"),
-                F.regexp_count("line", F.lit(_WORD)).alias("words"))
+                _words("line", min_words).alias("words"))
     pos = F.struct("doc_id", "k1", "k2", "idx")
     groups = lines.groupBy("l1", "l2").agg(F.min(pos).alias("first"), F.max(pos).alias("last")).where("first < last")
     names = groups.orderBy("l1", "l2").select("l1", "l2", F.monotonically_increasing_id().alias("name"))
@@ -56,7 +67,7 @@ def _repeated_lines(docs: DataFrame) -> DataFrame:
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, k1, k2, idx): the lines to remove, by row key and line number from 0."""
     spark = docs.sparkSession
-    lines = _repeated_lines(docs)
+    lines = _repeated_lines(docs, min_words)
     keys = written(spark, lines.select("doc_id", "k1", "k2").distinct().orderBy("doc_id", "k1", "k2")
                    .withColumn("dn", F.monotonically_increasing_id()), "line-docs")
     same = (F.col("n.k1") == F.col("l.k1")) & (F.col("n.k2") == F.col("l.k2")) \
